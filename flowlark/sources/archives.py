@@ -1,0 +1,96 @@
+"""Inventory and extraction of many zip archives."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowlark.operators.routing import REL
+
+ENTRY_SCHEMA = (
+    "path string, position int, entry string, size long, first_entry string, "
+    f"error string, {REL} string"
+)
+CONTENT_SCHEMA = f"path string, entry string, size long, content binary, error string, {REL} string"
+
+
+def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+    """(path, content) of the archives below a path."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    return reader.option("recursiveFileLookup", "true").load(path).select("path", "content")
+
+
+def zip_inventory(archives: DataFrame) -> DataFrame:
+    """One row per entry of each archive, from its directory alone.
+
+    An empty archive gives one row with the empty name; one that cannot be
+    opened gives a ``failure`` row.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                yield pd.DataFrame(_entries(path, content), columns=_names(ENTRY_SCHEMA))
+
+    return archives.select("path", "content").mapInPandas(run, ENTRY_SCHEMA)
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
+def _entries(path: str, content: bytes) -> list[tuple]:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            infos = archive.infolist()
+    except (zipfile.BadZipFile, OSError, ValueError) as error:
+        return [(path, 0, None, None, None, str(error), "failure")]
+    first = infos[0].filename if infos else ""
+    if not infos:
+        return [(path, 0, "", 0, first, None, "success")]
+    return [
+        (path, i, info.filename, info.file_size, first, None, "success")
+        for i, info in enumerate(infos)
+    ]
+
+
+def suffix_totals(entries: DataFrame) -> DataFrame:
+    """Entries and bytes per file suffix over all archives."""
+    good = entries.filter((F.col(REL) == "success") & (F.col("entry") != ""))
+    suffix = F.lower(F.regexp_extract("entry", r"\.([^./]+)$", 1))
+    return good.groupBy(suffix.alias("suffix")).agg(
+        F.count(F.lit(1)).alias("entries"), F.sum("size").alias("bytes")
+    )
+
+
+def zip_extract(archives: DataFrame, password: str | None = None) -> DataFrame:
+    """One row per file in each archive with its content.
+
+    Directories are left out; a wrong password or broken archive gives a
+    ``failure`` row. Entries are handed on one at a time.
+    """
+    secret = password.encode() if password is not None else None
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                for row in _contents(path, content, secret):
+                    yield pd.DataFrame([row], columns=_names(CONTENT_SCHEMA))
+
+    return archives.select("path", "content").mapInPandas(run, CONTENT_SCHEMA)
+
+
+def _contents(path: str, content: bytes, secret: bytes | None) -> Iterator[tuple]:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for info in archive.infolist():
+                if not info.is_dir():
+                    data = archive.read(info, pwd=secret)
+                    yield (path, info.filename, len(data), data, None, "success")
+    except (zipfile.BadZipFile, RuntimeError, NotImplementedError, OSError, ValueError) as error:
+        yield (path, None, None, None, str(error), "failure")
