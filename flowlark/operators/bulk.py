@@ -171,7 +171,7 @@ def route_bulk_response(
         .when(F.col("_errors") & F.coalesce(item_kind != 2, F.lit(False)), "failure")
         .otherwise("success")
     )
-    reason = F.when(F.col("_errors") & (item_kind != 2), F.col("_item.reason"))
+    reason = F.when(F.col("_errors") & (kind == 2) & (item_kind != 2), F.col("_item.reason"))
     return joined.withColumns({REL: rel, "error_reason": reason}).drop(
         "_b", "_status", "_errors", "_ib", "_ip", "_item"
     )
