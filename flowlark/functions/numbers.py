@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Text forms accepted as numbers.
@@ -26,6 +26,27 @@ def to_long(c: str | Column) -> Column:
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint"))
 
 
+INTEGRAL = ("byte", "short", "integer", "long")  # fixed values: whole-number types
+FLOATING = ("float", "double", "decimal")
+
+
+def _type(df: DataFrame, c: Column) -> str:
+    return df.select(c.alias("c")).schema["c"].dataType.typeName().split("(")[0]
+
+
+def double_of(df: DataFrame, c: str | Column) -> Column:
+    """``to_double`` that leaves columns alone which are numbers already."""
+    column = _col(c)
+    numeric = _type(df, column) in (*INTEGRAL, *FLOATING)
+    return column.cast("double") if numeric else to_double(column)
+
+
+def long_of(df: DataFrame, c: str | Column) -> Column:
+    """``to_long`` that leaves whole-number columns alone."""
+    column = _col(c)
+    return column.cast("bigint") if _type(df, column) in INTEGRAL else to_long(column)
+
+
 def is_blank(c: str | Column) -> Column:
     """True for null, empty and white-space text."""
     text = _col(c).cast("string")

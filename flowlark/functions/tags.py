@@ -18,22 +18,41 @@ def parse_tags(c: str | Column, strict: bool = True) -> Column:
     return _strict(text) if strict else _quoted(text)
 
 
+# Shapes of tag text that need no list work.
+_PAIRS = r"^[^=,]*=[^=,]+(,[^=,]*=[^=,]+)*$"
+_FULL_PAIRS = r"^[^=,]+=[^=,]+(,[^=,]+=[^=,]+)*$"
+_REPEATED = r"(?:^|,)([^=,]*)=[^,]*,(?:.*,)?\1="
+
+
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(F.trim(text), r"\s*([=,])\s*", "$1")
+
+
+def _plain(pairs: Column) -> Column:
+    return F.str_to_map(pairs, F.lit(","), F.lit("="))
+
+
 def _strict(text: Column) -> Column:
     # Trailing separators do not open a new piece, on either level.
-    pieces = F.split(F.regexp_replace(text, r",+$", ""), ",", -1)
-    pairs = F.transform(pieces, lambda p: F.split(F.regexp_replace(p, r"=+$", ""), "=", -1))
+    clean = F.regexp_replace(F.regexp_replace(text, r",+$", ""), r"=+(?=,|$)", "")
+    valid = clean.rlike(_PAIRS)
+    pairs = _trimmed(clean)
     entries = F.transform(
-        pairs,
+        F.split(pairs, ",", -1),
         lambda p: F.struct(
-            F.trim(F.get(p, F.lit(0))).alias("key"), F.trim(F.get(p, F.lit(1))).alias("value")
+            F.substring_index(p, "=", 1).alias("key"), F.substring_index(p, "=", -1).alias("value")
         ),
     )
-    return F.when(text.isNull(), _empty()).when(
-        F.forall(pairs, lambda p: F.size(p) == 2), _last_wins(entries)
+    return (
+        F.when(text.isNull(), _empty())
+        .when(valid & ~pairs.rlike(_REPEATED), _plain(pairs))
+        .when(valid, _last_wins(entries))
     )
 
 
 def _quoted(text: Column) -> Column:
+    pairs = _trimmed(text)
+    simple = ~text.contains('"') & pairs.rlike(_FULL_PAIRS) & ~pairs.rlike(_REPEATED)
     fields = F.regexp_extract_all(text, F.lit(r'((?:"[^"]*"|[^,"]|"(?=[^"]*$))+)'), F.lit(1))
     bare = F.transform(fields, lambda f: F.regexp_replace(F.trim(f), r'^"([^"]*)"$', "$1"))
     entries = F.transform(
@@ -44,7 +63,9 @@ def _quoted(text: Column) -> Column:
         ),
     )
     kept = F.filter(entries, lambda e: (e["key"] != "") & (e["value"] != ""))
-    return F.when(text.isNull(), _empty()).otherwise(_last_wins(kept))
+    return (
+        F.when(text.isNull(), _empty()).when(simple, _plain(pairs)).otherwise(_last_wins(kept))
+    )
 
 
 def _empty() -> Column:

@@ -35,7 +35,7 @@ def to_points(
         *keep,
         measurement.alias("measurement"),
         parse_tags(tags, strict_tags).alias("tags"),
-        field_map(fields).alias("fields"),
+        field_map(df, fields).alias("fields"),
         at.alias("time"),
     )
     usable = (F.size("fields") > 0) & F.col("tags").isNotNull()
@@ -125,7 +125,8 @@ def series_query(
         return kept.withColumn("position", F.row_number().over(window).cast("long")).filter(
             F.col("position") <= limit
         )
-    return rank_rows(kept, names, order, "position")
+    # A series has one row per window after aggregation: no check needed.
+    return rank_rows(kept, names, order, "position", split=False if aggs else None)
 
 
 def _first_series(rows: DataFrame, names: Sequence[str], slimit: int) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlark.functions.numbers import to_double, to_long
+from flowlark.functions.numbers import double_of, long_of
 from flowlark.plans.ordered import rank_rows
 
 REL = "_rel"
@@ -18,6 +18,15 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def route_copies(df: DataFrame, routes: dict[str, Column]) -> DataFrame:
+    """One copy of each row per output whose condition holds.
+
+    The source is read once; the copies stay inside generated code.
+    """
+    names = F.array(*[F.when(hit, F.lit(name)) for name, hit in routes.items()])
+    return df.withColumn(REL, F.explode(names)).filter(F.col(REL).isNotNull())
+
+
 def route_bitmask(
     df: DataFrame, value: str | Column, masks: dict[str, int], flip: bool = False
 ) -> DataFrame:
@@ -26,17 +35,10 @@ def route_bitmask(
     No mask set: ``unmatched``; value that is no whole number: ``failure``.
     ``routed_value`` is the value, with all matched bits flipped if asked.
     """
-    number = to_long(value)
+    number = long_of(df, value)
     hits = {name: number.bitwiseAND(F.lit(m).cast("long")) == m for name, m in masks.items()}
-    names = F.filter(
-        F.array(*[F.when(hit, F.lit(name)) for name, hit in hits.items()]),
-        lambda n: n.isNotNull(),
-    )
-    targets = (
-        F.when(number.isNull(), F.array(F.lit("failure")))
-        .when(F.size(names) == 0, F.array(F.lit("unmatched")))
-        .otherwise(names)
-    )
+    matched_any = reduce(lambda a, b: a | b, hits.values(), F.lit(False))
+    routes = {**hits, "unmatched": ~matched_any & number.isNotNull(), "failure": number.isNull()}
     result = number
     if flip:
         matched = reduce(
@@ -47,7 +49,7 @@ def route_bitmask(
             ],
         )
         result = number.bitwiseXOR(matched)
-    return df.withColumn("routed_value", result).withColumn(REL, F.explode(targets))
+    return route_copies(df.withColumn("routed_value", result), routes)
 
 
 def split_percent(
@@ -75,7 +77,7 @@ def retry_gate(
     ``while_`` and ``next_`` see the counter with a missing one as 0. Retried
     rows get ``not_before`` when a penalty is set; others the extra columns.
     """
-    rows = df.withColumn(counter, F.coalesce(to_long(counter), F.lit(0).cast("long")))
+    rows = df.withColumn(counter, F.coalesce(long_of(df, counter), F.lit(0).cast("long")))
     rows = rows.withColumn("_again", F.coalesce(while_, F.lit(False)))
     again = F.col("_again")
     extra = {
@@ -96,7 +98,7 @@ def retry_gate(
 
 def route_parse(df: DataFrame, value: str | Column, kind: str = "double") -> DataFrame:
     """``success`` with ``parsed`` where the text is a number, else ``failure``."""
-    parsed = to_long(value) if kind in ("long", "bigint") else to_double(value)
+    parsed = long_of(df, value) if kind in ("long", "bigint") else double_of(df, value)
     return df.withColumn("parsed", parsed).withColumn(
         REL, F.when(F.col("parsed").isNotNull(), "success").otherwise("failure")
     )

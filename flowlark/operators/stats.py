@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlark.functions.numbers import to_double
+from flowlark.functions.numbers import double_of
 from flowlark.functions.times import as_timestamp
 
 KEY = "key"
@@ -39,18 +39,12 @@ def _six(value: str) -> list[Column]:
     ]
 
 
-def _numeric(df: DataFrame, value: str | Column) -> Column:
-    column = _col(value)
-    kind = df.select(column.alias("v")).schema["v"].dataType.typeName()
-    return to_double(column) if kind == "string" else column.cast("double")
-
-
 def moments(df: DataFrame, value: str | Column, by: str | Column | None = None) -> DataFrame:
     """Count, sum, min, max, mean and sample deviation per key.
 
     Values that are no numbers are skipped; a key without any gives no row.
     """
-    rows = df.select(correlation_key(by).alias(KEY), _numeric(df, value).alias(VALUE))
+    rows = df.select(correlation_key(by).alias(KEY), double_of(df, value).alias(VALUE))
     return rows.filter(F.col(VALUE).isNotNull()).groupBy(KEY).agg(*_six(VALUE))
 
 
@@ -91,7 +85,7 @@ def volume_stats(df: DataFrame, by: str | Column | None = None) -> DataFrame:
 
 def moment_state(df: DataFrame, value: str | Column, by: dict[str, Column]) -> DataFrame:
     """One mergeable state (n, mean, m2, sum, min, max) per key."""
-    rows = df.select(*[c.alias(n) for n, c in by.items()], _numeric(df, value).alias(VALUE))
+    rows = df.select(*[c.alias(n) for n, c in by.items()], double_of(df, value).alias(VALUE))
     states = rows.filter(F.col(VALUE).isNotNull()).groupBy(*by)
     return states.agg(
         F.count(VALUE).alias("n"),
@@ -154,7 +148,7 @@ def interval_moments(
     rows = df.select(
         as_timestamp(ts).alias("_ts"),
         correlation_key(by).alias(KEY),
-        _numeric(df, value).alias(VALUE),
+        double_of(df, value).alias(VALUE),
     ).filter(F.col(VALUE).isNotNull())
     if watermark:
         rows = rows.withWatermark("_ts", watermark)

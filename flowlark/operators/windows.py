@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlark.functions.numbers import to_double, to_long
+from flowlark.functions.numbers import double_of, long_of
 from flowlark.functions.times import as_timestamp, micros
-from flowlark.operators.routing import REL
+from flowlark.operators.routing import REL, route_copies
 from flowlark.plans.ordered import fold_rows, running
 from flowlark.session import max_group_rows
 
@@ -34,12 +34,6 @@ def interval_micros(text: str) -> int:
     return int(match.group(1)) * UNIT_MICROS[match.group(2)]
 
 
-def _value(df: DataFrame, value: str | Column) -> Column:
-    column = F.col(value) if isinstance(value, str) else value
-    kind = df.select(column.alias("v")).schema["v"].dataType.typeName()
-    return to_double(column) if kind == "string" else column.cast("double")
-
-
 def tumbling(
     df: DataFrame,
     value: str | Column,
@@ -49,7 +43,7 @@ def tumbling(
     watermark: str | None = None,
 ) -> DataFrame:
     """Sum and count per key and epoch-aligned window; on a stream, append."""
-    rows = df.select(*by, as_timestamp(ts).alias("_ts"), _value(df, value).alias("_v"))
+    rows = df.select(*by, as_timestamp(ts).alias("_ts"), double_of(df, value).alias("_v"))
     rows = rows.filter(F.col("_v").isNotNull())
     if watermark:
         rows = rows.withWatermark("_ts", watermark)
@@ -74,7 +68,7 @@ def running_tumbling(
     """
     rows = df.withColumns(
         {
-            "_v": _value(df, value),
+            "_v": double_of(df, value),
             "window_start": F.window(as_timestamp(ts), width)["start"],
         }
     )
@@ -149,7 +143,7 @@ def anchored_tumbling(
     ``success`` and ``elapsed``, and its value opens the next window. Records
     without a usable value or time go to ``failure`` and touch nothing.
     """
-    timed = F.when(F.col(ts).isNotNull(), _value(df, value))
+    timed = F.when(F.col(ts).isNotNull(), double_of(df, value))
     rows = df.withColumns({"_t": micros(F.col(ts)), "_v": timed})
     out = fold_rows(
         rows,
@@ -164,19 +158,21 @@ def anchored_tumbling(
         anchored_fold(interval_micros(width)),
         split=split,
     )
-    targets = (
-        F.when(F.col("_v").isNull(), F.array(F.lit("failure")))
-        .when(F.col("_elapsed"), F.array(F.lit("success"), F.lit("elapsed")))
-        .otherwise(F.array(F.lit("success")))
-    )
-    return out.withColumn(REL, F.explode(targets)).drop("_t", "_v", "_elapsed")
+    return route_windows(out)
+
+
+def route_windows(out: DataFrame) -> DataFrame:
+    """Outputs of folded window rows."""
+    good = F.col("_v").isNotNull()
+    routed = route_copies(out, {"failure": ~good, "success": good, "elapsed": F.col("_elapsed")})
+    return routed.drop("_t", "_v", "_elapsed")
 
 
 # --- batches ---------------------------------------------------------------------
 
 
-def _fragments(df: DataFrame, frag_id: str, frag_count: str) -> DataFrame:
-    counted = to_long(F.col(frag_count))
+def fragments(df: DataFrame, frag_id: str, frag_count: str) -> DataFrame:
+    counted = long_of(df, frag_count)
     return df.withColumns(
         {
             "_want": counted,
@@ -217,7 +213,7 @@ def batch_wait(
     ``batch-completed`` and the count starts again; one without id or whole
     expected count also to ``failure``.
     """
-    rows = _fragments(df, frag_id, frag_count)
+    rows = fragments(df, frag_id, frag_count)
     shape = (
         rows.filter("_ok")
         .groupBy(frag_id)
@@ -246,15 +242,13 @@ def batch_wait(
         done = F.col("_ok") & (F.col("_want") > 0) & (
             F.pmod(F.col("_pos"), F.greatest(F.col("_want"), F.lit(1).cast("long"))) == 0
         )
-    targets = F.filter(
-        F.array(
-            F.lit("original"),
-            F.when(done, F.lit("batch-completed")),
-            F.when(~F.col("_ok"), F.lit("failure")),
-        ),
-        lambda r: r.isNotNull(),
-    )
-    return marked.withColumn(REL, F.explode(targets)).drop("_want", "_ok", "_done", "_pos")
+    return route_batch(marked, done)
+
+
+def route_batch(marked: DataFrame, done: Column) -> DataFrame:
+    """Outputs of counted batch rows."""
+    routes = {"original": F.lit(True), "batch-completed": done, "failure": ~F.col("_ok")}
+    return route_copies(marked, routes).drop("_want", "_ok", "_done", "_pos")
 
 
 def batch_pending(
@@ -265,7 +259,7 @@ def batch_pending(
     With one expected count per id this is a plain aggregate. ``order`` is
     needed only where the count changes within an id.
     """
-    rows = _fragments(df, frag_id, frag_count).filter("_ok")
+    rows = fragments(df, frag_id, frag_count).filter("_ok")
     if order is None:
         counts = rows.groupBy(frag_id).agg(
             F.count(F.lit(1)).alias("n"), F.max("_want").alias("expected")

@@ -74,19 +74,13 @@ def list_keys(spark, sf):
 
 @query(
     "list_keys_all",
-    """select url, ((row_number() over (order by url) - 1) // 100)::int as page from pages
+    """select url, ((row_number() over (order by url) - 1) // 100)::bigint as page from pages
        where starts_with(url, 'http') and url > 'http'""",
 )
 def list_keys_all(spark, sf):
-    """Page after page until the listing is complete."""
+    """The page that each key is on."""
     keys = table(spark, sf, "pages").select("url")
-    done, state, number = None, None, 0
-    while state is None or not state.complete:
-        page, state = listing.list_keys(keys, "http", state=state, limit=100, key="url")
-        page = page.withColumn("page", F.lit(number))
-        done = page if done is None else done.unionByName(page)
-        number += 1
-    return done
+    return listing.all_pages(keys, "http", limit=100, key="url")
 
 
 def _archives(spark, sf):

@@ -180,14 +180,16 @@ def parse_tags_quoted(spark, sf):
     """select event_id, value, (props->>'$.k')::double as k, 2 as n from events""",
 )
 def field_map(spark, sf):
+    events = table(spark, sf, "events")
     fields = project.field_map(
+        events,
         {
             "value": F.col("value"),
             "k": F.get_json_object("props", "$.k"),
             "type": F.col("event_type"),
-        }
+        },
     )
-    out = table(spark, sf, "events").select("event_id", fields.alias("f"))
+    out = events.select("event_id", fields.alias("f"))
     return out.select(
         "event_id", F.col("f")["value"].alias("value"), F.col("f")["k"].alias("k"), F.size("f").alias("n")
     )

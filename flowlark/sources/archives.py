@@ -18,6 +18,8 @@ ENTRY_SCHEMA = (
 )
 CONTENT_SCHEMA = f"path string, entry string, size long, content binary, error string, {REL} string"
 
+HANDED_ON_BYTES = 8 * 1024 * 1024
+
 
 def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
     """(path, content) of the archives below a path."""
@@ -34,8 +36,12 @@ def zip_inventory(archives: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                yield pd.DataFrame(_entries(path, content), columns=_names(ENTRY_SCHEMA))
+            rows = [
+                row
+                for path, content in zip(pdf["path"], pdf["content"])
+                for row in _entries(path, content)
+            ]
+            yield pd.DataFrame(rows, columns=_names(ENTRY_SCHEMA))
 
     return archives.select("path", "content").mapInPandas(run, ENTRY_SCHEMA)
 
@@ -72,15 +78,21 @@ def zip_extract(archives: DataFrame, password: str | None = None) -> DataFrame:
     """One row per file in each archive with its content.
 
     Directories are left out; a wrong password or broken archive gives a
-    ``failure`` row. Entries are handed on one at a time.
+    ``failure`` row. Entries are handed on every few megabytes.
     """
     secret = password.encode() if password is not None else None
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
+            held, size = [], 0
             for path, content in zip(pdf["path"], pdf["content"]):
                 for row in _contents(path, content, secret):
-                    yield pd.DataFrame([row], columns=_names(CONTENT_SCHEMA))
+                    held.append(row)
+                    size += row[2] or 0
+                    if size >= HANDED_ON_BYTES:
+                        yield pd.DataFrame(held, columns=_names(CONTENT_SCHEMA))
+                        held, size = [], 0
+            yield pd.DataFrame(held, columns=_names(CONTENT_SCHEMA))
 
     return archives.select("path", "content").mapInPandas(run, CONTENT_SCHEMA)
 

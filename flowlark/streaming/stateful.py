@@ -18,11 +18,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from flowlark.functions.numbers import is_blank, to_double, to_long
+from flowlark.functions.numbers import double_of, is_blank
 from flowlark.functions.times import as_timestamp, micros
 from flowlark.operators.dedupe import age_off_fold
 from flowlark.operators.routing import REL
-from flowlark.operators.windows import anchored_fold, counter_fold, interval_micros
+from flowlark.operators.windows import (
+    anchored_fold,
+    counter_fold,
+    fragments,
+    interval_micros,
+    route_batch,
+    route_windows,
+)
 
 STATE = T.StructType([T.StructField("state", T.StringType())])
 
@@ -84,10 +91,8 @@ def anchored_stream(
     sdf: DataFrame, value: str | Column, ts: str, width: str, by: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """``anchored_tumbling`` on a stream."""
-    column = F.col(value) if isinstance(value, str) else value
-    rows = sdf.withColumns(
-        {"_t": micros(F.col(ts)), "_v": F.when(F.col(ts).isNotNull(), to_double(column))}
-    )
+    timed = F.when(F.col(ts).isNotNull(), double_of(sdf, value))
+    rows = sdf.withColumns({"_t": micros(F.col(ts)), "_v": timed})
     out = fold_stream(
         rows,
         by,
@@ -100,12 +105,7 @@ def anchored_stream(
         ],
         anchored_fold(interval_micros(width)),
     )
-    targets = (
-        F.when(F.col("_v").isNull(), F.array(F.lit("failure")))
-        .when(F.col("_elapsed"), F.array(F.lit("success"), F.lit("elapsed")))
-        .otherwise(F.array(F.lit("success")))
-    )
-    return out.withColumn(REL, F.explode(targets)).drop("_t", "_v", "_elapsed")
+    return route_windows(out)
 
 
 def dedupe_stream(
@@ -142,27 +142,15 @@ def batch_wait_stream(
     sdf: DataFrame, frag_id: str, frag_count: str, order: Sequence[str]
 ) -> DataFrame:
     """``batch_wait`` on a stream."""
-    want = to_long(F.col(frag_count))
-    rows = sdf.withColumns(
-        {"_want": want, "_ok": F.col(frag_id).isNotNull() & want.isNotNull()}
-    )
     out = fold_stream(
-        rows,
+        fragments(sdf, frag_id, frag_count),
         [frag_id],
         order,
         ["_want", "_ok"],
         [T.StructField("_done", T.BooleanType())],
         counter_fold,
     )
-    targets = F.filter(
-        F.array(
-            F.lit("original"),
-            F.when(F.col("_done"), F.lit("batch-completed")),
-            F.when(~F.col("_ok"), F.lit("failure")),
-        ),
-        lambda r: r.isNotNull(),
-    )
-    return out.withColumn(REL, F.explode(targets)).drop("_want", "_ok", "_done")
+    return route_batch(out, F.col("_done"))
 
 
 def delay_stream(sdf: DataFrame, key: str, delay_ms: str | Column) -> DataFrame:
