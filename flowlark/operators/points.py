@@ -106,6 +106,8 @@ def series_query(
         rows = rows.filter(where)
     names = [f"tag_{t}" for t in group_tags]
     rows = rows.withColumns({n: F.try_element_at("tags", F.lit(t)) for n, t in zip(names, group_tags)})
+    if slimit is not None:
+        rows = _first_series(rows, names, slimit)
     if aggs:
         keys = list(names)
         if every:
@@ -117,16 +119,15 @@ def series_query(
         fields = F.to_json(F.col("fields"))
         rows = rows.select(*names, "time", fields.alias("values"))
         order = ["time", "values"]
-    kept = _first_series(rows, names, slimit) if slimit is not None else rows
     if not order:
-        return kept.withColumn("position", F.lit(1).cast("long"))
+        return rows.withColumn("position", F.lit(1).cast("long"))
     if limit is not None:  # top-k: Spark keeps only k rows per series and task
         window = Window.partitionBy(*names).orderBy(*order)
-        return kept.withColumn("position", F.row_number().over(window).cast("long")).filter(
+        return rows.withColumn("position", F.row_number().over(window).cast("long")).filter(
             F.col("position") <= limit
         )
     # A series has one row per window after aggregation: no check needed.
-    return rank_rows(kept, names, order, "position", split=False if aggs else None)
+    return rank_rows(rows, names, order, "position", split=False if aggs else None)
 
 
 def _first_series(rows: DataFrame, names: Sequence[str], slimit: int) -> DataFrame:
@@ -134,7 +135,7 @@ def _first_series(rows: DataFrame, names: Sequence[str], slimit: int) -> DataFra
     sets = rows.select(*[F.col(n).alias(f"_s_{n}") for n in names]).distinct()
     chosen = sets.orderBy(*sets.columns).limit(slimit)
     same = [F.col(n).eqNullSafe(F.col(f"_s_{n}")) for n in names]
-    return rows.join(chosen, same, "left_semi")
+    return rows.join(F.broadcast(chosen), same, "left_semi")  # slimit rows
 
 
 def field(name: str) -> Column:

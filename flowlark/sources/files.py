@@ -34,15 +34,20 @@ def text_splits(
         "_n", F.greatest(F.size("_lines") - start, F.lit(0))
     )
     last = F.call_function("div", F.col("_n") - 1, F.lit(per_split)).cast("int")
-    body = F.array_join(
-        F.slice("_lines", F.col("split") * per_split + start + 1, F.lit(per_split)), "\n"
-    )
-    if header:
-        body = F.concat(F.get("_lines", F.lit(skip)), F.lit("\n"), body)
+
+    def body(split: Column) -> Column:
+        part = F.slice("_lines", split * per_split + start + 1, F.lit(per_split))
+        joined = F.array_join(part, "\n")
+        if not header:
+            return joined
+        return F.concat(F.get("_lines", F.lit(skip)), F.lit("\n"), joined)
+
+    # All splits first, then one row each: the lines are not copied per split.
+    splits = F.transform(F.sequence(F.lit(0), last), body)
     return (
         rows.filter(F.col("_n") > 0)
-        .withColumn("split", F.explode(F.sequence(F.lit(0), last)))
-        .select(*keep, "split", body.alias("content"))
+        .select(*keep, splits.alias("_splits"))
+        .select(*keep, F.posexplode("_splits").alias("split", "content"))
     )
 
 

@@ -49,13 +49,16 @@ def fold_stream(
     that long after the time in the first place of its state.
     """
     schema = T.StructType([*sdf.schema.fields, *outputs])
-    order, inputs, names = list(order), list(inputs), [f.name for f in outputs]
+    order, inputs = list(order), list(inputs)
 
     def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        pdf = pd.concat(list(frames)).sort_values(order, kind="stable", ignore_index=True)
+        parts = list(frames)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
+        if len(pdf) > 1:
+            pdf = pdf.iloc[np.lexsort([pdf[c].to_numpy() for c in reversed(order)])]
         held = json.loads(state.get[0]) if state.exists else None
         arrays = {}
         for c in inputs:
@@ -68,17 +71,14 @@ def fold_stream(
             if forget_after_ms is not None and after[0] is not None:
                 due = after[0] // 1000 + forget_after_ms
                 state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        added = {}
         for f in outputs:
             values = outs[f.name]
-            if isinstance(values, np.ma.MaskedArray) and np.ma.getmaskarray(values).any():
-                column = pd.Series(values.data).astype(object)
-                column[np.ma.getmaskarray(values)] = None
-            else:
-                column = pd.Series(np.asarray(values))
-            pdf[f.name] = column
-        yield pdf[[*sdf_names, *names]]
-
-    sdf_names = sdf.columns
+            if np.ma.getmaskarray(values).any():
+                values = np.where(np.ma.getmaskarray(values), None, values.astype(object))
+            added[f.name] = np.asarray(values)
+        yield pdf.assign(**added)
+
     timeout = (
         GroupStateTimeout.NoTimeout
         if forget_after_ms is None
