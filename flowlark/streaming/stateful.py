@@ -31,6 +31,11 @@ from flowlark.operators.windows import (
     route_windows,
 )
 
+# Held rows keep their microseconds.
+ROW_FORMAT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 STATE = T.StructType([T.StructField("state", T.StringType())])
 
 
@@ -162,7 +167,7 @@ def delay_stream(sdf: DataFrame, key: str, delay_ms: str | Column) -> DataFrame:
     packed = sdf.select(
         F.col(key).cast("string").alias("_key"),
         delay.alias("_delay"),
-        F.to_json(F.struct(*sdf.columns)).alias("_row"),
+        F.to_json(F.struct(*sdf.columns), ROW_FORMAT).alias("_row"),
     )
 
     def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -182,4 +187,4 @@ def delay_stream(sdf: DataFrame, key: str, delay_ms: str | Column) -> DataFrame:
     held = packed.groupBy("_key").applyInPandasWithState(
         step, "_row string", STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
-    return held.select(F.from_json("_row", sdf.schema).alias("r")).select("r.*")
+    return held.select(F.from_json("_row", sdf.schema, ROW_FORMAT).alias("r")).select("r.*")
