@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlark.functions.json import json_string
 from flowlark.operators.routing import REL
+from flowlark.plans.skew import join_hot
 
 # Operations and upsert options of the bulk format.
 OPS = ["index", "update", "upsert", "delete"]
@@ -111,10 +112,10 @@ def apply_bulk(
     full = F.col("_op").isin("index", "delete")
     resets = (
         rows.filter(full)
-        .groupBy(F.col("_id").alias("_rid"))
+        .groupBy("_id")
         .agg(F.max("_at").alias("_reset"), F.max_by("_op", "_at").alias("_reset_op"))
     )
-    joined = rows.join(resets, F.col("_id") == F.col("_rid"), "left")
+    joined = join_hot(rows, resets, {"_id": "_id"})
     later = F.col("_reset").isNull() | (F.col("_at") > F.col("_reset"))
     merging = ~full & later
     aggs = [

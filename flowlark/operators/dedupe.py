@@ -14,6 +14,7 @@ from flowlark.functions.times import micros
 from flowlark.operators.routing import REL
 from flowlark.operators.windows import interval_micros
 from flowlark.plans.ordered import first_rows, fold_rows
+from flowlark.plans.skew import join_hot
 
 
 def identify_duplicates(
@@ -125,13 +126,11 @@ def contains(df: DataFrame, seen: DataFrame, key: str, seen_key: str | None = No
     known = seen.select(
         F.col(seen_key or key).alias("_seen"), F.lit(True).alias("_hit")
     ).distinct()
-    joined = df.join(known, F.col(key) == F.col("_seen"), "left")
-    return joined.withColumn("contained", F.coalesce(F.col("_hit"), F.lit(False))).drop(
-        "_seen", "_hit"
-    )
+    joined = join_hot(df, known, {key: "_seen"})
+    return joined.withColumn("contained", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
 
 
 def remove_keys(seen: DataFrame, keys: DataFrame, key: str, drop_key: str | None = None) -> DataFrame:
-    """The seen set without the given keys, and ``remove_all`` for a whole frame."""
-    gone = keys.select(F.col(drop_key or key).alias("_gone"))
-    return seen.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    """The seen set without the given keys."""
+    gone = keys.select(F.col(drop_key or key).alias("_gone")).distinct()
+    return join_hot(seen, gone, {key: "_gone"}, "left_anti")

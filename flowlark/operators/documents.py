@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlark.operators.routing import REL
 from flowlark.plans.ordered import first_rows, rank_rows
+from flowlark.plans.skew import join_hot
 from flowlark.session import materialize
 
 DUPLICATE_KEY = 11000  # fixed value: error code of a unique-key clash
@@ -42,26 +43,32 @@ def find(
     and ``request_id``; only the best rows per task are shuffled for it.
     """
     fields = list(project or [c for c in docs.columns if c not in requests.columns])
-    side = docs
-    keys = {}
+    extra = []
+    if limit is not None:  # fields that only the sort may need
+        extra = [c for c in docs.columns if c not in fields and c not in requests.columns]
+    side, keys = docs, {}
     for i, (asked, field) in enumerate(on.items()):
-        keys[asked] = f"_on_{i}"
         value = F.col(field)
         if docs.schema[field].dataType.typeName() == "array":
             value = F.explode(F.array_distinct(value))
-        side = side.withColumn(f"_on_{i}", value)
-    extra = []
-    if limit is not None:  # fields that only the sort may need
-        extra = [c for c in docs.columns if c not in fields and c not in requests.columns]
-    side = side.select(*fields, *extra, *keys.values(), F.lit(True).alias("_hit"))
-    joined = requests.join(side, [F.col(a) == F.col(k) for a, k in keys.items()], "left")
+        keys[f"_doc_{i}"] = asked
+        side = side.withColumn(f"_doc_{i}", value)
+    side = side.select(*fields, *extra, *keys)
+    asking = requests.withColumns({f"_ask_{i}": F.col(a) for i, a in enumerate(on)})
+    pairs = {k: f"_ask_{i}" for i, k in enumerate(keys)}
+    hits = join_hot(side.dropna(subset=list(keys)), asking, pairs, "inner")
     if limit is not None:
         if not sort or not request_id:
             raise ValueError("limit needs sort and request_id")
         window = Window.partitionBy(*request_id).orderBy(*sort)
-        joined = joined.withColumn("_at", F.row_number().over(window)).filter(F.col("_at") <= limit)
-    rel = F.when(F.col("_hit"), "success").otherwise("noresult")
-    return joined.select(*requests.columns, *fields, rel.alias(REL))
+        hits = hits.withColumn("_at", F.row_number().over(window)).filter(F.col("_at") <= limit)
+    found = hits.select(*requests.columns, *fields, F.lit("success").alias(REL))
+    answered = side.select(*keys).distinct()
+    missed = join_hot(requests, answered, {a: k for k, a in keys.items()}, "left_anti")
+    nothing = [F.lit(None).cast(docs.schema[f].dataType).alias(f) for f in fields]
+    return found.unionByName(
+        missed.select(*requests.columns, *nothing, F.lit("noresult").alias(REL))
+    )
 
 
 # --- pipelines -------------------------------------------------------------------
@@ -181,12 +188,10 @@ def _insert_ordered(marked, taken, key, order, batch_size, split) -> DataFrame:
     )
     repeated = tries.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
     status = repeated.join(taken, F.col("_k") == F.col("_taken"), "left").select(
-        F.col("_k").alias("_ck"), F.col("_taken").isNotNull().alias("_exists"), "_n"
+        "_k", F.col("_taken").isNotNull().alias("_exists"), "_n"
     )
     contested = materialize(
-        tries.join(status.filter("_n > 1 or _exists"), F.col("_k") == F.col("_ck")).select(
-            "_k", "_pos", "_batch", "_exists"
-        )
+        join_hot(tries, status.filter("_n > 1 or _exists"), {"_k": "_k"}, "inner").drop("_n")
     )
     never = F.lit(2**62)
     stops = None
@@ -199,7 +204,7 @@ def _insert_ordered(marked, taken, key, order, batch_size, split) -> DataFrame:
         earliest = live.groupBy("_k").agg(F.min("_pos").alias("_since"))
         clash = F.col("_exists") | (F.col("_since") < F.col("_pos"))
         fresh = materialize(
-            contested.join(earliest, "_k", "left")
+            join_hot(contested, earliest, {"_k": "_k"})
             .filter(F.coalesce(clash, F.lit(False)))
             .groupBy("_batch")
             .agg(F.min("_pos").alias("_stop"))
@@ -274,20 +279,22 @@ def update_many(
     usable = route_updates(updates, list(on.values()), list(sets.values())).filter(
         F.col(REL) == "success"
     )
-    keys = {c: f"_u_{k}" for k, c in on.items()}
-    last = usable.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(
+    keys = {k: f"_u_{k}" for k in on}
+    last = usable.groupBy(*[F.col(c).alias(keys[k]) for k, c in on.items()]).agg(
         *[c.alias(f"_set_{f}") for f, c in reduced.items()], F.lit(True).alias("_touched")
     )
-    marked = docs.withColumn("_there", F.lit(True))
-    same = [F.col(k) == F.col(f"_u_{k}") for k in on]
-    joined = marked.join(last, same, "full_outer" if upsert else "left")
+    joined = join_hot(docs, last, keys)
+    if upsert:  # updates without document become new ones
+        held = docs.select(*[F.col(k).alias(f"_h_{k}") for k in on]).distinct()
+        new = join_hot(last, held, {keys[k]: f"_h_{k}" for k in on}, "left_anti")
+        empty = [F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns if c not in on]
+        rows = new.select(*[F.col(keys[k]).alias(k) for k in on], *empty, *new.columns)
+        joined = joined.unionByName(rows.drop(*keys.values()))
     touched = F.coalesce(F.col("_touched"), F.lit(False))
     out = []
     for c in docs.columns:
         new = F.col(f"_set_{c}") if c in sets else None
-        if c in on:
-            value = F.coalesce(F.col(c), F.col(f"_u_{c}"))
-        elif new is None:
+        if new is None:
             value = F.col(c)
         elif op == SET:
             value = F.coalesce(new, F.col(c))
@@ -303,10 +310,8 @@ def update_many(
 
 def delete_many(docs: DataFrame, requests: DataFrame, on: dict[str, str]) -> DataFrame:
     """Documents that no request matches; a null key matches a null field."""
-    keys = {k: f"_gone_{i}" for i, k in enumerate(on)}
-    gone = requests.select(*[F.col(c).alias(keys[k]) for k, c in on.items()])
-    same = [F.col(k).eqNullSafe(F.col(g)) for k, g in keys.items()]
-    return docs.join(gone, same, "left_anti")
+    gone = requests.select(*on.values()).distinct()
+    return join_hot(docs, gone, on, "left_anti", null_safe=True)
 
 
 def expire(docs: DataFrame, ts: str, seconds: int, as_of: Column) -> DataFrame:

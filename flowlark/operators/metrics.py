@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlark.functions.numbers import state_percent
 from flowlark.plans.ordered import rank_rows
+from flowlark.plans.skew import join_hot
 from flowlark.session import materialize
 
 # Measurement, tag and field names of status points.
@@ -74,7 +75,7 @@ def flatten_tree(
     )
     levels = [level]
     while True:
-        below = level.join(edges, F.col("id") == F.col("parent")).select(
+        below = join_hot(edges, level, {"parent": "id"}, "inner").select(
             F.col("child").alias("id"),
             (F.col("depth") + 1).alias("depth"),
             F.concat("path", F.array("child")).alias("path"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowlark.functions.numbers import double_of
 from flowlark.functions.times import as_timestamp
+from flowlark.plans.skew import join_hot
 
 KEY = "key"
 VALUE = "_value"
@@ -110,8 +111,7 @@ def merge_moments(states: DataFrame, by: dict[str, Column]) -> DataFrame:
         F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean")
     )
     keys = list(by)
-    renamed = totals.select("_mean", *[F.col(k).alias(f"_{k}_") for k in keys])
-    joined = named.join(renamed, [F.col(k).eqNullSafe(F.col(f"_{k}_")) for k in keys])
+    joined = join_hot(named, totals, {k: k for k in keys}, "inner", null_safe=True)
     shift = F.col("mean") - F.col("_mean")
     return joined.groupBy(*keys).agg(
         F.sum("n").alias("n"),
@@ -162,11 +162,10 @@ def with_stats(df: DataFrame, value: str | Column, by: str | Column | None = Non
     """Every input row with the statistics of its key.
 
     The statistics are aggregated first (combining before the shuffle) and then
-    joined back; rows of a hot key are not gathered, and the join is split by
-    adaptive execution when it shuffles.
+    joined back, so rows of a hot key are not gathered.
     """
     keyed = df.withColumn(KEY, correlation_key(by))
     stats = moments(df, value, by)
     if by is None:
         return keyed.join(F.broadcast(stats), KEY, "left")  # one row without keys
-    return keyed.join(stats, KEY, "left")
+    return join_hot(keyed, stats, {KEY: KEY})

@@ -14,6 +14,7 @@ from flowlark.functions.numbers import double_of, long_of
 from flowlark.functions.times import as_timestamp, micros
 from flowlark.operators.routing import REL, route_copies
 from flowlark.plans.ordered import fold_rows, running
+from flowlark.plans.skew import join_hot
 from flowlark.session import max_group_rows
 
 # Interval units in microseconds.
@@ -274,7 +275,7 @@ def batch_pending(
         .groupBy(frag_id)
         .agg(F.max(key).alias("_last"))
     )
-    open_rows = rows.join(last, frag_id, "left").filter(
+    open_rows = join_hot(rows, last, {frag_id: frag_id}).filter(
         F.col("_last").isNull() | (key > F.col("_last"))
     )
     return open_rows.groupBy(frag_id).agg(

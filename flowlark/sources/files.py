@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlark.operators.routing import REL
+from flowlark.plans.skew import join_hot
 
 LINE_END = r"\r\n|\n|\r"  # fixed value
 
@@ -96,7 +97,7 @@ def file_splits(
     if not header:
         return splits
     heads = lines.filter(F.col("line") == skip).select("file", F.col("value").alias("_head"))
-    joined = splits.join(heads, "file", "left")
+    joined = join_hot(splits, heads, {"file": "file"})
     content = F.concat_ws("\n", "_head", "content")
     return joined.select("file", "split", content.alias("content"))
 
