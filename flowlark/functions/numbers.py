@@ -50,7 +50,7 @@ def long_of(df: DataFrame, c: str | Column) -> Column:
 def is_blank(c: str | Column) -> Column:
     """True for null, empty and white-space text."""
     text = _col(c).cast("string")
-    return F.coalesce(text.rlike(r"^\s*$"), F.lit(True))
+    return F.coalesce(~text.rlike(r"\S"), F.lit(True))
 
 
 def ordinal(c: str | Column, levels: list[str]) -> Column:

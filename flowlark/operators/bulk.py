@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlark.functions.json import json_string
 from flowlark.operators.routing import REL
+from flowlark.plans.ordered import order_key
 from flowlark.plans.skew import join_hot
 
 # Operations and upsert options of the bulk format.
@@ -105,7 +106,7 @@ def apply_bulk(
     fields. Everything per id is a maximum or minimum by order, so actions are
     combined before each shuffle and an id with very many actions stays cheap.
     """
-    at = F.struct(*order)
+    at = order_key(order)
     rows = actions.select(
         F.col(doc_id).alias("_id"), F.lower(F.col(op)).alias("_op"), at.alias("_at"), *fields
     ).filter(F.col("_id").isNotNull())

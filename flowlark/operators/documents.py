@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlark.operators.routing import REL
-from flowlark.plans.ordered import first_rows, rank_rows
+from flowlark.plans.ordered import first_rows, order_key, rank_rows
 from flowlark.plans.skew import join_hot
 from flowlark.session import materialize
 
@@ -258,7 +258,7 @@ def update_many(
     (the last value per field by ``order``; null values are skipped), so
     neither many updates nor many documents of one key meet in pairs.
     """
-    at = F.struct(*order)
+    at = order_key(order)
     if op == SET:
         reduced = {f: F.max_by(c, F.when(F.col(c).isNotNull(), at)) for f, c in sets.items()}
     elif op == UNSET:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from flowlark.functions.numbers import double_of, long_of
 from flowlark.functions.times import as_timestamp, micros
 from flowlark.operators.routing import REL, route_copies
-from flowlark.plans.ordered import fold_rows, running
+from flowlark.plans.ordered import fold_rows, order_key, running
 from flowlark.plans.skew import join_hot
 from flowlark.session import max_group_rows
 
@@ -65,15 +65,12 @@ def running_tumbling(
 ) -> DataFrame:
     """Each record with the sum and count of its window so far.
 
-    Records without a usable value go to ``failure`` and are not counted.
+    Records without a usable value or time go to ``failure`` and are not counted.
     """
-    rows = df.withColumns(
-        {
-            "_v": double_of(df, value),
-            "window_start": F.window(as_timestamp(ts), width)["start"],
-        }
-    )
-    good = F.col("_v").isNotNull()
+    at = micros(F.col(ts))
+    start = F.timestamp_micros(at - F.pmod(at, F.lit(interval_micros(width))))
+    rows = df.withColumns({"_v": double_of(df, value), "window_start": start})
+    good = F.col("_v").isNotNull() & F.col(ts).isNotNull()
     out = running(
         rows.withColumn("_one", good.cast("long")),
         [*by, "window_start"],
@@ -269,7 +266,7 @@ def batch_pending(
         return counts.select(frag_id, "expected", left.alias("waiting")).filter("waiting > 0")
     done = batch_wait(df, frag_id, frag_count, order)
     # Rows after the last completed one, per id: all partial aggregates.
-    key = F.struct(*order)
+    key = order_key(order)
     last = (
         done.filter(F.col(REL) == "batch-completed")
         .groupBy(frag_id)

@@ -48,6 +48,11 @@ def range_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> Data
     return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
+def order_key(order: Sequence[str]) -> Column:
+    """One orderable column; a single one stays plain, which keeps hash aggregates."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _key(by: Sequence[str]) -> Column:
     return F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
 
@@ -146,9 +151,9 @@ def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFr
     A minimum per key combines before the shuffle, so a hot key costs one row
     per task.
     """
+    least = df.groupBy(*by).agg(F.min(order_key(order)).alias("_least"))
     if len(order) == 1:
-        return df.groupBy(*by).agg(F.min(order[0]).alias(order[0]))
-    least = df.groupBy(*by).agg(F.min(F.struct(*order)).alias("_least"))
+        return least.select(*by, F.col("_least").alias(order[0]))
     return least.select(*by, *[F.col("_least")[c].alias(c) for c in order])
 
 

@@ -43,9 +43,8 @@ def identify_duplicate_users(spark, sf):
 
 @query("dedupe_ttl", FRESH_SQL)
 def dedupe_ttl(spark, sf):
-    out = dedupe.identify_duplicates(
-        table(spark, sf, "events"), "user_id", ["event_id"], ttl="6 hours", ts="ts"
-    )
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    out = dedupe.identify_duplicates(events, "user_id", ["event_id"], ttl="6 hours", ts="ts")
     return out.select("event_id", REL)
 
 

@@ -51,17 +51,15 @@ def tumbling_window(spark, sf):
          order by ts, event_id rows unbounded preceding)""",
 )
 def running_tumbling(spark, sf):
-    out = windows.running_tumbling(
-        table(spark, sf, "events"), "value", "ts", "24 hours", ["user_id"], ["event_id"]
-    )
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    out = windows.running_tumbling(events, "value", "ts", "24 hours", ["user_id"], ["event_id"])
     return rounded(out.select("event_id", "window_sum", "window_count"), 4, "window_sum")
 
 
 @query("anchored_tumbling", ANCHORED_SQL)
 def anchored_tumbling(spark, sf):
-    out = windows.anchored_tumbling(
-        table(spark, sf, "events"), "value", "ts", "24 hours", ["user_id"], ["event_id"]
-    )
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    out = windows.anchored_tumbling(events, "value", "ts", "24 hours", ["user_id"], ["event_id"])
     closed = out.filter(F.col(REL) == "elapsed").select("event_id", "window_sum", "window_count")
     return rounded(closed, 4, "window_sum")
 
