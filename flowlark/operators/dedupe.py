@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +12,7 @@ from flowlark.functions.numbers import is_blank
 from flowlark.functions.times import micros
 from flowlark.operators.routing import REL
 from flowlark.operators.windows import interval_micros
+from flowlark.plans.folds import AgeOffFold
 from flowlark.plans.ordered import first_rows, fold_rows
 from flowlark.plans.skew import join_hot
 
@@ -42,7 +42,7 @@ def identify_duplicates(
         ["_t", *order],
         ["_t"],
         [T.StructField("_fresh", T.BooleanType())],
-        age_off_fold(interval_micros(ttl)),
+        AgeOffFold(interval_micros(ttl)),
         split=split,
     )
     rel = (
@@ -73,26 +73,6 @@ def _identify_forever(df: DataFrame, text: Column, order: Sequence[str]) -> Data
     return joined.drop("_fresh", *[f"_first_{c}" for c in order])
 
 
-def age_off_fold(ttl: int):
-    """Fold that accepts a row when its key was last accepted ``ttl`` ago.
-
-    State: time of the last accepted row.
-    """
-
-    def fold(arrays: dict, state: list | None) -> tuple[dict, list]:
-        t = np.asarray(arrays["_t"])
-        fresh = np.zeros(len(t), dtype=bool)
-        at = 0 if state is None else int(np.searchsorted(t, state[0] + ttl))
-        last = None if state is None else state[0]
-        while at < len(t):
-            fresh[at] = True
-            last = int(t[at])
-            at = max(int(np.searchsorted(t, last + ttl)), at + 1)
-        return {"_fresh": fresh}, [last]
-
-    return fold
-
-
 def add_if_absent(
     keys: DataFrame, seen: DataFrame, key: str, order: Sequence[str], seen_key: str | None = None
 ) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 from flowlark.functions.numbers import double_of, long_of
 from flowlark.functions.times import as_timestamp, micros
 from flowlark.operators.routing import REL, route_copies
+from flowlark.plans.folds import AnchoredFold, CounterFold
 from flowlark.plans.ordered import fold_rows, order_key, running
 from flowlark.plans.skew import join_hot
 from flowlark.session import max_group_rows
@@ -87,45 +87,6 @@ def running_tumbling(
     ).drop("_v", "_one")
 
 
-def anchored_fold(width: int):
-    """Fold for windows that open at the record which found the last one over.
-
-    State: opening time, sum and count of the open window.
-    """
-
-    def fold(arrays: dict, state: list | None) -> tuple[dict, list | None]:
-        times, values = arrays["_t"], arrays["_v"]
-        rows = len(times)
-        bad = np.ma.getmaskarray(values)
-        at = np.flatnonzero(~bad)
-        t = np.asarray(times)[at]
-        v = np.asarray(values)[at]
-        sums, counts, elapsed = np.zeros(rows), np.zeros(rows, dtype=np.int64), np.zeros(rows, bool)
-        lo = 0
-        while lo < len(t):
-            closing = state is not None and t[lo] - state[0] >= width
-            old = state if closing else None
-            if state is None or closing:
-                start, total, n = int(t[lo]), 0.0, 0
-            else:
-                start, total, n = state
-            hi = max(int(np.searchsorted(t, start + width)), lo + 1)
-            sums[at[lo:hi]] = np.cumsum(np.concatenate(([total], v[lo:hi])))[1:]
-            counts[at[lo:hi]] = n + 1 + np.arange(hi - lo)
-            state = [start, float(sums[at[hi - 1]]), int(counts[at[hi - 1]])]
-            if closing:
-                sums[at[lo]], counts[at[lo]], elapsed[at[lo]] = old[1], old[2], True
-            lo = hi
-        outs = {
-            "window_sum": np.ma.MaskedArray(sums, bad),
-            "window_count": np.ma.MaskedArray(counts, bad),
-            "_elapsed": np.ma.MaskedArray(elapsed, np.zeros(rows, bool)),
-        }
-        return outs, state
-
-    return fold
-
-
 def anchored_tumbling(
     df: DataFrame,
     value: str | Column,
@@ -153,7 +114,7 @@ def anchored_tumbling(
             T.StructField("window_count", T.LongType()),
             T.StructField("_elapsed", T.BooleanType()),
         ],
-        anchored_fold(interval_micros(width)),
+        AnchoredFold(interval_micros(width)),
         split=split,
     )
     return route_windows(out)
@@ -179,25 +140,6 @@ def fragments(df: DataFrame, frag_id: str, frag_count: str) -> DataFrame:
     )
 
 
-def counter_fold(arrays: dict, state: list | None) -> tuple[dict, list]:
-    """Count rows; a row whose own expected count is reached ends the cycle."""
-    want, ok = np.asarray(arrays["_want"]), np.asarray(arrays["_ok"]).astype(bool)
-    done = np.zeros(len(want), dtype=bool)
-    count = state[0] if state else 0
-    at = np.flatnonzero(ok)
-    need = want[at]
-    if len(at) and (need == need[0]).all() and count < need[0]:
-        position = count + 1 + np.arange(len(at))
-        done[at] = position % need[0] == 0
-        count = int(position[-1] % need[0])
-    else:
-        for i, expected in zip(at.tolist(), need.tolist()):
-            count += 1
-            if count == expected:
-                done[i], count = True, 0
-    return {"_done": done}, [count]
-
-
 def batch_wait(
     df: DataFrame,
     frag_id: str,
@@ -230,7 +172,7 @@ def batch_wait(
             order,
             ["_want", "_ok"],
             [T.StructField("_done", T.BooleanType())],
-            counter_fold,
+            CounterFold(),
             split=split,
         )
         done = F.col("_done")

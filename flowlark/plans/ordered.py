@@ -10,7 +10,7 @@ the chunks before it (its carry) is one row per chunk.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from flowlark.session import materialize, max_group_rows
 
 CHUNK = "_chunk"
-SPECULATIVE_ROUNDS = 3
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
@@ -157,7 +156,28 @@ def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFr
     return least.select(*by, *[F.col("_least")[c].alias(c) for c in order])
 
 
-RunFold = Callable[[dict, list | None], tuple[dict, list]]
+class Fold:
+    """What a key's rows do, in order, to a small state.
+
+    ``run`` gets the input columns of consecutive rows of one key as numpy
+    arrays plus the state left by the rows before them (None at the start of a
+    key) and returns the output arrays and the new state, a short list of
+    numbers.
+
+    ``exits`` may return a builder that reads a chunk once and describes, for
+    every state the chunk can be entered with, the state it is left with; then
+    ``after`` applies such a description. It lets chunks of one key be read
+    side by side although each depends on the one before.
+    """
+
+    def run(self, arrays: dict, state: list | None) -> tuple[dict, list | None]:
+        raise NotImplementedError
+
+    def exits(self):
+        return None
+
+    def after(self, table: dict, state: list) -> list:
+        raise NotImplementedError
 
 
 def fold_rows(
@@ -166,15 +186,12 @@ def fold_rows(
     order: Sequence[str],
     inputs: Sequence[str],
     outputs: Sequence[T.StructField],
-    fold: RunFold,
+    fold: Fold,
     split: bool | None = None,
 ) -> DataFrame:
     """Fold each key's rows in ``order`` and add the ``outputs`` columns.
 
-    ``fold(arrays, state)`` gets the ``inputs`` of consecutive rows of one key
-    as numpy arrays plus the state left by the rows before them (None at the
-    start of a key) and returns the output arrays and the new state, a short
-    list of numbers. Rows stream through in Arrow batches; no group is held.
+    Rows stream through in Arrow batches; no group is held in memory.
     """
     if split is None:
         split = must_split(df, by)
@@ -192,68 +209,64 @@ def fold_rows(
 
 
 def _settle(
-    chunks: DataFrame, by: Sequence[str], inputs: Sequence[str], fold: RunFold
+    chunks: DataFrame, by: Sequence[str], inputs: Sequence[str], fold: Fold
 ) -> dict[int, list]:
     """State with which each chunk starts, for keys that span chunks.
 
-    All chunks fold at once from an empty state; a chunk is folded again only
-    if the true state before it turns out to differ. Folds that forget their
-    start settle in two or three rounds. Afterwards chunks are confirmed one by
-    one along each chain, so no chunk is read more than a few times. The driver
-    holds one small row per chunk.
+    One pass over all chunks gives, per chunk, the state after it or (where the
+    chunk lies inside one key) a bounded table from entry to exit state. The
+    driver threads these few rows together. A chunk whose table would be too
+    large is read again alone, with its true entry state.
     """
     edges = {
         r[CHUNK]: (r["_lo"], r["_hi"]) for r in _chunk_edges(chunks, by).orderBy(CHUNK).collect()
     }
     ids = list(edges)
-    previous = {
-        b: a for a, b in zip(ids, ids[1:]) if edges[a][1] == edges[b][0]
-    }
+    previous = {b: a for a, b in zip(ids, ids[1:]) if edges[a][1] == edges[b][0]}
     if not previous:
         return {}
+    inside = {c for c in previous if edges[c][0] == edges[c][1]}
     narrow = chunks.select(CHUNK, *dict.fromkeys([*by, *inputs]))
-    exits = _exits(narrow, by, inputs, fold, None, {})
-    used: dict[int, list | None] = dict.fromkeys(ids)
-    rounds = 0
-    while True:
-        stale = [
-            c for c, p in previous.items() if edges[c][0] == edges[c][1] and used[c] != exits[p]
-        ]
-        if not stale:
-            return {c: exits[p] for c, p in previous.items()}
-        if rounds >= SPECULATIVE_ROUNDS:
-            waiting = set(stale)
-            stale = [c for c in stale if not _stale_before(c, previous, waiting)]
-        start = {c: exits[previous[c]] for c in stale}
-        exits.update(_exits(narrow, by, inputs, fold, set(stale), start))
-        used.update(start)
-        rounds += 1
-
-
-def _stale_before(chunk: int, previous: dict[int, int], waiting: set[int]) -> bool:
-    while chunk in previous:
-        chunk = previous[chunk]
-        if chunk in waiting:
-            return True
-    return False
-
-
-def _exits(narrow, by, inputs, fold, only, carries) -> dict[int, list]:
+    first = _exits(narrow, by, inputs, fold, None, {}, inside)
+    exits: dict[int, list | None] = {}
+    for c in ids:
+        state, table = first[c]
+        entry = exits[previous[c]] if c in inside else None
+        if entry is None:
+            exits[c] = state
+        elif table is not None:
+            exits[c] = fold.after(table, entry)
+        else:
+            exits[c], _ = _exits(narrow, by, inputs, fold, c, {c: entry}, ())[c]
+    return {c: exits[p] for c, p in previous.items() if exits[p] is not None}
+
+
+def _exits(narrow, by, inputs, fold, only, carries, inside) -> dict[int, tuple]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = _Scan(by, inputs, fold, carries)
+        scan, builder = _Scan(by, inputs, fold, carries), None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            if only is not None and batch.column(CHUNK)[0].as_py() not in only:
+            chunk = batch.column(CHUNK)[0].as_py()
+            if only is not None and chunk != only:
                 return
+            if scan.chunk is None and chunk in inside:
+                builder = fold.exits()
             scan.feed(batch)
+            if builder is not None:
+                builder.feed(scan.arrays)
         if scan.chunk is not None:
+            table = builder.table() if builder is not None else None
             yield pa.RecordBatch.from_pydict(
-                {CHUNK: pa.array([scan.chunk], pa.int32()), "state": [json.dumps(scan.state)]}
+                {
+                    CHUNK: pa.array([scan.chunk], pa.int32()),
+                    "state": [json.dumps(scan.state)],
+                    "exits": [json.dumps(table)],
+                }
             )
 
-    rows = narrow.mapInArrow(run, f"{CHUNK} int, state string").collect()
-    return {r[CHUNK]: json.loads(r["state"]) for r in rows}
+    rows = narrow.mapInArrow(run, f"{CHUNK} int, state string, exits string").collect()
+    return {r[CHUNK]: (json.loads(r["state"]), json.loads(r["exits"])) for r in rows}
 
 
 def _folder(by, inputs, names, fold, schema, carries):
@@ -286,6 +299,7 @@ class _Scan:
         self.last: list | None = None
         self.state: list | None = None
         self.chunk: int | None = None
+        self.arrays: dict = {}
 
     def feed(self, batch: pa.RecordBatch) -> dict:
         rows = batch.num_rows
@@ -299,11 +313,12 @@ class _Scan:
             self.state = None
         self.last = [k[rows - 1] for k in keys]
         arrays = {c: _to_numpy(batch.column(batch.schema.get_field_index(c))) for c in self.inputs}
+        self.arrays = arrays
         starts = [0, *(np.flatnonzero(_changes(keys, rows)) + 1).tolist(), rows]
         pieces = []
         for at, (lo, hi) in enumerate(zip(starts, starts[1:])):
             state = self.state if at == 0 else None
-            outs, self.state = self.fold({c: a[lo:hi] for c, a in arrays.items()}, state)
+            outs, self.state = self.fold.run({c: a[lo:hi] for c, a in arrays.items()}, state)
             pieces.append(outs)
         if len(pieces) == 1:
             return pieces[0]

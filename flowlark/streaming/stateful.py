@@ -20,16 +20,15 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowlark.functions.numbers import double_of, is_blank
 from flowlark.functions.times import as_timestamp, micros
-from flowlark.operators.dedupe import age_off_fold
 from flowlark.operators.routing import REL
 from flowlark.operators.windows import (
-    anchored_fold,
-    counter_fold,
     fragments,
     interval_micros,
     route_batch,
     route_windows,
 )
+from flowlark.plans.folds import AgeOffFold, AnchoredFold, CounterFold
+from flowlark.plans.ordered import Fold
 
 # Held rows keep their microseconds.
 ROW_FORMAT = {
@@ -45,7 +44,7 @@ def fold_stream(
     order: Sequence[str],
     inputs: Sequence[str],
     outputs: Sequence[T.StructField],
-    fold,
+    fold: Fold,
     forget_after_ms: int | None = None,
 ) -> DataFrame:
     """Streaming twin of the batch fold; state is a short JSON text per key.
@@ -70,7 +69,7 @@ def fold_stream(
             missing = pdf[c].isna().to_numpy()
             values = pdf[c].fillna(0).to_numpy() if missing.any() else pdf[c].to_numpy()
             arrays[c] = np.ma.MaskedArray(values, missing)
-        outs, after = fold(arrays, held)
+        outs, after = fold.run(arrays, held)
         if after is not None:
             state.update((json.dumps(after),))
             if forget_after_ms is not None and after[0] is not None:
@@ -108,7 +107,7 @@ def anchored_stream(
             T.StructField("window_count", T.LongType()),
             T.StructField("_elapsed", T.BooleanType()),
         ],
-        anchored_fold(interval_micros(width)),
+        AnchoredFold(interval_micros(width)),
     )
     return route_windows(out)
 
@@ -132,7 +131,7 @@ def dedupe_stream(
         ["_t", *order],
         ["_t"],
         [T.StructField("_fresh", T.BooleanType())],
-        age_off_fold(age),
+        AgeOffFold(age),
         forget_after_ms=age // 1000 if watermark else None,
     )
     rel = (
@@ -153,7 +152,7 @@ def batch_wait_stream(
         order,
         ["_want", "_ok"],
         [T.StructField("_done", T.BooleanType())],
-        counter_fold,
+        CounterFold(),
     )
     return route_batch(out, F.col("_done"))
 

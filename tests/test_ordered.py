@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from flowlark.operators import dedupe, documents, windows
 from flowlark.operators.routing import REL
-from flowlark.plans import ordered
+from flowlark.plans import folds, ordered
 
 HOUR = 3_600_000_000
 
@@ -148,22 +148,65 @@ def test_pending_with_changing_counts(events):
 
 
 def test_fold_that_never_forgets_its_start(spark):
-    """Sequential settling: every chunk depends on all chunks before it."""
+    """Without a table of exits every chunk is read again after the one before."""
     rows = [(i, "one", i % 11) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, key string, v int")
 
-    def fold(arrays, state):
-        start = state[0] if state else 0
-        total = start + np.cumsum(np.asarray(arrays["v"]).astype(np.int64))
-        return {"total": total}, [int(total[-1])]
+    class Sum(ordered.Fold):
+        def run(self, arrays, state):
+            start = state[0] if state else 0
+            total = start + np.cumsum(np.asarray(arrays["v"]).astype(np.int64))
+            return {"total": total}, [int(total[-1])]
 
     out = ordered.fold_rows(
-        df, ["key"], ["id"], ["v"], [T.StructField("total", T.LongType())], fold, split=True
+        df, ["key"], ["id"], ["v"], [T.StructField("total", T.LongType())], Sum(), split=True
     )
     expected = np.cumsum([r[2] for r in rows])
     assert [r["total"] for r in out.orderBy("id").collect()] == expected.tolist()
 
 
+def pieces(rnd, n):
+    cuts = sorted(rnd.sample(range(n + 1), min(n + 1, 4)))
+    return list(zip([0, *cuts], [*cuts, n]))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_exit_tables(seed):
+    """Reading a chunk through its table equals folding it from the entry state."""
+    rnd = random.Random(seed)
+    n, width = rnd.randint(0, 80), rnd.choice([1, 5, 20, 300])
+    t = np.sort(np.array([rnd.randint(100, 100 + 4 * n) for _ in range(n)], dtype=np.int64))
+    v = np.ma.MaskedArray(
+        np.array([float(rnd.randint(-9, 9)) for _ in range(n)]),
+        np.array([rnd.random() < 0.2 for _ in range(n)], dtype=bool),
+    )
+    want = np.array([rnd.randint(0, 6) for _ in range(n)], dtype=np.int64)
+    ok = np.array([rnd.random() < 0.8 for _ in range(n)], dtype=bool)
+    cases = [
+        (folds.AnchoredFold(width), {"_t": t, "_v": v}, [[rnd.randint(0, 100), 3.0, 2] for _ in range(20)]),
+        (folds.AgeOffFold(width), {"_t": t}, [[rnd.randint(0, 100)] for _ in range(20)]),
+        (folds.CounterFold(), {"_want": want, "_ok": ok}, [[c] for c in range(10)]),
+    ]
+    for fold, arrays, entries in cases:
+        builder = fold.exits()
+        for lo, hi in pieces(rnd, n):
+            builder.feed({c: a[lo:hi] for c, a in arrays.items()})
+        table = builder.table()
+        for entry in entries:
+            assert fold.after(table, entry) == fold.run(arrays, entry)[1]
+
+
+def test_table_too_large(monkeypatch, events):
+    """Without tables the chunks are read one after another."""
+
+    class NoTable(folds.AnchoredFold):
+        def exits(self):
+            return None
+
+    monkeypatch.setattr(windows, "AnchoredFold", NoTable)
+    test_anchored_tumbling(events, True, 7)
+
+
 def expect_insert(rows, held, batch):
     seen, out, stopped = set(held), {}, False
     for pos, (row_id, key, payload) in enumerate(rows):
