@@ -143,9 +143,28 @@ def field(name: str) -> Column:
     return F.try_element_at("fields", F.lit(name))
 
 
-def series_packets(series: DataFrame, names: Sequence[str], values: Sequence[str], rows: int = 1000) -> DataFrame:
-    """Nested form: arrays of at most ``rows`` values per series and packet."""
+def series_packets(
+    series: DataFrame,
+    measurement: str,
+    names: Sequence[str],
+    columns: Sequence[str],
+    precision: str = "MILLISECONDS",
+    rows: int = 1000,
+) -> DataFrame:
+    """Nested form: measurement, tags, column names, values and precision.
+
+    A packet holds at most ``rows`` values of one series, in order, so a long
+    series is several rows instead of one that grows with the data.
+    """
     packet = F.call_function("div", F.col("position") - 1, F.lit(rows))
-    keyed = series.withColumn("packet", packet)
-    body = F.array_sort(F.collect_list(F.struct("position", *values)))
-    return keyed.groupBy(*names, "packet").agg(body.alias("values"))
+    values = F.array_sort(F.collect_list(F.struct("position", *columns)))
+    packed = series.groupBy(*names, packet.alias("packet")).agg(values.alias("_values"))
+    tags = [x for n in names for x in (F.lit(n.removeprefix("tag_")), F.col(n))]
+    return packed.select(
+        F.lit(measurement).alias("measurement"),
+        F.create_map(*tags).cast("map<string,string>").alias("tags"),
+        "packet",
+        F.array(*[F.lit(c) for c in columns]).alias("columns"),
+        F.transform("_values", lambda e: F.struct(*[e[c].alias(c) for c in columns])).alias("values"),
+        F.lit(precision).alias("precision"),
+    )

@@ -33,16 +33,17 @@ def file_splits(spark, sf):
 
 @query(
     "file_lines",
-    """select row_number() over () - 1 as line from (
-         select unnest(string_split(regexp_replace(text, '\\n$', ''), chr(10))) from documents)""",
+    """select md5(line) as hash, count(*) as n from (
+         select unnest(string_split(regexp_replace(text, '\\n$', ''), chr(10))) as line from documents)
+       group by 1""",
 )
 def file_lines(spark, sf):
-    """Documents written as one text file per task; lines numbered over all files."""
+    """Documents written as text files, one per task, and read as numbered lines."""
     out = scratch_path(spark, "lines")
-    table(spark, sf, "documents").select(
-        F.regexp_replace("text", r"\n$", "").alias("value")
-    ).coalesce(1).write.text(out)
-    return files.numbered_lines(spark, out).select("line")
+    text = F.regexp_replace("text", r"\n$", "").alias("value")
+    table(spark, sf, "documents").select(text).write.text(out)
+    lines = files.numbered_lines(spark, out).filter("line >= 0")
+    return lines.groupBy(F.md5("value").alias("hash")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

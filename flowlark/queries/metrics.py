@@ -152,9 +152,14 @@ def state_percent(spark, sf):
         .when(kind == "signup", "TIMED_WAITING")
         .otherwise("NEW")
     )
-    counts = table(spark, sf, "events").groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))  # one row
-    shares = counts.crossJoin(F.broadcast(total)).withColumn("share", F.col("n") / F.col("total"))
+    names = ["RUNNABLE", "BLOCKED", "TERMINATED", "TIMED_WAITING", "NEW"]
+    counts = table(spark, sf, "events").select(state.alias("state")).agg(
+        F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("state") == n).alias(n) for n in names]
+    )
+    pairs = [
+        F.struct(F.lit(n).alias("state"), F.try_divide(n, "total").alias("share")) for n in names
+    ]
+    shares = counts.select(F.inline(F.array(*pairs)))
     return m.normalize_states(shares, "state", "share")
 
 

@@ -497,8 +497,10 @@ def test_series_guard_and_packets(spark):
     with pytest.raises(ValueError):
         points.series_query(df, "m")
     raw = points.series_query(df, "m", group_tags=["t"])
-    packets = points.series_packets(raw, ["tag_t"], ["time", "values"], rows=5)
-    sizes = {(r["tag_t"], r["packet"]): len(r["values"]) for r in packets.collect()}
+    packets = points.series_packets(raw, "m", ["tag_t"], ["time", "values"], rows=5)
+    sizes = {(r["tags"]["t"], r["packet"]): len(r["values"]) for r in packets.collect()}
+    one = packets.first()
+    assert (one["measurement"], one["columns"], one["precision"]) == ("m", ["time", "values"], "MILLISECONDS")
     assert sizes == {("0", 0): 5, ("0", 1): 5, ("0", 2): 3, ("1", 0): 5, ("1", 1): 5, ("1", 2): 2}
     total = points.series_query(df, "m", where=F.lit(True), aggs={"s": F.sum(points.field("f"))})
     assert total.first()["s"] == 300.0
