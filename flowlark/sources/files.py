@@ -31,7 +31,8 @@ def text_splits(
     column = F.col(text) if isinstance(text, str) else text
     lines = F.split(F.regexp_replace(column, f"({LINE_END})$", ""), LINE_END, -1)
     start = skip + (1 if header else 0)
-    rows = df.select(*keep, lines.alias("_lines")).withColumn(
+    # Generated, so that the text is split once and not again for every split.
+    rows = df.select(*keep, F.explode(F.array(lines)).alias("_lines")).withColumn(
         "_n", F.greatest(F.size("_lines") - start, F.lit(0))
     )
     last = F.call_function("div", F.col("_n") - 1, F.lit(per_split)).cast("int")
