@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlark.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,7 +20,12 @@ def query(name: str, sql: str | None = None):
     """Register a function of (spark, folder) under a name."""
 
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

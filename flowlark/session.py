@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,7 @@ MAX_GROUP_ROWS = "spark.flowlark.maxGroupRows"
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 _own_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "flowlark", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,6 +36,23 @@ def build_session(app: str = "flowlark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where it is installed on the cluster or given as ``--py-files``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="flowlark-")) / "flowlark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only in local mode."""
     configured = spark.conf.get(CHECKPOINT_DIR, None)
