@@ -15,10 +15,13 @@ def parse_tags(c: str | Column, strict: bool = True) -> Column:
     without a key or a value are left out.
     """
     text = F.col(c) if isinstance(c, str) else c
-    return _strict(text) if strict else _quoted(text)
+    parsed = _strict(text) if strict else _quoted(text)
+    tidy = text.rlike(_CLEAN) & ~text.rlike(_REPEATED)
+    return F.when(text.isNull(), _empty()).when(tidy, _plain(text)).otherwise(parsed)
 
 
 # Shapes of tag text that need no list work.
+_CLEAN = r"^[^=,\s\"]+=[^=,\s\"]+(,[^=,\s\"]+=[^=,\s\"]+)*$"
 _PAIRS = r"^[^=,]*=[^=,]+(,[^=,]*=[^=,]+)*$"
 _FULL_PAIRS = r"^[^=,]+=[^=,]+(,[^=,]+=[^=,]+)*$"
 _REPEATED = r"(?:^|,)([^=,]*)=[^,]*,(?:.*,)?\1="
@@ -43,11 +46,8 @@ def _strict(text: Column) -> Column:
             F.substring_index(p, "=", 1).alias("key"), F.substring_index(p, "=", -1).alias("value")
         ),
     )
-    return (
-        F.when(text.isNull(), _empty())
-        .when(valid & ~pairs.rlike(_REPEATED), _plain(pairs))
-        .when(valid, _last_wins(entries))
-    )
+    once = ~pairs.rlike(_REPEATED)
+    return F.when(valid & once, _plain(pairs)).when(valid, _last_wins(entries))
 
 
 def _quoted(text: Column) -> Column:
@@ -63,9 +63,7 @@ def _quoted(text: Column) -> Column:
         ),
     )
     kept = F.filter(entries, lambda e: (e["key"] != "") & (e["value"] != ""))
-    return (
-        F.when(text.isNull(), _empty()).when(simple, _plain(pairs)).otherwise(_last_wins(kept))
-    )
+    return F.when(simple, _plain(pairs)).otherwise(_last_wins(kept))
 
 
 def _empty() -> Column:

@@ -264,14 +264,14 @@ def update_many(
     elif op == UNSET:
         reduced = {f: F.lit(None) for f in sets}
     elif op == ADD_TO_SET:
-        reduced = {f: F.array_sort(F.collect_set(c)) for f, c in sets.items()}
+        reduced = {f: F.sort_array(F.collect_set(c)) for f, c in sets.items()}
     elif op == PUSH:
         pair = {
             f: F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("value")))
             for f, c in sets.items()
         }
         reduced = {
-            f: F.transform(F.array_sort(F.collect_list(p)), lambda e: e["value"])
+            f: F.transform(F.sort_array(F.collect_list(p)), lambda e: e["value"])
             for f, p in pair.items()
         }
     else:

@@ -202,7 +202,7 @@ def chunk_rows(
 
 def metric_requests(datums: DataFrame, order: Sequence[str], n: int = DATUMS_PER_REQUEST) -> DataFrame:
     """One row per request with at most ``n`` data."""
-    body = F.array_sort(F.collect_list(F.struct(*order, "name", "value")))
+    body = F.sort_array(F.collect_list(F.struct(*order, "name", "value")))
     return chunk_rows(datums, n, order).groupBy("chunk").agg(body.alias("data"))
 
 
@@ -216,7 +216,7 @@ def snapshot_json(
 ) -> DataFrame:
     """JSON text of each group with its members, in parts of bounded size."""
     parted = chunk_rows(df, part_rows, order, by, "part", split=split)
-    listed = F.array_sort(F.collect_list(F.struct(*order, F.struct(*members).alias("_m"))))
+    listed = F.sort_array(F.collect_list(F.struct(*order, F.struct(*members).alias("_m"))))
     grouped = parted.groupBy(*by, "part").agg(listed.alias("_list"))
     inner = F.transform("_list", lambda e: e["_m"])
     body = F.to_json(F.struct(*by, inner.alias("members")), {"ignoreNullFields": "false"})

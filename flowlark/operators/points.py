@@ -50,7 +50,7 @@ def line_text(nanos: bool = True) -> Column:
     """Line-protocol text of a point; tags and fields in name order."""
 
     def pairs(column: str, render) -> Column:
-        entries = F.array_sort(F.map_entries(column))
+        entries = F.sort_array(F.map_entries(column))
         return F.array_join(F.transform(entries, render), ",")
 
     tags = pairs(
@@ -157,7 +157,7 @@ def series_packets(
     series is several rows instead of one that grows with the data.
     """
     packet = F.call_function("div", F.col("position") - 1, F.lit(rows))
-    values = F.array_sort(F.collect_list(F.struct("position", *columns)))
+    values = F.sort_array(F.collect_list(F.struct("position", *columns)))
     packed = series.groupBy(*names, packet.alias("packet")).agg(values.alias("_values"))
     tags = [x for n in names for x in (F.lit(n.removeprefix("tag_")), F.col(n))]
     return packed.select(

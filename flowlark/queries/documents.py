@@ -210,7 +210,7 @@ def doc_update_add_to_set(spark, sf):
         ["o_orderkey"],
         op=d.ADD_TO_SET,
     )
-    return out.select("c_custkey", F.array_join(F.array_sort("tags"), "|").alias("tags"))
+    return out.select("c_custkey", F.array_join(F.sort_array("tags"), "|").alias("tags"))
 
 
 @query(
@@ -386,7 +386,7 @@ def bulk_response(spark, sf):
     )
     kind = F.pmod("batch", F.lit(5))
     # At most a hundred items per request, by the key arithmetic above.
-    answers = orders.groupBy("batch").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    answers = orders.groupBy("batch").agg(F.sort_array(F.collect_list(item)).alias("items"))
     answers = answers.select(
         "batch",
         F.when(kind == 0, 503).when(kind == 1, 404).otherwise(200).alias("status"),

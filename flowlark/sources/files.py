@@ -89,7 +89,7 @@ def file_splits(
     lines = numbered_lines(spark, path)
     start = skip + (1 if header else 0)
     number = F.call_function("div", F.col("line") - start, F.lit(per_split)).cast("int")
-    body = F.array_sort(F.collect_list(F.struct("line", "value")))
+    body = F.sort_array(F.collect_list(F.struct("line", "value")))
     splits = (
         lines.filter(F.col("line") >= start)
         .groupBy("file", number.alias("split"))
