@@ -110,6 +110,11 @@ def contains(df: DataFrame, seen: DataFrame, key: str, seen_key: str | None = No
     return joined.withColumn("contained", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
 
 
+def remove_all(seen: DataFrame) -> DataFrame:
+    """The empty key set."""
+    return seen.filter(F.lit(False))
+
+
 def remove_keys(seen: DataFrame, keys: DataFrame, key: str, drop_key: str | None = None) -> DataFrame:
     """The seen set without the given keys."""
     gone = keys.select(F.col(drop_key or key).alias("_gone")).distinct()

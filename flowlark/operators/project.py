@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlark.functions import json as fj
@@ -64,6 +64,11 @@ def render_template(df: DataFrame, template: str, into: str = "content") -> Data
     return df.withColumn(into, fj.text_template(template, df.columns))
 
 
+def create_content(spark: SparkSession, template: str, into: str = "content") -> DataFrame:
+    """A new record from a template, for when there is no input record."""
+    return spark.range(1).select(fj.text_template(template, []).alias(into))
+
+
 def render_json(df: DataFrame, template: str, into: str = "content") -> DataFrame:
     """JSON template with ``{{ column:type }}`` leaves.
 

@@ -233,13 +233,17 @@ def metric_requests(spark, sf):
 
 @query(
     "snapshot_json",
-    """select r_name, 0::bigint as part, '{"r_name":"' || r_name || '","members":['
-         || string_agg('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}', ','
-            order by n_nationkey) || ']}' as snapshot
-       from region join nation on n_regionkey = r_regionkey group by 1""",
+    """select n_name, part, '{"n_name":"' || n_name || '","members":['
+         || string_agg('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}', ','
+            order by c_custkey) || ']}' as snapshot
+       from (select n_name, c_custkey, c_name, ((row_number() over (
+               partition by n_name order by c_custkey) - 1) // 50)::bigint as part
+             from customer join nation on n_nationkey = c_nationkey) group by 1, 2""",
 )
 def snapshot_json(spark, sf):
-    rows = table(spark, sf, "nation").join(
-        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    """Nations with their customers, at most fifty to a part."""
+    rows = table(spark, sf, "customer").join(
+        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return m.snapshot_json(rows, ["r_name"], ["n_nationkey", "n_name"], ["n_nationkey"])
+    members = ["c_custkey", "c_name"]
+    return m.snapshot_json(rows, ["n_name"], members, ["c_custkey"], part_rows=50)

@@ -90,12 +90,12 @@ def route_parse(spark, sf):
 
 @query(
     "select_named",
-    """select n_nationkey, n_name from nation
-       where n_name in ('NATION_3', '7', 'NATION_9') or n_nationkey::varchar in ('NATION_3', '7', 'NATION_9')""",
+    """select p_partkey, p_name from part
+       where p_name in ('red widget', '7', 'blue bolt') or p_partkey::varchar in ('red widget', '7', 'blue bolt')""",
 )
 def select_named(spark, sf):
-    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    return routing.select_named(nation, " NATION_3, , 7,NATION_9 , 7,  ", ["n_name", "n_nationkey"])
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    return routing.select_named(part, " red widget, , 7,blue bolt , 7,  ", ["p_name", "p_partkey"])
 
 
 @query(

@@ -142,6 +142,15 @@ def dedupe_stream(
     return out.withColumn(REL, rel).drop("_key", "_t", "_fresh")
 
 
+def distinct_stream(sdf: DataFrame, key: str, ts: str | None = None, watermark: str | None = None) -> DataFrame:
+    """First record of each key; with a watermark, within that span only."""
+    rows = sdf.filter(~is_blank(F.col(key)))
+    if watermark is None:
+        return rows.dropDuplicates([key])
+    timed = rows.withColumn(ts, as_timestamp(ts)).withWatermark(ts, watermark)
+    return timed.dropDuplicatesWithinWatermark([key])
+
+
 def batch_wait_stream(
     sdf: DataFrame, frag_id: str, frag_count: str, order: Sequence[str]
 ) -> DataFrame:

@@ -146,6 +146,7 @@ def test_key_set(spark):
     assert sorted(r["k"] for r in after.collect()) == ["a", "b", "c"]
     left = dedupe.remove_keys(after, keys.filter("id = 2"), "k")
     assert sorted(r["k"] for r in left.collect()) == ["a", "c"]
+    assert dedupe.remove_all(after).count() == 0 and dedupe.remove_all(after).columns == ["k"]
     held = dedupe.contains(keys, left, "k")
     assert {r["id"]: r["contained"] for r in held.collect()} == {1: True, 2: False, 3: False, 4: True}
 
@@ -230,6 +231,7 @@ def test_text_template(spark):
     df = spark.createDataFrame([("¿Qué?", "{{ b }}", 'q"q')], "a string, b string, c string")
     out = project.render_template(df, "{{a}} {{ b }}{{ c }} {{gone}} {x}").first()
     assert out["content"] == '¿Qué? {{ b }}q"q null {x}'
+    assert project.create_content(spark, "new {{ a }}").first()["content"] == "new null"
 
 
 def test_json_template(spark):

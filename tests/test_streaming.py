@@ -61,6 +61,13 @@ def test_dedupe(spark, split_events, watermark):
     assert rows(mine, "event_id", REL) == rows(want, "event_id", REL)
 
 
+def test_distinct(spark, split_events):
+    mine = drain(stateful.distinct_stream(source(spark, split_events), "user_id"))
+    assert mine.count() == split_events[1].select("user_id").distinct().count()
+    once = stateful.distinct_stream(source(spark, split_events), "event_id", "ts", "1 hour")
+    assert drain(once).count() == split_events[1].count()
+
+
 def test_batch_wait(spark, split_events):
     want_column = F.when(F.col("event_id") % 2 == 0, "3").otherwise("2")
     sdf = source(spark, split_events).withColumn("want", want_column)
