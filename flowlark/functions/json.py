@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowlark.functions.numbers import is_blank, to_double, to_long
+from flowlark.functions.times import to_time
 
 
 def _col(c: str | Column) -> Column:
@@ -106,7 +107,7 @@ def extended_id(c: str | Column) -> Column:
 
 def extended_date(c: str | Column) -> Column:
     """Timestamp of a ``{"$date": millis}`` value."""
-    return F.timestamp_millis(to_long(F.get_json_object(_col(c), bracket_path("$date"))))
+    return to_time(to_long(F.get_json_object(_col(c), bracket_path("$date"))))
 
 
 def extended_text(c: str | Column) -> Column:

@@ -27,8 +27,8 @@ def to_points(
 ) -> DataFrame:
     """One point per record: measurement, tags, fields, time and ``_rel``.
 
-    A record without any numeric field, or with bad tag text in the strict
-    form, gives ``failure``. Without ``ts`` the time is one fixed ``now``.
+    A record without any numeric field, with a bad time, or with bad tag text
+    in the strict form, gives ``failure``. Without ``ts`` the time is one fixed ``now``.
     """
     at = to_time(ts, precision) if ts is not None else (now or F.current_timestamp())
     points = df.select(
@@ -38,7 +38,7 @@ def to_points(
         field_map(df, fields).alias("fields"),
         at.alias("time"),
     )
-    usable = (F.size("fields") > 0) & F.col("tags").isNotNull()
+    usable = (F.size("fields") > 0) & F.col("tags").isNotNull() & F.col("time").isNotNull()
     return points.withColumn(REL, F.when(usable, "success").otherwise("failure"))
 
 

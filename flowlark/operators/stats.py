@@ -70,7 +70,7 @@ def latency_stats(
     else:
         text = column.cast("string")
         event = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
-    age = (F.unix_millis(as_timestamp(as_of)) - event) / F.lit(1000.0)
+    age = F.try_subtract(F.unix_millis(as_timestamp(as_of)), event) / F.lit(1000.0)
     return moments(df, age, by).withColumn("units", F.lit("Seconds"))
 
 

@@ -227,6 +227,7 @@ def release_ready(
 ) -> DataFrame:
     """``success`` once a record's own delay has passed, else ``held``."""
     seen = as_timestamp(seen_at)
-    delay = (F.col(delay_ms) if isinstance(delay_ms, str) else delay_ms).cast("bigint")
-    ready = F.unix_micros(seen) + delay * 1000 <= F.unix_micros(as_timestamp(as_of))
+    delay = (F.col(delay_ms) if isinstance(delay_ms, str) else delay_ms).try_cast("bigint")
+    due = F.try_add(F.unix_micros(seen), F.try_multiply(delay, F.lit(1000).cast("bigint")))
+    ready = due <= F.unix_micros(as_timestamp(as_of))
     return df.withColumn(REL, F.when(ready, "success").otherwise("held"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from flowlark.session import materialize, max_group_rows
 
 CHUNK = "_chunk"
+SHORT_RUN = 256  # mean rows per key below which keys are folded together
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
@@ -173,6 +175,10 @@ class Fold:
     def run(self, arrays: dict, state: list | None) -> tuple[dict, list | None]:
         raise NotImplementedError
 
+    def run_short(self, arrays: dict, changes: np.ndarray, state: list | None) -> tuple[dict, list]:
+        """``run`` over many short keys; ``changes`` marks rows before a new key."""
+        return _by_run(self, arrays, changes, state)
+
     def exits(self):
         return None
 
@@ -226,18 +232,34 @@ def _settle(
     if not previous:
         return {}
     inside = {c for c in previous if edges[c][0] == edges[c][1]}
-    narrow = chunks.select(CHUNK, *dict.fromkeys([*by, *inputs]))
+    # Only the last key of a chunk goes on in the next one.
+    going_on = set(previous.values())
+    last = [(c, *edges[c][1]) for c in ids if c in going_on]
+    names = {b: f"_last_{i}" for i, b in enumerate(by)}
+    schema = [
+        chunks.schema[CHUNK],
+        *[T.StructField(n, chunks.schema[b].dataType) for b, n in names.items()],
+    ]
+    ends = chunks.sparkSession.createDataFrame(last, T.StructType(schema))
+    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(n)) for b, n in names.items()])
+    narrow = (
+        chunks.select(CHUNK, *dict.fromkeys([*by, *inputs]))
+        .join(F.broadcast(ends), CHUNK)
+        .filter(same)
+        .drop(*names.values())
+    )
     first = _exits(narrow, by, inputs, fold, None, {}, inside)
     exits: dict[int, list | None] = {}
-    for c in ids:
+    for c in (row[0] for row in last):
         state, table = first[c]
         entry = exits[previous[c]] if c in inside else None
-        if entry is None:
-            exits[c] = state
-        elif table is not None:
+        if table is not None and entry is not None:
             exits[c] = fold.after(table, entry)
+        elif c in inside:
+            carry = {} if entry is None else {c: entry}
+            exits[c], _ = _exits(narrow, by, inputs, fold, c, carry, ())[c]
         else:
-            exits[c], _ = _exits(narrow, by, inputs, fold, c, {c: entry}, ())[c]
+            exits[c] = state
     return {c: exits[p] for c, p in previous.items() if exits[p] is not None}
 
 
@@ -252,7 +274,7 @@ def _exits(narrow, by, inputs, fold, only, carries, inside) -> dict[int, tuple]:
                 return
             if scan.chunk is None and chunk in inside:
                 builder = fold.exits()
-            scan.feed(batch)
+            scan.feed(batch, fold=builder is None)
             if builder is not None:
                 builder.feed(scan.arrays)
         if scan.chunk is not None:
@@ -301,7 +323,7 @@ class _Scan:
         self.chunk: int | None = None
         self.arrays: dict = {}
 
-    def feed(self, batch: pa.RecordBatch) -> dict:
+    def feed(self, batch: pa.RecordBatch, fold: bool = True) -> dict:
         rows = batch.num_rows
         keys = [batch.column(batch.schema.get_field_index(c)) for c in self.by]
         first = [k[0] for k in keys]
@@ -314,15 +336,27 @@ class _Scan:
         self.last = [k[rows - 1] for k in keys]
         arrays = {c: _to_numpy(batch.column(batch.schema.get_field_index(c))) for c in self.inputs}
         self.arrays = arrays
-        starts = [0, *(np.flatnonzero(_changes(keys, rows)) + 1).tolist(), rows]
-        pieces = []
-        for at, (lo, hi) in enumerate(zip(starts, starts[1:])):
-            state = self.state if at == 0 else None
-            outs, self.state = self.fold.run({c: a[lo:hi] for c, a in arrays.items()}, state)
-            pieces.append(outs)
-        if len(pieces) == 1:
-            return pieces[0]
-        return {n: np.ma.concatenate([p[n] for p in pieces]) for n in pieces[0]}
+        if not fold:
+            return {}
+        changes = _changes(keys, rows)
+        if np.count_nonzero(changes) * SHORT_RUN > rows:
+            outs, self.state = self.fold.run_short(arrays, changes, self.state)
+        else:
+            outs, self.state = _by_run(self.fold, arrays, changes, self.state)
+        return outs
+
+
+def _by_run(fold: Fold, arrays: dict, changes: np.ndarray, state: list | None) -> tuple[dict, list]:
+    """Fold each key's rows on their own."""
+    starts = [0, *(np.flatnonzero(changes) + 1).tolist(), len(changes) + 1]
+    pieces = []
+    for at, (lo, hi) in enumerate(zip(starts, starts[1:])):
+        entry = state if at == 0 else None
+        outs, state = fold.run({c: a[lo:hi] for c, a in arrays.items()}, entry)
+        pieces.append(outs)
+    if len(pieces) == 1:
+        return pieces[0], state
+    return {n: np.ma.concatenate([p[n] for p in pieces]) for n in pieces[0]}, state
 
 
 def _same(a: pa.Scalar, b: pa.Scalar) -> bool:

@@ -327,6 +327,8 @@ def test_numbers(spark):
         (1500000000, "SECONDS", "2017-07-14 02:40:00"),
         (25000000, "MINUTES", "2017-07-14 02:40:00"),
         (-1, "NANOSECONDS", "1969-12-31 23:59:59.999999"),
+        (500000, "HOURS", "2027-01-15 08:00:00"),
+        (2**62, "SECONDS", None),
     ],
 )
 def test_time_units(spark, value, unit, text):

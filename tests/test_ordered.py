@@ -194,6 +194,13 @@ def test_exit_tables(seed):
         table = builder.table()
         for entry in entries:
             assert fold.after(table, entry) == fold.run(arrays, entry)[1]
+        changes = np.array([rnd.random() < 0.2 for _ in range(n - 1)], dtype=bool)
+        if n:
+            one, state = ordered._by_run(fold, arrays, changes, entries[0])
+            short, same = fold.run_short(arrays, changes, entries[0])
+            assert state == same
+            for name, column in one.items():
+                assert np.ma.allequal(column, short[name]) and column.dtype == short[name].dtype
 
 
 def test_table_too_large(monkeypatch, events):
