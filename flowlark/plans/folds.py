@@ -8,7 +8,8 @@ import numpy as np
 
 from flowlark.plans.ordered import Fold
 
-MAX_EXITS = 1024  # entries of one chunk's table that the driver may receive
+MAX_PATHS = 65_536  # paths that one task follows at the same time
+MAX_EXITS = 2048  # entries of one chunk's table that the driver may receive
 
 
 def _valid(arrays: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -31,7 +32,8 @@ class JumpExits:
 
     Whatever the entry state, the first row to open a window lies within one
     width of the chunk's start. Each such row begins a path of openings; paths
-    that meet stay together, so there are soon few. Too many paths: no table.
+    that meet stay together, so there are soon few, and following them all costs
+    no more than reading the rows. Too many paths or exits: no table.
     """
 
     def __init__(self, width: int):
@@ -55,7 +57,7 @@ class JumpExits:
         moved = np.zeros(len(self.starts), dtype=bool)
         if self.open:
             new = self._entry_rows(t)
-            if len(self.starts) + len(new) > MAX_EXITS:
+            if len(self.starts) + len(new) > MAX_PATHS:
                 self.failed = True
                 return
             self.entries += t[new].tolist()
@@ -93,7 +95,9 @@ class JumpExits:
     def table(self) -> dict | None:
         if self.failed:
             return None
-        last = [i for i, p in enumerate(self.path) if i + 1 == len(self.path) or self.path[i + 1] != p]
+        last = np.flatnonzero(np.diff(self.path, append=-1)).tolist()
+        if len(last) > MAX_EXITS:
+            return None
         exits = [
             [int(self.starts[p]), float(self.sums[p]), int(self.counts[p])]
             for p in self.path[last]
