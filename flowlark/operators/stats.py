@@ -158,14 +158,21 @@ def interval_moments(
     )
 
 
-def with_stats(df: DataFrame, value: str | Column, by: str | Column | None = None) -> DataFrame:
-    """Every input row with the statistics of its key.
+def with_stats(
+    df: DataFrame, value: str | Column, by: str | Column | None = None, prefix: str = ""
+) -> DataFrame:
+    """Every input row with the key and statistics it belongs to.
 
     The statistics are aggregated first (combining before the shuffle) and then
-    joined back, so rows of a hot key are not gathered.
+    joined back, so rows of a hot key are not gathered. ``prefix`` keeps the
+    added columns apart from those of the input.
     """
-    keyed = df.withColumn(KEY, correlation_key(by))
-    stats = moments(df, value, by)
+    names = {c: f"{prefix}{c}" for c in (KEY, *STATS)}
+    taken = sorted(set(names.values()) & set(df.columns))
+    if taken:
+        raise ValueError(f"give a prefix, the input has {taken}")
+    keyed = df.withColumn(names[KEY], correlation_key(by))
+    stats = moments(df, value, by).withColumnsRenamed(names)
     if by is None:
-        return keyed.join(F.broadcast(stats), KEY, "left")  # one row without keys
-    return join_hot(keyed, stats, {KEY: KEY})
+        return keyed.join(F.broadcast(stats), names[KEY], "left")  # one row without keys
+    return join_hot(keyed, stats, {names[KEY]: names[KEY]})

@@ -26,6 +26,9 @@ def join_hot(
     left = F.struct(*[F.col(a).alias(f"k{i}") for i, a in enumerate(on)])
     names = {b: f"_on_{i}" for i, b in enumerate(on.values())}
     side = other.withColumnsRenamed(names)
+    clash = sorted(set(side.columns) & set(rows.columns))
+    if clash and how not in ("left_semi", "left_anti"):
+        raise ValueError(f"both sides have {clash}")
     if not null_safe:  # structs of nulls would be equal
         side = side.filter(_all_given(names.values()))
     right = F.struct(*[F.col(n).alias(f"k{i}") for i, n in enumerate(names.values())])

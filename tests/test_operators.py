@@ -60,6 +60,16 @@ def test_volume(spark):
     assert stats.volume_stats(df).first().asDict() == {"key": "", "count": 20, "sum": 20}
 
 
+def test_statistics_beside_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0)], "key string, v double")
+    with pytest.raises(ValueError):
+        stats.with_stats(df, "v", "key")
+    out = stats.with_stats(df, "v", "key", prefix="stat_").collect()
+    got = sorted((r["key"] or "-", r["v"], r["stat_key"], r["stat_mean"]) for r in out)
+    assert got == [("-", 5.0, "", 5.0), ("a", 1.0, "a", 2.0), ("a", 3.0, "a", 2.0)]
+    assert {r["x_sum"] for r in stats.with_stats(df, "v", prefix="x_").collect()} == {9.0}
+
+
 def test_merged_states_equal_direct_moments(spark):
     rows = [(1e9 + (i * 37 % 101) / 7, i % 3, i % 50) for i in range(1000)]
     df = spark.createDataFrame(rows, "v double, k int, part int")

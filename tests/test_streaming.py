@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from flowlark.operators import dedupe, stats, windows
+from flowlark.operators import dedupe, points, project, routing, stats, windows
 from flowlark.operators.routing import REL
 from flowlark.sources.files import read_stream_files
 from flowlark.streaming import stateful
@@ -92,6 +92,29 @@ def test_watermarked_windows(spark, split_events):
     assert report.count() > 0
 
 
+def test_record_operators_run_on_streams(spark, split_events):
+    def work(df):
+        routed = routing.route_bitmask(df, "user_id", {"one": 1, "two": 2}, flip=True)
+        named = routed.withColumnRenamed(REL, "route")
+        hashed = project.md5_columns(named, {"h": F.col("event_type")}).drop(REL)
+        text = project.render_template(hashed, "{{ event_type }}/{{ user_id }}")
+        made = project.render_json(text, '{"id": "{{ event_id:int }}"}', into="json")
+        return made.select("event_id", "route", "routed_value", "h", "content", "json", REL)
+
+    batch = work(split_events[1])
+    assert rows(drain(work(source(spark, split_events))), *batch.columns) == rows(batch, *batch.columns)
+
+    def points_of(df):
+        tags = F.concat(F.lit("type="), "event_type")
+        made = points.to_points(
+            df, F.lit("event"), tags, {"v": F.col("value")}, ts=F.unix_millis("ts"), keep=["event_id"]
+        )
+        return made.select("event_id", points.line_text().alias("line"), REL)
+
+    batch = points_of(split_events[1])
+    assert rows(drain(points_of(source(spark, split_events))), *batch.columns) == rows(batch, *batch.columns)
+
+
 def test_delay(spark, split_events):
     path, batch = split_events
     sdf = read_stream_files(spark, path, batch.schema).withColumn(
