@@ -149,7 +149,13 @@ def page_snapshots(spark, sf):
     return out.select("page_id", REL)
 
 
-@query("page_link_hosts")
+@query(
+    "page_link_hosts",
+    """select regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) as host, sum(len(regexp_extract_all(
+         regexp_replace(html, '<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'gs'),
+         '<a\\s[^>]*href=')))::bigint as links
+       from pages group by 1 having links > 0""",
+)
 def page_link_hosts(spark, sf):
     """Links per host over all pages, from the rewritten text."""
     shots = pages.page_snapshots(table(spark, sf, "pages"), "xpath", "//a")
