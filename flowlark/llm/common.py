@@ -148,12 +148,13 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashed_words(
-    data: np.ndarray, starts: np.ndarray, inside: np.ndarray, chunk: int = 1 << 19
+    data: np.ndarray, starts: np.ndarray, inside: np.ndarray, chunk: int = 1 << 19, tails=None
 ) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of each word, A-Z lower-cased, and the first word of each text.
 
     The second array has one more entry, the number of words. Texts are read in
-    chunks that end between words, so memory follows the number of words.
+    chunks that end between words, so memory follows the number of words. The last
+    two bytes of each word are appended to ``tails``, in arrays.
     """
     hashes, firsts = [], []
     begins = starts[:-1]
@@ -185,6 +186,9 @@ def hashed_words(
             raw = (total[b] - total[a]) * down[a]
             hashes.append(mix(raw + (b - a).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB)))
         firsts.append(a + at)
+        if tails is not None:
+            last = part[b - 1].astype(np.uint16)
+            tails.append(last | (np.where(b - a > 1, part[b - 2], 0).astype(np.uint16) << 8))
         at = end
     none = np.zeros(0, np.int64)
     where = np.concatenate(firsts) if firsts else none

@@ -6,7 +6,17 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from flowlark.llm import exact_dedup, line_rules, mixing, near_dedup, packing
+from flowlark.llm import (
+    exact_dedup,
+    language,
+    licenses,
+    line_rules,
+    mixing,
+    near_dedup,
+    packing,
+    scoring,
+    sharding,
+)
 from flowlark.queries.registry import table
 from flowlark.session import ship_package
 
@@ -31,6 +41,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _bucket(n: int):
+    """Remainder that deals documents to folds."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.pmod(F.crc32(key), F.lit(n))
+
+
 @query(
     "op10_exact_dedup",
     """select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
@@ -81,3 +97,48 @@ def op6(spark, sf):
 @query("op9_packing")
 def op9(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
+
+
+@query("op2_lm_scoring")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = _bucket(7) == 2
+    return scoring.score_documents(
+        docs, ~held_out, carry=[F.col("doc_id"), held_out.alias("held_out")]
+    )
+
+
+@query("op5_language_id")
+def op5(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = _bucket(5) == 0
+    model = language.learn(docs.filter(~held_out), "text", "lang")
+    return language.predict(docs, model, "text", [F.col("doc_id"), held_out.alias("held_out")])
+
+
+@query("op7_sharding")
+def op7(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return sharding.shard_rows(docs).select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op8_license_scan")
+def op8(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs)
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda x: x["label"])))
+    more = F.transform("spans", lambda x: x["label"])
+    starts = F.transform("places", lambda x: x["first_word"])
+    best = F.array_max(F.transform("spans", lambda x: x["cover"]))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
