@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from flowlark.llm import (
     exact_dedup,
+    html_blocks,
     language,
     licenses,
     line_rules,
@@ -142,3 +143,9 @@ def op8(spark, sf):
         F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"),
         F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
     )
+
+
+@query("op3_html_extraction")
+def op3(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return html_blocks.extract_text(pages)
