@@ -270,7 +270,7 @@ def positional(docs: DataFrame) -> DataFrame:
 def sift(docs: DataFrame, sieve, key: str, text: str, inside: bool) -> DataFrame:
     """Rows of ``docs`` whose row hash passes the sieve (or does not), with ``_h``.
 
-    ``sieve`` is a broadcast of bits.
+    ``sieve`` is a broadcast of bits. Other columns are named by position.
     """
     key_at, text_at = docs.columns.index(key), docs.columns.index(text)
     rows = positional(docs)
@@ -287,8 +287,7 @@ def sift(docs: DataFrame, sieve, key: str, text: str, inside: bool) -> DataFrame
                 )
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    out = rows.mapInArrow(run, f"{kinds}, _h long")
-    return out.toDF(*docs.columns, "_h")
+    return rows.mapInArrow(run, f"{kinds}, _h long")
 
 
 def without_rows(docs: DataFrame, losers: DataFrame, key: str, text: str) -> DataFrame:
@@ -303,7 +302,7 @@ def without_rows(docs: DataFrame, losers: DataFrame, key: str, text: str) -> Dat
     doubtful = sift(docs, sieve, key, text, True)
     names = losers.select(F.col("_h").alias("_lost")).distinct()
     rest = doubtful.join(names, F.col("_h") == F.col("_lost"), "left_anti").drop("_h")
-    return clear.unionAll(rest)
+    return clear.unionAll(rest).toDF(*docs.columns)
 
 
 # --- components -------------------------------------------------------------------------

@@ -1,8 +1,8 @@
 """Shards by balanced label propagation, in DataFrame functions.
 
 Documents with equal texts are linked. Every document starts in the shard of its
-hash; in each round the members of a group ask for the shard that holds most of
-them, and a quota says how many may move: exchanges between two shards are free,
+hash; in each round the members of a group ask for the shard with room that holds
+most of them, and a quota says how many may move: exchanges between two shards are free,
 beyond that a shard takes what its slack allows. Members of one group that leave a
 shard for the same target go together. Rounds end when no document asks or after
 ``rounds``. At last surplus rows, unlinked ones first, move so that shards differ by
@@ -48,12 +48,14 @@ def _pick(values, at: Column) -> Column:
 
 def _propagate(linked: DataFrame, held: np.ndarray, shards: int, rounds: int) -> DataFrame:
     """Rows (rid, unit, shard) after the rounds; ``held`` are unlinked rows by shard."""
-    room = None
+    now = held + _by_shard(linked, shards)
+    room = now.sum() / shards * (1 + SLACK) + 1
     for r in range(rounds):
         votes = linked.groupBy("unit", "shard").agg(F.count("*").alias("n"))
         tie = -F.pmod(F.col("shard") + F.col("unit"), F.lit(shards))
+        fits = _pick((now < room).tolist(), F.col("shard"))
         best = votes.groupBy(F.col("unit").alias("u")).agg(
-            F.max(F.struct("n", tie.alias("tie"), "shard"))["shard"].alias("goal")
+            F.max(F.struct(fits.alias("fits"), "n", tie.alias("tie"), "shard"))["shard"].alias("goal")
         )
         asked = materialize(join_hot(linked, best, {"unit": "u"}, "inner"))
         wishes = np.zeros((shards, shards), np.int64)
@@ -64,16 +66,23 @@ def _propagate(linked: DataFrame, held: np.ndarray, shards: int, rounds: int) ->
                 wishes[row["shard"], row["goal"]] = row["count"]
         if not wishes.any():
             break
-        room = room or now.sum() / shards * (1 + SLACK) + 1
         part = quotas(wishes, now, room)
         luck = F.pmod(F.xxhash64("unit", "shard", F.lit(r)), F.lit(1 << 30)) / (1 << 30)
         moves = luck < _pick(part.ravel().tolist(), F.col("shard") * shards + F.col("goal"))
         linked = materialize(
             asked.select("rid", "unit", F.when(moves, F.col("goal")).otherwise(F.col("shard")).alias("shard"))
         )
+        now = held + _by_shard(linked, shards)
     return linked
 
 
+def _by_shard(rows: DataFrame, shards: int) -> np.ndarray:
+    out = np.zeros(shards, np.int64)
+    for row in rows.groupBy("shard").count().collect():  # one row per shard
+        out[row["shard"]] = row["count"]
+    return out
+
+
 def shard_rows(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 40, rounds: int = 6
 ) -> DataFrame:
@@ -102,11 +111,7 @@ def shard_rows(
             start.alias("shard"),
         )
     )
-    alone = np.zeros(shards, np.int64)
-    for row in rows.groupBy(start.alias("shard")).count().collect():
-        alone[row["shard"]] += row["count"]
-    for row in members.groupBy("shard").count().collect():
-        alone[row["shard"]] -= row["count"]
+    alone = _by_shard(rows.select(start.alias("shard")), shards) - _by_shard(members, shards)
     placed = _propagate(members, alone, shards, rounds).select(
         F.col("rid").alias("r"), "unit", F.col("shard").alias("to")
     )
@@ -121,9 +126,7 @@ def shard_rows(
         ["label", "linked", "unit", "rid"],
         {},
     )
-    held = np.zeros(shards, np.int64)
-    for row in all_rows.groupBy(F.coalesce("to", "at").alias("label")).count().collect():
-        held[row["label"]] = row["count"]
+    held = _by_shard(all_rows.select(F.coalesce("to", "at").alias("shard")), shards)
     even = np.array([total // shards + (s < total % shards) for s in range(shards)], np.int64)
     surplus, lack = np.maximum(held - even, 0), np.maximum(even - held, 0)
     first = (np.cumsum(held) - held).tolist()
