@@ -23,7 +23,6 @@ def identify_duplicates(
     order: Sequence[str],
     ttl: str | None = None,
     ts: str | None = None,
-    split: bool | None = None,
 ) -> DataFrame:
     """Route to ``non-duplicate``, ``duplicate`` or, without a key, ``failure``.
 
@@ -36,21 +35,19 @@ def identify_duplicates(
     keyed = df.withColumns(
         {"_key": F.when(~is_blank(text) & F.col(ts).isNotNull(), text), "_t": micros(F.col(ts))}
     )
+    good = F.col("_key").isNotNull()
     marked = fold_rows(
-        keyed,
+        keyed.filter(good),
         ["_key"],
         ["_t", *order],
         ["_t"],
         [T.StructField("_fresh", T.BooleanType())],
         AgeOffFold(interval_micros(ttl)),
-        split=split,
     )
-    rel = (
-        F.when(F.col("_key").isNull(), "failure")
-        .when(F.col("_fresh"), "non-duplicate")
-        .otherwise("duplicate")
-    )
-    return marked.withColumn(REL, rel).drop("_key", "_t", "_fresh")
+    rel = F.when(F.col("_fresh"), "non-duplicate").otherwise("duplicate")
+    failed = keyed.filter(~good).withColumn(REL, F.lit("failure"))
+    out = marked.withColumn(REL, rel).drop("_fresh").unionByName(failed)
+    return out.drop("_key", "_t")
 
 
 def _identify_forever(df: DataFrame, text: Column, order: Sequence[str]) -> DataFrame:

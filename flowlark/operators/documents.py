@@ -137,7 +137,6 @@ def insert(
     ordered: bool = False,
     batch_size: int = DEFAULT_BATCH,
     payload: str | None = None,
-    split: bool | None = None,
 ) -> DataFrame:
     """Route rows by whether an insert under a unique key would take them.
 
@@ -152,7 +151,7 @@ def insert(
     marked = rows.withColumn("_good", good)
     taken = docs.select(F.col(key).alias("_taken")).distinct()
     if ordered:
-        return _insert_ordered(marked, taken, key, order, batch_size, split)
+        return _insert_ordered(marked, taken, key, order, batch_size)
     usable = marked.filter(F.col("_good") & F.col(key).isNotNull()).select(key, *order)
     firsts = first_rows(usable, [key], order)
     new = firsts.join(taken, firsts[key] == taken["_taken"], "left_anti").select(
@@ -171,7 +170,7 @@ def insert(
     return out.drop("_good", "_new", *[f"_first_{c}" for c in order])
 
 
-def _insert_ordered(marked, taken, key, order, batch_size, split) -> DataFrame:
+def _insert_ordered(marked, taken, key, order, batch_size) -> DataFrame:
     """Find the first failed position of every batch.
 
     Whether a row fails depends on which earlier rows were written, which
@@ -180,7 +179,7 @@ def _insert_ordered(marked, taken, key, order, batch_size, split) -> DataFrame:
     bounds close in until a round changes nothing, which is the exact answer.
     Only rows whose key repeats or is taken take part in the rounds.
     """
-    ranked = materialize(rank_rows(marked, [], order, "_pos", split=split))
+    ranked = materialize(rank_rows(marked, [], order, "_pos"))
     batch = F.call_function("div", F.col("_pos") - 1, F.lit(batch_size)).cast("long")
     ranked = ranked.withColumn("_batch", batch)
     tries = ranked.filter(F.col("_good") & F.col(key).isNotNull()).select(

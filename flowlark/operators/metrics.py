@@ -192,10 +192,9 @@ def chunk_rows(
     order: Sequence[str],
     by: Sequence[str] = (),
     name: str = "chunk",
-    split: bool | None = None,
 ) -> DataFrame:
     """Number of the group of ``n`` rows, in order, that a row falls in."""
-    ranked = rank_rows(df, by, order, "_rank", split=split)
+    ranked = rank_rows(df, by, order, "_rank")
     chunk = F.call_function("div", F.col("_rank") - 1, F.lit(n))
     return ranked.withColumn(name, chunk.cast("long")).drop("_rank")
 
@@ -212,10 +211,9 @@ def snapshot_json(
     members: Sequence[str],
     order: Sequence[str],
     part_rows: int = 10_000,
-    split: bool | None = None,
 ) -> DataFrame:
     """JSON text of each group with its members, in parts of bounded size."""
-    parted = chunk_rows(df, part_rows, order, by, "part", split=split)
+    parted = chunk_rows(df, part_rows, order, by, "part")
     listed = F.sort_array(F.collect_list(F.struct(*order, F.struct(*members).alias("_m"))))
     grouped = parted.groupBy(*by, "part").agg(listed.alias("_list"))
     inner = F.transform("_list", lambda e: e["_m"])

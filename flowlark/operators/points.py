@@ -127,7 +127,7 @@ def series_query(
             F.col("position") <= limit
         )
     # A series has one row per window after aggregation: no check needed.
-    return rank_rows(rows, names, order, "position", split=False if aggs else None)
+    return rank_rows(rows, names, order, "position")
 
 
 def _first_series(rows: DataFrame, names: Sequence[str], slimit: int) -> DataFrame:

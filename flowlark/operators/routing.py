@@ -53,12 +53,12 @@ def route_bitmask(
 
 
 def split_percent(
-    df: DataFrame, percent: int, order: Sequence[str], split: bool | None = None
+    df: DataFrame, percent: int, order: Sequence[str]
 ) -> DataFrame:
     """First ``percent`` of every hundred rows to ``a``, the rest to ``b``."""
     if percent <= 0 or percent >= 100:
         return df.withColumn(REL, F.lit("a" if percent >= 100 else "b"))
-    ranked = rank_rows(df, [], order, "_rank", split=split)
+    ranked = rank_rows(df, [], order, "_rank")
     first = F.pmod(F.col("_rank") - 1, F.lit(100)) < percent
     return ranked.withColumn(REL, F.when(first, "a").otherwise("b")).drop("_rank")
 

@@ -15,7 +15,6 @@ from flowlark.operators.routing import REL, route_copies
 from flowlark.plans.folds import AnchoredFold, CounterFold
 from flowlark.plans.ordered import fold_rows, order_key, running
 from flowlark.plans.skew import join_hot
-from flowlark.session import max_group_rows
 
 # Interval units in microseconds.
 UNIT_MICROS = {
@@ -61,7 +60,6 @@ def running_tumbling(
     width: str,
     by: Sequence[str],
     order: Sequence[str],
-    split: bool | None = None,
 ) -> DataFrame:
     """Each record with the sum and count of its window so far.
 
@@ -76,7 +74,6 @@ def running_tumbling(
         [*by, "window_start"],
         [ts, *order],
         sums={"window_sum": F.coalesce(F.col("_v"), F.lit(0.0)), "window_count": "_one"},
-        split=split,
     )
     return out.withColumns(
         {
@@ -94,7 +91,6 @@ def anchored_tumbling(
     width: str,
     by: Sequence[str],
     order: Sequence[str],
-    split: bool | None = None,
 ) -> DataFrame:
     """Windows per key that start at a record instead of at the clock.
 
@@ -104,8 +100,8 @@ def anchored_tumbling(
     """
     timed = F.when(F.col(ts).isNotNull(), double_of(df, value))
     rows = df.withColumns({"_t": micros(F.col(ts)), "_v": timed})
-    out = fold_rows(
-        rows,
+    folded = fold_rows(
+        rows.filter(F.col("_v").isNotNull()),
         by,
         ["_t", *order],
         ["_t", "_v"],
@@ -115,9 +111,15 @@ def anchored_tumbling(
             T.StructField("_elapsed", T.BooleanType()),
         ],
         AnchoredFold(interval_micros(width)),
-        split=split,
     )
-    return route_windows(out)
+    failed = rows.filter(F.col("_v").isNull()).withColumns(
+        {
+            "window_sum": F.lit(None).cast("double"),
+            "window_count": F.lit(None).cast("long"),
+            "_elapsed": F.lit(False),
+        }
+    )
+    return route_windows(folded.unionByName(failed))
 
 
 def route_windows(out: DataFrame) -> DataFrame:
@@ -145,7 +147,6 @@ def batch_wait(
     frag_id: str,
     frag_count: str,
     order: Sequence[str],
-    split: bool | None = None,
 ) -> DataFrame:
     """Route records by completion of their batch.
 
@@ -154,41 +155,33 @@ def batch_wait(
     expected count also to ``failure``.
     """
     rows = fragments(df, frag_id, frag_count)
-    shape = (
-        rows.filter("_ok")
-        .groupBy(frag_id)
-        .agg(
-            F.count(F.lit(1)).alias("n"), (F.min("_want") != F.max("_want")).alias("varies")
-        )
-        .agg(F.max("n").alias("n"), F.max("varies").alias("varies"))
-        .first()
+    good = rows.filter("_ok")
+    counts = good.groupBy(frag_id).agg(
+        (F.min("_want") != F.max("_want")).alias("varies")
     )
-    if split is None:
-        split = (shape["n"] or 0) > max_group_rows(df.sparkSession)
-    if shape["varies"]:
+    varies = counts.agg(F.max("varies")).first()[0]
+    if varies:
         marked = fold_rows(
-            rows,
+            good,
             [frag_id],
             order,
             ["_want", "_ok"],
             [T.StructField("_done", T.BooleanType())],
             CounterFold(),
-            split=split,
         )
-        done = F.col("_done")
     else:
-        good = F.when(F.col("_ok"), F.lit(1)).otherwise(F.lit(0)).cast("long")
-        marked = running(rows, [frag_id], order, sums={"_pos": good}, split=split)
-        done = F.col("_ok") & (F.col("_want") > 0) & (
-            F.pmod(F.col("_pos"), F.greatest(F.col("_want"), F.lit(1).cast("long"))) == 0
-        )
-    return route_batch(marked, done)
+        marked = running(good, [frag_id], order, count="_pos")
+        ends = F.pmod(F.col("_pos"), F.greatest(F.col("_want"), F.lit(1).cast("long"))) == 0
+        marked = marked.withColumn("_done", (F.col("_want") > 0) & ends).drop("_pos")
+    # Rows without an id or count never enter the ordering.
+    failed = rows.filter(~F.col("_ok")).withColumn("_done", F.lit(False))
+    return route_batch(marked.unionByName(failed), F.col("_done"))
 
 
 def route_batch(marked: DataFrame, done: Column) -> DataFrame:
     """Outputs of counted batch rows."""
     routes = {"original": F.lit(True), "batch-completed": done, "failure": ~F.col("_ok")}
-    return route_copies(marked, routes).drop("_want", "_ok", "_done", "_pos")
+    return route_copies(marked, routes).drop("_want", "_ok", "_done")
 
 
 def batch_pending(

@@ -2,29 +2,11 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from flowlark.plans.ordered import Fold
-
-MAX_PATHS = 65_536  # paths that one task follows at the same time
-MAX_EXITS = 2048  # entries of one chunk's table that the driver may receive
-
-
-def _valid(arrays: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions, times and values of the rows that count."""
-    times, values = arrays["_t"], arrays.get("_v")
-    if values is None:
-        at = np.arange(len(times))
-        return at, np.asarray(times), np.zeros(len(times))
-    at = np.flatnonzero(~np.ma.getmaskarray(values))
-    return at, np.asarray(times)[at], np.asarray(values)[at]
-
-
-def _sparse(t: np.ndarray, width: int) -> bool:
-    """Whether windows hold few rows on average."""
-    return 0 < len(t) < 16 * min(len(t), (int(t[-1]) - int(t[0])) // width + 1)
+from flowlark.plans.ordered import HEAD, Fold, next_at_or_after
 
 
 class JumpExits:
@@ -32,48 +14,39 @@ class JumpExits:
 
     Whatever the entry state, the first row to open a window lies within one
     width of the chunk's start. Each such row begins a path of openings; paths
-    that meet stay together, so there are soon few, and following them all costs
-    no more than reading the rows. Too many paths or exits: no table.
+    that meet stay together. A chunk has at most as many paths as rows.
     """
 
     def __init__(self, width: int):
         self.width, self.total, self.rows = width, 0.0, 0
         self.head: int | None = None  # entry rows lie before this time
         self.open = True
-        self.entries: list[int] = []  # time of each possible entry row
+        self.entries = np.zeros(0, dtype=np.int64)  # time of each possible entry row
         self.path = np.zeros(0, dtype=np.int64)  # its path
         self.starts = np.zeros(0, dtype=np.int64)
         self.sums = np.zeros(0)
         self.counts = np.zeros(0, dtype=np.int64)
-        self.failed = False
 
     def feed(self, arrays: dict) -> None:
-        _, t, v = _valid(arrays)
-        if len(t) == 0 or self.failed:
+        t, v = _valid(arrays)
+        if len(t) == 0:
             return
         if self.head is None:
             self.head = int(t[0]) + self.width
-        at = np.zeros(len(self.starts), dtype=np.int64)
-        moved = np.zeros(len(self.starts), dtype=bool)
-        if self.open:
-            new = self._entry_rows(t)
-            if len(self.starts) + len(new) > MAX_PATHS:
-                self.failed = True
-                return
-            self.entries += t[new].tolist()
-            ids = len(self.starts) + np.arange(len(new))
-            self.path = np.concatenate([self.path, ids])
-            self.starts = np.concatenate([self.starts, t[new]])
-            self.sums = np.concatenate([self.sums, np.zeros(len(new))])
-            self.counts = np.concatenate([self.counts, np.zeros(len(new), dtype=np.int64)])
-            at = np.concatenate([at, new])
-            moved = np.concatenate([moved, np.ones(len(new), dtype=bool)])
-        active = np.arange(len(self.starts))
+        known = len(self.starts)
+        new = self._entry_rows(t) if self.open else np.zeros(0, dtype=np.int64)
+        self.entries = np.concatenate([self.entries, t[new]])
+        self.path = np.concatenate([self.path, known + np.arange(len(new))])
+        self.starts = np.concatenate([self.starts, t[new]])
+        at = np.concatenate([np.zeros(known, dtype=np.int64), new])
+        moved = np.arange(len(self.starts)) >= known
+        self.sums = np.concatenate([self.sums, np.zeros(len(new))])
+        self.counts = np.concatenate([self.counts, np.zeros(len(new), dtype=np.int64)])
+        active = np.flatnonzero(self.starts + self.width <= t[-1])
         while len(active):
             following = np.searchsorted(t, self.starts[active] + self.width)
-            inside = following < len(t)
-            active, following = active[inside], following[inside]
             self.starts[active], at[active], moved[active] = t[following], following, True
+            active = active[t[following] + self.width <= t[-1]]
         upto = np.concatenate(([0.0], np.cumsum(v)))
         self.sums = np.where(moved, 0.0, self.sums) + upto[-1] - upto[at]
         self.counts = np.where(moved, 0, self.counts) + len(t) - at
@@ -88,26 +61,27 @@ class JumpExits:
         self.open = end == len(t)
         near = t[: end + 1]
         first = np.flatnonzero(np.diff(near, prepend=near[0] - 1) != 0)
-        if self.entries:
-            first = first[near[first] != self.entries[-1]]
-        return first
-
-    def table(self) -> dict | None:
-        if self.failed:
-            return None
-        last = np.flatnonzero(np.diff(self.path, append=-1)).tolist()
-        if len(last) > MAX_EXITS:
-            return None
-        exits = [
-            [int(self.starts[p]), float(self.sums[p]), int(self.counts[p])]
-            for p in self.path[last]
-        ]
-        return {
-            "entries": [self.entries[i] for i in last],
-            "exits": exits,
-            "sum": self.total,
-            "rows": self.rows,
-        }
+        return first if not len(self.entries) else first[near[first] != self.entries[-1]]
+
+    def table(self) -> tuple[list, list, tuple]:
+        last = np.flatnonzero(np.diff(self.path, append=-1))
+        p = self.path[last]
+        exits = zip(self.starts[p].tolist(), self.sums[p].tolist(), self.counts[p].tolist())
+        return self.entries[last].tolist(), list(exits), (None, self.total, self.rows)
+
+
+def _valid(arrays: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Times and values of the rows that count."""
+    times, values = arrays["_t"], arrays.get("_v")
+    if values is None:
+        return np.asarray(times), np.zeros(len(times))
+    at = ~np.ma.getmaskarray(values)
+    return np.asarray(times)[at], np.asarray(values)[at]
+
+
+def _fresh(rows: int, changes: np.ndarray | None) -> list[bool]:
+    """Which rows begin a key."""
+    return [False] * rows if changes is None else [False, *changes.tolist()]
 
 
 class AnchoredFold(Fold):
@@ -119,44 +93,14 @@ class AnchoredFold(Fold):
     def __init__(self, width: int):
         self.width = width
 
-    def run(self, arrays: dict, state: list | None) -> tuple[dict, list | None]:
-        rows = len(arrays["_t"])
-        bad = np.ma.getmaskarray(arrays["_v"])
-        at, t, v = _valid(arrays)
-        if _sparse(t, self.width):
-            return self.run_short(arrays, np.zeros(rows - 1, dtype=bool), state)
-        sums, counts, elapsed = np.zeros(rows), np.zeros(rows, dtype=np.int64), np.zeros(rows, bool)
-        lo = 0
-        while lo < len(t):
-            closing = state is not None and t[lo] - state[0] >= self.width
-            old = state if closing else None
-            if state is None or closing:
-                start, total, n = int(t[lo]), 0.0, 0
-            else:
-                start, total, n = state
-            hi = max(int(np.searchsorted(t, start + self.width)), lo + 1)
-            sums[at[lo:hi]] = np.cumsum(np.concatenate(([total], v[lo:hi])))[1:]
-            counts[at[lo:hi]] = n + 1 + np.arange(hi - lo)
-            state = [start, float(sums[at[hi - 1]]), int(counts[at[hi - 1]])]
-            if closing:
-                sums[at[lo]], counts[at[lo]], elapsed[at[lo]] = old[1], old[2], True
-            lo = hi
-        outs = {
-            "window_sum": np.ma.MaskedArray(sums, bad),
-            "window_count": np.ma.MaskedArray(counts, bad),
-            "_elapsed": elapsed,
-        }
-        return outs, state
-
-    def run_short(self, arrays: dict, changes: np.ndarray, state: list | None) -> tuple[dict, list]:
-        """Row by row: cheaper than array work per window when windows are small."""
+    def run(self, arrays: dict, state, changes: np.ndarray | None = None) -> tuple[dict, tuple]:
         bad = np.ma.getmaskarray(arrays["_v"])
         values = np.ma.getdata(arrays["_v"]).tolist()
+        times = np.asarray(arrays["_t"]).tolist()
         sums, counts, elapsed = [], [], []
         start, total, n = state if state is not None else (None, 0.0, 0)
-        fresh = [False, *changes.tolist()]
         width = self.width
-        for t, v, skip, new in zip(np.asarray(arrays["_t"]).tolist(), values, bad.tolist(), fresh):
+        for t, v, skip, new in zip(times, values, bad.tolist(), _fresh(len(bad), changes)):
             if new:
                 start = None
             over = False
@@ -182,16 +126,16 @@ class AnchoredFold(Fold):
             "window_count": np.ma.MaskedArray(np.array(counts, dtype=np.int64), bad),
             "_elapsed": np.array(elapsed, dtype=bool),
         }
-        return outs, None if start is None else [start, total, n]
+        return outs, None if start is None else (start, total, n)
 
     def exits(self) -> JumpExits:
         return JumpExits(self.width)
 
-    def after(self, table: dict, state: list) -> list:
-        i = bisect_left(table["entries"], state[0] + self.width)
-        if i < len(table["entries"]):
-            return table["exits"][i]
-        return [state[0], state[1] + table["sum"], state[2] + table["rows"]]
+    def following(self, nodes, spans):
+        return next_at_or_after(nodes, spans, F.coalesce(F.col("a") + self.width, F.lit(HEAD)))
+
+    def passed(self, state, sums, rows):
+        return None if state is None or state[0] is None else (state[0], state[1] + sums, state[2] + rows)
 
 
 class AgeOffFold(Fold):
@@ -203,36 +147,26 @@ class AgeOffFold(Fold):
     def __init__(self, ttl: int):
         self.ttl = ttl
 
-    def run(self, arrays: dict, state: list | None) -> tuple[dict, list]:
-        t = np.asarray(arrays["_t"])
-        if _sparse(t, self.ttl):
-            return self.run_short(arrays, np.zeros(len(t) - 1, dtype=bool), state)
-        fresh = np.zeros(len(t), dtype=bool)
-        last = None if state is None else state[0]
-        at = 0 if last is None else int(np.searchsorted(t, last + self.ttl))
-        while at < len(t):
-            fresh[at], last = True, int(t[at])
-            at = max(int(np.searchsorted(t, last + self.ttl)), at + 1)
-        return {"_fresh": fresh}, [last]
-
-    def run_short(self, arrays: dict, changes: np.ndarray, state: list | None) -> tuple[dict, list]:
-        """Row by row: cheaper than array work per window when windows are small."""
+    def run(self, arrays: dict, state, changes: np.ndarray | None = None) -> tuple[dict, tuple]:
         last = None if state is None else state[0]
+        times = np.asarray(arrays["_t"]).tolist()
         fresh = []
-        for t, new in zip(np.asarray(arrays["_t"]).tolist(), [False, *changes.tolist()]):
+        for t, new in zip(times, _fresh(len(times), changes)):
             if new or last is None or t - last >= self.ttl:
                 last = t
                 fresh.append(True)
             else:
                 fresh.append(False)
-        return {"_fresh": np.array(fresh, dtype=bool)}, [last]
+        return {"_fresh": np.array(fresh, dtype=bool)}, (last, 0.0, 0)
 
     def exits(self) -> JumpExits:
         return JumpExits(self.ttl)
 
-    def after(self, table: dict, state: list) -> list:
-        i = bisect_left(table["entries"], state[0] + self.ttl)
-        return table["exits"][i][:1] if i < len(table["entries"]) else state
+    def following(self, nodes, spans):
+        return next_at_or_after(nodes, spans, F.coalesce(F.col("a") + self.ttl, F.lit(HEAD)))
+
+    def passed(self, state, sums, rows):
+        return state
 
 
 class CounterExits:
@@ -259,11 +193,10 @@ class CounterExits:
             if entry is not None:
                 self.began[self.row] = entry
 
-    def table(self) -> dict | None:
-        if len(self.used) > MAX_EXITS:
-            return None
-        exits = {str(entry): self.row - cycle for cycle, entry in self.began.items()}
-        return {"exits": exits, "rows": self.row}
+    def table(self) -> tuple[list, list, tuple]:
+        entries = list(self.began.values())
+        exits = [(self.row - cycle, 0.0, 0) for cycle in self.began]
+        return entries, exits, (None, 0.0, self.row)
 
 
 class CounterFold(Fold):
@@ -272,30 +205,14 @@ class CounterFold(Fold):
     State: rows counted in the open cycle.
     """
 
-    def run(self, arrays: dict, state: list | None) -> tuple[dict, list]:
-        want, ok = np.asarray(arrays["_want"]), np.asarray(arrays["_ok"]).astype(bool)
-        done = np.zeros(len(want), dtype=bool)
-        count = state[0] if state else 0
-        at = np.flatnonzero(ok)
-        need = want[at]
-        if len(at) and (need == need[0]).all() and count < need[0]:
-            position = count + 1 + np.arange(len(at))
-            done[at] = position % need[0] == 0
-            count = int(position[-1] % need[0])
-        else:
-            for i, expected in zip(at.tolist(), need.tolist()):
-                count += 1
-                if count == expected:
-                    done[i], count = True, 0
-        return {"_done": done}, [count]
+    exact = True
 
-    def run_short(self, arrays: dict, changes: np.ndarray, state: list | None) -> tuple[dict, list]:
-        """Row by row over many short keys."""
+    def run(self, arrays: dict, state, changes: np.ndarray | None = None) -> tuple[dict, tuple]:
         count = state[0] if state else 0
         done = []
         ok = np.asarray(arrays["_ok"]).tolist()
         want = np.ma.getdata(arrays["_want"]).tolist()
-        for expected, good, new in zip(want, ok, [False, *changes.tolist()]):
+        for expected, good, new in zip(want, ok, _fresh(len(ok), changes)):
             if new:
                 count = 0
             if good:
@@ -304,10 +221,35 @@ class CounterFold(Fold):
             done.append(ends)
             if ends:
                 count = 0
-        return {"_done": np.array(done, dtype=bool)}, [count]
+        return {"_done": np.array(done, dtype=bool)}, (count, 0.0, 0)
 
     def exits(self) -> CounterExits:
         return CounterExits()
 
-    def after(self, table: dict, state: list) -> list:
-        return [table["exits"].get(str(state[0]), state[0] + table["rows"])]
+    def following(self, nodes, spans):
+        """Counts minus the rows before them stay the same until a cycle ends."""
+        before, upto, run = {}, {}, None
+        for x in spans:
+            total = upto[run[1]] if run is not None and run[0] == x.run else 0
+            before[x.chunk], upto[x.chunk] = total, total + x.rows
+            run = (x.run, x.chunk)
+        spark = nodes.sparkSession
+        table = spark.createDataFrame(
+            [(c, before[c], upto[c]) for c in before], "sq int, before long, upto long"
+        )
+        placed = nodes.join(F.broadcast(table), F.col("q") == F.col("sq"), "left")  # one row per chunk
+        upto_ = F.coalesce("upto", F.lit(0).cast("long"))
+        seekers = placed.select(
+            "_run", (F.coalesce("a", F.lit(0)) - upto_).alias("at"), F.col("q").alias("place"),
+            F.lit(0).alias("turn"), "q", "m", F.lit(None).cast("struct<tq:int,tm:bigint>").alias("to"),
+        )
+        marks = placed.filter(F.col("m") != HEAD).select(
+            "_run", (F.col("m") - F.col("before")).alias("at"), F.col("q").alias("place"),
+            F.lit(1).alias("turn"), "q", "m", F.struct(F.col("q").alias("tq"), F.col("m").alias("tm")).alias("to"),
+        )
+        back = Window.partitionBy("_run", "at").orderBy(F.desc("place"), "turn")
+        near = seekers.unionAll(marks).withColumn("to", F.last("to", ignorenulls=True).over(back))
+        return near.filter("turn = 0").select("q", "m", "to.tq", "to.tm")
+
+    def passed(self, state, sums, rows):
+        return ((state[0] or 0) + rows if state else rows, 0.0, 0)

@@ -1,17 +1,16 @@
-"""Order-dependent work per key that survives hot keys.
+"""Order-dependent work per key, in one way for groups of any size.
 
-Every helper first measures the largest group with one map-side-combined
-aggregate. Groups up to ``spark.flowlark.maxGroupRows`` take the plain route:
-one shuffle on the key. Beyond it rows are range-partitioned on (key, order),
-so a hot key is spread over many chunks, and what a chunk needs to know about
-the chunks before it (its carry) is one row per chunk.
+Rows are range-partitioned on (key, order), so a hot key is spread over many
+chunks and a chunk holds many short keys. What a chunk needs to know about the
+chunks before it, its carry, is one row per chunk; which chunks share a key is
+decided by Spark's own comparison, so nulls and NaN are keys like any other.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,20 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlark.session import materialize, max_group_rows
+from flowlark.session import materialize
 
 CHUNK = "_chunk"
-SHORT_RUN = 256  # mean rows per key below which keys are folded together
-
-
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the biggest group of ``by`` (the whole table without keys)."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
-def must_split(df: DataFrame, by: Sequence[str]) -> bool:
-    return largest_group(df, by) > max_group_rows(df.sparkSession)
 
 
 def range_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -58,9 +46,31 @@ def _key(by: Sequence[str]) -> Column:
     return F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
 
 
-def _chunk_edges(chunks: DataFrame, by: Sequence[str]) -> DataFrame:
+def _borders(chunks: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per chunk: first and last key, and how its neighbours continue.
+
+    ``_continues``: the first key began before; ``_inside``: it also is the last
+    one; ``_goes_on``: the last key continues; ``_run``: chunks with one last key.
+    """
     key = _key(by)
-    return chunks.groupBy(CHUNK).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    edges = chunks.groupBy(CHUNK).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    before = Window.orderBy(CHUNK)  # as many rows as chunks
+    joined = edges.withColumns(
+        {
+            "_continues": (F.row_number().over(before) > 1)
+            & F.col("_lo").eqNullSafe(F.lag("_hi").over(before)),
+            "_one": F.col("_lo").eqNullSafe(F.col("_hi")),
+        }
+    )
+    joined = joined.withColumn("_inside", F.col("_continues") & F.col("_one"))
+    return materialize(
+        joined.withColumns(
+            {
+                "_goes_on": F.coalesce(F.lead("_continues").over(before), F.lit(False)),
+                "_run": F.sum((~F.col("_inside")).cast("int")).over(before),
+            }
+        ).drop("_one")
+    )
 
 
 def running(
@@ -69,7 +79,6 @@ def running(
     order: Sequence[str],
     sums: dict[str, str | Column] | None = None,
     count: str | None = None,
-    split: bool | None = None,
 ) -> DataFrame:
     """Add running sums and a running row count per key, in ``order``.
 
@@ -79,71 +88,42 @@ def running(
     parts = {name: F.col(c) if isinstance(c, str) else c for name, c in (sums or {}).items()}
     if count:
         parts[count] = F.lit(1).cast("long")
-    if split is None:
-        split = must_split(df, by)
-    if not split:
-        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(value).over(window) for name, value in parts.items()})
-
     chunks = range_chunks(df, by, order)
-    edges = _chunk_edges(chunks, by)
-    # One row per chunk: totals of the key that the next chunk may continue.
+    borders = _borders(chunks, by)
     tails = (
-        chunks.join(F.broadcast(edges), CHUNK)
+        chunks.join(F.broadcast(borders.filter("_goes_on").select(CHUNK, "_hi")), CHUNK)
         .filter(_key(by).eqNullSafe(F.col("_hi")))
         .groupBy(CHUNK)
-        .agg(
-            F.first("_lo").alias("_lo"),
-            F.first("_hi").alias("_hi"),
-            *[F.sum(value).alias(name) for name, value in parts.items()],
-        )
-        .orderBy(CHUNK)
-    )
-    schema = tails.schema
-    carries, before_key, before = [], None, dict.fromkeys(parts)
-    for row in tails.collect():
-        continues = before_key is not None and row["_lo"] == before_key
-        carry = before if continues else dict.fromkeys(parts)
-        carries.append((row[CHUNK], row["_lo"], row["_hi"], *carry.values()))
-        whole = continues and row["_lo"] == row["_hi"]
-        before = {n: _plus(carry[n], row[n]) if whole else row[n] for n in parts}
-        before_key = row["_hi"]
-    spark = df.sparkSession
-    names = {name: f"_carry_{i}" for i, name in enumerate(parts)}
-    table = spark.createDataFrame(carries, schema).select(
-        CHUNK, "_lo", *[F.col(n).alias(a) for n, a in names.items()]
+        .agg(*[F.sum(value).alias(f"_tail_{n}") for n, value in parts.items()])
     )
-    window = (
-        Window.partitionBy(CHUNK, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("_run").orderBy(CHUNK)
+    totals = borders.join(tails, CHUNK, "left").select(
+        CHUNK, "_lo", "_continues", *[F.sum(f"_tail_{n}").over(upto).alias(f"_upto_{n}") for n in parts]
     )
-    joined = chunks.join(F.broadcast(table), CHUNK)
+    chunk_order = Window.orderBy(CHUNK)
+    carries = materialize(
+        totals.select(
+            CHUNK, "_lo",
+            *[F.when(F.col("_continues"), F.lag(f"_upto_{n}").over(chunk_order)).alias(f"_carry_{n}") for n in parts],
+        )
+    )
+    joined = chunks.join(F.broadcast(carries), CHUNK)
+    within = Window.partitionBy(CHUNK, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     first_key = _key(by).eqNullSafe(F.col("_lo"))
-    out = joined.withColumns(
-        {
-            name: _add(F.sum(value).over(window), F.when(first_key, F.col(names[name])))
-            for name, value in parts.items()
-        }
-    )
-    return out.drop(CHUNK, "_lo", *names.values())
 
+    def total(name: str, value: Column) -> Column:
+        own, carry = F.sum(value).over(within), F.when(first_key, F.col(f"_carry_{name}"))
+        return F.coalesce(own + carry, own, carry)
 
-def _plus(a, b):
-    return b if a is None else a if b is None else a + b
-
-
-def _add(local: Column, carry: Column) -> Column:
-    return F.coalesce(local + carry, local, carry)
+    out = joined.withColumns({name: total(name, value) for name, value in parts.items()})
+    return out.drop(CHUNK, "_lo", *[f"_carry_{n}" for n in parts])
 
 
 def rank_rows(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    name: str = "_rank",
-    split: bool | None = None,
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "_rank"
 ) -> DataFrame:
     """Exact 1-based position of each row within its key."""
-    return running(df, by, order, count=name, split=split)
+    return running(df, by, order, count=name)
 
 
 def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -161,31 +141,46 @@ def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFr
 class Fold:
     """What a key's rows do, in order, to a small state.
 
-    ``run`` gets the input columns of consecutive rows of one key as numpy
-    arrays plus the state left by the rows before them (None at the start of a
-    key) and returns the output arrays and the new state, a short list of
-    numbers.
+    A state is three numbers (a, s, n) or None at the start of a key. ``run`` gets
+    the input columns of consecutive rows as numpy arrays, ``changes`` marking the
+    rows before another key, and the state left by the rows before them; it
+    returns the output arrays and the new state.
 
-    ``exits`` may return a builder that reads a chunk once and describes, for
-    every state the chunk can be entered with, the state it is left with; then
-    ``after`` applies such a description. It lets chunks of one key be read
-    side by side although each depends on the one before.
+    A chunk inside one key is described without its entry state: ``exits`` gives
+    a builder whose table has entry marks with the exit states behind them. Which
+    mark a state finds in the chunks to come says ``following``; a chunk in which
+    it finds none only adds its totals, as ``passed`` says.
     """
 
-    def run(self, arrays: dict, state: list | None) -> tuple[dict, list | None]:
+    def run(self, arrays: dict, state, changes: np.ndarray | None = None) -> tuple[dict, tuple]:
         raise NotImplementedError
 
-    def run_short(self, arrays: dict, changes: np.ndarray, state: list | None) -> tuple[dict, list]:
-        """``run`` over many short keys; ``changes`` marks rows before a new key."""
-        return _by_run(self, arrays, changes, state)
-
     def exits(self):
-        return None
+        raise NotImplementedError
+
+    def following(self, nodes: DataFrame, spans: list[Span]) -> DataFrame:
+        """Next node (tq, tm) of each node (q, m) with a state, where there is one."""
+        raise NotImplementedError
 
-    def after(self, table: dict, state: list) -> list:
+    def passed(self, state, sums: float, rows: int):
         raise NotImplementedError
 
 
+class Span(NamedTuple):
+    """A chunk inside one key: its marks and totals, in order."""
+
+    chunk: int
+    run: int
+    first: int | None
+    last: int | None
+    rows: int
+
+
+STATE = ["a", "s", "n"]
+EXITS = f"{CHUNK} int, kind string, entry long, a long, s double, n long"
+HEAD = -(1 << 62)  # mark of the state that a run of chunks begins with
+
+
 def fold_rows(
     df: DataFrame,
     by: Sequence[str],
@@ -193,102 +188,157 @@ def fold_rows(
     inputs: Sequence[str],
     outputs: Sequence[T.StructField],
     fold: Fold,
-    split: bool | None = None,
 ) -> DataFrame:
     """Fold each key's rows in ``order`` and add the ``outputs`` columns.
 
     Rows stream through in Arrow batches; no group is held in memory.
     """
-    if split is None:
-        split = must_split(df, by)
-    schema = T.StructType([*df.schema.fields, *outputs])
     names = [f.name for f in outputs]
-    if not split:
-        keyed = df.repartition(*by) if by else df.repartition(1)
-        placed = keyed.sortWithinPartitions(*by, *order)
-        return placed.mapInArrow(_folder(by, inputs, names, fold, schema, {}), schema)
-
     chunks = range_chunks(df, by, order)
     carries = _settle(chunks, by, inputs, fold)
     wide = T.StructType([*chunks.schema.fields, *outputs])
     return chunks.mapInArrow(_folder(by, inputs, names, fold, wide, carries), wide).drop(CHUNK)
 
 
-def _settle(
-    chunks: DataFrame, by: Sequence[str], inputs: Sequence[str], fold: Fold
-) -> dict[int, list]:
+def _settle(chunks: DataFrame, by: Sequence[str], inputs: Sequence[str], fold: Fold) -> dict:
     """State with which each chunk starts, for keys that span chunks.
 
-    One pass over all chunks gives, per chunk, the state after it or (where the
-    chunk lies inside one key) a bounded table from entry to exit state. The
-    driver threads these few rows together. A chunk whose table would be too
-    large is read again alone, with its true entry state.
+    One pass gives, per chunk whose last key goes on, the state after it or, for a
+    chunk inside one key, a table from entry marks to exit states. Tables stay
+    distributed; a row points to the row of a later chunk where its state opens
+    next. The rows on the way of the true state are found by doubling pointers, so
+    jobs grow with the logarithm of the chunks. One row per chunk reaches the
+    driver.
     """
-    edges = {
-        r[CHUNK]: (r["_lo"], r["_hi"]) for r in _chunk_edges(chunks, by).orderBy(CHUNK).collect()
-    }
-    ids = list(edges)
-    previous = {b: a for a, b in zip(ids, ids[1:]) if edges[a][1] == edges[b][0]}
-    if not previous:
+    borders = _borders(chunks, by)
+    rows = borders.select(CHUNK, "_continues", "_inside", "_goes_on", "_run").orderBy(CHUNK).collect()
+    if not any(r["_continues"] for r in rows):
         return {}
-    inside = {c for c in previous if edges[c][0] == edges[c][1]}
-    # Only the last key of a chunk goes on in the next one.
-    going_on = set(previous.values())
-    last = [(c, *edges[c][1]) for c in ids if c in going_on]
-    names = {b: f"_last_{i}" for i, b in enumerate(by)}
-    schema = [
-        chunks.schema[CHUNK],
-        *[T.StructField(n, chunks.schema[b].dataType) for b, n in names.items()],
-    ]
-    ends = chunks.sparkSession.createDataFrame(last, T.StructType(schema))
-    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(n)) for b, n in names.items()])
+    inside = {r[CHUNK] for r in rows if r["_inside"]}
+    going = borders.filter("_goes_on").select(CHUNK, "_hi", "_run")
     narrow = (
         chunks.select(CHUNK, *dict.fromkeys([*by, *inputs]))
-        .join(F.broadcast(ends), CHUNK)
-        .filter(same)
-        .drop(*names.values())
+        .join(F.broadcast(going), CHUNK)  # one row per chunk
+        .filter(_key(by).eqNullSafe(F.col("_hi")))
+        .drop("_hi", "_run")
     )
-    first = _exits(narrow, by, inputs, fold, None, {}, inside)
-    exits: dict[int, list | None] = {}
-    for c in (row[0] for row in last):
-        state, table = first[c]
-        entry = exits[previous[c]] if c in inside else None
-        if table is not None and entry is not None:
-            exits[c] = fold.after(table, entry)
-        elif c in inside:
-            carry = {} if entry is None else {c: entry}
-            exits[c], _ = _exits(narrow, by, inputs, fold, c, carry, ())[c]
+    exits = materialize(narrow.mapInArrow(_exits(by, inputs, fold, inside), EXITS))
+    state, totals = {}, {}
+    for r in exits.filter("kind <> 'exit'").collect():  # one row per chunk
+        (totals if r["kind"] == "total" else state)[r[CHUNK]] = (r["a"], r["s"], r["n"])
+    opened = {}
+    if totals:
+        marks = exits.filter("kind = 'exit'").groupBy(CHUNK).agg(
+            F.min("entry").alias("first"), F.max("entry").alias("last")
+        )
+        marks = {r[CHUNK]: r for r in marks.collect()}  # one row per chunk
+        none = {"first": None, "last": None}
+        spans = [
+            Span(r[CHUNK], r["_run"], marks.get(r[CHUNK], none)["first"],
+                 marks.get(r[CHUNK], none)["last"], totals[r[CHUNK]][2])
+            for r in rows if r[CHUNK] in totals
+        ]
+        runs = F.broadcast(going.select(CHUNK, "_run"))
+        nodes = exits.filter("kind <> 'total'").join(runs, CHUNK).select(
+            F.col(CHUNK).alias("q"), F.coalesce("entry", F.lit(HEAD)).alias("m"), "_run", *STATE
+        )
+        for r in _visited(materialize(nodes), spans, fold).collect():  # at most one per chunk
+            opened[r["q"]] = (r["a"], r["s"], r["n"])
+    carries, before = {}, None
+    for r in rows:
+        c = r[CHUNK]
+        if r["_continues"] and before is not None and before[0] is not None:
+            carries[c] = before
+        if c in opened:
+            before = opened[c]
+        elif c in totals:
+            before = fold.passed(before, totals[c][1], totals[c][2])
         else:
-            exits[c] = state
-    return {c: exits[p] for c, p in previous.items() if exits[p] is not None}
+            before = state.get(c)
+    return carries
+
+
+def _visited(nodes: DataFrame, spans: list[Span], fold: Fold) -> DataFrame:
+    """Nodes inside chunks that the states of the runs come through."""
+    jump = materialize(fold.following(nodes, spans).filter("tq is not null"))
+    seen = nodes.filter(F.col("m") == HEAD).select("q", "m")
+    while True:
+        new = materialize(seen.join(jump, ["q", "m"]).select(F.col("tq").alias("q"), F.col("tm").alias("m")))
+        if new.isEmpty():
+            return seen.filter(F.col("m") != HEAD).join(nodes, ["q", "m"])
+        seen = materialize(seen.unionAll(new))
+        far = jump.select(F.col("q").alias("tq"), F.col("m").alias("tm"), F.col("tq").alias("fq"), F.col("tm").alias("fm"))
+        jump = materialize(jump.join(far, ["tq", "tm"]).select("q", "m", F.col("fq").alias("tq"), F.col("fm").alias("tm")))
 
 
-def _exits(narrow, by, inputs, fold, only, carries, inside) -> dict[int, tuple]:
+def next_at_or_after(nodes: DataFrame, spans: list[Span], mark: Column) -> DataFrame:
+    """For each node the first node of a later chunk whose mark is ``mark`` or more.
+
+    The chunk is found in the list of spans; inside it one sorted pass serves all
+    who look for a mark there. Marks grow from chunk to chunk of a run.
+    """
+    listed = [x for x in spans if x.last is not None]
+    order = {run: [x for x in listed if x.run == run] for run in {x.run for x in listed}}
+    lasts = {run: np.array([x.last for x in xs]) for run, xs in order.items()}
+
+    def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q, m, run, at = (batch.column(i).to_pylist() for i in range(4))
+            goals = []
+            for r, x in zip(run, at):
+                place = int(np.searchsorted(lasts[r], x)) if r in lasts else 0
+                goals.append(order[r][place] if r in lasts and place < len(lasts[r]) else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:2],
+                    pa.array([g and g.chunk for g in goals], pa.int32()),
+                    pa.array([None if g is None else max(x, g.first) for g, x in zip(goals, at)], pa.int64()),
+                ],
+                names=["q", "m", "tq", "at"],
+            )
+
+    aimed = nodes.select("q", "m", "_run", mark.alias("at")).mapInArrow(aim, "q int, m long, tq int, at long")
+    seekers = aimed.filter("tq is not null").select(
+        "tq", "at", F.lit(1).alias("turn"), "q", "m", F.lit(None).cast("long").alias("tm")
+    )
+    marks = nodes.filter(F.col("m") != HEAD).select(
+        F.col("q").alias("tq"), F.col("m").alias("at"), F.lit(0).alias("turn"), "q", "m", F.col("m").alias("tm")
+    )
+    back = Window.partitionBy("tq").orderBy(F.desc("at"), "turn")
+    near = seekers.unionAll(marks).withColumn("tm", F.last("tm", ignorenulls=True).over(back))
+    return near.filter("turn = 1").select("q", "m", "tq", "tm")
+
+
+def _exits(by, inputs, fold, inside):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan, builder = _Scan(by, inputs, fold, carries), None
+        scan, builder = _Scan(by, inputs, fold, {}), None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            chunk = batch.column(CHUNK)[0].as_py()
-            if only is not None and chunk != only:
-                return
-            if scan.chunk is None and chunk in inside:
+            if scan.chunk is None and batch.column(CHUNK)[0].as_py() in inside:
                 builder = fold.exits()
             scan.feed(batch, fold=builder is None)
             if builder is not None:
                 builder.feed(scan.arrays)
-        if scan.chunk is not None:
-            table = builder.table() if builder is not None else None
-            yield pa.RecordBatch.from_pydict(
-                {
-                    CHUNK: pa.array([scan.chunk], pa.int32()),
-                    "state": [json.dumps(scan.state)],
-                    "exits": [json.dumps(table)],
-                }
-            )
+        if scan.chunk is None:
+            return
+        entries, states, total = [], [scan.state or (None, None, None)], "state"
+        if builder is not None:
+            entries, exits, totals = builder.table()
+            states, total = [*exits, totals], "total"
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([scan.chunk] * len(states), pa.int32()),
+                pa.array(["exit"] * len(entries) + [total]),
+                pa.array([*entries, None], pa.int64()),
+                pa.array([x[0] for x in states], pa.int64()),
+                pa.array([x[1] for x in states], pa.float64()),
+                pa.array([x[2] for x in states], pa.int64()),
+            ],
+            names=[CHUNK, "kind", "entry", *STATE],
+        )
 
-    rows = narrow.mapInArrow(run, f"{CHUNK} int, state string, exits string").collect()
-    return {r[CHUNK]: (json.loads(r["state"]), json.loads(r["exits"])) for r in rows}
+    return run
 
 
 def _folder(by, inputs, names, fold, schema, carries):
@@ -319,7 +369,7 @@ class _Scan:
     def __init__(self, by, inputs, fold, carries):
         self.by, self.inputs, self.fold, self.carries = by, inputs, fold, carries
         self.last: list | None = None
-        self.state: list | None = None
+        self.state = None
         self.chunk: int | None = None
         self.arrays: dict = {}
 
@@ -328,9 +378,8 @@ class _Scan:
         keys = [batch.column(batch.schema.get_field_index(c)) for c in self.by]
         first = [k[0] for k in keys]
         if self.last is None:
-            if CHUNK in batch.schema.names:
-                self.chunk = batch.column(CHUNK)[0].as_py()
-                self.state = self.carries.get(self.chunk)
+            self.chunk = batch.column(CHUNK)[0].as_py()
+            self.state = self.carries.get(self.chunk)
         elif not all(_same(a, b) for a, b in zip(self.last, first)):
             self.state = None
         self.last = [k[rows - 1] for k in keys]
@@ -338,27 +387,10 @@ class _Scan:
         self.arrays = arrays
         if not fold:
             return {}
-        changes = _changes(keys, rows)
-        if np.count_nonzero(changes) * SHORT_RUN > rows:
-            outs, self.state = self.fold.run_short(arrays, changes, self.state)
-        else:
-            outs, self.state = _by_run(self.fold, arrays, changes, self.state)
+        outs, self.state = self.fold.run(arrays, self.state, _changes(keys, rows))
         return outs
 
 
-def _by_run(fold: Fold, arrays: dict, changes: np.ndarray, state: list | None) -> tuple[dict, list]:
-    """Fold each key's rows on their own."""
-    starts = [0, *(np.flatnonzero(changes) + 1).tolist(), len(changes) + 1]
-    pieces = []
-    for at, (lo, hi) in enumerate(zip(starts, starts[1:])):
-        entry = state if at == 0 else None
-        outs, state = fold.run({c: a[lo:hi] for c, a in arrays.items()}, entry)
-        pieces.append(outs)
-    if len(pieces) == 1:
-        return pieces[0], state
-    return {n: np.ma.concatenate([p[n] for p in pieces]) for n in pieces[0]}, state
-
-
 def _same(a: pa.Scalar, b: pa.Scalar) -> bool:
     x, y = a.as_py(), b.as_py()
     return x == y or (x != x and y != y)
@@ -366,7 +398,7 @@ def _same(a: pa.Scalar, b: pa.Scalar) -> bool:
 
 def _changes(keys: list[pa.Array], rows: int) -> np.ndarray:
     """True where row i+1 has another key than row i."""
-    changed = np.zeros(max(rows - 1, 0), dtype=bool)
+    pairs = []
     for key in keys:
         a, b = key.slice(0, rows - 1), key.slice(1)
         differs = pc.fill_null(pc.not_equal(a, b), False)
@@ -376,8 +408,8 @@ def _changes(keys: list[pa.Array], rows: int) -> np.ndarray:
                 pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False)
             )
             differs = pc.and_(differs, pc.invert(both_nan))
-        changed |= differs.to_numpy(zero_copy_only=False)
-    return changed
+        pairs.append(differs.to_numpy(zero_copy_only=False))
+    return reduce(np.logical_or, pairs, np.zeros(max(rows - 1, 0), dtype=bool))
 
 
 def _to_numpy(column: pa.Array) -> np.ma.MaskedArray | np.ndarray:

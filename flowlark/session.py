@@ -10,8 +10,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-MAX_GROUP_ROWS = "spark.flowlark.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 _own_dirs: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -79,8 +77,3 @@ def materialize(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
-
-
-def max_group_rows(spark: SparkSession) -> int:
-    """Largest group that may be handled by a single task."""
-    return int(spark.conf.get(MAX_GROUP_ROWS, str(DEFAULT_MAX_GROUP_ROWS)))

@@ -179,9 +179,9 @@ def test_bit_masks(spark):
 @pytest.mark.parametrize(
     "rows, percent, a", [(10, 50, 10), (70, 30, 30), (110, 25, 35), (170, 70, 140), (9, -10, 0), (9, 100, 9)]
 )
-@pytest.mark.parametrize("split", [False, True])
-def test_split(spark, rows, percent, a, split):
-    out = routing.split_percent(spark.range(rows), percent, ["id"], split=split)
+
+def test_split(spark, rows, percent, a):
+    out = routing.split_percent(spark.range(rows), percent, ["id"])
     assert out.filter(F.col(REL) == "a").count() == a
     assert out.count() == rows
 

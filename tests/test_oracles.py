@@ -6,7 +6,6 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle
-from flowlark.session import MAX_GROUP_ROWS
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORDERED = [
@@ -38,14 +37,15 @@ def test_query(spark, con, name):
 
 
 @pytest.mark.parametrize("name", ORDERED)
-def test_query_with_split_groups(spark, con, name):
-    """The route for hot keys gives the same answers."""
-    spark.conf.set(MAX_GROUP_ROWS, "3")
+def test_query_in_many_chunks(spark, con, name):
+    """However many chunks the ordered rows fall into, the answers are the same."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
     try:
         df = contract.queries()[name](spark, FOLDER)
         good, message = oracle.compare(df, contract.oracle_sql()[name], con)
     finally:
-        spark.conf.unset(MAX_GROUP_ROWS)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert good, message
 
 

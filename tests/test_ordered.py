@@ -5,7 +5,6 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowlark.operators import dedupe, documents, windows
 from flowlark.operators.routing import REL
@@ -34,6 +33,15 @@ def events(spark):
     return rows, df.withColumn("ts", F.timestamp_micros("us")).repartition(5)
 
 
+@pytest.fixture
+def many(spark, parts):
+    """Ordered rows fall into this many chunks."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def by_key(rows):
     groups = {}
     for row in sorted(rows, key=lambda r: (r[2], r[0])):
@@ -41,10 +49,10 @@ def by_key(rows):
     return groups
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_running(events, split):
+@pytest.mark.parametrize("parts", [1, 8, 40])
+def test_running(events, many, parts):
     rows, df = events
-    out = ordered.running(df, ["key"], ["ts", "id"], {"total": "value"}, "n", split=split)
+    out = ordered.running(df, ["key"], ["ts", "id"], {"total": "value"}, "n")
     got = {r["id"]: (r["n"], r["total"]) for r in out.select("id", "n", "total").collect()}
     for group in by_key(rows).values():
         total = None
@@ -55,10 +63,10 @@ def test_running(events, split):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_global_rank(events, split):
+@pytest.mark.parametrize("parts", [1, 8, 40])
+def test_global_rank(events, many, parts):
     rows, df = events
-    out = ordered.rank_rows(df, [], ["ts", "id"], "n", split=split)
+    out = ordered.rank_rows(df, [], ["ts", "id"], "n")
     got = [r["id"] for r in out.orderBy("n").select("id").collect()]
     assert got == [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))]
 
@@ -80,11 +88,11 @@ def expect_anchored(rows, width):
     return elapsed
 
 
-@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("parts", [1, 8, 40])
 @pytest.mark.parametrize("hours", [1, 7, 500])
-def test_anchored_tumbling(events, split, hours):
+def test_anchored_tumbling(events, many, parts, hours):
     rows, df = events
-    out = windows.anchored_tumbling(df, "value", "ts", f"{hours} hours", ["key"], ["id"], split=split)
+    out = windows.anchored_tumbling(df, "value", "ts", f"{hours} hours", ["key"], ["id"])
     counts = {r[REL]: r["n"] for r in out.groupBy(REL).agg(F.count("*").alias("n")).collect()}
     elapsed = out.filter(F.col(REL) == "elapsed").collect()
     got = {r["id"]: (r["window_sum"], r["window_count"]) for r in elapsed}
@@ -93,10 +101,10 @@ def test_anchored_tumbling(events, split, hours):
     assert counts["failure"] == bad and counts["success"] == len(rows) - bad
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_dedupe_age_off(events, split):
+@pytest.mark.parametrize("parts", [1, 8, 40])
+def test_dedupe_age_off(events, many, parts):
     rows, df = events
-    out = dedupe.identify_duplicates(df, "key", ["id"], ttl="5 hours", ts="ts", split=split)
+    out = dedupe.identify_duplicates(df, "key", ["id"], ttl="5 hours", ts="ts")
     got = {r["id"]: r[REL] for r in out.select("id", REL).collect()}
     for key, group in by_key(rows).items():
         last = None
@@ -110,13 +118,13 @@ def test_dedupe_age_off(events, split):
             assert got[row[0]] == want
 
 
-@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("parts", [1, 8, 40])
 @pytest.mark.parametrize("varying", [False, True])
-def test_batch_wait(events, split, varying):
+def test_batch_wait(events, many, parts, varying):
     rows, df = events
     want = F.col("want") if varying else F.lit(7)
     out = windows.batch_wait(
-        df.withColumn("w", want.cast("string")), "key", "w", ["ts", "id"], split=split
+        df.withColumn("w", want.cast("string")), "key", "w", ["ts", "id"]
     )
     done = {r["id"] for r in out.filter(F.col(REL) == "batch-completed").collect()}
     expected = set()
@@ -147,24 +155,6 @@ def test_pending_with_changing_counts(events):
     assert got == expected
 
 
-def test_fold_that_never_forgets_its_start(spark):
-    """Without a table of exits every chunk is read again after the one before."""
-    rows = [(i, "one", i % 11) for i in range(500)]
-    df = spark.createDataFrame(rows, "id long, key string, v int")
-
-    class Sum(ordered.Fold):
-        def run(self, arrays, state):
-            start = state[0] if state else 0
-            total = start + np.cumsum(np.asarray(arrays["v"]).astype(np.int64))
-            return {"total": total}, [int(total[-1])]
-
-    out = ordered.fold_rows(
-        df, ["key"], ["id"], ["v"], [T.StructField("total", T.LongType())], Sum(), split=True
-    )
-    expected = np.cumsum([r[2] for r in rows])
-    assert [r["total"] for r in out.orderBy("id").collect()] == expected.tolist()
-
-
 def pieces(rnd, n):
     cuts = sorted(rnd.sample(range(n + 1), min(n + 1, 4)))
     return list(zip([0, *cuts], [*cuts, n]))
@@ -183,9 +173,9 @@ def test_exit_tables(seed):
     want = np.array([rnd.randint(0, 6) for _ in range(n)], dtype=np.int64)
     ok = np.array([rnd.random() < 0.8 for _ in range(n)], dtype=bool)
     cases = [
-        (folds.AnchoredFold(width), {"_t": t, "_v": v}, [[rnd.randint(0, 100), 3.0, 2] for _ in range(20)]),
-        (folds.AgeOffFold(width), {"_t": t}, [[rnd.randint(0, 100)] for _ in range(20)]),
-        (folds.CounterFold(), {"_want": want, "_ok": ok}, [[c] for c in range(10)]),
+        (folds.AnchoredFold(width), {"_t": t, "_v": v}, [(rnd.randint(0, 100), 3.0, 2) for _ in range(20)]),
+        (folds.AgeOffFold(width), {"_t": t}, [(rnd.randint(0, 100), 0.0, 0) for _ in range(20)]),
+        (folds.CounterFold(), {"_want": want, "_ok": ok}, [(c, 0.0, 0) for c in range(10)]),
     ]
     for fold, arrays, entries in cases:
         builder = fold.exits()
@@ -193,25 +183,55 @@ def test_exit_tables(seed):
             builder.feed({c: a[lo:hi] for c, a in arrays.items()})
         table = builder.table()
         for entry in entries:
-            assert fold.after(table, entry) == fold.run(arrays, entry)[1]
-        changes = np.array([rnd.random() < 0.2 for _ in range(n - 1)], dtype=bool)
-        if n:
-            one, state = ordered._by_run(fold, arrays, changes, entries[0])
-            short, same = fold.run_short(arrays, changes, entries[0])
-            assert state == same
-            for name, column in one.items():
-                assert np.ma.allequal(column, short[name]) and column.dtype == short[name].dtype
-
-
-def test_table_too_large(monkeypatch, events):
-    """Without tables the chunks are read one after another."""
-
-    class NoTable(folds.AnchoredFold):
-        def exits(self):
-            return None
-
-    monkeypatch.setattr(windows, "AnchoredFold", NoTable)
-    test_anchored_tumbling(events, True, 7)
+            assert after(fold, table, entry) == fold.run(arrays, entry)[1]
+
+
+def after(fold, table, state):
+    """Exit state by the table, as the plan looks it up."""
+    marks, exits, (_, total, rows) = table
+    a, s, n = state
+    if isinstance(fold, folds.CounterFold):
+        return dict(zip(marks, exits)).get(a, (a + rows, 0.0, 0))
+    width = fold.width if isinstance(fold, folds.AnchoredFold) else fold.ttl
+    found = [x for m, x in sorted(zip(marks, exits)) if m >= a + width]
+    if isinstance(fold, folds.AgeOffFold):
+        return (found[0][0], 0.0, 0) if found else state
+    return tuple(found[0]) if found else (a, s + total, n + rows)
+
+
+@pytest.mark.parametrize("parts", [1, 13])
+def test_odd_keys(spark, many, parts):
+    """NaN, null and long texts are keys like any other, in any number of chunks."""
+    keys = {0: "nan", 1: None, 2: "1.5"}
+    rows = [(i, keys[i % 3], "x" * 3000 if i % 2 else None, 1_000 * i) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, k string, long string, us long")
+    df = df.withColumns({"d": F.col("k").cast("double"), "ts": F.timestamp_micros("us")})
+    out = ordered.running(df, ["d", "long"], ["id"], {"total": F.lit(1.0)}, "n").collect()
+    last = {}
+    for r in sorted(out, key=lambda r: r["id"]):
+        key = (repr(r["d"]), r["long"])
+        last[key] = last.get(key, 0) + 1
+        assert r["n"] == last[key] and r["total"] == last[key]
+    assert set(last.values()) == {150}
+    one = windows.anchored_tumbling(df.withColumn("v", F.lit(1.0)), "v", "ts", "3 days", ["d"], ["id"])
+    most = one.groupBy("d").agg(F.max("window_count").alias("n")).collect()
+    assert {repr(r["d"]): r["n"] for r in most} == {"nan": 300, "None": 300, "1.5": 300}
+
+
+@pytest.mark.parametrize("parts", [32])
+def test_dense_key_takes_few_jobs(spark, many, parts):
+    """One key, dense within one width: rounds grow with the logarithm of the chunks."""
+    df = spark.range(20_000).select(
+        "id", F.lit("one").alias("k"), F.timestamp_micros(F.col("id") * 10).alias("ts"), F.lit(1.0).alias("v")
+    )
+    sc = spark.sparkContext
+    sc.setJobGroup("dense", "dense")
+    out = windows.anchored_tumbling(df, "v", "ts", "70 milliseconds", ["k"], ["id"])
+    elapsed = out.filter(F.col(REL) == "elapsed").select("id", "window_count").collect()
+    jobs = len(sc.statusTracker().getJobIdsForGroup("dense"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(tuple, elapsed)) == [(7000, 7000), (14000, 7000)]
+    assert jobs < 80
 
 
 def expect_insert(rows, held, batch):
