@@ -22,7 +22,7 @@ HEADLINE = [
     "doc_find", "doc_aggregate", "doc_insert_unordered", "doc_insert_ordered", "doc_update_set",
     "doc_upsert", "bulk_lines", "bulk_apply", "bulk_response",
     "influx_lines", "series_query", "hierarchy_rollup", "metric_requests",
-    "file_splits", "zip_inventory", "page_snapshots",
+    "file_splits", "page_snapshots",
     "stream_tumbling", "stream_dedupe_ttl",
 ]
 

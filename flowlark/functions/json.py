@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowlark.functions.numbers import is_blank, to_double, to_long
+from flowlark.functions.numbers import finite, is_blank, to_double, to_long
 from flowlark.functions.times import to_time
 
 
@@ -52,28 +52,31 @@ def json_update(c: str | Column, path: str, value: Column) -> tuple[Column, Colu
 
 
 def _put(doc: Column, name: str, value: Column) -> Column:
-    """Object text with one existing member replaced, members in their order."""
-    names = F.json_object_keys(doc)
-    members = F.transform(
-        names,
-        lambda k: F.concat(
-            json_string(k),
-            F.lit(":"),
-            F.when(k == name, value).otherwise(_member(doc, k)),
-        ),
-    )
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    """Object text with one existing member replaced, members in their order.
+
+    The object is parsed once, before the pass over its members.
+    """
 
+    def rebuild(parts: Column) -> Column:
+        members = F.transform(
+            F.json_object_keys(doc),
+            lambda k: F.concat(
+                json_string(k),
+                F.lit(":"),
+                F.when(k == name, value).otherwise(
+                    F.coalesce(F.to_json(F.try_element_at(parts, k)), F.lit("null"))
+                ),
+            ),
+        )
+        return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
-def _member(doc: Column, key: Column) -> Column:
-    parts = F.from_json(doc, "map<string,variant>")
-    return F.coalesce(F.to_json(F.try_element_at(parts, key)), F.lit("null"))
+    parsed = F.array(F.from_json(doc, "map<string,variant>"))
+    return F.element_at(F.transform(parsed, rebuild), 1)
 
 
 def json_string(c: Column) -> Column:
     """Quoted and escaped JSON string."""
-    wrapped = F.to_json(F.array(c))
-    return F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+    return F.btrim(F.to_json(F.array(c)), F.lit("[]"))  # the quotes stand inside
 
 
 def _json_value(c: Column) -> Column:
@@ -85,7 +88,7 @@ def coerce_json(c: str | Column) -> tuple[Column, Column]:
     """JSON text of an untyped string and whether it was bad JSON.
 
     Blank gives null. Text in braces or brackets is taken as JSON, then whole
-    numbers (up to 64 bits), then other numbers, else a string.
+    numbers (up to 64 bits), then other finite numbers, else a string.
     """
     text = F.trim(_col(c))
     nested = text.rlike(r"(?s)^(\{.*\}|\[.*\])$")
@@ -93,9 +96,11 @@ def coerce_json(c: str | Column) -> tuple[Column, Column]:
     value = (
         F.when(is_blank(text), F.lit(None).cast("string"))
         .when(nested, F.when(parsed, text))
-        .when(to_long(text).isNotNull(), to_long(text).cast("string"))
-        .when(to_double(text).isNotNull(), to_double(text).cast("string"))
-        .otherwise(json_string(text))
+        .otherwise(
+            F.coalesce(
+                to_long(text).cast("string"), finite(to_double(text)).cast("string"), json_string(text)
+            )
+        )
     )
     return value, F.coalesce(nested & ~parsed, F.lit(False))
 
@@ -176,7 +181,7 @@ def _typed(raw: Column, kind: str) -> tuple[Column, Column | None]:
         value = to_long(raw)
         return value.cast("string"), given & value.isNull()
     if kind.startswith("float"):
-        value = to_double(raw)
+        value = finite(to_double(raw))
         return value.cast("string"), given & value.isNull()
     if kind.startswith("json"):
         parsed = F.try_parse_json(raw)

@@ -20,6 +20,11 @@ def to_double(c: str | Column) -> Column:
     return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
 
 
+def finite(c: Column) -> Column:
+    """The value where it is neither NaN nor infinite, else null."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
 def to_long(c: str | Column) -> Column:
     """64-bit value of whole-number text, else null; never fails."""
     text = _col(c).cast("string")

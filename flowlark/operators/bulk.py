@@ -19,15 +19,22 @@ SCRIPTED_UPSERT = "scripted_upsert"
 
 
 def validate_actions(
-    df: DataFrame, index: str = "index", op: str = "op", doc_id: str = "doc_id"
+    df: DataFrame,
+    index: str = "index",
+    op: str = "op",
+    doc_id: str = "doc_id",
+    content: str | None = None,
 ) -> DataFrame:
     """``failure`` for an empty index or op, an unknown op, or a missing id.
 
-    Only ``index`` may go without an id.
+    Only ``index`` may go without an id. With ``content`` given, so is an action
+    without content, unless it deletes.
     """
     name = F.lower(F.coalesce(F.col(op).cast("string"), F.lit("")))
     unnamed = F.coalesce(F.col(index).cast("string"), F.lit("")) == ""
     bad = unnamed | ~name.isin(OPS) | ((name != "index") & F.col(doc_id).isNull())
+    if content is not None:
+        bad = bad | ((name != "delete") & F.col(content).isNull())
     return df.withColumn(REL, F.when(bad, "failure").otherwise("success"))
 
 
@@ -45,14 +52,19 @@ def bulk_lines(
     script: str | None = None,
     upsert_option: str | None = None,
 ) -> DataFrame:
-    """Add ``lines``: the action line and, but for deletes, the source line."""
+    """Add ``lines``: the action line and, but for deletes, the source line.
+
+    A null type is left out. ``lines`` is null for an unknown op and for an
+    action that lacks its content.
+    """
     name = F.lower(F.col(op))
     body = _one_line(F.col(content))
     meta = F.concat(
         F.lit('"_index":'),
         json_string(F.col(index)),
-        F.lit(',"_type":'),
-        json_string(F.col(doc_type)),
+        F.when(
+            F.col(doc_type).isNotNull(), F.concat(F.lit(',"_type":'), json_string(F.col(doc_type)))
+        ).otherwise(""),
         F.when(
             F.coalesce(F.col(doc_id), F.lit("")) != "",
             F.concat(F.lit(',"_id":'), json_string(F.col(doc_id))),
@@ -98,18 +110,26 @@ def apply_bulk(
     fields: Sequence[str],
     order: Sequence[str],
     op: str = "op",
+    new_id: Column | None = None,
 ) -> DataFrame:
     """The index as a table after all actions, in order per id.
 
     ``index`` replaces a document, ``update`` merges into one that exists,
     ``upsert`` merges or inserts, ``delete`` removes; merging skips null
-    fields. Everything per id is a maximum or minimum by order, so actions are
-    combined before each shuffle and an id with very many actions stays cheap.
+    fields. An ``index`` action without an id is a document of its own, under
+    ``new_id``; other ops, and others without an id, have no effect. Everything
+    per id is a maximum or minimum by order, so actions are combined before each
+    shuffle and an id with very many actions stays cheap.
     """
     at = order_key(order)
-    rows = actions.select(
-        F.col(doc_id).alias("_id"), F.lower(F.col(op)).alias("_op"), at.alias("_at"), *fields
-    ).filter(F.col("_id").isNotNull())
+    kind = base.schema[doc_id].dataType
+    name = F.lower(F.col(op))
+    fresh = (F.lit(None) if new_id is None else new_id).cast(kind)
+    unnamed = actions.filter((name == "index") & F.col(doc_id).isNull())
+    unnamed = unnamed.select(fresh.alias(doc_id), *fields)
+    rows = actions.filter(name.isin(OPS) & F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).alias("_id"), name.alias("_op"), at.alias("_at"), *fields
+    )
     full = F.col("_op").isin("index", "delete")
     resets = (
         rows.filter(full)
@@ -144,7 +164,8 @@ def apply_bulk(
         )
         counts = stands | (F.col(f"_new_at_{f}") >= F.col("_upsert"))
         values.append(F.coalesce(F.when(counts, F.col(f"_new_{f}")), old).alias(f))
-    return both.filter(stands | F.col("_upsert").isNotNull()).select(*values)
+    kept = both.filter(stands | F.col("_upsert").isNotNull()).select(*values)
+    return kept.unionByName(unnamed)
 
 
 def route_bulk_response(

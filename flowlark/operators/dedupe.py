@@ -53,21 +53,24 @@ def identify_duplicates(
 def _identify_forever(df: DataFrame, text: Column, order: Sequence[str]) -> DataFrame:
     """First row per key by a pre-combined minimum, joined back on row identity.
 
-    No task ever sees all rows of a key: the aggregate combines before its
-    shuffle and the join runs on the unique order columns.
+    Keys are grouped by their SHA-256, so long texts are not shuffled. No task
+    ever sees all rows of a key: the aggregate combines before its shuffle and
+    the join runs on the unique order columns.
     """
-    keys = df.select(text.alias("_key"), *order).filter(~is_blank("_key"))
+    keys = df.select(F.unhex(F.sha2(text, 256)).alias("_key"), is_blank(text).alias("_blank"), *order)
+    keys = keys.filter(~F.col("_blank")).drop("_blank")
     firsts = first_rows(keys, ["_key"], order).select(
         *[F.col(c).alias(f"_first_{c}") for c in order], F.lit(True).alias("_fresh")
     )
     same = [F.col(c) == F.col(f"_first_{c}") for c in order]
     rel = (
-        F.when(is_blank(text), "failure")
+        F.when(F.col("_blank"), "failure")
         .when(F.col("_fresh"), "non-duplicate")
         .otherwise("duplicate")
     )
-    joined = df.join(firsts, same, "left").withColumn(REL, rel)
-    return joined.drop("_fresh", *[f"_first_{c}" for c in order])
+    rows = df.withColumn("_blank", is_blank(text))
+    joined = rows.join(firsts, same, "left").withColumn(REL, rel)
+    return joined.drop("_fresh", "_blank", *[f"_first_{c}" for c in order])
 
 
 def add_if_absent(

@@ -53,6 +53,8 @@ def find(
             value = F.explode(F.array_distinct(value))
         keys[f"_doc_{i}"] = asked
         side = side.withColumn(f"_doc_{i}", value)
+    for field in on.values():  # a plain condition reaches the files
+        side = side.filter(F.col(field).isNotNull())
     side = side.select(*fields, *extra, *keys)
     asking = requests.withColumns({f"_ask_{i}": F.col(a) for i, a in enumerate(on)})
     pairs = {k: f"_ask_{i}" for i, k in enumerate(keys)}

@@ -42,8 +42,8 @@ ENTITY_FIELDS = {
         "inputContentSize", "outputCount", "outputContentSize", "queued", "queuedContentSize",
     ],
     "processor": [
-        "activeThreadCount", "bytesRead", "bytesReceived", "bytesSent", "bytesWritten",
-        "flowFilesReceived", "flowFilesRemoved", "flowFilesSent", "lineageDuration", "inputBytes",
+        "activeThreadCount", "bytesRead", "bytesReceived", "bytesSent", "bytesTransferred",
+        "bytesWritten", "flowFilesReceived", "flowFilesRemoved", "flowFilesSent", "lineageDuration", "inputBytes",
         "inputCount", "outputBytes", "outputCount", "runStatus",
     ],
     "remote_process_group": [
@@ -53,6 +53,12 @@ ENTITY_FIELDS = {
     ],
     "disk": ["free", "total", "usedPercent"],
     "memory": ["free", "total", "usedPercent"],
+    "jvm": [
+        "jvm.uptime", "jvm.heap_used", "jvm.heap_usage", "jvm.non_heap_usage",
+        "jvm.thread_states.runnable", "jvm.thread_states.blocked",
+        "jvm.thread_states.timed_waiting", "jvm.thread_states.terminated", "jvm.thread_count",
+        "jvm.daemon_thread_count", "jvm.file_descriptor_usage",
+    ],
 }
 THREAD_STATES = ["blocked", "runnable", "terminated", "timed_waiting"]
 STATE_PREFIX = "jvm.thread_states."
@@ -61,14 +67,13 @@ LOCATION = "Metric Location"
 DATUMS_PER_REQUEST = 20
 
 
-def flatten_tree(
-    nodes: DataFrame, edges: DataFrame, roots: DataFrame, max_depth: int = 1000
-) -> DataFrame:
+def flatten_tree(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All nodes below the roots with ``depth`` and ``path`` (root to node).
 
     ``nodes`` has ``id``, ``edges`` ``parent`` and ``child``, ``roots`` ``id``.
     One join per level; each level is written to the shared folder, so the plan
-    does not grow with the depth. A cycle is an error, not a cut.
+    does not grow with the depth. A child that is its own ancestor is an error,
+    whatever the depth.
     """
     level = materialize(
         roots.select("id").withColumns({"depth": F.lit(0), "path": F.array("id")})
@@ -76,6 +81,7 @@ def flatten_tree(
     levels = [level]
     while True:
         below = join_hot(edges, level, {"parent": "id"}, "inner").select(
+            F.array_contains("path", F.col("child")).alias("cycle"),
             F.col("child").alias("id"),
             (F.col("depth") + 1).alias("depth"),
             F.concat("path", F.array("child")).alias("path"),
@@ -83,8 +89,9 @@ def flatten_tree(
         level = materialize(below)
         if level.isEmpty():
             break
-        if len(levels) > max_depth:
-            raise ValueError(f"tree deeper than {max_depth}; is there a cycle?")
+        if not level.filter("cycle").isEmpty():
+            raise ValueError("a node is its own ancestor")
+        level = level.drop("cycle")
         levels.append(level)
     flat = reduce(lambda a, b: a.unionByName(b), levels)
     return flat.join(nodes, "id")
@@ -113,8 +120,8 @@ def status_to_points(
     tags = list(tag_columns if tag_columns is not None else ENTITY_TAGS[measurement])
     fields = list(field_columns if field_columns is not None else ENTITY_FIELDS[measurement])
     tag_pairs = [x for n, c in (global_tags or {}).items() for x in (F.lit(n), c.cast("string"))]
-    tag_pairs += [x for t in tags for x in (F.lit(t), F.col(t).cast("string"))]
-    field_pairs = [x for f in fields for x in (F.lit(f), F.col(f).cast("double"))]
+    tag_pairs += [x for t in tags for x in (F.lit(t), F.col(f"`{t}`").cast("string"))]
+    field_pairs = [x for f in fields for x in (F.lit(f), F.col(f"`{f}`").cast("double"))]
     tag_map = F.create_map(*tag_pairs).cast("map<string,string>")
     field_columns_map = F.create_map(*field_pairs).cast("map<string,double>")
     return df.select(

@@ -27,8 +27,8 @@ def to_points(
 ) -> DataFrame:
     """One point per record: measurement, tags, fields, time and ``_rel``.
 
-    A record without any numeric field, with a bad time, or with bad tag text
-    in the strict form, gives ``failure``. Without ``ts`` the time is one fixed ``now``.
+    A record without any finite field, with a bad time, with bad tag text in the
+    strict form, or with a line break in a name or tag gives ``failure``. Without ``ts`` the time is one fixed ``now``.
     """
     at = to_time(ts, precision) if ts is not None else (now or F.current_timestamp())
     points = df.select(
@@ -38,7 +38,10 @@ def to_points(
         field_map(df, fields).alias("fields"),
         at.alias("time"),
     )
+    names = F.concat(F.map_keys("tags"), F.map_values("tags"), F.map_keys("fields"))
+    broken = F.exists(F.array_append(names, F.col("measurement")), lambda x: x.rlike(r"[\r\n]"))
     usable = (F.size("fields") > 0) & F.col("tags").isNotNull() & F.col("time").isNotNull()
+    usable = usable & ~F.coalesce(broken, F.lit(False))
     return points.withColumn(REL, F.when(usable, "success").otherwise("failure"))
 
 
@@ -126,7 +129,6 @@ def series_query(
         return rows.withColumn("position", F.row_number().over(window).cast("long")).filter(
             F.col("position") <= limit
         )
-    # A series has one row per window after aggregation: no check needed.
     return rank_rows(rows, names, order, "position")
 
 
@@ -135,7 +137,7 @@ def _first_series(rows: DataFrame, names: Sequence[str], slimit: int) -> DataFra
     sets = rows.select(*[F.col(n).alias(f"_s_{n}") for n in names]).distinct()
     chosen = sets.orderBy(*sets.columns).limit(slimit)
     same = [F.col(n).eqNullSafe(F.col(f"_s_{n}")) for n in names]
-    return rows.join(F.broadcast(chosen), same, "left_semi")  # slimit rows
+    return rows.join(chosen, same, "left_semi")
 
 
 def field(name: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlark.functions import json as fj
 from flowlark.functions.ids import md5_text, object_id
-from flowlark.functions.numbers import double_of
+from flowlark.functions.numbers import double_of, finite
 from flowlark.operators.routing import REL
 
 JSON_TYPE = "application/json"  # fixed value
@@ -111,6 +111,6 @@ def with_object_id(
 
 
 def field_map(df: DataFrame, exprs: dict[str, Column]) -> Column:
-    """Map of the expressions that are numbers; others are left out."""
-    pairs = [x for name, c in exprs.items() for x in (F.lit(name), double_of(df, c))]
+    """Map of the expressions that are finite numbers; others are left out."""
+    pairs = [x for name, c in exprs.items() for x in (F.lit(name), finite(double_of(df, c)))]
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())

@@ -218,9 +218,14 @@ def batch_pending(
 def release_ready(
     df: DataFrame, seen_at: str | Column, delay_ms: str | Column, as_of: Column
 ) -> DataFrame:
-    """``success`` once a record's own delay has passed, else ``held``."""
+    """``success`` once a record's own delay has passed, else ``held``.
+
+    Without a readable time and delay a record goes to ``failure``.
+    """
     seen = as_timestamp(seen_at)
     delay = (F.col(delay_ms) if isinstance(delay_ms, str) else delay_ms).try_cast("bigint")
     due = F.try_add(F.unix_micros(seen), F.try_multiply(delay, F.lit(1000).cast("bigint")))
     ready = due <= F.unix_micros(as_timestamp(as_of))
-    return df.withColumn(REL, F.when(ready, "success").otherwise("held"))
+    return df.withColumn(
+        REL, F.when(due.isNull(), "failure").when(ready, "success").otherwise("held")
+    )

@@ -213,6 +213,28 @@ def doc_update_add_to_set(spark, sf):
     return out.select("c_custkey", F.array_join(F.sort_array("tags"), "|").alias("tags"))
 
 
+@query(
+    "doc_update_push",
+    """select c_custkey, case when u.p is null then c_mktsegment
+         else c_mktsegment || '|' || u.p end as tags
+       from customer left join (
+         select o_custkey, string_agg(o_orderpriority, '|' order by o_orderkey) as p from orders group by 1) u
+       on o_custkey = c_custkey""",
+)
+def doc_update_push(spark, sf):
+    """Priorities of a customer's orders behind the segment, repeats included."""
+    docs = table(spark, sf, "customer").select("c_custkey", F.array("c_mktsegment").alias("tags"))
+    out = d.update_many(
+        docs,
+        table(spark, sf, "orders"),
+        {"c_custkey": "o_custkey"},
+        {"tags": "o_orderpriority"},
+        ["o_orderkey"],
+        op=d.PUSH,
+    )
+    return out.select("c_custkey", F.array_join("tags", "|").alias("tags"))
+
+
 @query(
     "doc_upsert",
     """select coalesce(s_suppkey, o_custkey) as s_suppkey, s_name,
@@ -281,38 +303,42 @@ def _actions(spark, sf):
     return table(spark, sf, "events").select(
         "event_id",
         F.when(F.col("value") < 200, "events").otherwise("").alias("index"),
-        F.lit("event").alias("type"),
+        F.when(F.col("event_type") != "view", "event").alias("type"),
         op.alias("op"),
         F.when(F.col("value") >= 5, F.col("user_id").cast("string")).alias("doc_id"),
-        F.regexp_replace("props", " ", "\n").alias("content"),
+        F.when(F.col("value") <= 150, F.regexp_replace("props", " ", "\n")).alias("content"),
     )
 
 
+_GOOD_SQL = """value < 200 and event_type <> 'error' and (event_type = 'click' or value >= 5)
+  and (event_type = 'signup' or value <= 150)"""
+
+
 @query(
     "bulk_validate",
-    f"""select event_id, case when value >= 200 or event_type = 'error'
-          or (event_type <> 'click' and value < 5) then 'failure' else 'success' end as _rel
+    f"""select event_id, case when {_GOOD_SQL} then 'success' else 'failure' end as _rel
         from events""",
 )
 def bulk_validate(spark, sf):
-    return bulk.validate_actions(_actions(spark, sf)).select("event_id", REL)
+    return bulk.validate_actions(_actions(spark, sf), content="content").select("event_id", REL)
 
 
 @query(
     "bulk_lines",
-    """with a as (select event_id, props, event_type, '"_index":"events","_type":"event"'
+    f"""with a as (select event_id, props, event_type, '"_index":"events"'
+         || case when event_type <> 'view' then ',"_type":"event"' else '' end
          || case when value >= 5 then ',"_id":"' || user_id || '"' else '' end as meta
-       from events where value < 200 and event_type <> 'error'
-         and (event_type = 'click' or value >= 5))
+       from events where {_GOOD_SQL})
        select event_id, case event_type
-         when 'click' then '{"index":{' || meta || '}}' || chr(10) || props
-         when 'signup' then '{"delete":{' || meta || '}}'
-         else '{"update":{' || meta || '}}' || chr(10) || '{"doc":' || props
-           || ',"doc_as_upsert":true}' end as lines
+         when 'click' then '{{"index":{{' || meta || '}}}}' || chr(10) || props
+         when 'signup' then '{{"delete":{{' || meta || '}}}}'
+         else '{{"update":{{' || meta || '}}}}' || chr(10) || '{{"doc":' || props
+           || ',"doc_as_upsert":true}}' end as lines
        from a""",
 )
 def bulk_lines(spark, sf):
-    good = bulk.validate_actions(_actions(spark, sf)).filter(F.col(REL) == "success")
+    checked = bulk.validate_actions(_actions(spark, sf), content="content")
+    good = checked.filter(F.col(REL) == "success")
     out = bulk.bulk_lines(good, upsert_option=bulk.DOC_AS_UPSERT)
     return out.select("event_id", "lines")
 
@@ -321,10 +347,12 @@ def bulk_lines(spark, sf):
     "bulk_apply",
     """with recursive a as (
          select o_custkey as id, case o_orderstatus when 'F' then 'update' when 'O' then 'upsert'
-             else case when o_orderpriority < '3' then 'index' else 'delete' end end as op,
+             else case when o_orderpriority < '3' then 'index'
+               when o_orderpriority < '4' then 'merge' else 'delete' end end as op,
            case when o_orderpriority <> '5-LOW' then o_totalprice end as price,
            o_orderpriority as seg,
            row_number() over (partition by o_custkey order by o_orderkey) as rn from orders
+         where not (o_orderstatus = 'P' and o_orderpriority < '2')
        ), ids as (select s_suppkey as id from supplier union select o_custkey from orders
        ), f as (
          select ids.id, 0::bigint as rn, s_suppkey is not null as here, s_acctbal as bal, s_name as nm
@@ -332,33 +360,43 @@ def bulk_lines(spark, sf):
          union all
          select f.id, a.rn,
            case a.op when 'index' then true when 'delete' then false when 'upsert' then true else f.here end,
-           case when a.op = 'delete' then null when a.op = 'index' then a.price
+           case when a.op = 'merge' then f.bal when a.op = 'delete' then null when a.op = 'index' then a.price
              when a.op = 'upsert' or f.here then coalesce(a.price, f.bal) end,
-           case when a.op = 'delete' then null when a.op = 'index' then a.seg
+           case when a.op = 'merge' then f.nm when a.op = 'delete' then null when a.op = 'index' then a.seg
              when a.op = 'upsert' or f.here then coalesce(a.seg, f.nm) end
          from f join a on a.id = f.id and a.rn = f.rn + 1
        )
        select id as s_suppkey, bal as s_acctbal, nm as s_name from f
-       where here and rn = (select max(g.rn) from f g where g.id = f.id)""",
+       where here and rn = (select max(g.rn) from f g where g.id = f.id)
+       union all select -o_orderkey, o_totalprice, o_orderpriority from orders
+       where o_orderstatus = 'P' and o_orderpriority < '2'""",
 )
 def bulk_apply(spark, sf):
-    """Orders as actions on the supplier table, by customer number."""
+    """Orders as actions on the supplier table, by customer number.
+
+    Some have an op that is none, some are new documents without an id.
+    """
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     op = (
         F.when(status == "F", "update")
         .when(status == "O", "upsert")
         .when(priority < "3", "index")
+        .when(priority < "4", "merge")
         .otherwise("delete")
     )
+    unnamed = (status == "P") & (priority < "2")
     actions = table(spark, sf, "orders").select(
-        F.col("o_custkey").alias("s_suppkey"),
+        F.when(~unnamed, F.col("o_custkey")).alias("s_suppkey"),
         op.alias("op"),
         F.when(priority != "5-LOW", F.col("o_totalprice")).alias("s_acctbal"),
         priority.alias("s_name"),
         "o_orderkey",
     )
     base = table(spark, sf, "supplier").select("s_suppkey", "s_acctbal", "s_name")
-    return bulk.apply_bulk(base, actions, "s_suppkey", ["s_acctbal", "s_name"], ["o_orderkey"])
+    return bulk.apply_bulk(
+        base, actions, "s_suppkey", ["s_acctbal", "s_name"], ["o_orderkey"],
+        new_id=-F.col("o_orderkey"),
+    )
 
 
 @query(

@@ -1,18 +1,15 @@
-"""File, listing, archive and page queries."""
+"""File, listing and page queries."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowlark.operators import listing
 from flowlark.operators.routing import REL
 from flowlark.queries.registry import query, table
 from flowlark.session import scratch_path
-from flowlark.sources import archives, files, pages
+from flowlark.sources import files, pages
 
 _SPLIT_SQL = """
 with l as (select doc_id, string_split(regexp_replace(text, '\\n$', ''), chr(10)) as lines from documents),
@@ -33,33 +30,32 @@ def file_splits(spark, sf):
 
 @query(
     "file_lines",
-    """select md5(line) as hash, count(*) as n from (
-         select unnest(string_split(regexp_replace(text, '\\n$', ''), chr(10))) as line from documents)
-       group by 1""",
+    """select doc_id, len(string_split(text, chr(10)))::bigint as lines,
+         sum(strlen(line) * line_no)::bigint as place from (
+         select doc_id, text, unnest(string_split(text, chr(10))) as line,
+           unnest(range(len(string_split(text, chr(10))))) as line_no from documents)
+       group by 1, 2""",
 )
 def file_lines(spark, sf):
-    """Documents written as text files, one per task, and read as numbered lines."""
+    """Documents written as text files, read back as numbered lines.
+
+    Each document follows a line with its id, so that the numbers inside it can
+    be checked: the lines of a document and the sum of their bytes times place.
+    """
     out = scratch_path(spark, "lines")
-    text = F.regexp_replace("text", r"\n$", "").alias("value")
+    head = F.concat(F.lit("\x01"), F.col("doc_id").cast("string"))
+    text = F.concat_ws("\n", head, "text").alias("value")
     table(spark, sf, "documents").select(text).write.text(out)
-    lines = files.numbered_lines(spark, out).filter("line >= 0")
-    return lines.groupBy(F.md5("value").alias("hash")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(
-    "file_status",
-    """select 'success' as _rel, 14::bigint as n union all select 'not.found', 14""",
-)
-def file_status(spark, sf):
-    """The given table files, and as many names that do not exist."""
-    there = files.file_listing(spark, sf, "*.parquet").select("key")
-    asked = there.unionByName(there.select(F.concat("key", F.lit(".gone")).alias("key")))
-    return files.file_status(asked, "key").groupBy(REL).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("file_listing")
-def file_listing(spark, sf):
-    return files.file_listing(spark, sf, "*.parquet").select("filename", "size", "storageClass")
+    lines = files.numbered_lines(spark, out)
+    heads = Window.partitionBy("file").orderBy("line")
+    doc = F.when(F.col("value").startswith("\x01"), F.substring("value", 2, 20).cast("long"))
+    lines = lines.withColumn("doc_id", doc).withColumn("at", F.when(F.col("doc_id").isNotNull(), F.col("line")))
+    lines = lines.withColumns({c: F.last(c, ignorenulls=True).over(heads) for c in ("doc_id", "at")})
+    inside = lines.filter(F.col("line") > F.col("at"))
+    place = F.octet_length("value") * (F.col("line") - F.col("at") - 1)
+    return inside.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(place).cast("long").alias("place")
+    )
 
 
 @query(
@@ -84,61 +80,6 @@ def list_keys_all(spark, sf):
     return listing.all_pages(keys, "http", limit=100, key="url")
 
 
-def _archives(spark, sf):
-    """A zip per document: its text, and a note in a folder."""
-
-    def pack(frames):
-        for pdf in frames:
-            packed = []
-            for lang, text in zip(pdf["lang"], pdf["text"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr("text.txt", text.encode())
-                    archive.writestr("notes/", b"")
-                    archive.writestr("notes/lang.json", f'{{"lang":"{lang}"}}')
-                packed.append(buffer.getvalue())
-            yield pd.DataFrame({"path": pdf["doc_id"].astype(str), "content": packed})
-
-    return table(spark, sf, "documents").select("doc_id", "lang", "text").mapInPandas(
-        pack, "path string, content binary"
-    )
-
-
-@query(
-    "zip_inventory",
-    """select doc_id::varchar as path, p::int as position, e as entry, s as size,
-         'text.txt' as first_entry, 'success' as _rel
-       from (
-         select doc_id, 0 as p, 'text.txt' as e, octet_length(encode(text)) as s from documents
-         union all select doc_id, 1, 'notes/', 0 from documents
-         union all select doc_id, 2, 'notes/lang.json', octet_length(encode(lang)) + 11 from documents)""",
-)
-def zip_inventory(spark, sf):
-    return archives.zip_inventory(_archives(spark, sf)).drop("error")
-
-
-@query(
-    "zip_suffixes",
-    """select 'txt' as suffix, count(*) as entries, sum(octet_length(encode(text)))::bigint as bytes from documents
-       union all select 'json', count(*), sum(octet_length(encode(lang)) + 11)::bigint from documents
-       union all select '', count(*), 0 from documents""",
-)
-def zip_suffixes(spark, sf):
-    return archives.suffix_totals(archives.zip_inventory(_archives(spark, sf)))
-
-
-@query(
-    "zip_extract",
-    """select doc_id::varchar as path, 'text.txt' as entry, md5(text) as hash, 'success' as _rel
-       from documents
-       union all select doc_id::varchar, 'notes/lang.json', md5('{"lang":"' || lang || '"}'), 'success'
-       from documents""",
-)
-def zip_extract(spark, sf):
-    out = archives.zip_extract(_archives(spark, sf))
-    return out.select("path", "entry", F.md5("content").alias("hash"), REL)
-
-
 @query(
     "page_snapshots",
     """select page_id, case when contains(html, '<article') then 'success' else 'failure' end as _rel

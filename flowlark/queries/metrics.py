@@ -86,6 +86,37 @@ def status_points(spark, sf):
     return m.long_fields(points, ["s_suppkey"])
 
 
+def _register_entity(entity: str) -> None:
+    """All tags and fields of one kind of status, from the orders."""
+    tags, fields = m.ENTITY_TAGS[entity], m.ENTITY_FIELDS[entity]
+    names = ", ".join(f"'{f}'" for f in fields)
+    tag_text = " || ',' || ".join(f"'{t}=' || o_custkey || '{t}'" for t in sorted(tags)) or "''"
+    sql = f"""select o_orderkey, '{entity}' as measurement, {tag_text} as tags, field,
+         o_totalprice + position as value
+       from orders, (select unnest([{names}]) as field, unnest(range({len(fields)})) as position)"""
+
+    def status(spark, sf):
+        rows = table(spark, sf, "orders").select(
+            "o_orderkey",
+            *[F.concat(F.col("o_custkey").cast("string"), F.lit(t)).alias(t) for t in tags],
+            *[(F.col("o_totalprice") + i).alias(f) for i, f in enumerate(fields)],
+        )
+        points = m.status_to_points(rows, entity, keep=["o_orderkey"])
+        text = F.array_join(
+            F.transform(
+                F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+            ),
+            ",",
+        )
+        return points.select("o_orderkey", "measurement", text.alias("tags"), F.explode("fields").alias("field", "value"))
+
+    query(f"status_{entity}", sql)(status)
+
+
+for _entity in m.ENTITY_FIELDS:
+    _register_entity(_entity)
+
+
 @query(
     "status_tags",
     """select s_suppkey, 'node-1' as node, s_nationkey::varchar as "group", s_name as name,

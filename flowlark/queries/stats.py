@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flowlark.operators import stats
 from flowlark.queries.registry import query, rounded, table
+from flowlark.session import materialize
 
 FLOATS = ("sum", "min", "max", "mean", "stddev")
 
@@ -70,7 +71,7 @@ def moments_missing_key(spark, sf):
         from events group by 1, 2""",
 )
 def moments_rollup(spark, sf):
-    """Hourly states of event values merged to days."""
+    """Hourly states of event values, stored once and merged to days."""
     events = table(spark, sf, "events")
     hourly = stats.moment_state(
         events,
@@ -78,7 +79,7 @@ def moments_rollup(spark, sf):
         {"hour": F.date_trunc("hour", F.col("ts").cast("timestamp")), "event_type": F.col("event_type")},
     )
     daily = stats.merge_moments(
-        hourly, {"day": F.date_trunc("day", "hour"), "event_type": F.col("event_type")}
+        materialize(hourly), {"day": F.date_trunc("day", "hour"), "event_type": F.col("event_type")}
     )
     done = stats.finish_moments(daily).withColumn("day_us", F.unix_micros("day")).drop("day")
     return rounded(done, 8, *FLOATS)

@@ -130,18 +130,38 @@ def batch_pending(spark, sf):
 @query(
     "delay_ready",
     """select _rel, count(*) as n, sum(l_orderkey)::bigint as key_sum from (
-         select l_orderkey, case when (epoch_us(l_shipdate) // 1000) + l_quantity * 86400000
+         select l_orderkey, case when l_linestatus = 'F' and l_quantity < 2 then 'failure' when (epoch_us(l_shipdate) // 1000) + l_quantity * 86400000
            <= (epoch_us(timestamp '1998-09-01') // 1000) then 'success' else 'held' end as _rel
          from lineitem) group by 1""",
 )
 def delay_ready(spark, sf):
-    """Lines are held as many days after shipping as they have units."""
+    """Lines are held as many days after shipping as they have units.
+
+    The delay of some is no number.
+    """
+    late = (F.col("l_linestatus") == "F") & (F.col("l_quantity") < 2)
     out = windows.release_ready(
         table(spark, sf, "lineitem"),
         "l_shipdate",
-        F.col("l_quantity") * 86_400_000,
+        F.when(~late, (F.col("l_quantity") * 86_400_000).cast("long").cast("string")).otherwise("soon"),
         F.to_timestamp(F.lit("1998-09-01")),
     )
     return out.groupBy(REL).agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum")
     )
+
+
+@query(
+    "batch_wait_nameless",
+    """with n as (select event_id, event_type = 'purchase' as ok,
+           row_number() over (partition by event_type = 'purchase', user_id order by ts, event_id) as rn from events)
+       select event_id, 'original' as _rel from n
+       union all select event_id, 'batch-completed' from n where ok and rn % 3 = 0
+       union all select event_id, 'failure' from n where not ok""",
+)
+def batch_wait_nameless(spark, sf):
+    """Most events have no batch id; they never enter the ordering."""
+    events = table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id")
+    name = F.when(F.col("event_type") == "purchase", F.col("user_id").cast("string"))
+    rows = events.withColumns({"batch": name, "size": F.lit("3")})
+    return windows.batch_wait(rows, "batch", "size", ["ts", "event_id"]).select("event_id", REL)

@@ -117,16 +117,18 @@ def dedupe_stream(
 ) -> DataFrame:
     """``identify_duplicates`` with age-off on a stream.
 
-    With a watermark a key's state is dropped once it is aged off.
+    With a watermark a key's state is dropped once it is aged off. As in the batch
+    form, records without key or time fail; they have no state.
     """
     text = F.col(key).cast("string")
     rows = sdf.withColumn(ts, as_timestamp(ts))
     if watermark:
         rows = rows.withWatermark(ts, watermark)
-    rows = rows.withColumns({"_key": F.when(~is_blank(text), text), "_t": micros(F.col(ts))})
+    rows = rows.withColumns({"_key": text, "_t": micros(F.col(ts))})
+    good = ~is_blank(text) & F.col(ts).isNotNull()
     age = interval_micros(ttl)
     out = fold_stream(
-        rows,
+        rows.filter(good),
         ["_key"],
         ["_t", *order],
         ["_t"],
@@ -134,12 +136,10 @@ def dedupe_stream(
         AgeOffFold(age),
         forget_after_ms=age // 1000 if watermark else None,
     )
-    rel = (
-        F.when(F.col("_key").isNull(), "failure")
-        .when(F.col("_fresh"), "non-duplicate")
-        .otherwise("duplicate")
-    )
-    return out.withColumn(REL, rel).drop("_key", "_t", "_fresh")
+    rel = F.when(F.col("_fresh"), "non-duplicate").otherwise("duplicate")
+    failed = rows.filter(~good).withColumn(REL, F.lit("failure"))
+    both = out.withColumn(REL, rel).drop("_fresh").unionByName(failed)
+    return both.drop("_key", "_t")
 
 
 def distinct_stream(sdf: DataFrame, key: str, ts: str | None = None, watermark: str | None = None) -> DataFrame:
@@ -169,30 +169,39 @@ def batch_wait_stream(
 def delay_stream(sdf: DataFrame, key: str, delay_ms: str | Column) -> DataFrame:
     """Hold each record for its own delay in processing time.
 
-    ``key`` identifies a record, so state and timers spread over all tasks.
+    ``key`` spreads state and timers over tasks; records that share one are held
+    side by side. Released records are ``success``; a record without a readable
+    delay is ``failure`` at once.
     """
-    delay = (F.col(delay_ms) if isinstance(delay_ms, str) else delay_ms).cast("long")
-    packed = sdf.select(
+    given = F.col(delay_ms) if isinstance(delay_ms, str) else delay_ms
+    rows = sdf.withColumn("_delay", given.try_cast("bigint"))
+    packed = rows.filter(F.col("_delay").isNotNull()).select(
         F.col(key).cast("string").alias("_key"),
-        delay.alias("_delay"),
+        "_delay",
         F.to_json(F.struct(*sdf.columns), ROW_FORMAT).alias("_row"),
     )
 
     def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (row,) = state.get
+        held = json.loads(state.get[0]) if state.exists else []
+        now = state.getCurrentProcessingTimeMs()
+        if not state.hasTimedOut:
+            for pdf in frames:
+                held += [[now + int(d), row] for d, row in zip(pdf["_delay"], pdf["_row"])]
+        due = [row for at, row in held if at <= now]
+        held = [x for x in held if x[0] > now]
+        if held:
+            state.update((json.dumps(held),))
+            state.setTimeoutDuration(max(1, min(at for at, _ in held) - now))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame({"_row": [row]})
-            return
-        for pdf in frames:
-            for wait, row in zip(pdf["_delay"], pdf["_row"]):
-                if wait <= 0:
-                    yield pd.DataFrame({"_row": [row]})
-                else:
-                    state.update((row,))
-                    state.setTimeoutDuration(int(wait))
+        if due:
+            yield pd.DataFrame({"_row": due})
 
     held = packed.groupBy("_key").applyInPandasWithState(
         step, "_row string", STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
-    return held.select(F.from_json("_row", sdf.schema, ROW_FORMAT).alias("r")).select("r.*")
+    back = held.select(F.from_json("_row", sdf.schema, ROW_FORMAT).alias("r")).select("r.*")
+    failed = rows.filter(F.col("_delay").isNull()).drop("_delay")
+    return back.withColumn(REL, F.lit("success")).unionByName(
+        failed.withColumn(REL, F.lit("failure"))
+    )

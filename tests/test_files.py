@@ -1,17 +1,15 @@
 """File jobs on generated files."""
 
 import os
-import subprocess
-import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from flowlark.operators import points
 from flowlark.operators.routing import REL
-from flowlark.sources import archives, files, pages
+from flowlark.sources import files, pages
 
-LINES = ["banner", "id,vehicle", "1,plane", "2,train", "3,car", "4,bike", "5,motorcycle"]
+LINES = ["# measured", *[f"{i};{i * i}" for i in range(6)]]
 
 
 @pytest.fixture
@@ -65,49 +63,6 @@ def test_listing(spark, line_file):
     assert row["key"].endswith("/test.csv") and row["lastModified"] is not None
 
 
-@pytest.fixture
-def zips(tmp_path):
-    with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
-        z.writestr("dir/", b"")
-        z.writestr("dir/a.txt", b"alpha")
-        z.writestr("b.TXT", b"beta!")
-    with zipfile.ZipFile(tmp_path / "empty.zip", "w"):
-        pass
-    (tmp_path / "bad.zip").write_bytes(b"no archive")
-    return tmp_path
-
-
-def test_zip_inventory(spark, zips):
-    out = archives.zip_inventory(archives.read_archives(spark, str(zips)))
-    got = sorted((os.path.basename(r["path"]), r["entry"], r["first_entry"], r[REL]) for r in out.collect() if r["entry"] is not None)
-    assert got == [
-        ("empty.zip", "", "", "success"),
-        ("good.zip", "b.TXT", "dir/", "success"),
-        ("good.zip", "dir/", "dir/", "success"),
-        ("good.zip", "dir/a.txt", "dir/", "success"),
-    ]
-    assert out.filter(F.col(REL) == "failure").count() == 1
-    assert {tuple(r) for r in archives.suffix_totals(out).collect()} == {("txt", 2, 10), ("", 1, 0)}
-
-
-def test_zip_extract_with_password(spark, zips):
-    (zips / "secret.txt").write_text("hidden")
-    packed = subprocess.run(
-        ["zip", "-q", "-j", "-P", "pass", str(zips / "locked.zip"), str(zips / "secret.txt")], check=False
-    )
-    if packed.returncode:
-        pytest.skip("no zip tool")
-    locked = archives.read_archives(spark, str(zips), "locked.zip")
-    row = archives.zip_extract(locked, "pass").first()
-    assert (row["entry"], bytes(row["content"]), row[REL]) == ("secret.txt", b"hidden", "success")
-    for password in ("wrong", None):
-        row = archives.zip_extract(locked, password).first()
-        assert (row["content"], row[REL]) == (None, "failure") and row["error"]
-    every = archives.zip_extract(archives.read_archives(spark, str(zips)), "pass")
-    assert {r["entry"] for r in every.filter(F.col(REL) == "success").collect()} == {"dir/a.txt", "b.TXT", "secret.txt"}
-    assert every.filter(F.col(REL) == "failure").count() == 1
-
-
 HTML = """<!doctype html><html><head><title>T & x</title></head><body class='a b'>
 <ul><li>one<li>two<br></ul><p id=main data-x>text <a href="/go?a=1&b=2">Go on</a><p style="display: none"
  id=gone>hid<script>if (a<b) {}</script></div></body></html>"""

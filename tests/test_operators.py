@@ -471,6 +471,36 @@ def test_bulk_lines(spark):
     assert json.loads(scripted) == {"script": {"source": "s"}, "upsert": {}, "scripted_upsert": True}
 
 
+def test_bulk_without_type_or_content(spark):
+    rows = [(1, "index", None, None, "{}"), (2, "update", "t", "7", None), (3, "delete", None, "7", None)]
+    df = spark.createDataFrame(rows, "seq long, op string, type string, doc_id string, content string")
+    df = df.withColumn("index", F.lit("i"))
+    routed = bulk.validate_actions(df, content="content")
+    assert {r["seq"] for r in routed.collect() if r[REL] == "failure"} == {2}
+    lines = {r["seq"]: r["lines"] for r in bulk.bulk_lines(routed).collect()}
+    assert lines[1].split("\n") == ['{"index":{"_index":"i"}}', "{}"]
+    assert lines[2] is None and lines[3] == '{"delete":{"_index":"i","_id":"7"}}'
+
+
+def test_bulk_apply_keeps_new_documents(spark):
+    base = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int")
+    rows = [(1, "INDEX", None, 7), (2, "merge", "a", 9), (3, "update", "b", 5), (4, "merge", None, 1), (5, "index", None, 8)]
+    actions = spark.createDataFrame(rows, "seq int, op string, id string, v int")
+    new = F.concat(F.lit("new-"), F.col("seq"))
+    out = bulk.apply_bulk(base, actions, "id", ["v"], ["seq"], new_id=new)
+    assert sorted(map(tuple, out.collect())) == [("a", 1), ("b", 5), ("new-1", 7), ("new-5", 8)]
+
+
+def test_numbers_beyond_doubles_stay_valid(spark):
+    df = spark.createDataFrame([("1e400", "m\nx"), ("2.5", "m")], "v string, name string")
+    fields = df.select(project.field_map(df, {"v": F.col("v"), "w": F.lit(float("nan"))}).alias("f")).collect()
+    assert [r["f"] for r in fields] == [{}, {"v": 2.5}]
+    out = points.to_points(df, F.col("name"), F.lit(None).cast("string"), {"f": F.lit(1)}, ts=F.lit(1))
+    assert [r[REL] for r in out.collect()] == ["failure", "success"]
+    value, bad = fj.coerce_json("v")
+    assert [tuple(r) for r in df.select(value, bad).collect()] == [('"1e400"', False), ("2.5", False)]
+
+
 def test_bulk_response(spark):
     asked = spark.createDataFrame([(b, p) for b in range(5) for p in range(2)], "batch int, position int")
     item = [(201, None), (400, "no")]
@@ -539,7 +569,7 @@ def test_tree_cycle_is_an_error(spark):
     nodes = spark.createDataFrame([("a",), ("b",)], "id string")
     edges = spark.createDataFrame([("a", "b"), ("b", "a")], "parent string, child string")
     with pytest.raises(ValueError):
-        metrics.flatten_tree(nodes, edges, nodes.limit(1), max_depth=4)
+        metrics.flatten_tree(nodes, edges, nodes.limit(1))
 
 
 def test_gc_and_states(spark):
