@@ -194,27 +194,9 @@ def _insert_ordered(marked, taken, key, order, batch_size) -> DataFrame:
     contested = materialize(
         join_hot(tries, status.filter("_n > 1 or _exists"), {"_k": "_k"}, "inner").drop("_n")
     )
-    never = F.lit(2**62)
-    stops = None
-    while True:
-        live = contested
-        if stops is not None:
-            live = contested.join(stops, "_batch", "left").filter(
-                F.col("_pos") < F.coalesce("_stop", never)
-            )
-        earliest = live.groupBy("_k").agg(F.min("_pos").alias("_since"))
-        clash = F.col("_exists") | (F.col("_since") < F.col("_pos"))
-        fresh = materialize(
-            join_hot(contested, earliest, {"_k": "_k"})
-            .filter(F.coalesce(clash, F.lit(False)))
-            .groupBy("_batch")
-            .agg(F.min("_pos").alias("_stop"))
-        )
-        if stops is not None and not _differ(stops, fresh):
-            break
-        stops = fresh
-    joined = ranked.join(fresh, "_batch", "left")
-    stop = F.coalesce(F.col("_stop"), never)
+    stop_by = _stops(contested)
+    joined = ranked.join(stop_by, "_batch", "left")
+    stop = F.coalesce("_stop", F.lit(NEVER))
     written = F.col("_good") & (F.col("_pos") < stop)
     out = joined.withColumns(
         {
@@ -225,10 +207,43 @@ def _insert_ordered(marked, taken, key, order, batch_size) -> DataFrame:
     return out.drop("_good", "_pos", "_batch", "_stop")
 
 
-def _differ(a: DataFrame, b: DataFrame) -> bool:
-    other = b.select(F.col("_batch").alias("_b2"), F.col("_stop").alias("_s2"))
-    joined = a.join(other, F.col("_batch") == F.col("_b2"), "full_outer")
-    return not joined.filter(~F.col("_stop").eqNullSafe(F.col("_s2"))).isEmpty()
+NEVER = 2**62
+
+
+def _stops(contested: DataFrame) -> DataFrame:
+    """First failed position of each batch (null: none), in closing rounds.
+
+    A batch is settled when its lower and upper bound meet. It leaves the rounds
+    with all its rows; of its written keys only the first position is kept.
+    """
+    rows, held, stops, settled = contested, None, None, []
+    while True:
+        live = rows
+        if stops is not None:
+            live = rows.join(stops, "_batch").filter(F.col("_pos") < F.coalesce("_stop", F.lit(NEVER)))
+        since = live.select("_k", "_pos")
+        if held is not None:
+            since = since.unionByName(held)
+        earliest = since.groupBy("_k").agg(F.min("_pos").alias("_since"))
+        clash = F.col("_exists") | F.coalesce(F.col("_since") < F.col("_pos"), F.lit(False))
+        fresh = materialize(
+            join_hot(rows, earliest, {"_k": "_k"})
+            .groupBy("_batch")
+            .agg(F.min(F.when(clash, F.col("_pos"))).alias("_stop"))
+        )
+        if stops is not None:
+            met = fresh.join(stops.withColumnRenamed("_stop", "_was"), "_batch")
+            done = met.filter(F.col("_stop").eqNullSafe(F.col("_was"))).select("_batch", "_stop")
+            settled.append(done)
+            written = rows.join(done, "_batch").filter(F.col("_pos") < F.coalesce("_stop", F.lit(NEVER)))
+            written = written.select("_k", "_pos")
+            rows = materialize(rows.join(done, "_batch", "left_anti"))
+            if rows.isEmpty():
+                return reduce(lambda x, y: x.unionByName(y), settled)
+            held = written if held is None else held.unionByName(written)
+            held = materialize(held.groupBy("_k").agg(F.min("_pos").alias("_pos")))
+            fresh = fresh.join(done, "_batch", "left_anti")
+        stops = fresh
 
 
 # --- update and delete ----------------------------------------------------------------

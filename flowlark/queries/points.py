@@ -86,27 +86,59 @@ def time_precision(spark, sf):
     )
 
 
-@query(
-    "influx_lines",
-    """select event_id, 'event,type=' || event_type || ',user=' || user_id || ' k='
+INFLUX_LINES_SQL = """select event_id, 'event,type=' || event_type || ',user=' || user_id || ' k='
          || (props->>'$.k')::double::varchar || ',value=' || value::varchar || ' '
-         || (epoch_us(ts) // 1000) || '000000' as line from events""",
-)
+         || (epoch_us(ts) // 1000) || '000000' as line from events"""
+
+
+@query("influx_lines", INFLUX_LINES_SQL)
 def influx_lines(spark, sf):
     return _points(spark, sf).select("event_id", p.line_text().alias("line"))
 
 
 @query(
     "influx_write",
-    """select measurement, count(*) as n from (select 'event' as measurement from events)
-       group by 1""",
+    f"""select 'event' as measurement, md5(line) as hash, count(*) as n from ({INFLUX_LINES_SQL})
+       group by 2""",
 )
 def influx_write(spark, sf):
-    """Points written as line text and read back."""
+    """Points written as line text and read back, by line."""
     out = scratch_path(spark, "points")
     p.write_points(_points(spark, sf), out)
     lines = spark.read.text(out)
-    return lines.groupBy("measurement").agg(F.count(F.lit(1)).alias("n"))
+    return lines.groupBy("measurement", F.md5("value").alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "series_packets",
+    """with s as (select event_type as t, epoch_us(time_bucket(interval '6 hours', ts)) as us,
+           count(value) as n, row_number() over (
+             partition by event_type order by time_bucket(interval '6 hours', ts)) - 1 as at
+         from events group by event_type, time_bucket(interval '6 hours', ts))
+       select t as tag, (at // 20)::bigint as packet, count(*)::int as size,
+         string_agg(us || ':' || n, ',' order by us) as body
+       from s group by 1, 2""",
+)
+def series_packets(spark, sf):
+    """The nested form: packets of twenty windows of one series."""
+    series = p.series_query(
+        _points(spark, sf),
+        "event",
+        group_tags=["type"],
+        every="6 hours",
+        aggs={"n": F.count(p.field("value"))},
+    )
+    out = p.series_packets(series, "event", ["tag_type"], ["time", "n"], rows=20)
+    pair = F.transform(
+        "values",
+        lambda v: F.concat_ws(":", F.unix_micros(v["time"]).cast("string"), v["n"].cast("string")),
+    )
+    return out.select(
+        F.element_at("tags", F.lit("type")).alias("tag"),
+        "packet",
+        F.size("values").alias("size"),
+        F.array_join(pair, ",").alias("body"),
+    )
 
 
 @query(

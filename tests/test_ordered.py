@@ -265,3 +265,17 @@ def test_ordered_insert(spark, seed, batch):
         docs, df, "key", ["id"], ordered=True, batch_size=batch, payload="payload"
     )
     assert {r["id"]: r[REL] for r in out.collect()} == expect_insert(rows, held, batch)
+
+
+def test_ordered_insert_of_a_long_chain(spark):
+    """Each batch's stop depends on the batch before it."""
+    rows = []
+    for i in range(6):
+        # The second row fails only if the batch before wrote its third key.
+        rows += [(3 * i, f"a{i}", "{}"), (3 * i + 1, f"c{i - 1}", "{}"), (3 * i + 2, f"c{i}", "{}")]
+    df = spark.createDataFrame(rows, "id long, key string, payload string")
+    docs = spark.createDataFrame([("c-1",)], "key string")
+    out = documents.insert(docs, df, "key", ["id"], ordered=True, batch_size=3, payload="payload")
+    want = expect_insert(rows, ["c-1"], 3)
+    assert set(want.values()) == {"success", "failure"}
+    assert {r["id"]: r[REL] for r in out.collect()} == want
