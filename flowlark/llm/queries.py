@@ -14,6 +14,7 @@ from flowlark.llm import (
     line_rules,
     mixing,
     near_dedup,
+    oracles,
     packing,
     scoring,
     sharding,
@@ -78,7 +79,7 @@ def op4(spark, sf):
     )
 
 
-@query("op1_mixing")
+@query("op1_mixing", oracles.MIXING)
 def op1(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     return mixing.mix_sizes(docs).select(
@@ -86,7 +87,7 @@ def op1(spark, sf):
     )
 
 
-@query("op6_line_rules")
+@query("op6_line_rules", oracles.LINE_RULES)
 def op6(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return line_rules.judge(docs).select(
