@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlark.session import materialize
@@ -16,8 +16,8 @@ from flowlark.session import materialize
 GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Bits of a sieve: 16 MB, whatever the size of the tables.
-SIEVE_BITS = 1 << 27
+#: Bits of a sieve: 4 MB, whatever the size of the tables.
+SIEVE_BITS = 1 << 25
 #: Bytes of text that a Python task handles at once; a longer document goes alone.
 SLICE_BYTES = 4 << 20
 #: Rows that may be broadcast after they have been counted.
@@ -79,6 +79,24 @@ def ordered_totals(
     return out.drop("_part", "_at", *[f"_before_{n}" for n in sums])
 
 
+def most_frequent(counts: DataFrame, column: str, limit: int) -> DataFrame:
+    """The most frequent rows, at most ``limit``, by a threshold on their count.
+
+    A histogram of counts in steps of a sixteenth of a doubling, about a thousand
+    rows, gives the threshold; no task gathers candidates of others. Where a step
+    would exceed the limit, the whole step stays out.
+    """
+    step = F.floor(F.log2(F.col(column)) * 16)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    lowest, total = 1 << 20, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        total += row["n"]
+        if total > limit:
+            break
+        lowest = row["step"]
+    return counts.filter(step >= lowest)
+
+
 # --- texts in Arrow batches -------------------------------------------------------------
 
 
@@ -250,7 +268,7 @@ def sieve_of(hashes: DataFrame, column: str) -> np.ndarray:
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     )
     sieve = np.zeros(SIEVE_BITS // 8, np.uint8)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # SIEVE_BITS bits at most
         start = (row["bucket"] - 1) * 4096
         sieve[start : start + 4096] = np.frombuffer(row["bits"], np.uint8)
     return sieve
@@ -308,31 +326,35 @@ def without_rows(docs: DataFrame, losers: DataFrame, key: str, text: str) -> Dat
 # --- components -------------------------------------------------------------------------
 
 
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
+def shuffled(side: DataFrame) -> DataFrame:
+    """A side that grows with the corpus: never built into a table on the driver."""
+    return side.hint("merge")
+
+
+def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest key reachable from each linked key: rows (k, c).
 
-    ``links`` has long columns a and b. Every round each key takes the smallest
-    label among its neighbours and then its label's own label, so that paths
-    halve. Minima are combined before the shuffle; no key's neighbours meet in
-    one group. Raises if ``rounds`` do not suffice.
+    ``links`` has long columns a and b, each pair once. Every round each key takes
+    the smallest label among its neighbours; from the third round on also its label's
+    own label, so that long paths halve while stars are done before. Minima are
+    combined before the shuffle; no key's neighbours meet in one group. Raises if
+    ``rounds`` do not suffice.
     """
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = materialize(both.distinct())
-    labels = materialize(
-        edges.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("c")).select(
-            "k", F.least("k", "c").alias("c")
-        )
-    )
-    for _ in range(rounds):
+    edges = materialize(both.coalesce(parts))  # a union has the parts of all its sides
+    first = edges.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("c"))
+    labels = materialize(first.select("k", F.least("k", "c").alias("c")))
+    for turn in range(rounds):
         there = labels.select(F.col("k").alias("b"), F.col("c").alias("near"))
-        near = edges.join(there, "b").groupBy(F.col("a").alias("k")).agg(F.min("near").alias("near"))
-        better = labels.join(near, "k", "left").select(
-            "k", F.col("c").alias("was"), F.least("c", F.coalesce("near", "c")).alias("c")
-        )
-        jump = labels.select(F.col("k").alias("c"), F.col("c").alias("far"))
-        stepped = materialize(
-            better.join(jump, "c", "left").select("k", "was", F.least("c", F.coalesce("far", "c")).alias("c"))
+        near = edges.join(shuffled(there), "b").groupBy(F.col("a").alias("k")).agg(F.min("near").alias("near"))
+        better = labels.join(shuffled(near), "k").select(
+            "k", F.col("c").alias("was"), F.least("c", "near").alias("c")
         )
+        if turn >= 2:
+            jump = labels.select(F.col("k").alias("c"), F.col("c").alias("far"))
+            better = better.join(shuffled(jump), "c").select("k", "was", F.least("c", "far").alias("c"))
+        stepped = materialize(better)
         done = stepped.filter("was <> c").isEmpty()
         labels = stepped.select("k", "c")
         if done:
@@ -340,10 +362,6 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"links do not settle within {rounds} rounds")
 
 
-def cluster_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x, np.uint64).view(np.int64))
 

@@ -36,8 +36,8 @@ from flowlark.session import materialize
 FINGERPRINT_BITS = 48
 #: Ranges of fingerprints; one owner holds about rows / OWNERS fingerprints.
 OWNERS = 1024
-#: Bits of all answers together (16 MB).
-ANSWER_BITS = 1 << 27
+#: Bits of all answers together (4 MB).
+ANSWER_BITS = 1 << 25
 #: Fingerprints that a sender gathers before it sends.
 SENT_AT_ONCE = 500_000
 
@@ -127,7 +127,7 @@ def duplicate_bits(docs: DataFrame, text: str) -> np.ndarray:
     answers = sent.groupBy("owner").applyInArrow(_answer, "owner int, bits binary")
     bits = np.zeros(ANSWER_BITS // 8, np.uint8)
     size = ANSWER_BITS // OWNERS // 8
-    for row in answers.filter("bits is not null").toLocalIterator():
+    for row in answers.filter("bits is not null").collect():  # ANSWER_BITS bits at most
         at = row["owner"] * size
         bits[at : at + size] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
     return bits

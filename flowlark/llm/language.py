@@ -9,7 +9,8 @@ contexts that a language never saw escape free of charge. The language with the
 shortest exact code of the whole text wins.
 
 Counts of windows are bounded by ``max_windows``, the most frequent ones over all
-languages; four-byte windows of written languages stay far below it.
+languages; four-byte windows of written languages stay far below it, and beyond it
+a rare window costs an escape.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
 rows without a text or language are not learned from; without anything to learn from
@@ -27,7 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlark.llm.common import slices, text_bytes
+from flowlark.llm.common import most_frequent, slices, text_bytes
+from flowlark.session import materialize
 
 MAX_WINDOWS = 2_000_000
 DEPTH = 4
@@ -185,8 +187,8 @@ def learn(docs: DataFrame, text: str, lang: str, max_windows: int = MAX_WINDOWS)
     """Context trees from all rows with a text and a language."""
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     counts = rows.select(F.col(lang).cast("string"), text).mapInArrow(_count, "lang string, code long, n long")
-    counts = counts.groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "lang", "code").limit(max_windows).toArrow()
+    counts = materialize(counts.groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    top = most_frequent(counts, "n", max_windows).toArrow()  # at most max_windows rows
     langs = sorted(pc.unique(top["lang"]).to_pylist())
     index = np.array([langs.index(x) for x in pc.unique(top["lang"]).to_pylist()], np.int64)
     of = top["lang"].combine_chunks().dictionary_encode()

@@ -15,9 +15,12 @@ concentration of fully independent samples.
 deal classes to buckets: a pair at similarity 0.8 shares none of 42 bands with
 probability 3e-6. In a bucket each class is first paired with the smallest one;
 links found merge into components. Where a bucket still holds several components,
-further members serve as partners, 16, 256, 4096, ... of them a round, until
-every pair in it is checked or joined by links. Each round emits a multiple of the
-bucket, never all pairs of a merged group, and there is no cap.
+elements are counted over all open classes: a class whose elements are too rare to
+reach the threshold with any member leaves the bucket, and the others are paired with
+the most typical member. What is then still open takes further partners, 16, 272,
+4368, ... of them a round, until every pair in it is checked, excluded by the
+counts, or joined by links. Each round emits a multiple of the bucket, never all pairs
+of a merged group, and there is no cap.
 
 *Verification.* Full sets of candidates are compared; the sets are computed for
 rows that pass a sieve of fixed size.
@@ -43,8 +46,9 @@ from flowlark.llm.common import (
     grams,
     hashed_words,
     mix,
-    row_hashes,
     passes,
+    row_hashes,
+    shuffled,
     sieve_of,
     slices,
     text_bytes,
@@ -165,11 +169,60 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sets are similar enough; b may be a hot key."""
     one = sets.select(F.col("k").alias("ka"), F.col("items").alias("x"))
     two = sets.select(F.col("k").alias("kb"), F.col("items").alias("y"))
-    rows = join_hot(pairs, one, {"a": "ka"}, "inner")
-    rows = join_hot(rows, two, {"b": "kb"}, "inner").select("a", "b", "x", "y")
+    rows = join_hot(pairs, shuffled(one), {"a": "ka"}, "inner")
+    rows = join_hot(rows, shuffled(two), {"b": "kb"}, "inner").select("a", "b", "x", "y")
     return rows.mapInArrow(_linked(percent), "a long, b long")
 
 
+def _items(batches):
+    """One row per element of each set."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+        for at in range(0, len(sets), 256):
+            part = sets[at : at + 256]
+            keys = np.repeat(batch.column(0).to_numpy()[at : at + 256], [len(x) for x in part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), as_long(np.concatenate(part))], names=["k", "item"]
+            )
+
+
+def _split_buckets(rows: DataFrame) -> DataFrame:
+    """Rows (b, k, c, ...) of buckets with more than one component."""
+    split = rows.groupBy(F.col("b").alias("s")).agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
+    split = split.filter("c0 <> c1").select("s")
+    return join_hot(rows, shuffled(split), {"b": "s"}, "inner")
+
+
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with the component that they belong to so far."""
+    there = shuffled(labels.select(F.col("k").alias("m"), "c"))
+    named = rows.join(there, F.col("k") == F.col("m"), "left").drop("m")
+    return named.withColumn("c", F.coalesce("c", "k"))
+
+
+def _live(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members that may have a partner in their bucket, with n, common and shared.
+
+    ``common`` counts the elements that any other open class has too. A partner of
+    size m shares at most these, so x can only be linked in a bucket whose smallest
+    member leaves 100 * common >= percent * (n + m - common). ``shared`` is the mean
+    number of classes per element.
+    """
+    keys = rows.select(F.col("k").alias("o")).distinct()
+    items = sets.join(shuffled(keys), F.col("k") == F.col("o"), "left_semi").select("k", "items")
+    items = materialize(items.mapInArrow(_items, "k long, item long"))
+    counts = items.groupBy(F.col("item").alias("i")).agg(F.count("*").alias("classes"))
+    seen = join_hot(items, shuffled(counts), {"item": "i"}, "inner").groupBy(F.col("k").alias("o")).agg(
+        F.count("*").alias("n"), F.sum((F.col("classes") > 1).cast("long")).alias("common"),
+        (F.sum("classes") / F.count("*")).alias("shared"),
+    )
+    least = rows.join(shuffled(seen), F.col("k") == F.col("o")).drop("o")
+    small = least.groupBy(F.col("b").alias("s")).agg(F.min("n").alias("least"))
+    both = join_hot(least, shuffled(small), {"b": "s"}, "inner")
+    open_ = 100 * F.col("common") >= percent * (F.col("n") + F.col("least") - F.col("common"))
+    return both.filter(open_).drop("least")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -190,7 +243,7 @@ def near_duplicates(
     members = heads.select(F.explode("bands").alias("b"), F.col("rid").alias("k"))
     shared = members.groupBy("b").agg(F.min("k").alias("head"), F.count("*").alias("size"))
     shared = shared.filter("size > 1").withColumnRenamed("b", "bucket")
-    found = materialize(join_hot(members, shared, {"b": "bucket"}, "inner"))
+    found = materialize(join_hot(members, shuffled(shared), {"b": "bucket"}, "inner"))
 
     wanted = materialize(
         heads.join(found.select(F.col("k").alias("in")).distinct(), F.col("rid") == F.col("in"), "left_semi")
@@ -205,44 +258,42 @@ def near_duplicates(
     checked = materialize(pairs.distinct())
     links = materialize(_verified(checked, sets, percent))
     labels = components(links)
-    low, high = 0, 16
-    open_buckets = found.filter("size > 2")
-    while True:
-        # Buckets whose members lie in several components, beyond those fully paired.
-        named = open_buckets.drop("c").join(
-            labels.select(F.col("k").alias("m"), "c"), F.col("k") == F.col("m"), "left"
-        )
-        named = named.select("b", "k", "head", "size", F.coalesce("c", "k").alias("c"))
-        split = named.groupBy(F.col("b").alias("s")).agg(
-            F.min("c").alias("c0"), F.max("c").alias("c1")
-        )
-        split = split.filter("c0 <> c1").select("s")
-        open_buckets = materialize(join_hot(named, split, {"b": "s"}, "inner"))
-        open_buckets = open_buckets.filter(F.col("size") > low)
-        if open_buckets.isEmpty():
-            break
-        place = F.pmod(F.xxhash64("b", "k"), F.lit(1 << 30)) / (1 << 30) * F.col("size")
-        partners = open_buckets.filter((place >= low) & (place < high)).select(
-            F.col("b").alias("pb"), F.col("k").alias("p"), F.col("c").alias("pc")
-        )
-        fresh = join_hot(open_buckets, partners, {"b": "pb"}, "inner").filter("c <> pc and k <> p")
+    named = _named(found.filter("size > 2").select("b", "k", "size"), labels)
+    live = materialize(_split_buckets(_live(materialize(_split_buckets(named)), sets, percent)))
+    best = F.max(F.struct("shared", (-F.col("k")).alias("k")))
+    typical = live.groupBy(F.col("b").alias("pb")).agg((-best["k"]).alias("p"))
+    partners = live.join(shuffled(typical), (F.col("b") == F.col("pb")) & (F.col("k") == F.col("p")))
+    low, high = 0, 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    while not live.isEmpty():
+        partners = partners.select(
+            F.col("b").alias("pb"), F.col("k").alias("p"), F.col("c").alias("pc"),
+            F.col("n").alias("pn"), F.col("common").alias("pcommon"),
+        )
+        fresh = join_hot(live, shuffled(partners), {"b": "pb"}, "inner").filter("c <> pc and k <> p")
+        both = F.least("common", "pcommon")
+        fresh = fresh.filter(100 * both >= percent * (F.col("n") + F.col("pn") - both))
         fresh = fresh.select(F.greatest("k", "p").alias("a"), F.least("k", "p").alias("b")).distinct()
-        fresh = materialize(fresh.join(checked, ["a", "b"], "left_anti"))
+        fresh = materialize(fresh.join(shuffled(checked), ["a", "b"], "left_anti"))
         more = materialize(_verified(fresh, sets, percent))
         if not more.isEmpty():
-            links = links.unionAll(more)
+            links = links.unionAll(more).coalesce(parts)
             labels = components(links)
-        checked = checked.unionAll(fresh)
+        checked = checked.unionAll(fresh).coalesce(parts)
+        left = _named(live.filter(F.col("size") > high).drop("c"), labels)
+        live = materialize(_split_buckets(left))
         low, high = high, high * 16 + 16
+        place = F.pmod(F.xxhash64("b", "k"), F.lit(1 << 30)) / (1 << 30) * F.col("size")
+        partners = live.filter((place >= low) & (place < high))
 
-    reach = classes.join(labels.withColumnRenamed("k", "m"), F.col("k") == F.col("m"), "left")
+    reach = classes.join(shuffled(labels.withColumnRenamed("k", "m")), F.col("k") == F.col("m"), "left")
     reach = reach.select("key", "id", F.coalesce("c", "k").alias("c"))
     smallest = reach.groupBy(F.col("c").alias("g")).agg(F.min("id").alias("component"))
-    of_class = join_hot(reach, smallest, {"c": "g"}, "inner").select(
+    of_class = join_hot(reach, shuffled(smallest), {"c": "g"}, "inner").select(
         F.col("key").alias("class_key"), "component"
     )
     rows = sketched.select("id", "n", "key", "_h")
-    out = join_hot(rows, of_class, {"key": "class_key"}, "left")
+    out = join_hot(rows, shuffled(of_class), {"key": "class_key"}, "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select("id", "n", component.alias("component"), "_h")
 

@@ -31,7 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlark.llm.common import SPACED, as_long, hashed_words, slices, text_bytes
+from flowlark.llm.common import (
+    SPACED,
+    as_long,
+    hashed_words,
+    most_frequent,
+    slices,
+    text_bytes,
+)
 from flowlark.session import materialize
 
 WORDS, ENDINGS = 767, 256
@@ -206,9 +213,10 @@ def vocabulary(docs: DataFrame, text: str) -> tuple[Model, DataFrame]:
         F.coalesce(F.sum(F.when(F.col("w").isNull(), F.col("n"))), F.lit(0)).alias("ends"),
     ).first()
     listed = counts.filter("w is not null")
-    top = listed.orderBy(F.desc("n"), "w").limit(KNOWN).toArrow()  # at most KNOWN rows
-    w = np.asarray(top["w"]).view(np.uint64)
-    n, ending = np.asarray(top["n"]), np.asarray(top["ending"])
+    top = most_frequent(listed, "n", KNOWN).toArrow()  # at most KNOWN rows
+    order = np.lexsort((np.asarray(top["w"]), -np.asarray(top["n"])))
+    w = np.asarray(top["w"]).view(np.uint64)[order]
+    n, ending = np.asarray(top["n"])[order], np.asarray(top["ending"])[order]
     share = np.zeros((ENDINGS, 2))
     for row in listed.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         share[row["ending"]] = row["n"], row["v"]  # ENDINGS rows

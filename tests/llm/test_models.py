@@ -128,6 +128,18 @@ def test_probabilities_are_normalised(spark):
     assert ((model.share[:, 0] + model.share[:, 1] + 1) / total == 1).all()
 
 
+def test_most_frequent_is_bounded(spark):
+    draw = random.Random(8)
+    rows = [(i, int(draw.paretovariate(0.7))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "w long, n long")
+    for limit in (0, 10, 500, 5000):
+        got = {r["w"]: r["n"] for r in common.most_frequent(df, "n", limit).collect()}
+        assert len(got) <= limit
+        rest = [n for w, n in rows if w not in got]
+        assert not got or not rest or min(got.values()) >= max(rest)
+    assert len(got) == 3000
+
+
 def test_model_learns_context(spark):
     draw = random.Random(1)
     texts = []
