@@ -331,6 +331,11 @@ def shuffled(side: DataFrame) -> DataFrame:
     return side.hint("merge")
 
 
+def side_of(side: DataFrame, rows: int) -> DataFrame:
+    """A side of ``rows`` counted rows: broadcast while small, shuffled beyond."""
+    return F.broadcast(side) if rows <= BROADCAST_ROWS else shuffled(side)
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest key reachable from each linked key: rows (k, c).
 
@@ -345,15 +350,17 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = materialize(both.coalesce(parts))  # a union has the parts of all its sides
     first = edges.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("c"))
     labels = materialize(first.select("k", F.least("k", "c").alias("c")))
+    size = labels.count()
     for turn in range(rounds):
         there = labels.select(F.col("k").alias("b"), F.col("c").alias("near"))
-        near = edges.join(shuffled(there), "b").groupBy(F.col("a").alias("k")).agg(F.min("near").alias("near"))
-        better = labels.join(shuffled(near), "k").select(
-            "k", F.col("c").alias("was"), F.least("c", "near").alias("c")
+        told = edges.join(side_of(there, size), "b").select(
+            F.col("a").alias("k"), F.col("near").alias("c"), F.lit(None).cast("long").alias("was")
         )
+        told = told.unionAll(labels.select("k", "c", F.col("c").alias("was")))
+        better = told.groupBy("k").agg(F.min("c").alias("c"), F.max("was").alias("was"))
         if turn >= 2:
             jump = labels.select(F.col("k").alias("c"), F.col("c").alias("far"))
-            better = better.join(shuffled(jump), "c").select("k", "was", F.least("c", "far").alias("c"))
+            better = better.join(side_of(jump, size), "c").select("k", "was", F.least("c", "far").alias("c"))
         stepped = materialize(better)
         done = stepped.filter("was <> c").isEmpty()
         labels = stepped.select("k", "c")

@@ -49,6 +49,7 @@ from flowlark.llm.common import (
     passes,
     row_hashes,
     shuffled,
+    side_of,
     sieve_of,
     slices,
     text_bytes,
@@ -189,13 +190,13 @@ def _items(batches):
 def _split_buckets(rows: DataFrame) -> DataFrame:
     """Rows (b, k, c, ...) of buckets with more than one component."""
     split = rows.groupBy(F.col("b").alias("s")).agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
-    split = split.filter("c0 <> c1").select("s")
-    return join_hot(rows, shuffled(split), {"b": "s"}, "inner")
+    split = materialize(split.filter("c0 <> c1").select("s"))
+    return join_hot(rows, side_of(split, split.count()), {"b": "s"}, "inner")
 
 
 def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with the component that they belong to so far."""
-    there = shuffled(labels.select(F.col("k").alias("m"), "c"))
+    there = side_of(labels.select(F.col("k").alias("m"), "c"), labels.count())
     named = rows.join(there, F.col("k") == F.col("m"), "left").drop("m")
     return named.withColumn("c", F.coalesce("c", "k"))
 
