@@ -79,15 +79,17 @@ def ordered_totals(
     return out.drop("_part", "_at", *[f"_before_{n}" for n in sums])
 
 
-def most_frequent(counts: DataFrame, column: str, limit: int) -> DataFrame:
+def most_frequent(counts: DataFrame, column: str, limit: int, weight: Column | None = None) -> DataFrame:
     """The most frequent rows, at most ``limit``, by a threshold on their count.
 
+    With ``weight``, the sum of weights is at most ``limit``.
+
     A histogram of counts in steps of a sixteenth of a doubling, about a thousand
     rows, gives the threshold; no task gathers candidates of others. Where a step
     would exceed the limit, the whole step stays out.
     """
     step = F.floor(F.log2(F.col(column)) * 16)
-    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    sizes = counts.groupBy(step.alias("step")).agg(F.sum(F.lit(1) if weight is None else weight).alias("n")).collect()
     lowest, total = 1 << 20, 0
     for row in sorted(sizes, key=lambda r: -r["step"]):
         total += row["n"]

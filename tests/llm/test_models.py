@@ -74,6 +74,31 @@ def test_language_edges(edges):
     assert {r["lang_pred"] for r in rows if r["doc_id"] in (1, 2, 12)} == {"en"}
 
 
+@pytest.mark.parametrize("held", [0, 40, 150])
+def test_language_beyond_the_broadcast(spark, held):
+    """With few windows held, the others are joined: predictions stay, no language is lost."""
+    draw = random.Random(4)
+    small = ["kvik zorn mjuk", "zorn kvik", "mjuk zorn zorn"]
+    asked = [*small, "A quiet été", "", "12 !", None, "zzz \U0001f600 zzz kvik", PROSE, "éÉ 中文 İ"]
+    rows = [(i, PROSE[draw.randrange(60) :], "en", "") for i in range(40)]
+    rows += [(100 + i, t, "sm", "") for i, t in enumerate(small)]
+    rows += [(200, "une phrase ÉTÉ été à là, 中文 中文字", "fr", "")]
+    lessons = documents(spark, rows)
+    df = documents(spark, [(i, t, "", "") for i, t in enumerate(asked)])
+    whole = language.learn(lessons, "text", "lang")
+    part = language.learn(lessons, "text", "lang", max_windows=held)
+    assert part.langs == whole.langs == ["en", "fr", "sm"]
+    assert whole.whole and not part.whole
+    want, got = (
+        {r["doc_id"]: r for r in language.predict(df, m, "text", [F.col("doc_id")]).collect()} for m in (whole, part)
+    )
+    assert len(got) == len(asked)
+    for i, r in want.items():
+        assert got[i]["lang_pred"] == r["lang_pred"]
+        assert got[i]["score"] == pytest.approx(r["score"], rel=1e-4)
+    assert {got[i]["lang_pred"] for i in range(3)} == {"sm"}
+
+
 def test_language_without_lessons(spark, nothing):
     model = language.learn(nothing, "text", "lang")
     assert language.predict(nothing, model, "text", [F.col("doc_id")]).count() == 0
