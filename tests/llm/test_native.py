@@ -190,6 +190,46 @@ def test_shards_hold_groups_together(spark):
     assert len(where["hot"]) <= 8
 
 
+def _cut(rows, texts):
+    own = collections.Counter((texts[r["id"]], r["shard"]) for r in rows)
+    pairs = lambda counts: sum(n * (n - 1) // 2 for n in counts)
+    edges = pairs(collections.Counter(texts).values())
+    return edges, edges - pairs(own.values())
+
+
+@pytest.mark.parametrize("others", ["alone", "linked"])
+def test_shards_hold_medium_and_large_groups(spark, others):
+    """A group that fits is in one shard, a larger one in as few as hold it."""
+    names = [f"other {i if others == 'alone' else i // 2}" for i in range(2000)]
+    texts = ["one"] * 60 + ["two"] * 40 + ["hot"] * 700 + names
+    random.Random(3).shuffle(texts)
+    df = documents(spark, [(i, t, "", "") for i, t in enumerate(texts)])
+    report = {}
+    rows = sharding.shard_rows(df, shards=10, report=report).collect()
+    _check_shards(rows, 10)
+    where = collections.defaultdict(set)
+    for r in rows:
+        where[texts[r["id"]]].add(r["shard"])
+    assert len(where["one"]) == len(where["two"]) == 1
+    assert len(where["hot"]) == 3  # 280 rows in a shard
+    assert sum(len(s) > 1 for t, s in where.items() if t.startswith("other")) <= 10
+    assert (report["edges"], report["cut_edges"]) == _cut(rows, texts)
+
+
+def test_shards_of_linked_rows_only(spark):
+    """Whole groups give way to others, as nothing else can."""
+    texts = [f"group {i // 25}" for i in range(500)] + [f"pair {i // 2}" for i in range(1500)]
+    random.Random(5).shuffle(texts)
+    df = documents(spark, [(i, t, "", "") for i, t in enumerate(texts)])
+    rows = sharding.shard_rows(df, shards=10).collect()
+    _check_shards(rows, 10)
+    where = collections.defaultdict(set)
+    for r in rows:
+        where[texts[r["id"]]].add(r["shard"])
+    assert all(len(s) == 1 for t, s in where.items() if t.startswith("group"))
+    assert sum(len(s) > 1 for s in where.values()) <= 10
+
+
 def test_shards_empty(nothing):
     assert sharding.shard_rows(nothing).count() == 0
 
