@@ -12,6 +12,8 @@ only read. The draw is fixed by a seed, so reruns agree.
 
 Text: character references are decoded, white space inside a block is one space, kept
 blocks are joined by one space. Scripts, styles, templates and comments are no text.
+A self-closed svg is empty; an unclosed element without text ends with its parent, an
+svg also where a tag of HTML begins. Only scripts and styles run to the end of the page.
 
 Defined results: a null or empty page, or one without kept blocks, has an empty text;
 broken markup is read as far as it goes; repeated rows give repeated results; an empty
@@ -48,13 +50,20 @@ INLINE = set(
     "strike strong sub sup time tt u var wbr".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = "script|style|template|noscript|svg|iframe|object"
+RAW = "script|style"
+SILENT = set("template noscript svg iframe object".split())
+#: Tags that end an open svg, unless one of the elements with HTML inside is open in it.
+BREAKS = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+    "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+FOREIGN = set("foreignobject desc title".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("ul ol dl table div section article main aside body form".split())
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|$)|<(?P<silent>{SILENT})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*>|$)"
+    rf"<!--.*?(?:-->|$)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|$)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
@@ -86,6 +95,8 @@ def blocks(source: str) -> Page:
     stack: list[tuple[str, tuple[str, ...], int]] = []  # name, path so far, label
     pieces: list[str] = []
     linked, in_link = 0, False
+    inlines: list[str] = []  # open inline elements since the last block tag
+    hidden: list[str] = []  # open elements from the outermost one without text
 
     def flush():
         nonlocal pieces, linked
@@ -100,7 +111,7 @@ def blocks(source: str) -> Page:
 
     def text_between(a: int, b: int):
         nonlocal linked
-        if a < b:
+        if a < b and not hidden:
             pieces.append(source[a:b])
             if in_link:
                 linked += b - a
@@ -113,14 +124,36 @@ def blocks(source: str) -> Page:
         if name is None:
             continue
         name = name.lower()
-        if name == "br":
+        if hidden:
+            if m["end"]:
+                if name in hidden:
+                    del hidden[len(hidden) - 1 - hidden[::-1].index(name) :]
+                    continue
+                if name not in inlines and all(name != own for own, _, _ in stack):
+                    continue
+                hidden.clear()  # the end of an element around it
+            elif hidden[0] == "svg" and name in BREAKS and not FOREIGN & set(hidden) and SILENT.isdisjoint(hidden[1:]):
+                hidden.clear()
+            else:
+                if name not in VOID and not m["rest"].endswith("/"):
+                    hidden.append(name)
+                continue
+        if name in SILENT and not m["end"]:
+            if name != "svg" or not m["rest"].endswith("/"):
+                hidden.append(name)
+        elif name == "br":
             pieces.append(" ")
         elif name in INLINE:
             if name == "a":
                 in_link = not m["end"]
+            if not m["end"]:
+                inlines.append(name)
+            elif name in inlines:
+                del inlines[len(inlines) - 1 - inlines[::-1].index(name) :]
         elif m["end"]:
             flush()
             in_link = False
+            inlines.clear()
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
@@ -128,6 +161,7 @@ def blocks(source: str) -> Page:
         else:
             flush()
             in_link = False
+            inlines.clear()
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in CLOSES.get(name, ()) or name not in INLINE and stack[i][0] == "p":
                     del stack[i:]

@@ -257,6 +257,23 @@ def test_extraction(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<article><h1>T</h1><svg class="i"/><p>All of it.</p></article>', ["T", "All of it."]),
+        ("<article><p>One<svg><path d='M0'><text>x</text></svg> two.</p></article>", ["One two."]),
+        ("<article><p>One.</p><svg><path d='M0'/><p>Two.</p></article><p>Three.</p>", ["One.", "Two.", "Three."]),
+        ("<div><p>One.</p><noscript><p>no</p></div><p>Two.</p><noscript>no</noscript>", ["One.", "Two."]),
+        ("<div><object data=x><p>no</div><p>Two.</p>", ["Two."]),
+        ("<p>One <span><iframe>no</span>two.</p>", ["One two."]),
+        ("<div><svg><foreignObject><p>no</p></foreignObject><svg></svg>no</svg><p>Two.</p></div>", ["Two."]),
+        ("<div><p>One.</p><script>no</div><p>no</p>", ["One."]),
+    ],
+)
+def test_elements_without_text(page, want):
+    assert html_blocks.blocks(page).texts == want
+
+
 def test_extraction_of_drawn_pages():
     draw = np.random.default_rng(77)
     pages = [html_blocks.blocks(html_blocks.draw_page(draw)) for _ in range(200)]
