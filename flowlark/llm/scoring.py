@@ -8,8 +8,9 @@ per position, whose product with the class vectors plus a bias is the class's sc
 
 *Counts* of all words are one Spark aggregation. *Training* is noise-contrastive:
 every task passes over all its training tokens with unigram noise, from one common
-start, and the parameters are averaged by the tokens behind them; only parameters,
-a fixed number, reach the driver. *Scoring* normalises exactly: a matrix product of
+start, and the parameters are averaged by the tokens behind them; ``ROUNDS`` rounds
+start from the mean of the round before, with the mean of its step sizes. Only
+parameters, a fixed number, reach the driver. *Scoring* normalises exactly: a matrix product of
 predicted vectors with all class vectors gives the normaliser of each context.
 Counts of the most frequent words (``KNOWN``) are broadcast; those of all others
 are joined.
@@ -45,6 +46,8 @@ WORDS, ENDINGS = 767, 256
 #: Words whose counts are broadcast (2 MB).
 KNOWN = 1 << 17
 SIZE, NOISE, BATCH, RATE = 16, 32, 4096, 0.1
+#: Rounds of training, each over all training tokens.
+ROUNDS = 3
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 2_000_000
 END = 0
@@ -159,11 +162,15 @@ def _scatter(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(flat, values.ravel(), size * SIZE).reshape(size, SIZE)
 
 
-def train_tokens(model: Model, sequences) -> tuple[dict[str, np.ndarray], int]:
-    """One pass of noise-contrastive AdaGrad over (target, one, two) arrays."""
-    p = {k: v.copy() for k, v in model.start().items()}
-    past = {k: np.full(v.shape, 1e-2, np.float32) for k, v in p.items()}
-    draw = np.random.default_rng(11)
+def train_tokens(model: Model, sequences, state: dict[str, np.ndarray], turn: int = 0):
+    """One pass of noise-contrastive AdaGrad over (target, one, two) arrays.
+
+    ``state`` has the parameters to start from and, as ``past_`` them, their sums of
+    squared gradients; the new state and the number of tokens are returned.
+    """
+    p = {k: state[k].copy() for k in model.start()}
+    past = {k: state[f"past_{k}"].copy() for k in p}
+    draw = np.random.default_rng(11 + turn)
     cumulative = np.cumsum(model.unigram)
     offset = np.log(NOISE * model.unigram).astype(np.float32)
     seen = 0
@@ -189,7 +196,7 @@ def train_tokens(model: Model, sequences) -> tuple[dict[str, np.ndarray], int]:
                 v = v.astype(np.float32)
                 past[k] += v * v
                 p[k] += RATE * v / np.sqrt(past[k])
-    return p, seen
+    return {**p, **{f"past_{k}": v for k, v in past.items()}}, seen
 
 
 def _flat(params: dict[str, np.ndarray]) -> np.ndarray:
@@ -235,14 +242,27 @@ def vocabulary(docs: DataFrame, text: str) -> tuple[Model, DataFrame]:
     return model, listed
 
 
-def train(docs: DataFrame, text: str, model: Model) -> Model:
-    """Average of the parameters that tasks reach on their training tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def train(docs: DataFrame, text: str, model: Model, rounds: int | None = None) -> Model:
+    """Parameters after rounds of averaging what tasks reach on their training tokens."""
+    sc = docs.sparkSession.sparkContext
+    shared = sc.broadcast(model)
+    start = model.start()
+    state = {**start, **{f"past_{k}": np.full(v.shape, 1e-2, np.float32) for k, v in start.items()}}
+    for turn in range(ROUNDS if rounds is None else rounds):
+        mean = _round(docs, text, shared, sc.broadcast(state), turn)  # a fixed number of parameters
+        if not len(mean):
+            break
+        state = _unflat(mean, state)
+    model.params = {k: state[k] for k in start}
+    return model
+
 
+def _round(docs: DataFrame, text: str, shared, state, turn: int) -> np.ndarray:
     def run(batches):
         model = shared.value
         parts = (part for batch in batches for part in slices(batch, 0))
-        params, seen = train_tokens(model, (model.sequence(p.column(0))[:3] for p in parts))
+        sequences = (model.sequence(p.column(0))[:3] for p in parts)
+        params, seen = train_tokens(model, sequences, state.value, turn)
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([seen]), pa.array([_flat(params)], pa.list_(pa.float32()))], names=["seen", "p"]
@@ -251,10 +271,7 @@ def train(docs: DataFrame, text: str, model: Model) -> Model:
     learned = docs.select(text).mapInArrow(run, "seen long, p array<float>")
     parts = learned.select("seen", F.posexplode("p").alias("at", "v"))
     mean = parts.groupBy("at").agg((F.sum(F.col("v") * F.col("seen")) / F.sum("seen")).alias("v"))
-    rows = mean.orderBy("at").toArrow()  # as many rows as parameters
-    start = model.start()
-    model.params = _unflat(np.asarray(rows["v"]), start) if rows.num_rows else start
-    return model
+    return np.asarray(mean.orderBy("at").toArrow()["v"])  # as many rows as parameters
 
 
 class Scorer:

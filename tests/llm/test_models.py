@@ -180,6 +180,17 @@ def test_model_learns_context(spark):
     assert all(abs(r["score"] - first[r["doc_id"]]) < 1e-3 * abs(r["score"]) for r in again.collect())
 
 
+def test_rounds_learn_across_tasks(spark):
+    """Tasks with few texts each still reach a trained model, from each other's mean."""
+    draw = random.Random(1)
+    sides = [["a", "b", "c", "d", "e"], ["v", "w", "x", "y", "z"]]
+    texts = [" ".join(draw.choices(draw.choice(sides), k=40)) for _ in range(900)]
+    df = documents(spark, [(i, t, "", "") for i, t in enumerate(texts)]).repartition(12)
+    got = scoring.score_documents(df, F.col("doc_id") % 5 != 0, carry=[F.col("doc_id")])
+    held = got.filter("doc_id % 5 = 0").agg(F.sum("base_score"), F.sum("score")).first()
+    assert held[1] > 0.9 * held[0]
+
+
 def test_scoring_without_lessons(spark, nothing):
     assert scoring.score_documents(nothing, F.lit(True), carry=[F.col("doc_id")]).count() == 0
     df = documents(spark, [(1, "a b", "", ""), (2, None, "", "")])
