@@ -1,6 +1,6 @@
 """SQL that states the results of the operators which SQL can express."""
 
-from flowlark.llm import line_rules, mixing
+from flowlark.llm import importance, line_rules, mixing
 from flowlark.llm.common import GAP, WORD
 
 
@@ -106,3 +106,62 @@ n as (
 select doc_id, size, source_size, target, copies::bigint as copies, (copies * size)::bigint as taken
 from n join tg on tg.s is not distinct from n.s
 """
+
+#: CRC-32 of a text by its table, which the polynomial gives.
+RESAMPLING = f"""
+with recursive steps as (
+  select b, 0 as k, b::ubigint as v from range(256) r(b)
+  union all
+  select b, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384::ubigint) else v >> 1 end from steps where k < 8),
+crcs as (select list(v order by b) as crc from steps where k = 8),
+d as (select true as doc, doc_id as id, coalesce(text, '') as t from documents
+  union all select false, item_id, coalesce(text, '') from benchmark),
+w as (
+  select doc, id, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as ws from d),
+g as (
+  select doc, id, array_to_string(ws[i : i + k - 1], ' ') as f
+  from (select doc, id, ws, k, unnest(range(1, len(ws) - k + 2)) as i
+        from w, range(1, {importance.LONGEST + 1}) n(k) where len(ws) >= k)),
+hex as (select f, hex(encode(f)) as h from (select distinct f from g)),
+b as (
+  select f, xor(list_reduce(
+      [('0x' || h[i : i + 1])::ubigint for i in range(1, len(h), 2)],
+      lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255)::bigint + 1]), 4294967295::ubigint),
+    4294967295::ubigint) % {importance.BUCKETS} as bucket
+  from hex, crcs),
+n as (select doc, id, bucket, count(*) as n from g join b using (f) group by all),
+st as (
+  select bucket, coalesce(sum(n) filter (doc), 0)::double as s, coalesce(sum(n) filter (not doc), 0)::double as t
+  from n group by 1),
+gain as (
+  select bucket, floor(1000 * ln((t + 1) * (sum(s) over () + {importance.BUCKETS})
+    / ((s + 1) * (sum(t) over () + {importance.BUCKETS}))))::bigint as gain from st),
+weights as (select id, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight
+  from n join gain using (bucket) where doc group by 1),
+scored as (
+  select id as doc_id, len(ws) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || left(sha256('{importance.SEED}:' || id), 8))::bigint + 0.5) / 4294967296.0::double)))::bigint as score
+  from w left join weights using (id) where doc),
+ranked as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place,
+    count(*) filter (n_words >= 20) over () as able from scored)
+select doc_id, n_features, weight, score,
+  case when n_words >= 20 and place <= able * 5 // 100 then place end as rank
+from ranked
+"""
+
+WARC = """
+with p as (select page_id, coalesce(html, '') as body from pages),
+d as (
+  select page_id, octet_length(encode(body))::bigint as payload_bytes, sha1(body) as h,
+    max(page_id) over (partition by body) as top from p)
+select page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::bigint >> (15 - 5 * (i % 4))) & 31)::bigint + 1, 1)),
+    'string_agg', '') as payload_digest,
+  case when page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id <> top then top end as refers_to
+from d
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowlark.llm import (
     exact_dedup,
     html_blocks,
+    importance,
     language,
     licenses,
     line_rules,
@@ -18,9 +19,11 @@ from flowlark.llm import (
     packing,
     scoring,
     sharding,
+    trie,
+    warc,
 )
 from flowlark.queries.registry import table
-from flowlark.session import ship_package
+from flowlark.session import scratch_path, ship_package
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +153,34 @@ def op8(spark, sf):
 def op3(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     return html_blocks.extract_text(pages)
+
+
+@query("op11_importance_resampling", oracles.RESAMPLING)
+def op11(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    target = table(spark, sf, "benchmark").select("text")
+    return importance.resample(docs, target).select(
+        F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank"
+    )
+
+
+@query("op12_warc", oracles.WARC)
+def op12(spark, sf):
+    path = scratch_path(spark, "archives")
+    archive = warc.write_archives(table(spark, sf, "pages"), path)
+    read = warc.joined_revisits(warc.read_archives(spark, path, archive).drop("payload"))
+    return read.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+@query("op13_conversation_trie")
+def op13(spark, sf):
+    turns = trie.turn_digests(table(spark, sf, "conversations"))
+    return trie.prefix_trie(*trie.rebuild(turns)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
