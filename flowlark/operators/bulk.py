@@ -110,13 +110,14 @@ def apply_bulk(
     fields: Sequence[str],
     order: Sequence[str],
     op: str = "op",
-    new_id: Column | None = None,
+    *,
+    new_id: Column,
 ) -> DataFrame:
     """The index as a table after all actions, in order per id.
 
     ``index`` replaces a document, ``update`` merges into one that exists,
     ``upsert`` merges or inserts, ``delete`` removes; merging skips null
-    fields. An ``index`` action without an id is a document of its own, under
+    fields. An ``index`` action with a null or empty id is a document of its own, under
     ``new_id``; other ops, and others without an id, have no effect. Everything
     per id is a maximum or minimum by order, so actions are combined before each
     shuffle and an id with very many actions stays cheap.
@@ -124,10 +125,10 @@ def apply_bulk(
     at = order_key(order)
     kind = base.schema[doc_id].dataType
     name = F.lower(F.col(op))
-    fresh = (F.lit(None) if new_id is None else new_id).cast(kind)
-    unnamed = actions.filter((name == "index") & F.col(doc_id).isNull())
-    unnamed = unnamed.select(fresh.alias(doc_id), *fields)
-    rows = actions.filter(name.isin(OPS) & F.col(doc_id).isNotNull()).select(
+    given = F.coalesce(F.col(doc_id).cast("string"), F.lit("")) != ""
+    unnamed = actions.filter((name == "index") & ~given)
+    unnamed = unnamed.select(new_id.cast(kind).alias(doc_id), *fields)
+    rows = actions.filter(name.isin(OPS) & given).select(
         F.col(doc_id).alias("_id"), name.alias("_op"), at.alias("_at"), *fields
     )
     full = F.col("_op").isin("index", "delete")

@@ -43,6 +43,7 @@ def identify_duplicates(
         ["_t"],
         [T.StructField("_fresh", T.BooleanType())],
         AgeOffFold(interval_micros(ttl)),
+        keep=[ts, *([key] if isinstance(key, str) else [])],
     )
     rel = F.when(F.col("_fresh"), "non-duplicate").otherwise("duplicate")
     failed = keyed.filter(~good).withColumn(REL, F.lit("failure"))

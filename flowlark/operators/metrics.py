@@ -116,11 +116,14 @@ def status_to_points(
     time: Column | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One point per status row; names default to the entity's fixed lists."""
+    """One point per status row; names default to the entity's fixed lists.
+
+    Global tags win over tags of the same name.
+    """
     tags = list(tag_columns if tag_columns is not None else ENTITY_TAGS[measurement])
     fields = list(field_columns if field_columns is not None else ENTITY_FIELDS[measurement])
-    tag_pairs = [x for n, c in (global_tags or {}).items() for x in (F.lit(n), c.cast("string"))]
-    tag_pairs += [x for t in tags for x in (F.lit(t), F.col(f"`{t}`").cast("string"))]
+    values = {**{t: F.col(f"`{t}`") for t in tags}, **(global_tags or {})}
+    tag_pairs = [x for n, c in values.items() for x in (F.lit(n), c.cast("string"))]
     field_pairs = [x for f in fields for x in (F.lit(f), F.col(f"`{f}`").cast("double"))]
     tag_map = F.create_map(*tag_pairs).cast("map<string,string>")
     field_columns_map = F.create_map(*field_pairs).cast("map<string,double>")
@@ -176,10 +179,10 @@ def metric_datums(
     """(name, value, dimensions) per metric that is a double.
 
     Rows without a location name, blank metric names, nulls and columns of
-    another type give nothing.
+    another type give nothing. The location's own dimension wins over a given one.
     """
     doubles = [m for m in metrics if m.strip() and df.schema[m].dataType.typeName() == "double"]
-    extra = dimensions or {}
+    extra = {n: c for n, c in (dimensions or {}).items() if n != LOCATION}
     named = df.filter(F.trim(F.coalesce(F.col(location), F.lit(""))) != "").select(
         *keep,
         F.col(location).alias("_location"),
@@ -199,9 +202,14 @@ def chunk_rows(
     order: Sequence[str],
     by: Sequence[str] = (),
     name: str = "chunk",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Number of the group of ``n`` rows, in order, that a row falls in."""
-    ranked = rank_rows(df, by, order, "_rank")
+    """Number of the group of ``n`` rows, in order, that a row falls in.
+
+    (``by``, ``order``) identifies a row. ``keep`` names narrow columns that are cheaper
+    to sort along than to join back.
+    """
+    ranked = rank_rows(df, by, order, "_rank", keep)
     chunk = F.call_function("div", F.col("_rank") - 1, F.lit(n))
     return ranked.withColumn(name, chunk.cast("long")).drop("_rank")
 
@@ -209,7 +217,8 @@ def chunk_rows(
 def metric_requests(datums: DataFrame, order: Sequence[str], n: int = DATUMS_PER_REQUEST) -> DataFrame:
     """One row per request with at most ``n`` data."""
     body = F.sort_array(F.collect_list(F.struct(*order, "name", "value")))
-    return chunk_rows(datums, n, order).groupBy("chunk").agg(body.alias("data"))
+    rows = datums.select(*dict.fromkeys([*order, "name", "value"]))
+    return chunk_rows(rows, n, order, keep=["name", "value"]).groupBy("chunk").agg(body.alias("data"))
 
 
 def snapshot_json(

@@ -28,9 +28,13 @@ def to_points(
     """One point per record: measurement, tags, fields, time and ``_rel``.
 
     A record without any finite field, with a bad time, with bad tag text in the
-    strict form, or with a line break in a name or tag gives ``failure``. Without ``ts`` the time is one fixed ``now``.
+    strict form, without a measurement, or with a line break in a name or tag gives
+    ``failure``. Without ``ts`` the time is one fixed ``now``.
     """
-    at = to_time(ts, precision) if ts is not None else (now or F.current_timestamp())
+    if ts is not None:
+        at = to_time(ts, precision)
+    else:
+        at = now.cast("timestamp") if now is not None else F.current_timestamp()
     points = df.select(
         *keep,
         measurement.alias("measurement"),
@@ -41,7 +45,8 @@ def to_points(
     names = F.concat(F.map_keys("tags"), F.map_values("tags"), F.map_keys("fields"))
     broken = F.exists(F.array_append(names, F.col("measurement")), lambda x: x.rlike(r"[\r\n]"))
     usable = (F.size("fields") > 0) & F.col("tags").isNotNull() & F.col("time").isNotNull()
-    usable = usable & ~F.coalesce(broken, F.lit(False))
+    named = F.coalesce(F.col("measurement"), F.lit("")) != ""
+    usable = usable & named & ~F.coalesce(broken, F.lit(False))
     return points.withColumn(REL, F.when(usable, "success").otherwise("failure"))
 
 

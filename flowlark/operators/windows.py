@@ -74,6 +74,7 @@ def running_tumbling(
         [*by, "window_start"],
         [ts, *order],
         sums={"window_sum": F.coalesce(F.col("_v"), F.lit(0.0)), "window_count": "_one"},
+        keep=["_v", "_one", *_named(value)],
     )
     return out.withColumns(
         {
@@ -111,6 +112,7 @@ def anchored_tumbling(
             T.StructField("_elapsed", T.BooleanType()),
         ],
         AnchoredFold(interval_micros(width)),
+        keep=[ts, *_named(value)],
     )
     failed = rows.filter(F.col("_v").isNull()).withColumns(
         {
@@ -122,6 +124,11 @@ def anchored_tumbling(
     return route_windows(folded.unionByName(failed))
 
 
+def _named(value: str | Column) -> list[str]:
+    """The column that is read, where it is one."""
+    return [value] if isinstance(value, str) else []
+
+
 def route_windows(out: DataFrame) -> DataFrame:
     """Outputs of folded window rows."""
     good = F.col("_v").isNotNull()
@@ -156,23 +163,15 @@ def batch_wait(
     """
     rows = fragments(df, frag_id, frag_count)
     good = rows.filter("_ok")
-    counts = good.groupBy(frag_id).agg(
-        (F.min("_want") != F.max("_want")).alias("varies")
+    marked = fold_rows(
+        good,
+        [frag_id],
+        order,
+        ["_want", "_ok"],
+        [T.StructField("_done", T.BooleanType())],
+        CounterFold(),
+        keep=[frag_count],
     )
-    varies = counts.agg(F.max("varies")).first()[0]
-    if varies:
-        marked = fold_rows(
-            good,
-            [frag_id],
-            order,
-            ["_want", "_ok"],
-            [T.StructField("_done", T.BooleanType())],
-            CounterFold(),
-        )
-    else:
-        marked = running(good, [frag_id], order, count="_pos")
-        ends = F.pmod(F.col("_pos"), F.greatest(F.col("_want"), F.lit(1).cast("long"))) == 0
-        marked = marked.withColumn("_done", (F.col("_want") > 0) & ends).drop("_pos")
     # Rows without an id or count never enter the ordering.
     failed = rows.filter(~F.col("_ok")).withColumn("_done", F.lit(False))
     return route_batch(marked.unionByName(failed), F.col("_done"))

@@ -4,6 +4,10 @@ Rows are range-partitioned on (key, order), so a hot key is spread over many
 chunks and a chunk holds many short keys. What a chunk needs to know about the
 chunks before it, its carry, is one row per chunk; which chunks share a key is
 decided by Spark's own comparison, so nulls and NaN are keys like any other.
+
+Only the columns that an operator reads are dealt, sorted and written. All others are
+joined back by row identity, the key and order columns, so they are shuffled once and
+never written.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlark.plans.skew import join_hot
 from flowlark.session import materialize
 
 CHUNK = "_chunk"
@@ -30,11 +35,22 @@ def range_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> Data
     The chunk borders come from sampling, so they are pinned by writing the
     result once: both passes over it must see the same borders.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*by, *order]
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()))
+    return materialize(_dealt(df, keys).sortWithinPartitions(*keys).withColumn(CHUNK, F.spark_partition_id()))
+
+
+def _dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, *keys)
+
+
+def _rejoined(df: DataFrame, result: DataFrame, by: Sequence[str], order: Sequence[str], added: Sequence[str]) -> DataFrame:
+    """``df`` with the ``added`` columns of its rows, of which ``result`` has a part."""
+    if set(df.columns) <= set(result.columns):
+        return result.select(*df.columns, *added)
+    identity = list(dict.fromkeys([*by, *order]))
+    side = result.select(*identity, *added)
+    return join_hot(df, side, {c: c for c in identity}, "left", null_safe=True)
 
 
 def order_key(order: Sequence[str]) -> Column:
@@ -54,6 +70,10 @@ def _borders(chunks: DataFrame, by: Sequence[str]) -> DataFrame:
     """
     key = _key(by)
     edges = chunks.groupBy(CHUNK).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    return materialize(_between(edges))
+
+
+def _between(edges: DataFrame) -> DataFrame:
     before = Window.orderBy(CHUNK)  # as many rows as chunks
     joined = edges.withColumns(
         {
@@ -63,14 +83,12 @@ def _borders(chunks: DataFrame, by: Sequence[str]) -> DataFrame:
         }
     )
     joined = joined.withColumn("_inside", F.col("_continues") & F.col("_one"))
-    return materialize(
-        joined.withColumns(
-            {
-                "_goes_on": F.coalesce(F.lead("_continues").over(before), F.lit(False)),
-                "_run": F.sum((~F.col("_inside")).cast("int")).over(before),
-            }
-        ).drop("_one")
-    )
+    return joined.withColumns(
+        {
+            "_goes_on": F.coalesce(F.lead("_continues").over(before), F.lit(False)),
+            "_run": F.sum((~F.col("_inside")).cast("int")).over(before),
+        }
+    ).drop("_one")
 
 
 def running(
@@ -79,51 +97,53 @@ def running(
     order: Sequence[str],
     sums: dict[str, str | Column] | None = None,
     count: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Add running sums and a running row count per key, in ``order``.
 
-    ``order`` must end in a unique column. ``sums`` maps new column names to
-    numeric inputs; ``count`` names the running count (1 for the first row).
+    ``order`` must end in a column that is unique within a key. ``sums`` maps new column
+    names to numeric inputs; ``count`` names the running count (1 for the first row).
+    ``keep`` names narrow columns that are written with the rows instead of being joined
+    back. Sums within a chunk are written too; a chunk's last row then is its total.
     """
     parts = {name: F.col(c) if isinstance(c, str) else c for name, c in (sums or {}).items()}
     if count:
         parts[count] = F.lit(1).cast("long")
-    chunks = range_chunks(df, by, order)
-    borders = _borders(chunks, by)
-    tails = (
-        chunks.join(F.broadcast(borders.filter("_goes_on").select(CHUNK, "_hi")), CHUNK)
-        .filter(_key(by).eqNullSafe(F.col("_hi")))
-        .groupBy(CHUNK)
-        .agg(*[F.sum(value).alias(f"_tail_{n}") for n, value in parts.items()])
+    own = list(dict.fromkeys([*by, *order, *keep]))
+    inputs = {n: f"_in_{n}" for n in parts}
+    narrow = df.select(*own, *[value.alias(inputs[n]) for n, value in parts.items()])
+    dealt = _dealt(narrow, [*by, *order]).withColumn(CHUNK, F.spark_partition_id())
+    within = Window.partitionBy(CHUNK, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    chunks = dealt.withColumns({n: F.sum(c).over(within) for n, c in inputs.items()}).drop(*inputs.values())
+    chunks = materialize(chunks)
+    tails = [F.col(n).alias(f"_tail_{n}") for n in parts]
+    edges = chunks.groupBy(CHUNK).agg(
+        F.min(_key(by)).alias("_lo"), F.max(F.struct(_key(by).alias("_hi"), *order, *tails)).alias("_last")
     )
+    borders = _between(edges.select(CHUNK, "_lo", "_last._hi", *[f"_last._tail_{n}" for n in parts]))
     upto = Window.partitionBy("_run").orderBy(CHUNK)
-    totals = borders.join(tails, CHUNK, "left").select(
-        CHUNK, "_lo", "_continues", *[F.sum(f"_tail_{n}").over(upto).alias(f"_upto_{n}") for n in parts]
-    )
-    chunk_order = Window.orderBy(CHUNK)
-    carries = materialize(
-        totals.select(
-            CHUNK, "_lo",
-            *[F.when(F.col("_continues"), F.lag(f"_upto_{n}").over(chunk_order)).alias(f"_carry_{n}") for n in parts],
-        )
+    before = Window.orderBy(CHUNK)  # as many rows as chunks
+    totals = borders.withColumns({f"_upto_{n}": F.sum(f"_tail_{n}").over(upto) for n in parts})
+    carries = totals.select(
+        CHUNK, "_lo",
+        *[F.when(F.col("_continues"), F.lag(f"_upto_{n}").over(before)).alias(f"_carry_{n}") for n in parts],
     )
-    joined = chunks.join(F.broadcast(carries), CHUNK)
-    within = Window.partitionBy(CHUNK, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     first_key = _key(by).eqNullSafe(F.col("_lo"))
 
-    def total(name: str, value: Column) -> Column:
-        own, carry = F.sum(value).over(within), F.when(first_key, F.col(f"_carry_{name}"))
+    def total(name: str) -> Column:
+        own, carry = F.col(name), F.when(first_key, F.col(f"_carry_{name}"))
         return F.coalesce(own + carry, own, carry)
 
-    out = joined.withColumns({name: total(name, value) for name, value in parts.items()})
-    return out.drop(CHUNK, "_lo", *[f"_carry_{n}" for n in parts])
+    joined = chunks.join(F.broadcast(carries), CHUNK)  # one row per chunk
+    out = joined.select(*own, *[total(n).alias(n) for n in parts])
+    return _rejoined(df, out, by, order, list(parts))
 
 
 def rank_rows(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "_rank"
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "_rank", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Exact 1-based position of each row within its key."""
-    return running(df, by, order, count=name)
+    return running(df, by, order, count=name, keep=keep)
 
 
 def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -188,16 +208,19 @@ def fold_rows(
     inputs: Sequence[str],
     outputs: Sequence[T.StructField],
     fold: Fold,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Fold each key's rows in ``order`` and add the ``outputs`` columns.
 
-    Rows stream through in Arrow batches; no group is held in memory.
+    Rows stream through in Arrow batches; no group is held in memory. As in ``running``,
+    (key, order) is unique and ``keep`` names narrow columns to be written with the rows.
     """
     names = [f.name for f in outputs]
-    chunks = range_chunks(df, by, order)
+    chunks = range_chunks(df.select(*dict.fromkeys([*by, *order, *inputs, *keep])), by, order)
     carries = _settle(chunks, by, inputs, fold)
     wide = T.StructType([*chunks.schema.fields, *outputs])
-    return chunks.mapInArrow(_folder(by, inputs, names, fold, wide, carries), wide).drop(CHUNK)
+    folded = chunks.mapInArrow(_folder(by, inputs, names, fold, wide, carries), wide)
+    return _rejoined(df, folded, by, order, names)
 
 
 def _settle(chunks: DataFrame, by: Sequence[str], inputs: Sequence[str], fold: Fold) -> dict:

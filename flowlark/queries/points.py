@@ -113,9 +113,9 @@ def influx_write(spark, sf):
     "series_packets",
     """with s as (select event_type as t, epoch_us(time_bucket(interval '6 hours', ts)) as us,
            count(value) as n, row_number() over (
-             partition by event_type order by time_bucket(interval '6 hours', ts)) - 1 as at
+             partition by event_type order by time_bucket(interval '6 hours', ts)) - 1 as pos
          from events group by event_type, time_bucket(interval '6 hours', ts))
-       select t as tag, (at // 20)::bigint as packet, count(*)::int as size,
+       select t as tag, (pos // 20)::bigint as packet, count(*)::int as size,
          string_agg(us || ':' || n, ',' order by us) as body
        from s group by 1, 2""",
 )

@@ -613,3 +613,31 @@ def test_listing_pages(spark, tmp_path):
     assert isinstance(state, ListingState)
     pages = {r["key"]: r["page"] for r in all_pages(df, "one/abc/", limit=4).collect()}
     assert pages["one/abc/02/B"] == 0 and pages["one/abc/03/A"] == 1
+
+
+def test_points_without_measurement_and_with_fixed_now(spark):
+    df = spark.createDataFrame([(1, "m"), (2, None), (3, ""), (4, "n")], "id long, name string")
+    at = F.timestamp_micros(F.lit(1_500_000_000_123_456))
+    out = points.to_points(df, F.col("name"), F.lit("a=b"), {"v": F.lit(3.0)}, now=at, keep=["id"])
+    assert rels(out, "id") == [(1, "success"), (2, "failure"), (3, "failure"), (4, "success")]
+    lines = out.filter(F.col(REL) == "success").orderBy("id").select(points.line_text()).collect()
+    assert [r[0] for r in lines] == [f"{m},a=b v=3.0 1500000000123456000" for m in "mn"]
+
+
+def test_index_with_empty_id_is_a_document_of_its_own(spark):
+    base = spark.createDataFrame([("a", 1)], "id string, v int")
+    rows = [(1, "index", "", 7), (2, "update", "", 9), (3, "index", None, 8), (4, "upsert", "", 5), (5, "index", "b", 2)]
+    actions = spark.createDataFrame(rows, "seq int, op string, id string, v int")
+    new = F.concat(F.lit("new-"), F.col("seq"))
+    out = bulk.apply_bulk(base, actions, "id", ["v"], ["seq"], new_id=new)
+    assert sorted(map(tuple, out.collect())) == [("a", 1), ("b", 2), ("new-1", 7), ("new-3", 8)]
+
+
+def test_names_given_twice_in_metrics(spark):
+    df = spark.createDataFrame([("n1", 2.0)], "place string, load double")
+    made = metrics.status_to_points(
+        df, "load", ["place"], ["load"], {"place": F.lit("all"), "zone": F.lit("z")}, F.timestamp_seconds(F.lit(0))
+    )
+    assert made.first()["tags"] == {"place": "all", "zone": "z"}
+    data = metrics.metric_datums(df, "place", ["load"], {metrics.LOCATION: F.lit("x"), "zone": F.lit("z")})
+    assert data.first()["dimensions"] == {metrics.LOCATION: "n1", "zone": "z"}

@@ -279,3 +279,109 @@ def test_ordered_insert_of_a_long_chain(spark):
     want = expect_insert(rows, ["c-1"], 3)
     assert set(want.values()) == {"success", "failure"}
     assert {r["id"]: r[REL] for r in out.collect()} == want
+
+
+# --- folds on whole arrays ------------------------------------------------------------
+
+
+def plain_anchored(rows, width, state):
+    """Rows (t, v or None, new key) one by one."""
+    out = []
+    for t, v, new in rows:
+        if new:
+            state = None
+        if v is None:
+            out.append((None, None, False))
+        elif state is None:
+            state = (t, v, 1)
+            out.append((v, 1, False))
+        elif t - state[0] >= width:
+            out.append((state[1], state[2], True))
+            state = (t, v, 1)
+        else:
+            state = (state[0], state[1] + v, state[2] + 1)
+            out.append((state[1], state[2], False))
+    return out, state
+
+
+def plain_counter(rows, count):
+    done = []
+    for want, ok, new in rows:
+        count = (0 if new else count) + ok
+        done.append(ok and count == want)
+        count = 0 if done[-1] else count
+    return done, count
+
+
+@pytest.mark.parametrize("seed", range(200))
+def test_folds_equal_rows_one_by_one(seed):
+    rnd = random.Random(seed)
+    n, width = rnd.randint(1, 90), rnd.choice([1, 3, 10, 50, 1000, 1 << 61])
+    share = rnd.choice([0, 0.1, 0.6])
+    changes = np.array([rnd.random() < share for _ in range(n - 1)], dtype=bool)
+    new = [False, *changes.tolist()]
+    t, now = [], rnd.randint(0, 50)
+    for i in range(n):
+        now = rnd.randint(0, 60) if new[i] else now + rnd.choice([0, 0, 1, 2, 7, 30])
+        t.append(now)
+    v = [None if rnd.random() < 0.2 else rnd.choice([rnd.uniform(-9, 9), 1e18, float("inf")]) for _ in range(n)]
+    arrays = {
+        "_t": np.array(t), "_v": np.ma.MaskedArray([x or 0.0 for x in v], [x is None for x in v]),
+        "_want": np.array([rnd.randint(-1, 6) for _ in range(n)]), "_ok": np.array([rnd.random() < 0.8 for _ in range(n)]),
+    }
+    state = rnd.choice([None, (rnd.randint(-100, 0), 1.5, 2)])
+    got, after_rows = folds.AnchoredFold(width).run(arrays, state, changes)
+    want, end = plain_anchored(list(zip(t, v, new)), width, state)
+    assert repr(after_rows) == repr(end)
+    shown = zip(got["window_sum"].tolist(), got["window_count"].tolist(), got["_elapsed"].tolist())
+    assert [repr(x) for x in shown] == [repr(x) for x in want]
+
+    got, after_rows = folds.AgeOffFold(width).run(arrays, state, changes)
+    want, end = plain_anchored([(a, 1.0, b) for a, b in zip(t, new)], width, state)
+    opens = [e or (c == 1 and not e and (b or i == 0 and state is None)) for i, ((_, c, e), b) in enumerate(zip(want, new))]
+    assert got["_fresh"].tolist() == opens and after_rows[0] == end[0]
+
+    count = rnd.randint(0, 8)
+    got, after_rows = folds.CounterFold().run(arrays, (count, 0.0, 0), changes)
+    want, end = plain_counter(list(zip(arrays["_want"].tolist(), arrays["_ok"].tolist(), new)), count)
+    assert got["_done"].tolist() == want and after_rows[0] == end
+
+
+def test_exits_touch_only_windows_that_end():
+    """A dense chunk costs as much as its rows; openings that share an exit are one row."""
+    class Counted(folds.JumpExits):
+        touched = 0
+
+        def _due(self, t):
+            paths, rows = super()._due(t)
+            self.touched += len(paths)
+            return paths, rows
+
+    for step, width, left in [(1, 10**9, 60_000), (1, 700, 701), (10, 5, 1), (3, 299, 101)]:
+        exits = Counted(width)
+        t = np.arange(60_000) * step
+        for lo in range(0, len(t), 500):
+            exits.feed({"_t": t[lo : lo + 500], "_v": np.ma.MaskedArray(np.ones(500))})
+        entries, states, _ = exits.table()
+        assert len(entries) == len(states) <= left
+        assert exits.touched <= 2 * len(t)
+
+
+def test_only_read_columns_are_written(spark, monkeypatch):
+    """Payload columns are joined back; no checkpoint has them."""
+    written = []
+    keep = ordered.materialize
+    monkeypatch.setattr(ordered, "materialize", lambda df: written.append(df.columns) or keep(df))
+    rows = [(i, i % 3, 1_000_000 * i, float(i), "x" * 500) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k long, us long, v double, payload string")
+    df = df.withColumn("ts", F.timestamp_micros("us")).drop("us")
+    made = [
+        windows.running_tumbling(df, "v", "ts", "1 hour", ["k"], ["id"]),
+        windows.anchored_tumbling(df, "v", "ts", "1 minute", ["k"], ["id"]),
+        dedupe.identify_duplicates(df, "k", ["id"], ttl="1 minute", ts="ts"),
+        windows.batch_wait(df.withColumn("n", F.lit("3")), "k", "n", ["id"]),
+        ordered.rank_rows(df, [], ["id"]),
+    ]
+    for out in made:
+        assert out.filter(F.length("payload") == 500).select("id").distinct().count() == 300
+    assert written and not any("payload" in columns for columns in written)
