@@ -74,7 +74,7 @@ def rebuild(turns: DataFrame, family: int = 5, most: int = 9) -> tuple[DataFrame
     its first h; h is the CRC of c modulo ``most``. Gives rows (conv, last), last being the
     number of rebuilt turns, and (conv, pos, sha, bytes, last).
     """
-    ranked = materialize(rank_rows(turns, ["conv"], ["turn", "sha"], "r").drop("turn"))
+    ranked = materialize(rank_rows(turns, ["conv"], ["turn", "sha", "bytes"], "r").drop("turn"))
     lengths = ranked.groupBy("conv").agg(F.max("r").alias("own"))
     convs = lengths.withColumns(
         {"h": F.pmod(F.crc32(F.col("conv").cast("string")), F.lit(most)), "base": F.expr(f"conv - conv % {family}")}
@@ -103,7 +103,8 @@ def prefixes(convs: DataFrame, turns: DataFrame) -> DataFrame:
     low = F.lit(0xFFFFFFFF)
     own = [F.xxhash64(F.lit(i), "sha", "pos").bitwiseAND(low) for i in range(LANES)]
     lanes = turns.withColumns({f"own{i}": x for i, x in enumerate(own)}).drop("sha")
-    chained = running(lanes, ["conv"], ["pos"], sums={f"sum{i}": f"own{i}" for i in range(LANES)})
+    sums = {f"sum{i}": f"own{i}" for i in range(LANES)}
+    chained = running(lanes, ["conv"], ["pos"], sums=sums, keep=[*sums.values(), "bytes", "last"])
     total = [F.col(f"sum{i}") for i in range(LANES)]
     before = [F.col(f"sum{i}") - F.col(f"own{i}") for i in range(LANES)]
     zero = F.lit(0).cast("long")

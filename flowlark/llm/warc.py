@@ -11,10 +11,12 @@
 
 A record is one row of Spark's text format, whose line separator is the end of a record;
 so writing is committed by task and survives lost executors. The first header of a record
-names its archive by a number drawn for this archive. Together with the end of the record
-before, it makes a border that no payload contains, by which Spark can also split and read
-an archive of any size, one record a row. Lengths and digests are checked on reading; a
-record that does not keep them raises.
+names its archive by a number drawn for this archive. Together with the version line it
+makes a border that no payload contains, by which Spark can also split and read an archive
+of any size, one record a row. The border leaves out the end of the record before: payloads
+may end in the same characters, and a separator that can begin twice at once is missed where
+a read buffer ends between. Lengths and digests are checked on reading; a record that does
+not keep them raises.
 
 Defined results: a null payload is empty, and empty payloads are equal to each other; a
 payload shorter than ``least`` bytes is always a response; null ids are smallest; of rows
@@ -39,6 +41,7 @@ from flowlark.session import materialize
 END = "\r\n"
 GAP = END + END
 VERSION = "WARC/1.1"
+ARCHIVE = "Archive-ID"  # the first header of each record, an extension
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Fixed value: digits of base32 in order.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -197,9 +200,10 @@ def write_archives(
     def record(kind: str, fields: dict, block: Column) -> Column:
         lines = _lines(
             {
-                "WARC-Warcinfo-ID": f"<urn:uuid:{archive}>",
+                ARCHIVE: archive,
                 "WARC-Type": kind,
                 "WARC-Date": at,
+                "WARC-Warcinfo-ID": f"<urn:uuid:{archive}>",
                 **fields,
                 "Content-Length": F.octet_length(block).cast("string"),
             }
@@ -245,7 +249,7 @@ def write_archives(
     description = spark.range(1).select(
         F.concat(
             F.lit(VERSION + END),
-            _lines({"WARC-Type": "warcinfo", "WARC-Date": at, "WARC-Record-ID": f"<urn:uuid:{archive}>",
+            _lines({ARCHIVE: archive, "WARC-Type": "warcinfo", "WARC-Date": at, "WARC-Record-ID": f"<urn:uuid:{archive}>",
                     "Content-Type": "application/warc-fields", "Content-Length": F.octet_length(about).cast("string")}),
             F.lit(GAP), about,
         ).alias("value")
@@ -263,18 +267,13 @@ def read_archives(spark: SparkSession, path: str, archive: str | None = None) ->
     payload that contains this border raises. Of revisits, which have no payload, length
     and digest are those of the payload they refer to.
     """
-    first = f"WARC-Warcinfo-ID: <urn:uuid:{archive}>{END}" if archive else ""
-    border = GAP + VERSION + END + first
-    raw = spark.read.option("lineSep", border).text(path)
-    value = F.col("value")
-    lead = VERSION + END
-    value = F.when(value.startswith(lead), F.substring(value, F.lit(len(lead) + 1), F.length(value))).otherwise(value)
-    cut = raw.select(value.alias("value")).withColumn("head", F.substring_index("value", GAP, 1))
+    border = VERSION + END + (f"{ARCHIVE}: {archive}{END}" if archive else "")
+    raw = spark.read.option("lineSep", border).text(path).filter("value <> ''")  # before the first one
+    cut = raw.withColumn("head", F.substring_index("value", GAP, 1))
     declared = _field(F.col("head"), "Content-Length").cast("long")
     rest = F.expr("substring(cast(value as binary), octet_length(head) + 5)")
     cut = cut.select("head", declared.alias("size"), rest.alias("rest"))
-    # The last record of a file keeps its end.
-    whole = F.octet_length("rest").isin(F.col("size"), F.col("size") + len(GAP))
+    whole = F.octet_length("rest") == F.col("size") + len(GAP)
     wrong = F.raise_error(F.concat(F.lit("a record does not have its length: "), F.col("head")))
     block = F.when(whole, F.expr("substring(rest, 1, cast(size as int))")).otherwise(wrong.cast("binary"))
     cut = cut.select("head", block.alias("block"))
