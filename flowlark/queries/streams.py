@@ -84,3 +84,37 @@ def stream_batch_wait(spark, sf):
     )
     out = stateful.batch_wait_stream(orders, "o_custkey", "want", ["o_orderkey"])
     return drain(out, "batches").select("o_orderkey", REL)
+
+
+@query(
+    "stream_batch_wait_nameless",
+    """with n as (select event_id, event_type = 'purchase' as ok,
+           row_number() over (partition by event_type = 'purchase', user_id order by ts, event_id) as rn from events)
+       select event_id, 'original' as _rel from n
+       union all select event_id, 'batch-completed' from n where ok and rn % 3 = 0
+       union all select event_id, 'failure' from n where not ok""",
+)
+def stream_batch_wait_nameless(spark, sf):
+    """Most events have no batch id; they have no state."""
+    events = stream(spark, sf, "events").select("event_id", "ts", "event_type", "user_id")
+    name = F.when(F.col("event_type") == "purchase", F.col("user_id").cast("string"))
+    rows = events.withColumns({"batch": name, "size": F.lit("3")})
+    out = stateful.batch_wait_stream(rows, "batch", "size", ["ts", "event_id"])
+    return drain(out, "batches").select("event_id", REL)
+
+
+@query(
+    "stream_delay",
+    """with e as (select *, case when event_type = 'error' then null else event_id % 86400000 * 7000 end as delay from events)
+       select event_id, epoch_us(ts) as us, value, case when delay is null then 'failure' else 'success' end as _rel
+       from e where delay is null or epoch_us(ts) // 1000 + delay
+         <= (select max(epoch_us(ts) // 1000) from e) - 3600000""",
+)
+def stream_delay(spark, sf):
+    """Events held by event time for a delay of their own; errors have none that is a number."""
+    events = stream(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    wait = F.col("event_id") % 86_400_000 * 7000
+    delay = F.when(F.col("event_type") == "error", "soon").otherwise(wait.cast("string"))
+    out = stateful.delay_stream(events, "event_type", delay, ts="ts", watermark="1 hour", grain="1 hour")
+    out = drain(out, "delay")
+    return out.select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "value", REL)

@@ -9,19 +9,27 @@ from pyspark.sql import DataFrame
 from flowlark.operators.routing import REL
 from flowlark.session import scratch_path
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def drain(sdf: DataFrame, name: str = "stream") -> DataFrame:
     """Process all available input into a table in the shared folder."""
     spark = sdf.sparkSession
     out = scratch_path(spark, name)
-    query = (
+    writer = (
         sdf.writeStream.format("parquet")
         .option("checkpointLocation", scratch_path(spark, f"{name}-log"))
         .option("path", out)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKS)  # a query keeps what is set when it starts
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set(PROVIDER, before)
     query.awaitTermination()
     return spark.read.schema(sdf.schema).parquet(out)
 

@@ -1,22 +1,24 @@
-"""Order-dependent operators on streams, on keyed state.
+"""Order-dependent operators on streams, on typed keyed state.
 
-The folds are those of the batch operators. Rows of one micro-batch are sorted
-per key first, so a run over split input gives the batch result as long as
-records arrive in order across micro-batches. Micro-batches bound what a task
-sees of a hot key; set ``maxFilesPerTrigger`` on the source accordingly.
+The folds are those of the batch operators. Rows of one micro-batch are sorted per key
+first, so a run over split input gives the batch result as long as records arrive in order
+across micro-batches. Micro-batches bound what a task sees of a hot key; set
+``maxFilesPerTrigger`` on the source accordingly. Records that fail have no state.
+
+State lives in RocksDB: run these streams through ``streaming.run.drain``, or with
+``spark.sql.streaming.stateStore.providerClass`` set to ``streaming.run.ROCKS``.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from flowlark.functions.numbers import double_of, is_blank
 from flowlark.functions.times import as_timestamp, micros
@@ -30,65 +32,86 @@ from flowlark.operators.windows import (
 from flowlark.plans.folds import AgeOffFold, AnchoredFold, CounterFold
 from flowlark.plans.ordered import Fold
 
-# Held rows keep their microseconds.
-ROW_FORMAT = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-STATE = T.StructType([T.StructField("state", T.StringType())])
 
+class Folding(StatefulProcessor):
+    """Folds a key's rows; its state is the three numbers of the fold.
 
-def fold_stream(
-    sdf: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    inputs: Sequence[str],
-    outputs: Sequence[T.StructField],
-    fold: Fold,
-    forget_after_ms: int | None = None,
-) -> DataFrame:
-    """Streaming twin of the batch fold; state is a short JSON text per key.
-
-    With ``forget_after_ms`` (and a watermark on the stream) a key is dropped
-    that long after the time in the first place of its state.
+    With ``forget_after_ms`` a key is dropped that long after the time in the first place
+    of its state, by a timer that moves with it.
     """
-    schema = T.StructType([*sdf.schema.fields, *outputs])
-    order, inputs = list(order), list(inputs)
 
-    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        parts = list(frames)
+    def __init__(self, fold: Fold, order: list[str], inputs: dict, outputs: dict, forget_after_ms: int | None):
+        self.fold, self.order, self.inputs, self.outputs = fold, order, inputs, outputs
+        self.forget_after_ms = forget_after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "a long, s double, n long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = list(rows)
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
         if len(pdf) > 1:
-            pdf = pdf.iloc[np.lexsort([pdf[c].to_numpy() for c in reversed(order)])]
-        held = json.loads(state.get[0]) if state.exists else None
+            pdf = pdf.iloc[np.lexsort([pdf[c].to_numpy() for c in reversed(self.order)])]
+        held = self.state.get()
         arrays = {}
-        for c in inputs:
+        for name, c in self.inputs.items():
             missing = pdf[c].isna().to_numpy()
             values = pdf[c].fillna(0).to_numpy() if missing.any() else pdf[c].to_numpy()
-            arrays[c] = np.ma.MaskedArray(values, missing)
-        outs, after = fold.run(arrays, held)
+            arrays[name] = np.ma.MaskedArray(values, missing)
+        outs, after = self.fold.run(arrays, None if held is None else tuple(held))
         if after is not None:
-            state.update((json.dumps(after),))
-            if forget_after_ms is not None and after[0] is not None:
-                due = after[0] // 1000 + forget_after_ms
-                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+            self.state.update(after)
+            self._move_timer(held, after)
         added = {}
-        for f in outputs:
-            values = outs[f.name]
+        for c, name in self.outputs.items():
+            values = outs[name]
             if np.ma.getmaskarray(values).any():
                 values = np.where(np.ma.getmaskarray(values), None, values.astype(object))
-            added[f.name] = np.asarray(values)
+            added[c] = np.asarray(values)
         yield pdf.assign(**added)
 
-    timeout = (
-        GroupStateTimeout.NoTimeout
-        if forget_after_ms is None
-        else GroupStateTimeout.EventTimeTimeout
-    )
-    return sdf.groupBy(*by).applyInPandasWithState(step, schema, STATE, "append", timeout)
+    def _move_timer(self, before, after) -> None:
+        if self.forget_after_ms is None or after[0] is None:
+            return
+        if before is not None and before[0] is not None:
+            if before[0] == after[0]:
+                return
+            self.handle.deleteTimer(before[0] // 1000 + self.forget_after_ms)
+        self.handle.registerTimer(after[0] // 1000 + self.forget_after_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def fold_stream(
+    sdf: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    inputs: Sequence[str],
+    outputs: Sequence[T.StructField],
+    fold: Fold,
+    forget_after_ms: int | None = None,
+) -> DataFrame:
+    """Streaming twin of the batch fold; ``forget_after_ms`` needs a watermark."""
+    # Rows come as named tuples, which only keep names that are Python's.
+    names = {c: f"c{i}" for i, c in enumerate(sdf.columns)}
+    plain = sdf.toDF(*names.values())
+    added = [f"o{i}" for i in range(len(outputs))]
+    fields = [T.StructField(n, f.dataType) for n, f in zip(added, outputs)]
+    folding = Folding(
+        fold, [names[c] for c in order], {c: names[c] for c in inputs},
+        dict(zip(added, [f.name for f in outputs])), forget_after_ms,
+    )
+    time = "None" if forget_after_ms is None else "EventTime"
+    grouped = plain.groupBy(*[names[c] for c in by])
+    schema = T.StructType([*plain.schema.fields, *fields])
+    out = grouped.transformWithStateInPandas(folding, schema, "Append", time)
+    return out.toDF(*names, *[f.name for f in outputs])
 
 
 def anchored_stream(
@@ -154,54 +177,147 @@ def distinct_stream(sdf: DataFrame, key: str, ts: str | None = None, watermark:
 def batch_wait_stream(
     sdf: DataFrame, frag_id: str, frag_count: str, order: Sequence[str]
 ) -> DataFrame:
-    """``batch_wait`` on a stream."""
+    """``batch_wait`` on a stream; records without id or count have no state."""
+    rows = fragments(sdf, frag_id, frag_count)
     out = fold_stream(
-        fragments(sdf, frag_id, frag_count),
+        rows.filter("_ok"),
         [frag_id],
         order,
         ["_want", "_ok"],
         [T.StructField("_done", T.BooleanType())],
         CounterFold(),
     )
-    return route_batch(out, F.col("_done"))
+    failed = rows.filter(~F.col("_ok")).withColumn("_done", F.lit(False))
+    return route_batch(out.unionByName(failed), F.col("_done"))
 
 
-def delay_stream(sdf: DataFrame, key: str, delay_ms: str | Column) -> DataFrame:
-    """Hold each record for its own delay in processing time.
+def _bare(value):
+    """Nested rows as plain tuples, which state can be written with."""
+    if isinstance(value, tuple):
+        return tuple(_bare(v) for v in value)
+    if isinstance(value, list):
+        return [_bare(v) for v in value]
+    return {k: _bare(v) for k, v in value.items()} if isinstance(value, dict) else value
 
-    ``key`` spreads state and timers over tasks; records that share one are held
-    side by side. Released records are ``success``; a record without a readable
-    delay is ``failure`` at once.
+
+class Holding(StatefulProcessor):
+    """Holds typed rows in a list until each one's own time has come.
+
+    One timer stands for the next row due. When it fires, all rows that are due leave in
+    one pass over the list.
+    """
+
+    def __init__(self, schema: T.StructType, event_time: bool):
+        self.schema, self.event_time = schema, event_time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", self.schema)
+        self.next = handle.getValueState("next", "due long")
+
+    def _now(self, times) -> int:
+        return times.getCurrentWatermarkInMs() if self.event_time else times.getCurrentProcessingTimeInMs()
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now, kept = self._now(timerValues), []
+        for row in rows:
+            values = tuple(_bare(row[c]) for c in self.schema.names)
+            if values[0] <= now:
+                yield Row(**dict(zip(self.schema.names[1:], values[1:])))
+            else:
+                kept.append(values)
+        if kept:
+            self.held.appendList(kept)
+            self._wait_for(min(x[0] for x in kept))
+
+    def _wait_for(self, due: int) -> None:
+        known = self.next.get()
+        if known is not None:
+            if known[0] <= due:
+                return
+            self.handle.deleteTimer(known[0])
+        self.handle.registerTimer(due)
+        self.next.update((due,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now, rest = self._now(timerValues), []
+        for values in map(_bare, self.held.get()):
+            if values[0] <= now:
+                yield Row(**dict(zip(self.schema.names[1:], values[1:])))
+            else:
+                rest.append(values)
+        self.next.clear()
+        if rest:
+            self.held.put(rest)
+            self._wait_for(min(x[0] for x in rest))
+        else:
+            self.held.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def _plain(c: Column, kind: T.DataType) -> Column:
+    """Times, dates and decimals as numbers and texts that Python keeps exactly."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c)
+    return c.cast("string") if isinstance(kind, T.DecimalType) else c
+
+
+def _restored(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_add("MICROSECOND", c, F.lit("1970-01-01").cast("timestamp_ntz"))
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(c)
+    return c.cast(kind) if isinstance(kind, T.DecimalType) else c
+
+
+def delay_stream(
+    sdf: DataFrame,
+    key: str,
+    delay_ms: str | Column,
+    ts: str | None = None,
+    watermark: str | None = None,
+    grain: str = "1 minute",
+) -> DataFrame:
+    """Hold each record for its own delay: from its arrival, or from its time ``ts``.
+
+    With ``ts`` and ``watermark`` a record leaves when the watermark reaches its time and
+    delay, otherwise when the clock does. Records are held by ``key`` and by the ``grain``
+    in which they are due, so a key with very many records is many lists, and a list is
+    read when it is due. Released records are ``success``; a record without a readable
+    delay, or time, is ``failure`` at once.
     """
     given = F.col(delay_ms) if isinstance(delay_ms, str) else delay_ms
     rows = sdf.withColumn("_delay", given.try_cast("bigint"))
-    packed = rows.filter(F.col("_delay").isNotNull()).select(
-        F.col(key).cast("string").alias("_key"),
-        "_delay",
-        F.to_json(F.struct(*sdf.columns), ROW_FORMAT).alias("_row"),
-    )
-
-    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else []
-        now = state.getCurrentProcessingTimeMs()
-        if not state.hasTimedOut:
-            for pdf in frames:
-                held += [[now + int(d), row] for d, row in zip(pdf["_delay"], pdf["_row"])]
-        due = [row for at, row in held if at <= now]
-        held = [x for x in held if x[0] > now]
-        if held:
-            state.update((json.dumps(held),))
-            state.setTimeoutDuration(max(1, min(at for at, _ in held) - now))
-        elif state.exists:
-            state.remove()
-        if due:
-            yield pd.DataFrame({"_row": due})
-
-    held = packed.groupBy("_key").applyInPandasWithState(
-        step, "_row string", STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+    if ts is not None:
+        rows = rows.withColumn("_at", as_timestamp(ts)).withWatermark("_at", watermark)
+        start = F.unix_millis("_at")
+    else:
+        start = F.unix_millis(F.current_timestamp())
+    rows = rows.withColumn("_due", F.try_add(start, F.col("_delay")))
+    fields = sdf.schema.fields
+    bucket = F.call_function("div", F.col("_due"), F.lit(interval_micros(grain) // 1000))
+    # Without the time itself, late records are not dropped: they are due, and leave.
+    packed = rows.filter(F.col("_due").isNotNull()).select(
+        F.col(key).cast("string").alias("_key"), bucket.alias("_bucket"), "_due",
+        *[_plain(F.col(f.name), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)],
+    )
+    kinds = [packed.schema[c] for c in ["_due", *[f"c{i}" for i in range(len(fields))]]]
+    held = packed.groupBy("_key", "_bucket").transformWithState(
+        Holding(T.StructType([T.StructField(f.name, f.dataType) for f in kinds]), ts is not None),
+        T.StructType([T.StructField(f.name, f.dataType) for f in kinds[1:]]),
+        "Append",
+        "ProcessingTime" if ts is None else "EventTime",
     )
-    back = held.select(F.from_json("_row", sdf.schema, ROW_FORMAT).alias("r")).select("r.*")
-    failed = rows.filter(F.col("_delay").isNull()).drop("_delay")
+    back = held.select(*[_restored(F.col(f"c{i}"), f.dataType).alias(f.name) for i, f in enumerate(fields)])
+    failed = rows.filter(F.col("_due").isNull()).select(*sdf.columns)
     return back.withColumn(REL, F.lit("success")).unionByName(
         failed.withColumn(REL, F.lit("failure"))
     )

@@ -9,7 +9,7 @@ from flowlark.operators import dedupe, points, project, routing, stats, windows
 from flowlark.operators.routing import REL
 from flowlark.sources.files import read_stream_files
 from flowlark.streaming import stateful
-from flowlark.streaming.run import drain, route_batches
+from flowlark.streaming.run import PROVIDER, ROCKS, drain, route_batches
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -120,7 +120,8 @@ def test_delay(spark, split_events):
     sdf = read_stream_files(spark, path, batch.schema).withColumn(
         "wait", F.when(F.col("event_id") % 2 == 0, 0).otherwise(300)
     )
-    held = stateful.delay_stream(sdf, "event_id", "wait")
+    held = stateful.delay_stream(sdf, "event_type", "wait", grain="1 second")
+    spark.conf.set(PROVIDER, ROCKS)
     query = held.writeStream.format("memory").queryName("held").outputMode("append").start()
     try:
         deadline = time.time() + 60
@@ -132,6 +133,65 @@ def test_delay(spark, split_events):
         assert rows(got, "event_id", "ts", "value") == rows(batch, "event_id", "ts", "value")
     finally:
         query.stop()
+        spark.conf.unset(PROVIDER)
+
+
+ODD = """select id, case when id % 5 = 0 then null else id * 1000000000000001 end as big, id % 3 = 0 as flag,
+  cast(id as decimal(30, 7)) / 3 as price, date '0001-01-02' + cast(id as int) as day,
+  timestamp_ntz '1883-11-18 12:03:58.000001' as ntz, array(named_struct('a', id, 'b', 'x')) as list,
+  timestamp_micros(1700000000000000 + id * 1000000) as ts, cast(id % 7 * 1000 as string) as wait from range(400)"""
+
+
+def test_delay_by_event_time_keeps_typed_rows(spark, tmp_path):
+    """Rows of one key leave when the watermark passes their own time, whole."""
+    odd = spark.sql(ODD)
+    for i in range(4):
+        odd.filter(F.floor(F.col("id") / 100) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    sdf = read_stream_files(spark, str(tmp_path / "in"), odd.schema, max_files=1)
+    bad = F.when(F.col("id") == 399, "soon").otherwise(F.col("wait"))
+    out = drain(stateful.delay_stream(sdf, "flag", bad, ts="ts", watermark="10 seconds", grain="30 seconds"))
+    last = 1_700_000_000_000 + 399_000 - 10_000
+    due = F.unix_millis("ts") + F.col("wait").cast("long")
+    want = odd.withColumn(REL, F.when(F.col("id") == 399, "failure").when(due <= last, "success"))
+    want = want.filter(F.col(REL).isNotNull())
+    assert want.count() > 380
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.select(out.columns).collect()))
+
+
+def test_delay_of_many_rows_under_one_key(spark, tmp_path):
+    rows_ = spark.range(30_000).select("id", F.timestamp_millis(F.col("id") * 10).alias("ts"), F.lit("k").alias("k"))
+    rows_.coalesce(1).write.parquet(str(tmp_path / "in"))
+    sdf = read_stream_files(spark, str(tmp_path / "in"), rows_.schema)
+    out = drain(stateful.delay_stream(sdf, "k", F.lit(60_000), ts="ts", watermark="1 second", grain="10 seconds"))
+    released = (299_990 - 1000 - 60_000) // 10 + 1
+    assert out.agg(F.count("*"), F.max("id")).first() == (released, released - 1)
+
+
+def test_failed_records_have_no_state(spark, split_events):
+    """Records without batch id or key never reach the stateful operator."""
+    sdf = source(spark, split_events).withColumn("name", F.when(F.col("event_id") < 0, "x"))
+    for out in (
+        stateful.batch_wait_stream(sdf.withColumn("n", F.lit("2")), "name", "n", ["event_id"]),
+        stateful.dedupe_stream(sdf, "name", ["event_id"], "6 hours", "ts", "1 hour"),
+    ):
+        query = out.writeStream.format("memory").queryName("stateless").trigger(availableNow=True)
+        spark.conf.set(PROVIDER, ROCKS)
+        running = query.start()
+        spark.conf.unset(PROVIDER)
+        running.awaitTermination()
+        states = [o["numRowsTotal"] for p in running.recentProgress for o in p["stateOperators"]]
+        assert states and set(states) == {0}
+
+
+def test_keys_are_forgotten(spark, split_events):
+    out = stateful.dedupe_stream(source(spark, split_events), "user_id", ["event_id"], "1 hour", "ts", "1 hour")
+    spark.conf.set(PROVIDER, ROCKS)
+    running = out.writeStream.format("memory").queryName("forgotten").trigger(availableNow=True).start()
+    spark.conf.unset(PROVIDER)
+    running.awaitTermination()
+    left = running.recentProgress[-1]["stateOperators"][0]["customMetrics"]["numDeletedTimers"]
+    assert left > 0
 
 
 def test_outputs_to_own_sinks(spark, split_events, tmp_path):
