@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from flowlark.operators import dedupe
+from flowlark.operators import dedupe, seen
 from flowlark.operators.routing import REL
 from flowlark.queries.registry import query, table
+from flowlark.session import scratch_path
 
 FRESH_SQL = """
 with recursive a as (
@@ -88,3 +89,21 @@ def cache_remove(spark, sf):
         "c_custkey",
         "user_id",
     )
+
+
+@query(
+    "seen_keys",
+    """select event_id, row_number() over (partition by user_id, event_type order by event_id) = 1 as added
+       from events""",
+)
+def seen_keys(spark, sf):
+    """Events in three micro-batches against a set that lasts; the second one is replayed."""
+    events = table(spark, sf, "events")
+    events = events.select("event_id", F.concat_ws(":", "user_id", "event_type").alias("name"))
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    part = F.call_function("div", F.col("event_id") * 3, F.lit(last + 1))
+    names = seen.SeenKeys(spark, scratch_path(spark, "seen"), buckets=64)
+    flags = {}
+    for batch in (0, 1, 2, 1):
+        flags[batch] = names.add(events.filter(part == batch), "name", ["event_id"], batch)
+    return flags[0].unionByName(flags[1]).unionByName(flags[2]).select("event_id", "added")
