@@ -175,15 +175,14 @@ def insert(
 def _insert_ordered(marked, taken, key, order, batch_size) -> DataFrame:
     """Find the first failed position of every batch.
 
-    Whether a row fails depends on which earlier rows were written, which
-    depends on earlier batches. Assuming all rows written gives positions that
-    are too early, those give written rows that are too few, and so on; the two
-    bounds close in until a round changes nothing, which is the exact answer.
-    Only rows whose key repeats or is taken take part in the rounds.
+    Whether a row fails depends on which earlier rows were written, which depends on
+    where earlier batches stopped. Only rows whose key repeats or is taken are looked at.
     """
-    ranked = materialize(rank_rows(marked, [], order, "_pos"))
+    marked = marked.drop("error_code", REL)
+    narrow = marked.select(*dict.fromkeys([*order, key, "_good"]))
+    ranked = rank_rows(narrow, [], order, "_pos", keep=[key, "_good"])
     batch = F.call_function("div", F.col("_pos") - 1, F.lit(batch_size)).cast("long")
-    ranked = ranked.withColumn("_batch", batch)
+    ranked = materialize(ranked.withColumn("_batch", batch))
     tries = ranked.filter(F.col("_good") & F.col(key).isNotNull()).select(
         F.col(key).alias("_k"), "_pos", "_batch"
     )
@@ -194,56 +193,126 @@ def _insert_ordered(marked, taken, key, order, batch_size) -> DataFrame:
     contested = materialize(
         join_hot(tries, status.filter("_n > 1 or _exists"), {"_k": "_k"}, "inner").drop("_n")
     )
-    stop_by = _stops(contested)
-    joined = ranked.join(stop_by, "_batch", "left")
+    joined = ranked.join(_stops(contested), "_batch", "left")
     stop = F.coalesce("_stop", F.lit(NEVER))
     written = F.col("_good") & (F.col("_pos") < stop)
-    out = joined.withColumns(
-        {
-            "error_code": F.when(F.col("_good") & (F.col("_pos") == stop), F.lit(DUPLICATE_KEY)),
-            REL: F.when(written, "success").otherwise("failure"),
-        }
+    code = F.when(F.col("_good") & (F.col("_pos") == stop), F.lit(DUPLICATE_KEY))
+    routed = joined.select(
+        *[F.col(c).alias(f"_at_{c}") for c in order],
+        code.alias("error_code"),
+        F.when(written, "success").otherwise("failure").alias(REL),
     )
-    return out.drop("_good", "_pos", "_batch", "_stop")
+    out = join_hot(marked, routed, {c: f"_at_{c}" for c in order}, "left", null_safe=True)
+    return out.drop("_good")
 
 
 NEVER = 2**62
 
 
 def _stops(contested: DataFrame) -> DataFrame:
-    """First failed position of each batch (null: none), in closing rounds.
+    """First failed position (null: none) of each batch with contested rows.
+
+    A row whose key exists, or came before in its own batch, is a limit that its batch
+    cannot pass. Of the rows before the limits, each key's first one is written if its
+    batch comes that far; any other one, a candidate, fails if an earlier one is written.
+    In each round
 
-    A batch is settled when its lower and upper bound meet. It leaves the rounds
-    with all its rows; of its written keys only the first position is kept.
+    * batches without candidates are settled; so is what comes before the first candidate
+      of the others, and all of it limits later rows with its keys;
+    * a first candidate with one earlier row is decided by the first candidate of that
+      row's batch: one fails where the other does not. These links form chains, and
+      pointers that double carry the answer along a chain of any length in as many joins
+      as its logarithm.
+
+    The earliest batch never has candidates, so every round settles some.
     """
-    rows, held, stops, settled = contested, None, None, []
+    nth = Window.partitionBy("_k", "_batch").orderBy("_pos")  # rows of one batch
+    rows = contested.withColumn("_nth", F.row_number().over(nth))
+    limits = rows.groupBy("_batch").agg(F.min(F.when(F.col("_exists") | (F.col("_nth") == 2), F.col("_pos"))).alias("_stop"))
+    heads = rows.filter("_nth = 1 and not _exists").select("_k", "_pos", "_batch")
+    limits = materialize(limits)
+    live, held, settled = materialize(heads), None, []
     while True:
-        live = rows
-        if stops is not None:
-            live = rows.join(stops, "_batch").filter(F.col("_pos") < F.coalesce("_stop", F.lit(NEVER)))
-        since = live.select("_k", "_pos")
-        if held is not None:
-            since = since.unionByName(held)
-        earliest = since.groupBy("_k").agg(F.min("_pos").alias("_since"))
-        clash = F.col("_exists") | F.coalesce(F.col("_since") < F.col("_pos"), F.lit(False))
-        fresh = materialize(
-            join_hot(rows, earliest, {"_k": "_k"})
-            .groupBy("_batch")
-            .agg(F.min(F.when(clash, F.col("_pos"))).alias("_stop"))
+        marked = materialize(_candidates(_before_limits(live, limits)))
+        firsts = marked.groupBy("_batch").agg(
+            # Candidates of one batch, no more than its rows.
+            F.slice(F.array_sort(F.collect_list(F.when(F.col("_pos") > F.col("_pos1"), F.col("_pos")))), 1, 2).alias("_c")
+        )
+        batches = limits.join(firsts, "_batch", "left").select(
+            "_batch", "_stop", F.get("_c", F.lit(0)).alias("_c1"), F.get("_c", F.lit(1)).alias("_c2")
+        )
+        batches = materialize(batches)
+        settled.append(batches.filter("_c1 is null").select("_batch", "_stop"))
+        open_ = batches.filter("_c1 is not null")
+        if open_.isEmpty():
+            return reduce(lambda x, y: x.unionByName(y), settled)
+        fails = _decided(marked, batches)
+        ended = fails.filter("_fails").select("_batch")
+        again = open_.join(ended, "_batch", "left_anti").select("_batch", "_stop")
+        settled.append(open_.join(ended, "_batch").select("_batch", F.col("_c1").alias("_stop")))
+        # Rows that are surely written, by key: all before the first open candidate.
+        passed = fails.filter("not _fails").select("_batch", F.lit(True).alias("_passed"))
+        placed = marked.join(batches.select("_batch", "_c1", "_c2"), "_batch").join(passed, "_batch", "left")
+        until = F.when(F.col("_passed"), F.coalesce("_c2", F.lit(NEVER))).otherwise(F.coalesce("_c1", F.lit(NEVER)))
+        written = placed.filter(F.col("_pos") < until).select("_k", "_pos")
+        held = written if held is None else held.unionByName(written)
+        held = materialize(held.groupBy("_k").agg(F.min("_pos").alias("_pos")))
+        waiting = placed.filter(F.col("_c1").isNotNull()).join(ended, "_batch", "left_anti")
+        waiting = waiting.select("_k", "_pos", "_batch", (F.col("_pos") < until).alias("_sure"))
+        since = held.select(F.col("_k").alias("_hk"), F.col("_pos").alias("_since"))
+        waiting = join_hot(waiting, since, {"_k": "_hk"})
+        clash = F.coalesce(F.col("_since") < F.col("_pos"), F.lit(False))
+        hits = waiting.groupBy("_batch").agg(F.min(F.when(clash, F.col("_pos"))).alias("_hit"))
+        limits = materialize(
+            again.join(hits, "_batch", "left").select("_batch", F.least("_stop", "_hit").alias("_stop"))
         )
-        if stops is not None:
-            met = fresh.join(stops.withColumnRenamed("_stop", "_was"), "_batch")
-            done = met.filter(F.col("_stop").eqNullSafe(F.col("_was"))).select("_batch", "_stop")
-            settled.append(done)
-            written = rows.join(done, "_batch").filter(F.col("_pos") < F.coalesce("_stop", F.lit(NEVER)))
-            written = written.select("_k", "_pos")
-            rows = materialize(rows.join(done, "_batch", "left_anti"))
-            if rows.isEmpty():
-                return reduce(lambda x, y: x.unionByName(y), settled)
-            held = written if held is None else held.unionByName(written)
-            held = materialize(held.groupBy("_k").agg(F.min("_pos").alias("_pos")))
-            fresh = fresh.join(done, "_batch", "left_anti")
-        stops = fresh
+        if limits.isEmpty():
+            return reduce(lambda x, y: x.unionByName(y), settled)
+        live = waiting.filter("not _sure").select("_k", "_pos", "_batch")
+
+
+def _before_limits(live: DataFrame, limits: DataFrame) -> DataFrame:
+    near = live.join(limits, "_batch")
+    return near.filter(F.col("_pos") < F.coalesce("_stop", F.lit(NEVER))).select("_k", "_pos", "_batch")
+
+
+def _candidates(live: DataFrame) -> DataFrame:
+    """Rows with the first row of their key, and whether it is the only one before them."""
+    first = live.groupBy("_k").agg(F.min(F.struct("_pos", "_batch")).alias("_1"))
+    first = first.select(F.col("_k").alias("_k1"), F.col("_1._pos").alias("_pos1"), F.col("_1._batch").alias("_batch1"))
+    near = join_hot(live, first, {"_k": "_k1"})
+    second = near.filter("_pos > _pos1").groupBy(F.col("_k").alias("_k2")).agg(F.min("_pos").alias("_pos2"))
+    return join_hot(near, second, {"_k": "_k2"}).withColumn(
+        "_only", F.coalesce(F.col("_pos") == F.col("_pos2"), F.lit(False))
+    )
+
+
+def _decided(marked: DataFrame, batches: DataFrame) -> DataFrame:
+    """Batches of which is known whether their first candidate fails, with ``_fails``."""
+    first = marked.join(batches.select("_batch", "_c1"), "_batch").filter("_pos = _c1")
+    over = batches.select(F.col("_batch").alias("_batch1"), F.col("_c1").alias("_d1"), F.col("_c2").alias("_d2"))
+    sure = F.coalesce(F.col("_pos1") < F.col("_d1"), F.lit(True))
+    alone = F.col("_only") & F.coalesce(F.col("_pos1") < F.col("_d2"), F.lit(True))
+    links = first.join(over, "_batch1").filter(sure | alone).select(
+        "_batch", F.when(~sure, F.col("_batch1")).alias("_to"),
+        F.lit(True).alias("_turned"), F.when(sure, True).alias("_fails"),
+    )
+    links = materialize(links)
+    while not links.filter("_to is not null").isEmpty():
+        there = links.select(
+            F.col("_batch").alias("_to"), F.col("_to").alias("_far"), F.col("_turned").alias("_more"),
+            F.col("_fails").alias("_there"),
+        )
+        # Links to batches that neither are known nor point on are left open.
+        near = links.filter("_to is not null").join(there, "_to")
+        turned = F.col("_turned") != F.coalesce("_more", F.lit(False))
+        moved = near.select(
+            "_batch", F.col("_far").alias("_to"),
+            F.when(F.col("_there").isNull(), turned).alias("_turned"),
+            (F.col("_there") != F.col("_turned")).alias("_fails"),
+        )
+        links = materialize(links.filter("_to is null").unionByName(moved))
+    return links.select("_batch", "_fails")
 
 
 # --- update and delete ----------------------------------------------------------------

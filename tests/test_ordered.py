@@ -1,5 +1,6 @@
 """Order-dependent primitives against plain Python, with hot keys."""
 
+import math
 import random
 
 import numpy as np
@@ -267,6 +268,38 @@ def test_ordered_insert(spark, seed, batch):
     assert {r["id"]: r[REL] for r in out.collect()} == expect_insert(rows, held, batch)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_ordered_insert_of_entangled_batches(spark, seed):
+    """Keys that come three times and more, many of them in chains over batches."""
+    rnd = random.Random(seed)
+    n, batch = 240, rnd.choice([2, 3, 8])
+    rows = []
+    for i in range(n):
+        near = rnd.choice([f"k{i // batch}", f"k{i // batch - 1}", f"k{rnd.randint(0, n // batch)}", f"u{i}"])
+        rows.append((i, near, "bad" if rnd.random() < 0.03 else "{}"))
+    held = ["k0", "k7"]
+    docs = spark.createDataFrame([(k,) for k in held], "key string")
+    df = spark.createDataFrame(rows, "id long, key string, payload string")
+    out = documents.insert(docs, df, "key", ["id"], ordered=True, batch_size=batch, payload="payload")
+    assert {r["id"]: r[REL] for r in out.collect()} == expect_insert(rows, held, batch)
+
+
+@pytest.mark.parametrize("batches", [16, 128])
+def test_chains_take_logarithmic_rounds(spark, monkeypatch, batches):
+    rows = []
+    for i in range(batches):
+        rows += [(3 * i, f"a{i}", "{}"), (3 * i + 1, f"c{i - 1}", "{}"), (3 * i + 2, f"c{i}", "{}")]
+    df = spark.createDataFrame(rows, "id long, key string, payload string")
+    docs = spark.createDataFrame([("c-1",)], "key string")
+    written = []
+    keep = documents.materialize
+    monkeypatch.setattr(documents, "materialize", lambda df: written.append(df.columns) or keep(df))
+    out = documents.insert(docs, df, "key", ["id"], ordered=True, batch_size=3, payload="payload")
+    assert {r["id"]: r[REL] for r in out.collect()} == expect_insert(rows, ["c-1"], 3)
+    rounds = sum(c == ["_batch", "_to", "_turned", "_fails"] for c in written)
+    assert rounds <= 2 * math.log2(batches)
+
+
 def test_ordered_insert_of_a_long_chain(spark):
     """Each batch's stop depends on the batch before it."""
     rows = []
