@@ -70,30 +70,41 @@ DATUMS_PER_REQUEST = 20
 def flatten_tree(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All nodes below the roots with ``depth`` and ``path`` (root to node).
 
-    ``nodes`` has ``id``, ``edges`` ``parent`` and ``child``, ``roots`` ``id``.
-    One join per level; each level is written to the shared folder, so the plan
-    does not grow with the depth. A child that is its own ancestor is an error,
-    whatever the depth.
+    ``nodes`` has ``id``, ``edges`` ``parent`` and ``child``, ``roots`` ``id``. Every node
+    points up, at first to its parent; each round joins it to where its pointer's end
+    points, so a tree of depth d takes the logarithm of d joins, each written to the shared
+    folder. A way that begins at a root is ended there. A node below the roots that is its
+    own ancestor is an error: its way up meets itself before it ends.
     """
-    level = materialize(
-        roots.select("id").withColumns({"depth": F.lit(0), "path": F.array("id")})
+    same = roots.schema["id"].dataType
+    start = roots.select("id", F.lit(None).cast(same).alias("top"), F.array("id").alias("path"), F.lit(True).alias("done"))
+    steps = edges.select(
+        F.col("child").alias("id"), F.col("parent").alias("top"), F.array("child").alias("path"), F.lit(False).alias("done")
     )
-    levels = [level]
+    ways = materialize(start.unionAll(steps.filter(F.col("top").isNotNull())))
+    ended, circles = [ways.filter("done").drop("done")], []
     while True:
-        below = join_hot(edges, level, {"parent": "id"}, "inner").select(
-            F.array_contains("path", F.col("child")).alias("cycle"),
-            F.col("child").alias("id"),
-            (F.col("depth") + 1).alias("depth"),
-            F.concat("path", F.array("child")).alias("path"),
-        )
-        level = materialize(below)
-        if level.isEmpty():
+        open_ = ways.filter("not done").drop("done")
+        if open_.isEmpty():
             break
-        if not level.filter("cycle").isEmpty():
+        # Ways of this round, which is twice as long as the last one, and all ended ones.
+        upper = reduce(lambda a, b: a.unionAll(b), ended).withColumn("done", F.lit(True))
+        upper = upper.unionAll(open_.withColumn("done", F.lit(False)))
+        upper = upper.select(F.col("id").alias("_at"), F.col("top").alias("_far"), F.col("path").alias("_head"), "done")
+        joined = join_hot(open_, upper, {"top": "_at"}, "inner").select(
+            "id", F.col("_far").alias("top"), F.concat("_head", "path").alias("path"), "done",
+            F.when(F.arrays_overlap("_head", "path"), F.col("top")).alias("_circle"),
+        )
+        ways = materialize(joined)
+        circles.append(ways.filter("_circle is not null").select(F.col("_circle").alias("id")))
+        ways = ways.filter("_circle is null").drop("_circle")
+        ended.append(ways.filter("done").drop("done"))
+    flat = reduce(lambda a, b: a.unionAll(b), ended)
+    if circles:  # one that no root leads to is nobody's ancestor here
+        around = reduce(lambda a, b: a.unionAll(b), circles)
+        if not around.isEmpty() and not around.join(flat.select("id"), "id", "left_semi").isEmpty():
             raise ValueError("a node is its own ancestor")
-        level = level.drop("cycle")
-        levels.append(level)
-    flat = reduce(lambda a, b: a.unionByName(b), levels)
+    flat = flat.select("id", (F.size("path") - 1).alias("depth"), "path")
     return flat.join(nodes, "id")
 
 

@@ -641,3 +641,51 @@ def test_names_given_twice_in_metrics(spark):
     assert made.first()["tags"] == {"place": "all", "zone": "z"}
     data = metrics.metric_datums(df, "place", ["load"], {metrics.LOCATION: F.lit("x"), "zone": F.lit("z")})
     assert data.first()["dimensions"] == {metrics.LOCATION: "n1", "zone": "z"}
+
+
+# --- trees -----------------------------------------------------------------------------------------
+
+
+def all_ways(edges, roots):
+    below = {}
+    for a, b in edges:
+        below.setdefault(a, []).append(b)
+    out, todo = [], [[r] for r in roots]
+    while todo:
+        way = todo.pop()
+        out.append((way[-1], len(way) - 1, tuple(way)))
+        todo += [[*way, child] for child in below.get(way[-1], [])]
+    return sorted(out)
+
+
+def ways_of(spark, edges, roots, count):
+    nodes = spark.range(count).select("id", F.lit(1.0).alias("m"))
+    table = spark.createDataFrame(edges, "parent long, child long")
+    return metrics.flatten_tree(nodes, table, spark.createDataFrame([(r,) for r in roots], "id long"))
+
+
+def test_deep_tree_takes_logarithmic_rounds(spark, monkeypatch):
+    written = []
+    keep = metrics.materialize
+    monkeypatch.setattr(metrics, "materialize", lambda df: written.append(1) or keep(df))
+    flat = ways_of(spark, [(i, i + 1) for i in range(1000)], [0], 1001)
+    assert len(written) <= 12
+    got = sorted(flat.select("id", "depth", F.element_at("path", 1), F.size("path")).collect())
+    assert got == [(i, i, 0, i + 1) for i in range(1001)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trees_with_several_parents_and_nested_roots(spark, seed):
+    rnd = __import__("random").Random(seed)
+    edges = [(rnd.randint(max(0, i - 6), i - 1), i) for i in range(1, 60)]
+    edges += [(rnd.randint(0, i - 1), i) for i in rnd.sample(range(1, 60), 8)]
+    roots = [0, 5, 17]
+    edges += [(60, 61), (61, 62), (62, 61), (63, 63)]  # circles that no root leads to
+    flat = ways_of(spark, edges, roots, 64)
+    assert sorted((r["id"], r["depth"], tuple(r["path"])) for r in flat.collect()) == all_ways(edges, roots)
+
+
+@pytest.mark.parametrize("back", [(9, 9), (9, 3), (9, 0)])
+def test_circles_below_a_root_are_errors(spark, back):
+    with pytest.raises(ValueError):
+        ways_of(spark, [(i, i + 1) for i in range(9)] + [back], [0], 10)
