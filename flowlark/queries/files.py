@@ -28,6 +28,30 @@ def file_splits(spark, sf):
     return out.select("doc_id", "split", F.md5("content").alias("hash"))
 
 
+@query(
+    "file_splits_in_place",
+    """with d as (select doc_id // 200 as b, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+       l as (select b, doc_id, unnest(range(len(lines))) as i, unnest(lines) as line from d),
+       n as (select b, line, row_number() over (partition by b order by doc_id, i) - 1 as n from l),
+       s as (select b, (n - 2) // 7 as split, string_agg(line, chr(10) order by n) as body from n where n >= 2 group by 1, 2)
+       select s.b::varchar as part, split::int as split, md5(n.line || chr(10) || body) as hash
+       from s join n on n.b = s.b and n.n = 1""",
+)
+def file_splits_in_place(spark, sf):
+    """Files of 200 documents each, cut in place: one line skipped, one header, seven per split."""
+    out = scratch_path(spark, "splits")
+    docs = table(spark, sf, "documents").select(
+        F.call_function("div", F.col("doc_id"), F.lit(200)).alias("part"), "doc_id",
+        F.coalesce("text", F.lit("")).alias("value"),
+    )
+    # A file is a part of bounded size, in one task and in order.
+    dealt = docs.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value")
+    dealt.write.partitionBy("part").text(out)
+    splits = files.file_splits(spark, out, skip=1, header=True, per_split=7)
+    part = F.regexp_extract("file", r"/part=(-?\d+)/", 1)
+    return splits.select(part.alias("part"), "split", F.md5("content").alias("hash"))
+
+
 @query(
     "file_lines",
     """select doc_id, len(string_split(text, chr(10)))::bigint as lines,

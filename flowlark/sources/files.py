@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,8 +57,10 @@ def text_splits(
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line from 0, value) of text files of any size.
 
-    Files are read in blocks. A line is numbered inside its block and moved by
-    the lines of the blocks before it, so no task reads a whole large file.
+    Files are read in blocks. One narrow pass counts the lines of each block, which gives
+    where its numbers begin. The ids that Spark gives to a task's rows are consecutive,
+    and both passes plan the same tasks from one listing; so an id minus the least one of
+    its block is the line's place in it, without sorting or numbering again.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -65,36 +68,69 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_at"),
         "value",
     )
-    counts = lines.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    index = lines.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
+    )  # as many rows as the file has blocks
+    offsets = index.select(
+        F.struct(F.col("file").alias("f"), F.col("_block").alias("b")).alias("_on"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
     )
-    offsets = counts.select(
-        F.col("file").alias("_f"),
-        F.col("_block").alias("_b"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-    )
-    local = F.row_number().over(Window.partitionBy("file", "_block").orderBy("_at"))
-    numbered = lines.withColumn("_local", local).join(
-        offsets, (F.col("file") == F.col("_f")) & (F.col("_block") == F.col("_b"))
-    )
-    line = (F.col("_offset") + F.col("_local") - 1).alias("line")
-    return numbered.select("file", line, "value")
+    block = F.struct(F.col("file").alias("f"), F.col("_block").alias("b"))
+    numbered = lines.join(offsets, block == F.col("_on"))
+    return numbered.select("file", (F.col("_at") + F.col("_offset")).alias("line"), "value")
+
+
+def _pieces(start: int, per_split: int):
+    """Consecutive lines of one split, joined; a piece ends where its split or task does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, split, first, held = None, None, 0, []
+        for batch in batches:
+            done = []
+            for file, line, value in zip(*[c.to_pylist() for c in batch.columns]):
+                at = (line - start) // per_split
+                if held and (at != split or file != name or line != first + len(held)):
+                    done.append((name, split, first, len(held), "\n".join(held)))
+                    held = []
+                if not held:
+                    name, split, first = file, at, line
+                held.append(value)
+            yield _piece_rows(done)
+        if held:
+            yield _piece_rows([(name, split, first, len(held), "\n".join(held))])
+
+    return run
+
+
+def _piece_rows(done: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+    columns = [pa.array([x[i] for x in done], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(columns, names=["file", "split", "first", "lines", "content"])
 
 
 def file_splits(
     spark: SparkSession, path: str, skip: int = 0, header: bool = False, per_split: int = 1
 ) -> DataFrame:
-    """Groups of ``per_split`` lines of text files, as ``text_splits``."""
+    """Groups of ``per_split`` lines of text files, as ``text_splits``.
+
+    Splits are cut in place, where a block is read. Only those that a border between
+    blocks parts, and the last one of a file, are shuffled to be put together.
+    """
     lines = numbered_lines(spark, path)
     start = skip + (1 if header else 0)
-    number = F.call_function("div", F.col("line") - start, F.lit(per_split)).cast("int")
-    body = F.sort_array(F.collect_list(F.struct("line", "value")))
-    splits = (
-        lines.filter(F.col("line") >= start)
-        .groupBy("file", number.alias("split"))
-        .agg(F.array_join(F.transform(body, lambda e: e["value"]), "\n").alias("content"))
+    inside = lines.filter(F.col("line") >= start).sortWithinPartitions("file", "line")
+    pieces = inside.mapInArrow(
+        _pieces(start, per_split), "file string, split int, first long, lines long, content string"
+    )
+    whole = pieces.filter(F.col("lines") == per_split).select("file", "split", "content")
+    parts = F.sort_array(F.collect_list(F.struct("first", "content")))
+    cut = (
+        pieces.filter(F.col("lines") < per_split)
+        .groupBy("file", "split")
+        .agg(F.array_join(F.transform(parts, lambda e: e["content"]), "\n").alias("content"))
     )
+    splits = whole.unionByName(cut)
     if not header:
         return splits
     heads = lines.filter(F.col("line") == skip).select("file", F.col("value").alias("_head"))

@@ -51,6 +51,24 @@ def test_lines_of_files_larger_than_a_block(spark, tmp_path):
     assert sizes == [*[("a", i, 1000) for i in range(4)], ("a", 4, 999), ("b", 0, 1000), ("b", 1, 699)]
 
 
+@pytest.mark.parametrize("size", ["700", "4096", "1000000"])
+def test_splits_across_blocks(spark, tmp_path, size):
+    """Splits that a border between blocks parts, files shorter than the skipped lines, empty lines."""
+    want = {}
+    for name, n in (("a", 977), ("b", 2), ("c", 31), ("d", 0)):
+        lines = [f"{name}{i}" * (i % 5) for i in range(n)]
+        (tmp_path / name).write_text("".join(x + "\n" for x in lines))
+        body = lines[3:]
+        for at in range(0, len(body), 10):
+            want[name, at // 10] = "\n".join([lines[2], *body[at : at + 10]])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        out = files.file_splits(spark, str(tmp_path), skip=2, header=True, per_split=10)
+        assert {(r["file"][-1], r["split"]): r["content"] for r in out.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_status_of_paths(spark, line_file, tmp_path):
     asked = spark.createDataFrame([(str(line_file),), (str(tmp_path / "no"),), ("odd://x",)], "p string")
     got = {os.path.basename(r["p"]): r[REL] for r in files.file_status(asked, "p").collect()}
