@@ -10,6 +10,7 @@ from flowlark.operators.routing import REL
 from flowlark.queries.registry import query, table
 from flowlark.session import scratch_path
 from flowlark.sources import files, pages
+from flowlark.streaming.run import drain
 
 _SPLIT_SQL = """
 with l as (select doc_id, string_split(regexp_replace(text, '\\n$', ''), chr(10)) as lines from documents),
@@ -129,6 +130,35 @@ def page_link_hosts(spark, sf):
     return links.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("links"))
 
 
+@query(
+    "file_completion",
+    """select event_type, count(*) as read, case when event_type < (select max(event_type) from events)
+         then count(*) else 0 end as archived from events group by 1""",
+)
+def file_completion(spark, sf):
+    """A stream over one file per event type, in order; files move once the next one is read."""
+    source, done = scratch_path(spark, "completion"), scratch_path(spark, "archive")
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    types = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]  # a few
+    for kind in types:
+        events.filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(source)
+    cleaners = "spark.sql.streaming.fileSource.cleaner.numThreads"
+    before = spark.conf.get(cleaners, None)
+    spark.conf.set(cleaners, "0")  # files move before the next micro-batch begins
+    try:
+        sdf = files.read_stream_files(
+            spark, source, events.schema, completion="archive", archive_dir=done, max_files=1
+        )
+        read = drain(sdf, "completion")
+    finally:
+        spark.conf.unset(cleaners) if before is None else spark.conf.set(cleaners, before)
+    moved = spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(done)
+    counts = moved.groupBy(F.col("event_type").alias("moved")).agg(F.count(F.lit(1)).alias("archived"))
+    seen = read.groupBy("event_type").agg(F.count(F.lit(1)).alias("read"))
+    joined = seen.join(counts, F.col("event_type") == F.col("moved"), "left")
+    return joined.select("event_type", "read", F.coalesce("archived", F.lit(0)).alias("archived"))
+
+
 @query("discard", """select 0::bigint as kept, count(*) as seen from events""")
 def discard(spark, sf):
     """Rows run into the null sink; the count of the input is what remains."""
