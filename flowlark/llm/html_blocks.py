@@ -8,7 +8,10 @@ says together with the whole page before and after it.
 
 The network is trained here, once per process, on ``TRAINING_PAGES`` pages drawn
 from a grammar of page layouts with known main text; the pages of the table are
-only read. The draw is fixed by a seed, so reruns agree.
+only read. In half of the layouts the main text has no telling element around it: a plain
+or oddly named one, a cell of a table, or none. Names are dropped from paths at random
+while training, so that texts and neighbours must decide where names do not. The draw is
+fixed by a seed, so reruns agree.
 
 Text: character references are decoded, white space inside a block is one space, kept
 blocks are joined by one space. Scripts, styles, templates and comments are no text.
@@ -35,12 +38,14 @@ from pyspark.sql import functions as F
 
 from flowlark.llm.common import SPACED, hashed_words, slices, text_bytes
 
-TRAINING_PAGES = 700
+TRAINING_PAGES = 2400
 EPOCHS = 8
+#: Share of names in paths that training does not see.
+UNSEEN = 0.15
 PATH_SLOTS, PATH_SIZE = 2048, 24
-WORD_SLOTS, WORD_SIZE = 256, 8
+WORD_SLOTS, WORD_SIZE = 1024, 8
 MEASURES = 7
-HIDDEN = 16
+HIDDEN = 20
 #: Padded blocks of a batch of pages.
 BATCH_BLOCKS = 60_000
 
@@ -349,6 +354,14 @@ def _gradients(p: dict, pages: list[Page]) -> dict[str, np.ndarray]:
     return grad
 
 
+def _without_names(page: Page, draw: np.random.Generator) -> Page:
+    """The page with some of its names left out, the same ones in all paths."""
+    names = sorted({t for path in page.paths for t in path if t[0] == "."})
+    gone = {t for t, x in zip(names, draw.random(len(names))) if x < UNSEEN}
+    paths = [tuple(t for t in path if t not in gone) for path in page.paths]
+    return Page(paths, page.texts, page.links, page.labels)
+
+
 @lru_cache(maxsize=1)
 def trained(pages: int = TRAINING_PAGES, epochs: int = EPOCHS, seed: int = 1) -> dict[str, np.ndarray]:
     """The network after Adam over drawn pages."""
@@ -362,11 +375,12 @@ def trained(pages: int = TRAINING_PAGES, epochs: int = EPOCHS, seed: int = 1) ->
         order = draw.permutation(pages)
         for at in range(0, pages, 25):
             step += 1
-            grad = _gradients(p, [drawn[i] for i in order[at : at + 25]])
+            grad = _gradients(p, [_without_names(drawn[i], draw) for i in order[at : at + 25]])
             for k, g in grad.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
-                rate = 0.01 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+                slower = 1 - 0.97 * step / (epochs * -(-pages // 25))
+                rate = 0.012 * slower * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
                 p[k] = (p[k] - rate * first[k] / (np.sqrt(second[k]) + 1e-6)).astype(np.float32)
     return p
 
@@ -431,9 +445,15 @@ NAMES = {
     "main": "content main article post entry-content story body-text post-body article-body text page-content",
     "frame": "wrapper container row col page layout inner outer grid site",
 }
+#: Small words of some languages, which stand in main text as well as in phrases.
+COMMON = (
+    "the of and to in a is that for it as was with on by this be are from at or an have not all we you our your "
+    "der die und das in den ist mit von zu auf ein für nicht le la les de des et en un une que pour dans sur est "
+    "el los que y a con por se del una"
+).split()
 PHRASES = {
     "menu": "home|about|contact|news|products|blog|sign in|help|next|previous|archive|search",
-    "footer": "© 2020 all rights reserved|terms of use|privacy policy|powered by|contact us|imprint",
+    "footer": "© 2020 all rights reserved|terms of use|privacy policy|powered by|contact us|imprint|copyright 2018|copyright 2021 ltd all rights reserved|all rights reserved",
     "notice": "we use cookies to improve your experience|accept all|please enable javascript|this site uses cookies",
     "ad": "advertisement|sponsored|buy now|limited offer|click here",
     "form": "subscribe to our newsletter|your email|submit|log in|search|password|send",
@@ -450,14 +470,17 @@ def draw_page(draw: np.random.Generator) -> str:
     pick = lambda seq: seq[draw.integers(len(seq))]
     chance = lambda p: draw.random() < p
 
+    often = pick([0.0, 0.3, 0.5])
+    joint = pick([" | ", " / ", " - ", "*** ", "### ", "%%% ", " &amp;&amp; "]) if chance(0.12) else " "
+
     def word():
         return "".join(pick(syllables) for _ in range(draw.integers(1, 5)))
 
     def words(n):
-        return " ".join(word() for _ in range(n))
+        return " ".join(pick(COMMON) if chance(often) else word() for _ in range(n))
 
     def prose(low=3, high=60):
-        text = words(draw.integers(low, high)).capitalize()
+        text = joint.join(words(1) for _ in range(draw.integers(low, high))).capitalize()
         if chance(0.2):
             at = draw.integers(len(text))
             text = f"{text[:at]} <b>{word()}</b> {text[at:]}"
@@ -465,8 +488,15 @@ def draw_page(draw: np.random.Generator) -> str:
             text += f' <a href="/{word()}">{words(2)}</a> {words(4)}'
         return text + pick([".", ".", ".", "!", "?", "", " &amp;"])
 
-    def named(kind, tags, mark=""):
+    def odd():
+        letters = "abcdefghjkmnpqrstuvwxyz0123456789"
+        return pick(["css-", "sc-", "", "x", "_"]) + "".join(pick(letters) for _ in range(draw.integers(2, 8)))
+
+    def named(kind, tags, mark="", outer=True):
         tag = pick(tags.split())
+        if outer and layout != "named" and kind in ("menu", "header", "footer", "share", "form") and chance(0.7):
+            tag = pick(["div", "div", "center", "section"]) if layout != "cell" else "td"
+            return tag, f"<{tag} {'' if chance(0.5) else f'class={odd()}'} {mark}>"
         styles = [f'class="{pick(NAMES[kind].split())}"', f'id="{pick(NAMES[kind].split())}"',
                   f'class="{pick(NAMES["frame"].split())} {pick(NAMES[kind].split())}"']
         plain = tag not in ("div", "section", "ul", "span", "p") and chance(0.5)
@@ -477,36 +507,60 @@ def draw_page(draw: np.random.Generator) -> str:
         text = lambda: pick(PHRASES[kind].split("|")) if chance(0.4) else words(draw.integers(1, 4))
         if chance(0.7):
             return "<ul>" + "".join(f'<li><a href="/{word()}">{text()}</a>{pick(["</li>", "</li>", ""])}' for _ in range(n)) + "</ul>"
-        return " | ".join(f'<a href="/{word()}">{text()}</a>' for _ in range(n))
+        between = pick([" | ", " ", "<br>", " · "])
+        return between.join(f'<a href="/{word()}">{text()}</a>' for _ in range(n))
 
-    def part(kind):
+    def part(kind, outer=True):
         tags = {"menu": "nav nav div ul", "header": "header header div", "footer": "footer footer div", "side": "aside aside div section",
                 "notice": "div div section", "ad": "div div aside section", "form": "form form div", "comments": "section div ol div",
                 "share": "div ul p"}[kind]
-        tag, head = named(kind, tags, "data-drop")
+        tag, head = named(kind, tags, "data-drop", outer)
         body = ""
-        if kind == "menu" or kind in ("side", "footer", "share", "header") and chance(0.5):
+        nameless = outer and layout != "named" and kind in ("menu", "header", "footer", "share", "form")
+        if kind == "menu" or kind in ("side", "footer", "share", "header") and chance(0.9 if nameless else 0.5):
             body += listing(kind)
         if kind == "form":
             body += f"<label>{pick(PHRASES[kind].split('|'))}</label><input type=text><button>{pick(PHRASES[kind].split('|'))}</button>"
         if kind == "comments":
             body += "".join(f'<div class="{pick(["comment", "reply", "c"])}"><p>{pick([word(), "Posted by " + word()])}</p><p>{prose()}</p></div>'
                             for _ in range(draw.integers(1, 6)))
-        if kind in ("notice", "ad", "footer", "side", "header") or not body:
+        if kind in ("notice", "ad", "footer", "side", "header") and not (nameless and body) or not body:
             for _ in range(draw.integers(1, 4 if kind == "side" else 3)):
-                text = pick(PHRASES[kind].split("|")) if chance(0.3) and kind in PHRASES else prose(2, 40)
+                said = 1.0 if nameless else 0.3
+                text = pick(PHRASES[kind].split("|")) if chance(said) and kind in PHRASES else prose(2, 40)
+                if nameless and chance(0.5):
+                    text = ". ".join([text.capitalize(), words(2).title(), pick(PHRASES[kind].split("|")).capitalize()]) + pick([".", ""])
+                if nameless and kind == "footer" and chance(0.6):
+                    text = f"{pick(['Copyright', 'Copyright ©', '©'])} {draw.integers(1995, 2026)} {words(2).title()}{pick([' ', '. '])}All rights reserved."
                 body += text if chance(0.5) else f"<p>{text}</p>"
+        if nameless and tag not in ("td", "form", "nav") and chance(0.4) and body.startswith(("<ul>", "<p>")):
+            return body.replace("<ul>", "<ul data-drop>").replace("<p>", "<p data-drop>")  # no element around it
         return f"{head}{body}</{tag}>"
 
     def article():
-        tag, head = named("main", "article article main div div section", "data-keep")
+        if layout == "named":
+            tag, head = named("main", "article article main div div section", "data-keep")
+        elif layout in ("bare", "lines"):
+            tag, head = "", ""
+        else:
+            tag = "td" if layout == "cell" else pick(["div", "div", "section"])
+            head = f"<{tag} data-keep class={odd()}>" if layout == "odd" else f"<{tag} data-keep>"
         out = [head]
+        if layout == "lines":  # text without elements
+            return pick(["<br>", "<br><br>", " ", "\n\n"]).join(prose(5, 60) for _ in range(draw.integers(1, 9)))
         if chance(0.85):
             out.append(f"<h1>{words(draw.integers(2, 10))}</h1>")
         for _ in range(draw.integers(1, 14)):
             kind = draw.random()
-            if kind < 0.70:
+            if layout == "named" and chance(0.05):  # what is a phrase elsewhere
+                out.append(f"<p>{pick(PHRASES[pick(list(PHRASES))].split('|')).capitalize()}{pick(['', '.'])}</p>")
+            if kind < 0.66 and paragraph != "p":
+                out.append(f"<{paragraph}>{prose(5)}</{paragraph}>")
+            elif kind < 0.66:
                 out.append(f"<p>{prose()}{pick(['</p>', '</p>', '</p>', ''])}")
+            elif kind < 0.70:
+                items = "".join(f'<li><a href="/{word()}">{words(draw.integers(2, 8))}</a></li>' for _ in range(draw.integers(2, 5)))
+                out.append(f"<p>{prose(8)}</p><ul>{items}</ul><p>{prose(8)}</p>")
             elif kind < 0.76:
                 out.append(f"<h2>{words(draw.integers(1, 6))}</h2>")
             elif kind < 0.82:
@@ -520,13 +574,22 @@ def draw_page(draw: np.random.Generator) -> str:
             elif kind < 0.94:
                 out.append(f"<pre>{words(6)}</pre><figure><figcaption>{prose(3, 10)}</figcaption></figure>")
             else:
-                out.append(part(pick(["ad", "form", "share", "notice", "side"])))
-        return "".join(out) + f"</{tag}>"
+                out.append(part(pick(["ad", "form", "share", "notice", "side"]), outer=False))
+        return "".join(out) + (f"</{tag}>" if tag else "")
 
+    layout = pick(["named"] * 5 + ["plain", "odd", "bare", "cell", "lines"])
+    paragraph = "p" if layout == "named" or chance(0.7) else "div"
     before = [k for k, p in (("notice", 0.3), ("header", 0.6), ("menu", 0.8), ("ad", 0.5), ("form", 0.15), ("side", 0.25)) if chance(p)]
     after = [k for k, p in (("share", 0.3), ("comments", 0.35), ("side", 0.35), ("form", 0.25), ("ad", 0.3), ("menu", 0.15), ("footer", 0.85), ("notice", 0.15)) if chance(p)]
-    body = "".join(part(k) for k in before) + article() + "".join(part(k) for k in after)
+    if layout != "named" and chance(0.5 if layout == "lines" else 0.2):
+        before, after = [], []
+    parts = [part(k) for k in before], article(), [part(k) for k in after]
+    if layout == "cell":
+        cells = [x if x.startswith("<td") else f"<td>{x}</td>" for x in (*parts[0], parts[1], *parts[2])]
+        body = f"<table><tr>{pick(['', '</tr><tr>']).join(cells)}</tr></table>"
+    else:
+        body = "".join(parts[0]) + parts[1] + "".join(parts[2])
     for _ in range(draw.integers(0, 3)):
         body = f'<div class="{pick(NAMES["frame"].split())}">{body}</div>'
     head = f"<head><title>{words(4)}</title><style>p{{}}</style><script>var a='</p>';</script></head>" if chance(0.8) else ""
-    return f"<!DOCTYPE html><html>{head}<body>{body}{pick(['</body></html>', ''])}"
+    return f"<!DOCTYPE html><html>{head}<body{' data-keep' if layout in ('bare', 'lines') else ''}>{body}{pick(['</body></html>', ''])}"

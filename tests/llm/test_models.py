@@ -332,3 +332,44 @@ def test_recurrent_gradients():
 
 def test_extraction_empty(spark):
     assert html_blocks.extract_text(_pages(spark, [])).count() == 0
+
+
+# --- pages whose main text has no telling element ------------------------------------------
+
+STORY = [
+    "The committee met on Tuesday to discuss the new budget, and several members asked for more time to read it.",
+    "Local residents said that the changes would make the streets safer, although some of them doubted the cost.",
+    "A final vote is expected next month, after the finance office has answered the questions that were raised.",
+]
+BERICHT = [
+    "Der Ausschuss hat am Dienstag über den neuen Haushalt beraten, und mehrere Mitglieder baten um mehr Zeit.",
+    "Die Anwohner sagten, dass die Straßen dadurch sicherer würden, auch wenn einige an den Kosten zweifelten.",
+]
+MENU = '<ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li><li><a href="/a">About us</a></li><li><a href="/c">Contact</a></li></ul>'
+FOOT = "<p>Copyright 2021 Example Ltd. All rights reserved.</p>"
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in STORY)
+LAYOUTS = {
+    "bare": (f"{MENU}<h1>Budget talks go on</h1>{PARAGRAPHS}{FOOT}", STORY),
+    "nothing else": (PARAGRAPHS, STORY),
+    "plain divs": (f"<div>{MENU}</div><div><div><h1>Budget talks</h1>{''.join(f'<div>{x}</div>' for x in STORY)}</div></div><div>{FOOT}</div>", STORY),
+    "hashed names": (f"<div class='css-1ab'>{MENU}</div><div class='css-9z'><h1>Budget talks</h1>{PARAGRAPHS}</div><div class='css-77'>{FOOT}</div>", STORY),
+    "deep hashed names": (f"<div class=a1><div class=q7x><div class=zz2>{MENU}</div><div class=m0k><div class=p9>{PARAGRAPHS}</div></div></div></div>", STORY),
+    "table": (f"<table><tr><td><a href='/'>Home</a><br><a href='/n'>News</a><br><a href='/a'>About us</a></td><td><h1>Budget talks</h1>{PARAGRAPHS}</td></tr><tr><td>{FOOT}</td></tr></table>", STORY),
+    "one text": (" ".join(STORY), STORY),
+    "line breaks": ("<br><br>".join(STORY), STORY),
+    "other language": (f"<div>{MENU}</div><div><h1>Haushalt</h1>{''.join(f'<p>{x}</p>' for x in BERICHT)}</div><div>{FOOT}</div>", BERICHT),
+    "links in the article": (f"<nav>{MENU}</nav><article><p>{STORY[0]}</p><ul><li><a href='/x'>The budget report of the town</a></li><li><a href='/y'>Minutes of the last meeting</a></li></ul><p>{STORY[1]}</p></article><footer>{FOOT}</footer>",
+                             [STORY[0], "The budget report of the town", "Minutes of the last meeting", STORY[1]]),
+}
+
+
+@pytest.mark.parametrize("name", list(LAYOUTS))
+def test_layouts_outside_the_grammar(name):
+    body, story = LAYOUTS[name]
+    page = html_blocks.blocks(f"<!DOCTYPE html><html><head><title>x</title></head><body>{body}</body></html>")
+    kept = html_blocks.kept_blocks(html_blocks.trained(), [page])[0]
+    text = " ".join(t for t, k in zip(page.texts, kept) if k)
+    for part in story:
+        assert part in text
+    for part in ("Home", "News", "About us", "All rights"):
+        assert part not in text
