@@ -21,7 +21,7 @@ from pyspark.sql.utils import AnalysisException
 
 from flowlark.functions.numbers import is_blank
 from flowlark.plans.ordered import first_rows
-from flowlark.session import materialize
+from flowlark.session import drop_path, materialize
 
 FILTER_BITS = 32_768  # of a row of Spark's bitmap functions
 #: Batch under which ``compact`` folds all up to a batch; it comes before all others.
@@ -123,9 +123,4 @@ class SeenKeys:
             self._write(name, rows, FOLDED)
         for name in ("keys", "filters"):
             for batch in set(gone) - {FOLDED}:
-                _drop(self.spark, f"{self.paths[name]}/batch={batch}")
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+                drop_path(self.spark, f"{self.paths[name]}/batch={batch}")
