@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowlark.llm import exact_dedup, line_rules, mixing, near_dedup, packing
-from flowlark.session import scratch_path, ship_package
+from flowlark.session import drop_path, scratch_path, ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of documents, each written and read again."""
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # nothing reads the stage before this one any more
+            drop_path(spark, before)
+        before = path
     return docs

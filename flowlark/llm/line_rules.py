@@ -1,13 +1,15 @@
 """Line-first cleaning of documents, in DataFrame functions.
 
-Every line with a word is judged on its own: punctuation rules (mostly symbols,
-shouting, a fragment without any sentence mark), navigation rules (separators
-between words, a few words without an end) and boilerplate phrases. Failing lines
-go; a document is rejected if it fails the base rules or if less than
+Every line with a word is judged by punctuation rules (mostly symbols, shouting, a fragment
+without any sentence mark), navigation rules (separators between words, a few words without
+an end) and boilerplate phrases that fill a third of it, or most of it inside a passage. A line of a running passage is
+no fragment: its neighbours, up to two lines on either side without a blank one between,
+make sentences with it. So prose with hard line breaks is judged like prose without.
+Failing lines go; a document is rejected if it fails the base rules or if less than
 ``keep_percent`` of its characters in lines with words are left.
 
 All steps are array functions over one row, so nothing is shuffled and a hot source
-or a group of copies costs no more than other rows.
+or a group of copies costs no more than other rows. A line is measured once.
 
 Defined results: a null text has no words and is rejected; blank lines are kept and
 not counted; an empty table gives an empty result.
@@ -20,19 +22,24 @@ from pyspark.sql import functions as F
 
 from flowlark.llm.common import GAP, WORD
 
-SYMBOLS = "[#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-# Fixed values of the line rules, as patterns that Java and SQL engines share.
-MARKUP = r"[#*$%&|<>=_~^{}\[\]\\+@]"
+# Fixed values of the line rules: characters, and phrases as a pattern that Java and SQL
+# engines share, over lower-cased lines.
+BLANKS = " \t\n\x0b\x0c\r"
+MARKUP = "#*$%&|<>=_~^{}[]\\+@"
+SEPARATORS = "|»›•·>"
+MARKS = ".!?,:;…。！？"
+ENDS = ".!?:;…。！？"
+CLOSERS = "\"'”’»)]"
 SHOUTS = r"[!?]{2,}"
-SEPARATORS = r"[|»›•·>]"
-MARKS = r"[.!?,:;…。！？]"
-ENDED = r"""[.!?:;…。！？]["'”’»)\]]*[\x20\x09-\x0D]*$"""
 BOILERPLATE = (
-    r"(?i)(cookie policy|privacy policy|terms of (use|service)|all rights reserved|lorem ipsum|"
+    r"cookie policy|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|"
     r"enable javascript|subscribe to our|sign up for|log in to|click here|read more|"
-    r"share this|follow us on|powered by|back to top|skip to content)"
+    r"share this|follow us on|powered by|back to top|skip to content"
 )
+#: A running passage has this many words a line, and a mark in this many words.
+LINE_WORDS, MARK_WORDS = 4, 30
 
 
 def _let(value: Column, then) -> Column:
@@ -85,51 +92,93 @@ def starts_of(words: Column, starts: Column) -> Column:
     return F.when(words.isNotNull(), starts)
 
 
-def line_passes(line: Column) -> Column:
-    """Whether a line with at least one word survives."""
+def _count(line: Column, characters: str) -> Column:
+    return F.length(line) - F.length(F.translate(line, characters, ""))
+
+
+def _measures(line: Column) -> Column:
+    """What the rules ask about a line, once."""
     n = F.regexp_count(line, F.lit(WORD))
-    solid = F.length(F.regexp_replace(line, GAP, ""))
-    markup = F.regexp_count(line, F.lit(MARKUP)) * 5 > solid
-    shouting = F.regexp_count(line, F.lit(SHOUTS)) * 2 > n
-    fragment = (n < 10) & ~line.rlike(MARKS)
-    parts = F.regexp_count(line, F.lit(SEPARATORS))
-    navigation = ((parts >= 3) & (parts * 5 > n)) | ((n <= 2) & ~line.rlike(ENDED))
-    boilerplate = (n <= 30) & line.rlike(BOILERPLATE)
-    return ~(markup | shouting | fragment | navigation | boilerplate)
+    trimmed = F.rtrim(line, F.lit(CLOSERS + BLANKS))
+    lower = F.lower(line)
+    told = F.length(lower) - F.length(F.regexp_replace(lower, BOILERPLATE, ""))
+    return F.struct(
+        n.alias("n"),
+        F.length(line).alias("chars"),
+        (_count(line, MARKUP) * 5 > F.length(F.translate(line, BLANKS, ""))).alias("markup"),
+        (F.regexp_count(line, F.lit(SHOUTS)) * 2 > n).alias("shouts"),
+        _count(line, SEPARATORS).alias("parts"),
+        _count(line, MARKS).alias("marks"),
+        ((F.length(trimmed) > 0) & F.lit(ENDS).contains(F.right(trimmed, F.lit(1)))).alias("ended"),
+        F.when(n <= 30, told).otherwise(0).alias("told"),
+    )
+
+
+def _running(lines: Column, i: Column) -> Column:
+    """Whether line i and its neighbours are a running passage."""
+
+    def near(step: int) -> list[Column]:
+        one, two = F.get(lines, i + step), F.get(lines, i + 2 * step)
+        first = F.coalesce(one["n"] > 0, F.lit(False))
+        second = first & F.coalesce(two["n"] > 0, F.lit(False))
+        return [
+            F.when(first, a).otherwise(0) + F.when(second, b).otherwise(0)
+            for a, b in ((F.lit(1), F.lit(1)), (one["n"], two["n"]), (one["marks"], two["marks"]))
+        ]
+
+    own = F.get(lines, i)
+    sums = zip(near(-1), near(1), (F.lit(1), own["n"], own["marks"]))
+    count, words, marks = (a + b + c for a, b, c in sums)
+    return (count >= 2) & (words >= LINE_WORDS * count) & (marks * MARK_WORDS >= words)
+
+
+def _passes(lines: Column, x: Column, i: Column) -> Column:
+    """Whether measured line x, at place i and with a word, survives."""
+    before = F.get(lines, i - 1)
+    goes_on = F.coalesce((before["n"] > 2) & ~before["ended"], F.lit(False))
+    fragment = (x["n"] < 10) & (x["marks"] == 0) & ~_running(lines, i)
+    short = (x["n"] <= 2) & ~x["ended"] & ~(goes_on & _running(lines, i))
+    navigation = (x["parts"] >= 3) & (x["parts"] * 5 > x["n"])
+    most = (x["told"] * 5 >= x["chars"] * 4) | ((x["told"] * 3 >= x["chars"]) & ~_running(lines, i))
+    return ~(x["markup"] | x["shouts"] | navigation | fragment | short | ((x["told"] > 0) & most))
 
 
 def judge(docs: DataFrame, text: str = "text", keep_percent: int = 60) -> DataFrame:
     """Rows (row, n_words, ..., base_failed, kept, clean_text); ``row`` holds the input."""
-    given = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), given.alias("_t"))
-    words = F.array_remove(F.split("_t", GAP), "")
-    lines = F.split("_t", "\n")
-    rows = rows.withColumns({"_w": words, "_l": lines})
-    full = F.filter("_l", lambda x: x.rlike(WORD))
-    good = F.filter("_l", lambda x: ~x.rlike(WORD) | line_passes(x))
-    rows = rows.withColumns({"_full": full, "_good": good})
-
-    def chars(lines: str) -> Column:
-        solid = F.filter(lines, lambda x: x.rlike(WORD))
-        return F.aggregate(solid, F.lit(0).cast("long"), lambda a, x: a + F.length(x))
-
-    rows = rows.select(
+    given = F.coalesce(F.col(_quoted(text)), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row"), given.alias("_t"))
+    rows = rows.withColumns({"_w": F.array_remove(F.split("_t", GAP), ""), "_l": F.split("_t", "\n")})
+    rows = rows.withColumn("_m", F.transform("_l", _measures))
+    verdicts = F.transform("_m", lambda x, i: (x["n"] == 0) | _passes(F.col("_m"), x, i))
+    rows = rows.withColumn("_ok", verdicts)
+    full = F.filter("_l", lambda x, i: F.get("_m", i)["n"] > 0)
+    zero = F.lit(0).cast("long")
+
+    def chars(counts) -> Column:
+        sizes = F.transform("_m", lambda x, i: F.when((x["n"] > 0) & counts(i), x["chars"]).otherwise(0))
+        return F.aggregate(sizes, zero, lambda a, x: a + x)
+
+    rows = rows.withColumn("_full", full).select(
         "row",
         F.size("_w").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("_t", GAP, "")).cast("long").alias("word_chars"),
-        F.regexp_count("_t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.length(F.translate("_t", BLANKS, "")).cast("long").alias("word_chars"),
+        _count(F.col("_t"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_w")).alias("n_repeat_words"),
-        chars("_full").alias("line_chars"),
-        chars("_good").alias("kept_chars"),
-        (F.size("_l") - F.size("_good")).cast("long").alias("n_lines_removed"),
-        F.array_join("_good", "\n").alias("clean_text"),
+        chars(lambda i: F.lit(True)).alias("line_chars"),
+        chars(lambda i: F.get("_ok", i)).alias("kept_chars"),
+        F.size(F.filter("_ok", lambda x: ~x)).cast("long").alias("n_lines_removed"),
+        F.array_join(F.filter("_l", lambda x, i: F.get("_ok", i)), "\n").alias("clean_text"),
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     enough = 100 * F.col("kept_chars") >= keep_percent * F.col("line_chars")
     return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & enough)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def clean_documents(
     docs: DataFrame, text: str = "text", length: str = "n_chars", keep_percent: int = 60
 ) -> DataFrame:

@@ -189,7 +189,8 @@ def mix_documents(
     """The mix itself: whole rows, a row twice where two copies are taken."""
     _, plan = _plan(docs, key, text, source, weights, share, cap, seed)
     traits = _traits(docs, key, text, source, seed)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), *traits)
+    named = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    rows = docs.select(F.struct(*named).alias("_row"), *traits)
     rows = join_small(_ranked(rows, plan.classes), plan.cuts, ["_s"])
     rows = rows.withColumn("_copies", _copies()).filter("_copies > 0")
     return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

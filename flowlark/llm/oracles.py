@@ -8,6 +8,16 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
+def _chars(text: str) -> str:
+    """A literal of characters, control characters by their number."""
+    parts = ["chr(%d)" % ord(c) if ord(c) < 32 else _quoted(c) for c in text]
+    return "(" + " || ".join(parts) + ")"
+
+
+def _counted(characters: str) -> str:
+    return f"(length(line) - length(translate(line, {_chars(characters)}, '')))"
+
+
 LINE_RULES = f"""
 with d as (select doc_id, coalesce(text, '') as t from documents),
 w as (select doc_id, t, regexp_extract_all(t, '{WORD}') as ws from d),
@@ -20,21 +30,38 @@ twice as (
   where n > 1),
 covered as (
   select doc_id, count(distinct i + j) as n from twice, range({line_rules.WINDOW}) r(j) group by 1),
+x as (
+  select doc_id, unnest(range(len(ls))) as i, unnest(ls) as line
+  from (select doc_id, string_split(t, chr(10)) as ls from d)),
 l as (
-  select doc_id, line, len(regexp_extract_all(line, '{WORD}')) as n,
-    length(regexp_replace(line, '{GAP}', '', 'g')) as solid,
-    len(regexp_extract_all(line, {_quoted(line_rules.MARKUP)})) as markup,
+  select doc_id, i, line, len(regexp_extract_all(line, '{WORD}')) as n,
+    length(translate(line, {_chars(line_rules.BLANKS)}, '')) as solid, {_counted(line_rules.MARKUP)} as markup,
     len(regexp_extract_all(line, {_quoted(line_rules.SHOUTS)})) as shouts,
-    len(regexp_extract_all(line, {_quoted(line_rules.SEPARATORS)})) as parts
-  from (select doc_id, unnest(string_split(t, chr(10))) as line from d)
-  where regexp_matches(line, '{WORD}')),
+    {_counted(line_rules.SEPARATORS)} as parts, {_counted(line_rules.MARKS)} as marks,
+    rtrim(line, {_chars(line_rules.CLOSERS + line_rules.BLANKS)}) as trimmed,
+    length(lower(line)) - length(regexp_replace(lower(line), {_quoted(line_rules.BOILERPLATE)}, '', 'g')) as told
+  from x),
+e as (
+  select *, trimmed <> '' and contains({_chars(line_rules.ENDS)}, right(trimmed, 1)) as ended,
+    coalesce(lag(n) over o, 0) as n1, coalesce(lag(n, 2) over o, 0) as n2,
+    coalesce(lead(n) over o, 0) as n3, coalesce(lead(n, 2) over o, 0) as n4,
+    coalesce(lag(marks) over o, 0) as m1, coalesce(lag(marks, 2) over o, 0) as m2,
+    coalesce(lead(marks) over o, 0) as m3, coalesce(lead(marks, 2) over o, 0) as m4
+  from l window o as (partition by doc_id order by i)),
+f as (
+  select *, coalesce(n1 > 2 and not lag(ended) over (partition by doc_id order by i), false) as goes_on,
+    1 + (n1 > 0)::int + (n1 > 0 and n2 > 0)::int + (n3 > 0)::int + (n3 > 0 and n4 > 0)::int as passage,
+    n + n1 + if(n1 > 0, n2, 0) + n3 + if(n3 > 0, n4, 0) as words,
+    marks + if(n1 > 0, m1 + if(n2 > 0, m2, 0), 0) + if(n3 > 0, m3 + if(n4 > 0, m4, 0), 0) as stops
+  from e),
 j as (
-  select *, not (markup * 5 > solid or shouts * 2 > n
-      or (n < 10 and not regexp_matches(line, {_quoted(line_rules.MARKS)}))
+  select *, passage >= 2 and words >= {line_rules.LINE_WORDS} * passage and stops * {line_rules.MARK_WORDS} >= words as running,
+    not (markup * 5 > solid or shouts * 2 > n
+      or (n < 10 and marks = 0 and not running)
       or (parts >= 3 and parts * 5 > n)
-      or (n <= 2 and not regexp_matches(line, {_quoted(line_rules.ENDED)}))
-      or (n <= 30 and regexp_matches(line, {_quoted(line_rules.BOILERPLATE)}))) as good
-  from l),
+      or (n <= 2 and not ended and not (goes_on and running))
+      or (n <= 30 and told > 0 and (told * 5 >= length(line) * 4 or (told * 3 >= length(line) and not running)))) as good
+  from f where n > 0),
 s as (
   select doc_id, count(*) - count(distinct line) as n_dup_lines, sum(length(line))::bigint as line_chars,
     coalesce(sum(length(line)) filter (good), 0)::bigint as kept_chars,
@@ -43,13 +70,13 @@ s as (
 r as (
   select w.doc_id, len(ws)::bigint as n_words,
     length(regexp_replace(t, '{GAP}', '', 'g'))::bigint as word_chars,
-    len(regexp_extract_all(t, {_quoted(line_rules.SYMBOLS)}))::bigint as n_symbols,
+    (length(t) - length(translate(t, {_chars(line_rules.SYMBOLS)}, '')))::bigint as n_symbols,
     coalesce(n_dup_lines, 0)::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words,
     coalesce(line_chars, 0)::bigint as line_chars, coalesce(kept_chars, 0)::bigint as kept_chars,
     coalesce(n_lines_removed, 0)::bigint as n_lines_removed
   from w left join s on s.doc_id = w.doc_id left join covered on covered.doc_id = w.doc_id),
-f as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from r)
-select *, not base_failed and 100 * kept_chars >= 60 * line_chars as kept from f
+b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from r)
+select *, not base_failed and 100 * kept_chars >= 60 * line_chars as kept from b
 """
 
 MIXING = f"""

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -153,6 +154,45 @@ def test_line_verdicts(spark):
     assert by_id[2].text == PROSE and by_id[2].n_chars == len(PROSE)
 
 
+def wrapped(text, width):
+    lines = (text or "").split("\n")
+    return "\n".join("\n".join(textwrap.wrap(x, width, break_long_words=False)) if x.strip() else x for x in lines)
+
+
+@pytest.mark.parametrize("width", [40, 60])
+def test_hard_line_breaks_change_few_verdicts(spark, width):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in table.filter("text is not null").limit(400).collect()]
+
+    def judged(texts):
+        df = spark.createDataFrame([(i, t) for (i, _), t in zip(rows, texts)], "doc_id long, text string")
+        out = line_rules.judge(df).select("row.doc_id", "base_failed", "kept", "kept_chars", "line_chars").collect()
+        return {r[0]: r for r in out if not r.base_failed}
+
+    plain = judged([t for _, t in rows])
+    broken = judged([wrapped(t, width) for _, t in rows])
+    both = plain.keys() & broken.keys()
+    assert len(both) > 300
+    assert sum(plain[i].kept != broken[i].kept for i in both) <= 0.05 * len(both)
+    shares = [sum(d[i].kept_chars for i in both) / sum(d[i].line_chars for i in both) for d in (plain, broken)]
+    assert abs(shares[0] - shares[1]) < 0.05
+
+
+def test_lines_and_their_neighbours(spark):
+    story = wrapped(PROSE + " They walked on, and nobody said that they read more of the privacy policy than of the sea.", 40)
+    menu = "Home\nNews\nAbout us\nContact"
+    texts = {
+        1: story, 2: menu + "\n\n" + story, 3: story + "\n\n" + menu + "\nAll rights reserved.",
+        4: PROSE + " We say in our privacy policy, which is short, what is kept and why, and nothing more than that is kept.",
+        5: "\n".join(["Home page", "News of the day", "About us all", "Contact form here"] * 8),
+    }
+    df = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    got = {r["i"]: r for r in line_rules.judge(df).select(F.col("row.doc_id").alias("i"), "kept", "clean_text").collect()}
+    assert {i for i, r in got.items() if r["kept"]} == {1, 2, 3, 4}
+    assert got[1]["clean_text"] == story and got[4]["clean_text"] == texts[4]
+    assert got[2]["clean_text"].strip() == story and got[3]["clean_text"].strip() == story
+
+
 def test_rules_empty(nothing):
     assert line_rules.judge(nothing).count() == 0
     assert line_rules.clean_documents(nothing).count() == 0

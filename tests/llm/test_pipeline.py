@@ -3,6 +3,8 @@
 import collections
 
 import corpus_pipeline
+import pytest
+from awkward import PROSE
 from plain_versions import brute_components
 
 from flowlark.llm import line_rules, mixing
@@ -45,3 +47,30 @@ def test_stages(spark):
     for r in packed:
         tokens[r.doc_id] += r.n_tokens
     assert tokens == want
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_awkward_rows(spark, edges, nothing, name):
+    """Nulls, empty and long texts, ties, repeated rows, clashing names and names with dots."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    rows = edges.withColumnsRenamed({"row": "a.b", "_row": "c`d"})
+    out = stage(spark, rows, FOLDER)
+    found = out.collect()
+    none = stage(spark, nothing.withColumnsRenamed({"row": "a.b"}), FOLDER)
+    assert none.collect() == []
+    if name == "packing":
+        assert {r["doc_id"] for r in found} == {r["doc_id"] for r in rows.collect()}
+        return
+    assert out.columns == rows.columns and out.schema == rows.schema
+    given = collections.Counter(map(str, rows.collect()))
+    if name != "quality_rules":  # whole rows stay, or go
+        assert set(map(str, found)) <= set(given)
+    if name in ("exact_dedup", "near_dedup"):
+        prose = [r for r in found if r["text"] and r["text"].lower() == PROSE.lower()]
+        assert len(prose) == 1
+
+
+def test_whole_pipeline_twice(spark):
+    """Reruns agree."""
+    one, two = (sorted(map(str, corpus_pipeline.run(spark, FOLDER).collect())) for _ in range(2))
+    assert one == two and one
