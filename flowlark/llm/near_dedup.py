@@ -17,10 +17,12 @@ probability 3e-6. In a bucket each class is first paired with the smallest one;
 links found merge into components. Where a bucket still holds several components,
 elements are counted over all open classes: a class whose elements are too rare to
 reach the threshold with any member leaves the bucket, and the others are paired with
-the most typical member. What is then still open takes further partners, 16, 272,
-4368, ... of them a round, until every pair in it is checked, excluded by the
-counts, or joined by links. Each round emits a multiple of the bucket, never all pairs
-of a merged group, and there is no cap.
+the most typical member. Where several components are left after that, members get a
+longer sketch of one bit per coordinate and are compared in blocks, matrix against matrix:
+every pair of a bucket is looked at there and then, and only those go on that belong to
+different components, whose bits agree as often as they must (4.7 standard deviations are
+allowed, which a linked pair misses with probability 1e-6), and that share no earlier
+bucket. So what leaves a bucket is each near pair once, and there is no cap.
 
 *Verification.* Full sets of candidates are compared; the sets are computed for
 rows that pass a sieve of fixed size.
@@ -61,6 +63,8 @@ from flowlark.session import materialize
 BANDS, WIDTH = 42, 6
 BINS = 256
 VALUE_BITS = np.uint64(40)
+#: Bits of the longer sketch, deviations allowed, and members of a block.
+CHECK_BITS, DEVIATIONS, BLOCK = 2048, 4.7, 4096
 
 
 def sketches(elements: np.ndarray, owner: np.ndarray, sets: int, bins: int = BINS) -> np.ndarray:
@@ -224,6 +228,100 @@ def _live(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(open_).drop("least")
 
 
+# --- blocks of a bucket -----------------------------------------------------------------
+
+
+def _bit_rows(batches):
+    """(k, bits) of packed sets."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+        for at in range(0, len(sets), 256):
+            part = sets[at : at + 256]
+            owner = np.repeat(np.arange(len(part)), [len(x) for x in part])
+            sketch = sketches(np.concatenate(part), owner, len(part), CHECK_BITS)
+            bits = np.packbits((mix(sketch) & np.uint64(1)).astype(bool), axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, len(part)), pa.array([x.tobytes() for x in bits], pa.binary())],
+                names=["k", "bits"],
+            )
+
+
+def _disagreements(percent: int) -> int:
+    """Bits in which two sketches of linked sets may differ."""
+    p = (1 - percent / 100) / 2
+    return int(CHECK_BITS * p + DEVIATIONS * (CHECK_BITS * p * (1 - p)) ** 0.5)
+
+
+def _near_in_blocks(percent: int):
+    """Pairs (a, b) of the rows of each (b, lo, hi), which come together."""
+    most = _disagreements(percent)
+
+    def pairs(bucket, lo, hi, block, k, c, n, bits, bands):
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        found = []
+        for at in range(0, len(left), 32):
+            own = left[at : at + 32]
+            differ = np.bitwise_count(bits[own][:, None, :] ^ bits[right][None]).sum(axis=2, dtype=np.int32)
+            near = (differ <= most) & (c[own][:, None] != c[right][None])
+            near &= 100 * np.minimum(n[own][:, None], n[right]) >= percent * np.maximum(n[own][:, None], n[right])
+            if lo == hi:
+                near &= k[own][:, None] > k[right][None]
+            x, y = np.nonzero(near)
+            x, y = own[x], right[y]
+            same = bands[x] == bands[y]
+            first = bands[x, same.argmax(axis=1)] == bucket
+            found.append(np.stack([k[x][first], k[y][first]]))
+        both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both.max(axis=0)), pa.array(both.min(axis=0))], names=["a", "b"])
+
+    def run(batches):
+        held, key = [], None
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                if a == b:
+                    continue
+                if held and tuple(keys[a]) != key:
+                    yield pairs(*key, *_group(held))
+                    held = []
+                key = tuple(keys[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield pairs(*key, *_group(held))
+
+    return run
+
+
+def _group(parts: list[pa.RecordBatch]):
+    """Columns of a group: block, k, c, n, bits as words, bands."""
+    table = pa.Table.from_batches(parts)
+    plain = [table.column(i).to_numpy() for i in range(3, 7)]
+    bits = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(len(table), -1)
+    bands = np.concatenate([p.column(8).flatten().to_numpy() for p in parts]).reshape(len(table), -1)
+    return *plain, bits, bands
+
+
+def _open_pairs(live: DataFrame, sets: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of open buckets that may be linked and are not joined yet."""
+    keys = materialize(live.select(F.col("k").alias("o")).distinct())
+    bits = sets.join(shuffled(keys), F.col("k") == F.col("o"), "left_semi").select("k", "items")
+    bits = bits.mapInArrow(_bit_rows, "k long, bits binary")
+    traits = bits.join(shuffled(bands), F.col("k") == F.col("rid")).select(F.col("k").alias("o"), "bits", "bands")
+    blocks = live.groupBy(F.col("b").alias("s")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = join_hot(live.select("b", "k", "c", "n"), blocks, {"b": "s"}, "inner")
+    rows = rows.join(shuffled(traits), F.col("k") == F.col("o"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    parts = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    rows = rows.select(
+        "b", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "block", "k", "c", "n", "bits", "bands",
+    )
+    dealt = rows.repartition(parts, "b", "lo", "hi").sortWithinPartitions("b", "lo", "hi")
+    return dealt.mapInArrow(_near_in_blocks(percent), "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -264,28 +362,22 @@ def near_duplicates(
     best = F.max(F.struct("shared", (-F.col("k")).alias("k")))
     typical = live.groupBy(F.col("b").alias("pb")).agg((-best["k"]).alias("p"))
     partners = live.join(shuffled(typical), (F.col("b") == F.col("pb")) & (F.col("k") == F.col("p")))
-    low, high = 0, 0
+    partners = partners.select(F.col("pb").alias("sb"), "p", F.col("c").alias("pc"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    while not live.isEmpty():
-        partners = partners.select(
-            F.col("b").alias("pb"), F.col("k").alias("p"), F.col("c").alias("pc"),
-            F.col("n").alias("pn"), F.col("common").alias("pcommon"),
-        )
-        fresh = join_hot(live, shuffled(partners), {"b": "pb"}, "inner").filter("c <> pc and k <> p")
-        both = F.least("common", "pcommon")
-        fresh = fresh.filter(100 * both >= percent * (F.col("n") + F.col("pn") - both))
+    if not live.isEmpty():
+        fresh = join_hot(live, shuffled(partners), {"b": "sb"}, "inner").filter("c <> pc and k <> p")
         fresh = fresh.select(F.greatest("k", "p").alias("a"), F.least("k", "p").alias("b")).distinct()
         fresh = materialize(fresh.join(shuffled(checked), ["a", "b"], "left_anti"))
+        links = materialize(links.unionAll(_verified(fresh, sets, percent)).coalesce(parts))
+        labels = components(links)
+        checked = checked.unionAll(fresh).coalesce(parts)
+        live = materialize(_split_buckets(_named(live.drop("c"), labels)))
+    if not live.isEmpty():
+        fresh = _open_pairs(live, sets, heads.select("rid", "bands"), percent)
+        fresh = materialize(fresh.join(shuffled(checked), ["a", "b"], "left_anti"))
         more = materialize(_verified(fresh, sets, percent))
         if not more.isEmpty():
-            links = links.unionAll(more).coalesce(parts)
-            labels = components(links)
-        checked = checked.unionAll(fresh).coalesce(parts)
-        left = _named(live.filter(F.col("size") > high).drop("c"), labels)
-        live = materialize(_split_buckets(left))
-        low, high = high, high * 16 + 16
-        place = F.pmod(F.xxhash64("b", "k"), F.lit(1 << 30)) / (1 << 30) * F.col("size")
-        partners = live.filter((place >= low) & (place < high))
+            labels = components(links.unionAll(more).coalesce(parts))
 
     reach = classes.join(shuffled(labels.withColumnRenamed("k", "m")), F.col("k") == F.col("m"), "left")
     reach = reach.select("key", "id", F.coalesce("c", "k").alias("c"))

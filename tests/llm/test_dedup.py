@@ -149,3 +149,45 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
     got = {r.k: r.c for r in common.components(links).collect()}
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
+
+
+def _family(count, seed, low, high):
+    """Texts of one origin, changed so that many pairs lie near the threshold."""
+    draw = random.Random(seed)
+    origin = [f"w{i}" for i in range(120)]
+    rows = []
+    for key in range(count):
+        words = list(origin)
+        for _ in range(draw.randint(low, high)):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(10**6)}"
+        rows.append((key, " ".join(words), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 16])
+def test_family_at_the_threshold(spark, monkeypatch, block):
+    """Every link of a family that is one large bucket, most pairs of which just miss."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rows = _family(140, 3, 2, 4) + [(500 + i, t, "en", "s") for i, t, _, _ in _family(60, 4, 4, 7)]
+    out = near_dedup.near_duplicates(documents(spark, rows), k=4, percent=80)
+    got = sorted((r["id"], r["n"], r["component"]) for r in out.collect())
+    want = sorted(brute_components([(i, t) for i, t, _, _ in rows], 4))
+    assert 20 < len({c for _, _, c in want}) < 180
+    assert got == want
+
+
+def test_bits_of_linked_sets_rarely_differ_more(spark):
+    """Recall of the longer sketch at the threshold, and what it lets through below it."""
+    draw = np.random.default_rng(2)
+    most, near, far = near_dedup._disagreements(80), 0, 0
+    for _ in range(300):
+        base = draw.integers(1, 1 << 62, 400, dtype=np.uint64)
+        for share, what in ((0.8, "near"), (0.6, "far")):
+            both = int(round(180 * 2 * share / (1 + share)))
+            one, two = base[:180], np.concatenate([base[:both], base[200 : 200 + 180 - both]])
+            owner = np.repeat([0, 1], [len(one), len(two)])
+            sketch = near_dedup.sketches(np.concatenate([one, two]), owner, 2, near_dedup.CHECK_BITS)
+            bits = (near_dedup.mix(sketch) & np.uint64(1)).astype(bool)
+            hit = int((bits[0] ^ bits[1]).sum()) <= most
+            near, far = near + (hit and what == "near"), far + (hit and what == "far")
+    assert near == 300 and far == 0
