@@ -5,8 +5,11 @@ rolling two-word windows of a document are joined to template positions; a match
 document word p and template word t votes for the diagonal p - t. A phrase stands
 where its diagonal has all its votes. For notices, neighbouring diagonals are merged,
 so that inserted or dropped words do not break a span, and a span is verified: its
-votes must cover at least half of the template, and it may not be much longer than
-the part of the template it covers.
+votes must cover at least half of the template, all of a short identifier, and it may not be
+much longer than the part of the template it covers. Templates that differ in a few words
+compete: of spans that overlap, those with the best cover stay, the longest of them, so
+that the words in which variants differ decide. A template without a label takes
+a span away from the others: a license that is named as not being the one.
 
 The template table is a fixed list and is broadcast. Windows that match nothing
 never leave their task; one sentinel row keeps each document.
@@ -51,6 +54,16 @@ NOTICES = [
         "this program is free software you can redistribute it and or modify it under the terms of "
         "the gnu general public license as published by the free software foundation",
     ),
+    (
+        "agpl-notice",
+        "this program is free software you can redistribute it and or modify it under the terms of "
+        "the gnu affero general public license as published by the free software foundation",
+    ),
+    (
+        "lgpl-notice",
+        "this library is free software you can redistribute it and or modify it under the terms of "
+        "the gnu lesser general public license as published by the free software foundation",
+    ),
     (
         "mit-notice",
         "permission is hereby granted free of charge to any person obtaining a copy of this software "
@@ -74,11 +87,39 @@ NOTICES = [
         "cc-by-4.0",
         "this work is licensed under a creative commons attribution 4 0 international license",
     ),
+    (
+        "cc-by-sa-4.0",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    ),
+    (
+        "cc-by-nc-4.0",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+    ),
+    (
+        "cc-by-nd-4.0",
+        "this work is licensed under a creative commons attribution noderivatives 4 0 international license",
+    ),
+    (
+        "cc-by-nc-sa-4.0",
+        "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license",
+    ),
+    (
+        "cc-by-nc-nd-4.0",
+        "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license",
+    ),
+    ("", "not licensed under the apache license version 2 0"),
+    ("", "not licensed under a creative commons attribution 4 0 international license"),
     (
         "warranty-disclaimer",
         "the software is provided as is without warranty of any kind express or implied",
     ),
 ]
+# License identifiers after "SPDX-License-Identifier:".
+IDENTIFIERS = (
+    "MIT Apache-2.0 ISC 0BSD BSD-2-Clause BSD-3-Clause MPL-2.0 Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 "
+    "GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later "
+    "LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later"
+).split()
 
 SENTINEL = 0
 
@@ -105,15 +146,17 @@ def _scan(batches):
 
 
 def template_positions(spark: SparkSession, phrases=None, notices=None) -> DataFrame:
-    """Rows (gram, template, t, size, label, phrase): all windows of all templates."""
-    rows = [(SENTINEL, -1, 0, 0, "", True)]
-    listed = [(x, True) for x in phrases or PHRASES] + [(x, False) for x in notices or NOTICES]
-    for number, ((label, text), phrase) in enumerate(listed):
+    """Rows (gram, template, t, size, label, phrase, least): all windows of all templates."""
+    rows = [(SENTINEL, -1, 0, 0, "", True, 1.0)]
+    listed = [(*x, True, 1.0) for x in phrases or PHRASES] + [(*x, False, COVER) for x in notices or NOTICES]
+    if notices is None:
+        listed += [(f"spdx:{x.lower()}", f"SPDX-License-Identifier: {x}", False, 1.0) for x in IDENTIFIERS]
+    for number, (label, text, phrase, least) in enumerate(listed):
         words, firsts = hashed_words(*text_bytes(pa.array([text])), ALNUM)
         found = grams(words, firsts, GRAM)[0].view(np.int64).tolist()
-        rows += [(g, number, t, len(found), label, phrase) for t, g in enumerate(found)]
+        rows += [(g, number, t, len(found), label, phrase, least) for t, g in enumerate(found)]
     return spark.createDataFrame(
-        rows, "gram long, template int, t int, size int, label string, phrase boolean"
+        rows, "gram long, template int, t int, size int, label string, phrase boolean, least double"
     )
 
 
@@ -128,7 +171,7 @@ def scan_licenses(
     )
     templates = F.broadcast(template_positions(docs.sparkSession, phrases, notices))  # fixed list
     doc = ["rid", "id", "n_words"]
-    about = ["template", "size", "label", "phrase"]
+    about = ["template", "size", "label", "phrase", "least"]
     votes = (
         windows.join(templates, "gram")
         .withColumn("diagonal", F.when(F.col("template") >= 0, F.col("p") - F.col("t")))
@@ -149,11 +192,22 @@ def scan_licenses(
         F.max(F.col("diagonal") + F.col("t1") + 1).alias("last_word"),
         (F.max("t1") - F.min("t0") + 1).alias("part"),
     )
-    cover = F.least(F.lit(1.0), F.col("votes") / F.col("size"))
+    cover = F.least(F.lit(1.0), F.col("votes") / F.greatest("size", F.lit(1)))
     stretched = (F.col("last_word") - F.col("first_word")) > 1.5 * F.col("part") + REACH
-    verified = F.col("phrase") | ((cover >= COVER) & ~stretched)
-    found = F.when((F.col("template") >= 0) & verified, F.struct("label", "first_word", "last_word", cover.alias("cover")))
-    return merged.groupBy(*doc).agg(
-        F.collect_list(F.when(F.col("phrase"), found)).alias("places"),
+    verified = F.col("phrase") | ((cover >= F.col("least")) & ~stretched)
+    rival = (F.col("template") >= 0) & ~F.col("phrase") & verified
+    merged = merged.withColumns({"cover": cover, "rival": rival})
+    # Spans that overlap are one island; the spans of a document come in the order of its words.
+    before = Window.partitionBy("rid").orderBy("first_word", "last_word", "template")
+    reached = F.max(F.when(F.col("rival"), F.col("last_word"))).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.col("rival") & F.coalesce(F.col("first_word") >= reached, F.lit(True))
+    merged = merged.withColumn("opens", opens.cast("int"))
+    merged = merged.withColumn("island", F.sum("opens").over(before))
+    merit = F.when(F.col("rival"), F.struct("cover", "size"))
+    best = F.max(merit).over(Window.partitionBy("rid", "island"))
+    stays = (F.col("phrase") & (F.col("template") >= 0)) | (F.col("rival") & (merit == best) & (F.col("label") != ""))
+    merged = merged.withColumn("stays", F.coalesce(stays, F.lit(False)))
+    found = F.when(F.col("stays"), F.struct("label", "first_word", "last_word", "cover"))
+    return merged.groupBy(*doc).agg(        F.collect_list(F.when(F.col("phrase"), found)).alias("places"),
         F.collect_list(F.when(~F.col("phrase"), found)).alias("spans"),
     ).drop("rid")

@@ -237,6 +237,36 @@ def test_license_notices(spark):
     assert got == {1: {"bsd-notice"}, 2: {"bsd-notice"}, 3: set(), 4: set(), 5: set(), 6: {"apache-2.0"}}
 
 
+VARIANTS = {
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+    "Public License as published by the Free Software Foundation, either version 3.": {"agpl-notice"},
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation.": {"lgpl-notice"},
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License as published by the Free Software Foundation.": {"gpl-notice"},
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": {"cc-by-4.0"},
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": {"cc-by-sa-4.0"},
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.": {"cc-by-nc-nd-4.0"},
+    "It was not licensed under the Apache License, Version 2.0, at all.": set(),
+    "Licensed under the Apache License, Version 2.0 (the License);": {"apache-2.0"},
+    "# SPDX-License-Identifier: GPL-3.0-or-later": {"spdx:gpl-3.0-or-later"},
+    "// SPDX-License-Identifier: MIT": {"spdx:mit"},
+    "SPDX-License-Identifier: Something-Else": set(),
+    "Not licensed under the Apache License, Version 2.0. SPDX-License-Identifier: ISC, this work is licensed under a "
+    "Creative Commons Attribution-NonCommercial 4.0 International License.": {"spdx:isc", "cc-by-nc-4.0"},
+}
+
+
+def test_license_variants(spark):
+    """Words in which variants differ decide between templates over the same place."""
+    rows = [(i, PROSE + " " + text + " " + PROSE, None, None) for i, text in enumerate(VARIANTS)]
+    both = " ".join(VARIANTS)
+    rows.append((100, both, None, None))
+    got = {r["id"]: {s["label"] for s in r["spans"]} for r in licenses.scan_licenses(documents(spark, rows)).collect()}
+    assert got.pop(100) == set().union(*VARIANTS.values())
+    assert got == dict(enumerate(VARIANTS.values()))
+
+
 def test_license_empty(nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
