@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from flowlark.operators import listing
@@ -161,7 +161,9 @@ def file_completion(spark, sf):
 
 @query("discard", """select 0::bigint as kept, count(*) as seen from events""")
 def discard(spark, sf):
-    """Rows run into the null sink; the count of the input is what remains."""
+    """Rows that the null sink has taken, counted on their way into it, and those it has not."""
     events = table(spark, sf, "events")
-    files.discard(events)
-    return events.agg(F.lit(0).cast("long").alias("kept"), F.count(F.lit(1)).alias("seen"))
+    seen = Observation()
+    files.discard(events.observe(seen, F.count(F.lit(1)).alias("seen")))
+    taken = F.lit(seen.get["seen"]).cast("long")
+    return events.agg((F.count(F.lit(1)) - taken).alias("kept"), F.max(taken).alias("seen"))
