@@ -180,8 +180,8 @@ def judge(docs: DataFrame, text: str = "text", keep_percent: int = 60) -> DataFr
         sizes = F.transform("_m", lambda x, i: F.when((x["n"] > 0) & counts(i), x["chars"]).otherwise(0))
         return F.aggregate(sizes, zero, lambda a, x: a + x)
 
-    rows = rows.withColumn("_full", full).select(
-        "row",
+    judged = F.struct(
+        F.col("row"),
         F.size("_w").cast("long").alias("n_words"),
         F.aggregate("_w", zero, lambda a, w: a + F.length(w)).alias("word_chars"),
         _count(F.col("_t"), SYMBOLS).cast("long").alias("n_symbols"),
@@ -192,6 +192,8 @@ def judge(docs: DataFrame, text: str = "text", keep_percent: int = 60) -> DataFr
         F.size(F.filter("_ok", lambda x: ~x)).cast("long").alias("n_lines_removed"),
         F.array_join(F.filter("_l", lambda x, i: F.get("_ok", i)), "\n").alias("clean_text"),
     )
+    # Generated, so that a filter on a verdict does not judge every line again.
+    rows = rows.withColumn("_full", full).select(F.explode(F.array(judged)).alias("_j")).select("_j.*")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     enough = 100 * F.col("kept_chars") >= keep_percent * F.col("line_chars")
     return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & enough)
