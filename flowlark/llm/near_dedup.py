@@ -358,7 +358,8 @@ def near_duplicates(
     links = materialize(_verified(checked, sets, percent))
     labels = components(links)
     named = _named(found.filter("size > 2").select("b", "k", "size"), labels)
-    live = materialize(_split_buckets(_live(materialize(_split_buckets(named)), sets, percent)))
+    live = materialize(_live(materialize(_split_buckets(named)), sets, percent))
+    live = materialize(_split_buckets(live))  # which reads its rows twice
     best = F.max(F.struct("shared", (-F.col("k")).alias("k")))
     typical = live.groupBy(F.col("b").alias("pb")).agg((-best["k"]).alias("p"))
     partners = live.join(shuffled(typical), (F.col("b") == F.col("pb")) & (F.col("k") == F.col("p")))

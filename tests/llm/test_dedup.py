@@ -2,12 +2,16 @@
 
 import hashlib
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from plain_versions import brute_components, shingles
+from pyspark.sql import functions as F
 
 from flowlark.llm import common, exact_dedup, near_dedup
+from flowlark.session import materialize
 from awkward import EDGES, PROSE, documents
 
 
@@ -151,6 +155,29 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_few_links_stay_in_one_partition(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_LINKS", few)
+    rows = [(i, i + 1) for i in range(40)] + [(50, 60), (50, 70)]
+    links = spark.createDataFrame(rows, "a long, b long").repartition(5)
+    got = common.components(links)
+    assert {r.k: r.c for r in got.collect()} == {**{i: 0 for i in range(41)}, 50: 50, 60: 50, 70: 50}
+    if few:
+        assert got.rdd.getNumPartitions() == 1
+
+
+def test_shuffle_files_go_with_a_checkpoint(spark):
+    """The rows stay, the shuffle behind them does not wait for a garbage collection."""
+    local = Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = set(local.rglob("shuffle_*.data"))
+    kept = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    deadline = time.time() + 20
+    while set(local.rglob("shuffle_*.data")) - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not set(local.rglob("shuffle_*.data")) - before
+    assert kept.count() == 7
+
+
 def _family(count, seed, low, high):
     """Texts of one origin, changed so that many pairs lie near the threshold."""
     draw = random.Random(seed)
