@@ -32,12 +32,19 @@ from flowlark.operators.windows import (
 from flowlark.plans.folds import AgeOffFold, AnchoredFold, CounterFold
 from flowlark.plans.ordered import Fold
 
+#: Buckets that the keys of a folded stream are dealt to, and the columns that name them.
+BUCKETS = 1024
+KEY, BUCKET = "key", "bucket"
+
 
 class Folding(StatefulProcessor):
-    """Folds a key's rows; its state is the three numbers of the fold.
+    """Folds the rows of a bucket of keys; a key's state is the three numbers of the fold.
 
-    With ``forget_after_ms`` a key is dropped that long after the time in the first place
-    of its state, by a timer that moves with it.
+    A call of Python, a frame and an output batch are shared by all keys of a bucket; states
+    are kept by key, so only those of keys with new rows are read and written. With
+    ``forget_after_ms`` a key is dropped once the watermark is that long after the time in
+    the first place of its state: one timer of the bucket stands for its next keys, at steps
+    of an eighth of that span, and drops all that are due.
     """
 
     def __init__(self, fold: Fold, order: list[str], inputs: dict, outputs: dict, forget_after_ms: int | None):
@@ -46,48 +53,85 @@ class Folding(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", "a long, s double, n long")
+        self.states = handle.getMapState("states", "key string", "a long, s double, n long")
+        if self.forget_after_ms is not None:
+            self.next = handle.getValueState("next", "due long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         parts = list(rows)
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
-        if len(pdf) > 1:
-            pdf = pdf.iloc[np.lexsort([pdf[c].to_numpy() for c in reversed(self.order)])]
-        held = self.state.get()
+        codes, names = pd.factorize(pdf[KEY])
+        by = np.lexsort([*[pdf[c].to_numpy() for c in reversed(self.order)], codes])
+        pdf, codes = pdf.iloc[by], codes[by]
         arrays = {}
         for name, c in self.inputs.items():
-            missing = pdf[c].isna().to_numpy()
+            missing = pdf[f"n{c}"].to_numpy(bool) if f"n{c}" in pdf else pdf[c].isna().to_numpy()
             values = pdf[c].fillna(0).to_numpy() if missing.any() else pdf[c].to_numpy()
             arrays[name] = np.ma.MaskedArray(values, missing)
-        outs, after = self.fold.run(arrays, None if held is None else tuple(held))
-        if after is not None:
-            self.state.update(after)
-            self._move_timer(held, after)
+        known, found, due = self.states.exists(), {name: [] for name in self.outputs.values()}, []
+        cuts = [*np.flatnonzero(np.diff(codes, prepend=-1)).tolist(), len(codes)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = (names[codes[a]],)
+            held = self.states.getValue(own) if known else None
+            outs, after = self.fold.run(
+                {n: x[a:b] for n, x in arrays.items()}, None if held is None else tuple(held)
+            )
+            if after is not None:
+                self.states.updateValue(own, after)
+                due.append(after[0])
+            for name, values in found.items():
+                values.append(outs[name])
+        self._wait_for([x for x in due if x is not None])
         added = {}
         for c, name in self.outputs.items():
-            values = outs[name]
+            values = np.ma.concatenate(found[name])
             if np.ma.getmaskarray(values).any():
                 values = np.where(np.ma.getmaskarray(values), None, values.astype(object))
             added[c] = np.asarray(values)
-        yield pdf.assign(**added)
+        yield pdf.drop(columns=[KEY, BUCKET]).assign(**added)
 
-    def _move_timer(self, before, after) -> None:
-        if self.forget_after_ms is None or after[0] is None:
+    def _wait_for(self, times: list[int]) -> None:
+        if self.forget_after_ms is None or not times:
             return
-        if before is not None and before[0] is not None:
-            if before[0] == after[0]:
+        step = max(self.forget_after_ms // 8, 1)
+        due = -(-(min(times) // 1000 + self.forget_after_ms) // step) * step
+        known = self.next.get()
+        if known is not None:
+            if known[0] <= due:
                 return
-            self.handle.deleteTimer(before[0] // 1000 + self.forget_after_ms)
-        self.handle.registerTimer(after[0] // 1000 + self.forget_after_ms)
+            self.handle.deleteTimer(known[0])
+        self.handle.registerTimer(due)
+        self.next.update((due,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
+        now, stay = timerValues.getCurrentWatermarkInMs(), []
+        for own, state in list(self.states.iterator()):
+            if state[0] is not None and state[0] // 1000 + self.forget_after_ms <= now:
+                self.states.removeKey(tuple(own))
+            elif state[0] is not None:
+                stay.append(state[0])
+        self.next.clear()
+        self._wait_for(stay)
         return iter([])
 
     def close(self) -> None:
         pass
 
 
+def _key_text(sdf: DataFrame, by: Sequence[str]) -> Column:
+    """One text for each key, exact for every type, nulls apart."""
+
+    def text(c: str) -> Column:
+        kind = sdf.schema[c].dataType
+        if isinstance(kind, T.BinaryType):
+            return F.hex(c)
+        if isinstance(kind, (T.StructType, T.ArrayType)):
+            return F.to_json(c, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+        return _plain(F.col(c), kind).cast("string")
+
+    return F.to_json(F.array(*[text(c) for c in by]))
+
+
 def fold_stream(
     sdf: DataFrame,
     by: Sequence[str],
@@ -96,22 +140,34 @@ def fold_stream(
     outputs: Sequence[T.StructField],
     fold: Fold,
     forget_after_ms: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Streaming twin of the batch fold; ``forget_after_ms`` needs a watermark."""
+    """Streaming twin of the batch fold; ``forget_after_ms`` needs a watermark.
+
+    Keys are dealt to ``buckets`` by hash; a running stream must keep their number.
+    """
     # Rows come as named tuples, which only keep names that are Python's.
     names = {c: f"c{i}" for i, c in enumerate(sdf.columns)}
     plain = sdf.toDF(*names.values())
+    # Whole numbers with nulls would come as doubles: the nulls travel apart.
+    holed = [f.name for f in plain.schema.fields if isinstance(f.dataType, T.IntegralType)]
+    blank = {c: f"n{c}" for c in holed}
+    key = _key_text(plain, [names[c] for c in by])
+    packed = plain.withColumns(
+        {**{n: F.col(c).isNull() for c, n in blank.items()}, KEY: key, BUCKET: F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")}
+    ).withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(plain.schema[c].dataType)) for c in holed})
     added = [f"o{i}" for i in range(len(outputs))]
     fields = [T.StructField(n, f.dataType) for n, f in zip(added, outputs)]
+    ordered = [x for c in order for x in ([blank[names[c]]] if names[c] in blank else []) + [names[c]]]
     folding = Folding(
-        fold, [names[c] for c in order], {c: names[c] for c in inputs},
+        fold, ordered, {c: names[c] for c in inputs},
         dict(zip(added, [f.name for f in outputs])), forget_after_ms,
     )
     time = "None" if forget_after_ms is None else "EventTime"
-    grouped = plain.groupBy(*[names[c] for c in by])
-    schema = T.StructType([*plain.schema.fields, *fields])
-    out = grouped.transformWithStateInPandas(folding, schema, "Append", time)
-    return out.toDF(*names, *[f.name for f in outputs])
+    schema = T.StructType([*[f for f in packed.schema.fields if f.name not in (KEY, BUCKET)], *fields])
+    out = packed.groupBy(BUCKET).transformWithStateInPandas(folding, schema, "Append", time)
+    back = [F.when(~F.col(blank[c]), F.col(c)).alias(c) if c in blank else F.col(c) for c in plain.columns]
+    return out.select(*back, *added).toDF(*names, *[f.name for f in outputs])
 
 
 def anchored_stream(

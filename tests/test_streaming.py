@@ -2,11 +2,13 @@
 
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from flowlark.operators import dedupe, points, project, routing, stats, windows
 from flowlark.operators.routing import REL
+from flowlark.plans.folds import CounterFold
 from flowlark.sources.files import read_stream_files
 from flowlark.streaming import stateful
 from flowlark.streaming.run import PROVIDER, ROCKS, drain, route_batches
@@ -77,6 +79,56 @@ def test_batch_wait(spark, split_events):
     assert rows(mine, "event_id", REL) == rows(want, "event_id", REL)
 
 
+class _Handle:
+    """States in a dict, for a bucket without a stream."""
+
+    def __init__(self):
+        self.held = {}
+
+    def getMapState(self, *_):
+        return self
+
+    def exists(self):
+        return bool(self.held)
+
+    def getValue(self, key):
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+
+def test_keys_of_a_bucket_share_a_frame():
+    folding = stateful.Folding(CounterFold(), ["c0"], {"_want": "c1", "_ok": "c2"}, {"o0": "_done"}, None)
+    handle = _Handle()
+    folding.init(handle)
+
+    def batch(rows_):
+        pdf = pd.DataFrame(rows_, columns=["c0", "key"]).assign(c1=2, c2=True, bucket=7)
+        (out,) = folding.handleInputRows((7,), iter([pdf[:2], pdf[2:]]), None)
+        assert list(out.columns) == ["c0", "c1", "c2", "o0"]
+        return dict(zip(out["c0"].tolist(), out["o0"].tolist()))
+
+    assert batch([(3, "a"), (1, "b"), (2, "a"), (4, "c")]) == {1: False, 2: False, 3: True, 4: False}
+    assert batch([(6, "b"), (5, "a"), (7, "d")]) == {5: False, 6: True, 7: False}
+    assert {k[0]: v[0] for k, v in handle.held.items()} == {"a": 1, "b": 0, "c": 1, "d": 1}
+
+
+def test_batch_wait_keeps_long_numbers_beside_nulls(spark, tmp_path):
+    odd = spark.range(60).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id") % 2 + 9_007_199_254_740_993).alias("k"),
+        F.when(F.col("id") % 4 > 0, F.col("id") + 9_007_199_254_740_993).alias("big"), F.lit("2").alias("want"),
+    )
+    for i in range(2):
+        odd.filter(F.floor(F.col("id") / 31) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    sdf = read_stream_files(spark, str(tmp_path / "in"), odd.schema, max_files=1)
+    mine = drain(stateful.batch_wait_stream(sdf, "k", "want", ["id"]))
+    want = windows.batch_wait(odd, "k", "want", ["id"])
+    columns = ("id", REL, F.coalesce(F.col("k").cast("string"), F.lit("")), F.coalesce(F.col("big").cast("string"), F.lit("")))
+    assert rows(mine, *columns) == rows(want, *columns)
+
+
 def test_watermarked_windows(spark, split_events):
     mine = drain(
         windows.tumbling(source(spark, split_events), "value", "ts", "6 hours", watermark="2 hours")
