@@ -129,6 +129,20 @@ def test_batch_wait_keeps_long_numbers_beside_nulls(spark, tmp_path):
     assert rows(mine, *columns) == rows(want, *columns)
 
 
+def test_null_keys_take_no_rows_of_other_keys(spark, tmp_path):
+    """One partition holds null and other keys; each keeps its windows."""
+    odd = spark.range(200).select(
+        F.col("id").alias("event_id"), F.when(F.col("id") % 10 > 0, F.col("id") % 10).alias("user_id"),
+        F.timestamp_micros(F.col("id") * 3_600_000_000).alias("ts"), F.col("id").cast("double").alias("value"),
+    )
+    odd.coalesce(1).write.parquet(str(tmp_path / "in"))
+    args = ("value", "ts", "24 hours", ["user_id"], ["event_id"])
+    mine = drain(stateful.anchored_stream(read_stream_files(spark, str(tmp_path / "in"), odd.schema), *args))
+    want = windows.anchored_tumbling(odd, *args)
+    columns = ("event_id", REL, F.coalesce("window_sum", F.lit(-1.0)), F.coalesce("window_count", F.lit(-1)))
+    assert rows(mine, *columns) == rows(want, *columns)
+
+
 def test_watermarked_windows(spark, split_events):
     mine = drain(
         windows.tumbling(source(spark, split_events), "value", "ts", "6 hours", watermark="2 hours")
