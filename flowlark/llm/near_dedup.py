@@ -47,6 +47,7 @@ from flowlark.llm.common import (
     encoded,
     grams,
     hashed_words,
+    in_few_tasks,
     mix,
     passes,
     row_hashes,
@@ -170,13 +171,13 @@ def _linked(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, docs: int) -> DataFrame:
     """Pairs (a, b) whose sets are similar enough; b may be a hot key."""
     one = sets.select(F.col("k").alias("ka"), F.col("items").alias("x"))
     two = sets.select(F.col("k").alias("kb"), F.col("items").alias("y"))
-    rows = join_hot(pairs, shuffled(one), {"a": "ka"}, "inner")
+    rows = in_few_tasks(join_hot(pairs, shuffled(one), {"a": "ka"}, "inner"), docs)
     rows = join_hot(rows, shuffled(two), {"b": "kb"}, "inner").select("a", "b", "x", "y")
-    return rows.mapInArrow(_linked(percent), "a long, b long")
+    return in_few_tasks(rows, docs).mapInArrow(_linked(percent), "a long, b long")
 
 
 def _items(batches):
@@ -191,11 +192,11 @@ def _items(batches):
             )
 
 
-def _split_buckets(rows: DataFrame) -> DataFrame:
+def _split_buckets(rows: DataFrame, docs: int) -> DataFrame:
     """Rows (b, k, c, ...) of buckets with more than one component."""
     split = rows.groupBy(F.col("b").alias("s")).agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
-    split = materialize(split.filter("c0 <> c1").select("s"))
-    return join_hot(rows, side_of(split, split.count()), {"b": "s"}, "inner")
+    split = materialize(in_few_tasks(split.filter("c0 <> c1").select("s"), docs))
+    return in_few_tasks(join_hot(rows, side_of(split, split.count()), {"b": "s"}, "inner"), docs)
 
 
 def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -205,7 +206,7 @@ def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return named.withColumn("c", F.coalesce("c", "k"))
 
 
-def _live(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _live(rows: DataFrame, sets: DataFrame, percent: int, docs: int) -> DataFrame:
     """Members that may have a partner in their bucket, with n, common and shared.
 
     ``common`` counts the elements that any other open class has too. A partner of
@@ -215,15 +216,17 @@ def _live(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     keys = rows.select(F.col("k").alias("o")).distinct()
     items = sets.join(shuffled(keys), F.col("k") == F.col("o"), "left_semi").select("k", "items")
+    items = in_few_tasks(items, docs)
     items = materialize(items.mapInArrow(_items, "k long, item long"))
-    counts = items.groupBy(F.col("item").alias("i")).agg(F.count("*").alias("classes"))
-    seen = join_hot(items, shuffled(counts), {"item": "i"}, "inner").groupBy(F.col("k").alias("o")).agg(
+    counts = in_few_tasks(items.groupBy(F.col("item").alias("i")).agg(F.count("*").alias("classes")), docs)
+    shares = in_few_tasks(join_hot(items, shuffled(counts), {"item": "i"}, "inner"), docs)
+    seen = shares.groupBy(F.col("k").alias("o")).agg(
         F.count("*").alias("n"), F.sum((F.col("classes") > 1).cast("long")).alias("common"),
         (F.sum("classes") / F.count("*")).alias("shared"),
     )
-    least = rows.join(shuffled(seen), F.col("k") == F.col("o")).drop("o")
-    small = least.groupBy(F.col("b").alias("s")).agg(F.min("n").alias("least"))
-    both = join_hot(least, shuffled(small), {"b": "s"}, "inner")
+    least = in_few_tasks(rows.join(shuffled(seen), F.col("k") == F.col("o")).drop("o"), docs)
+    small = in_few_tasks(least.groupBy(F.col("b").alias("s")).agg(F.min("n").alias("least")), docs)
+    both = in_few_tasks(join_hot(least, shuffled(small), {"b": "s"}, "inner"), docs)
     open_ = 100 * F.col("common") >= percent * (F.col("n") + F.col("least") - F.col("common"))
     return both.filter(open_).drop("least")
 
@@ -302,15 +305,16 @@ def _group(parts: list[pa.RecordBatch]):
     return *plain, bits, bands
 
 
-def _open_pairs(live: DataFrame, sets: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(live: DataFrame, sets: DataFrame, bands: DataFrame, percent: int, docs: int) -> DataFrame:
     """Pairs (a, b) of open buckets that may be linked and are not joined yet."""
-    keys = materialize(live.select(F.col("k").alias("o")).distinct())
+    keys = materialize(in_few_tasks(live.select(F.col("k").alias("o")).distinct(), docs))
     bits = sets.join(shuffled(keys), F.col("k") == F.col("o"), "left_semi").select("k", "items")
-    bits = bits.mapInArrow(_bit_rows, "k long, bits binary")
+    bits = in_few_tasks(bits, docs).mapInArrow(_bit_rows, "k long, bits binary")
     traits = bits.join(shuffled(bands), F.col("k") == F.col("rid")).select(F.col("k").alias("o"), "bits", "bands")
+    traits = in_few_tasks(traits, docs)
     blocks = live.groupBy(F.col("b").alias("s")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = join_hot(live.select("b", "k", "c", "n"), blocks, {"b": "s"}, "inner")
-    rows = rows.join(shuffled(traits), F.col("k") == F.col("o"))
+    rows = in_few_tasks(join_hot(live.select("b", "k", "c", "n"), blocks, {"b": "s"}, "inner"), docs)
+    rows = in_few_tasks(rows.join(shuffled(traits), F.col("k") == F.col("o")), docs)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     parts = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -334,60 +338,59 @@ def near_duplicates(
             _sketch_rows(k), f"id {kind}, n long, key binary, _h long, bands array<long>"
         )
     ).withColumn("rid", F.monotonically_increasing_id())
-    classes = materialize(
-        sketched.filter("n > 0").groupBy("key").agg(F.min("rid").alias("k"), F.min("id").alias("id"))
-    )
+    count = sketched.count()
+    classes = sketched.filter("n > 0").groupBy("key").agg(F.min("rid").alias("k"), F.min("id").alias("id"))
+    classes = materialize(in_few_tasks(classes, count))
     chosen = classes.select("k")
-    heads = sketched.join(chosen, F.col("rid") == F.col("k"), "left_semi")
+    heads = in_few_tasks(sketched.join(chosen, F.col("rid") == F.col("k"), "left_semi"), count)
     members = heads.select(F.explode("bands").alias("b"), F.col("rid").alias("k"))
     shared = members.groupBy("b").agg(F.min("k").alias("head"), F.count("*").alias("size"))
-    shared = shared.filter("size > 1").withColumnRenamed("b", "bucket")
-    found = materialize(join_hot(members, shuffled(shared), {"b": "bucket"}, "inner"))
+    shared = in_few_tasks(shared.filter("size > 1").withColumnRenamed("b", "bucket"), count)
+    found = materialize(in_few_tasks(join_hot(members, shuffled(shared), {"b": "bucket"}, "inner"), count))
 
-    wanted = materialize(
-        heads.join(found.select(F.col("k").alias("in")).distinct(), F.col("rid") == F.col("in"), "left_semi")
-        .select("_h", F.col("rid").alias("k"))
-    )
+    wanted = heads.join(found.select(F.col("k").alias("in")).distinct(), F.col("rid") == F.col("in"), "left_semi")
+    wanted = materialize(in_few_tasks(wanted.select("_h", F.col("rid").alias("k")), count))
     sieve = spark.sparkContext.broadcast(sieve_of(wanted, "_h"))
     packed = given.mapInArrow(_set_rows(k, sieve), "_h long, items binary")
     packed = packed.join(wanted.withColumnRenamed("_h", "_w"), F.col("_h") == F.col("_w"))
-    sets = materialize(packed.select("k", "items").dropDuplicates(["k"]))
+    packed = in_few_tasks(packed.select("k", "items"), count)
+    sets = materialize(in_few_tasks(packed.dropDuplicates(["k"]), count))
 
     pairs = found.filter("k <> head").select(F.col("k").alias("a"), F.col("head").alias("b"))
-    checked = materialize(pairs.distinct())
-    links = materialize(_verified(checked, sets, percent))
+    checked = materialize(in_few_tasks(pairs.distinct(), count))
+    links = materialize(_verified(checked, sets, percent, count))
     labels = components(links)
     named = _named(found.filter("size > 2").select("b", "k", "size"), labels)
-    live = materialize(_live(materialize(_split_buckets(named)), sets, percent))
-    live = materialize(_split_buckets(live))  # which reads its rows twice
+    live = materialize(_live(materialize(_split_buckets(named, count)), sets, percent, count))
+    live = materialize(_split_buckets(live, count))  # which reads its rows twice
     best = F.max(F.struct("shared", (-F.col("k")).alias("k")))
     typical = live.groupBy(F.col("b").alias("pb")).agg((-best["k"]).alias("p"))
     partners = live.join(shuffled(typical), (F.col("b") == F.col("pb")) & (F.col("k") == F.col("p")))
-    partners = partners.select(F.col("pb").alias("sb"), "p", F.col("c").alias("pc"))
+    partners = in_few_tasks(partners.select(F.col("pb").alias("sb"), "p", F.col("c").alias("pc")), count)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     if not live.isEmpty():
         fresh = join_hot(live, shuffled(partners), {"b": "sb"}, "inner").filter("c <> pc and k <> p")
-        fresh = fresh.select(F.greatest("k", "p").alias("a"), F.least("k", "p").alias("b")).distinct()
-        fresh = materialize(fresh.join(shuffled(checked), ["a", "b"], "left_anti"))
-        links = materialize(links.unionAll(_verified(fresh, sets, percent)).coalesce(parts))
+        fresh = in_few_tasks(fresh.select(F.greatest("k", "p").alias("a"), F.least("k", "p").alias("b")), count)
+        fresh = in_few_tasks(fresh.distinct(), count)
+        fresh = materialize(in_few_tasks(fresh.join(shuffled(checked), ["a", "b"], "left_anti"), count))
+        links = materialize(links.unionAll(_verified(fresh, sets, percent, count)).coalesce(parts))
         labels = components(links)
-        checked = checked.unionAll(fresh).coalesce(parts)
-        live = materialize(_split_buckets(_named(live.drop("c"), labels)))
+        checked = in_few_tasks(checked.unionAll(fresh).coalesce(parts), count)
+        live = materialize(_split_buckets(_named(live.drop("c"), labels), count))
     if not live.isEmpty():
-        fresh = _open_pairs(live, sets, heads.select("rid", "bands"), percent)
-        fresh = materialize(fresh.join(shuffled(checked), ["a", "b"], "left_anti"))
-        more = materialize(_verified(fresh, sets, percent))
+        fresh = _open_pairs(live, sets, heads.select("rid", "bands"), percent, count)
+        fresh = materialize(in_few_tasks(fresh.join(shuffled(checked), ["a", "b"], "left_anti"), count))
+        more = materialize(_verified(fresh, sets, percent, count))
         if not more.isEmpty():
             labels = components(links.unionAll(more).coalesce(parts))
 
     reach = classes.join(shuffled(labels.withColumnRenamed("k", "m")), F.col("k") == F.col("m"), "left")
-    reach = reach.select("key", "id", F.coalesce("c", "k").alias("c"))
-    smallest = reach.groupBy(F.col("c").alias("g")).agg(F.min("id").alias("component"))
-    of_class = join_hot(reach, shuffled(smallest), {"c": "g"}, "inner").select(
-        F.col("key").alias("class_key"), "component"
-    )
+    reach = in_few_tasks(reach.select("key", "id", F.coalesce("c", "k").alias("c")), count)
+    smallest = in_few_tasks(reach.groupBy(F.col("c").alias("g")).agg(F.min("id").alias("component")), count)
+    of_class = in_few_tasks(join_hot(reach, shuffled(smallest), {"c": "g"}, "inner"), count)
+    of_class = of_class.select(F.col("key").alias("class_key"), "component")
     rows = sketched.select("id", "n", "key", "_h")
-    out = join_hot(rows, shuffled(of_class), {"key": "class_key"}, "left")
+    out = in_few_tasks(join_hot(rows, shuffled(of_class), {"key": "class_key"}, "left"), count)
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select("id", "n", component.alias("component"), "_h")
 

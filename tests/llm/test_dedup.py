@@ -218,3 +218,38 @@ def test_bits_of_linked_sets_rarely_differ_more(spark):
             hit = int((bits[0] ^ bits[1]).sum()) <= most
             near, far = near + (hit and what == "near"), far + (hit and what == "far")
     assert near == 300 and far == 0
+
+
+@pytest.fixture
+def many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesced = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield 40
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+
+
+def test_few_documents_take_few_tasks(spark, many_partitions):
+    """The driver keeps something of every task, so partitions that are set do not make them all."""
+    rows = _family(60, 3, 2, 4) + [(100, None, "en", "s"), (101, "", "en", "s"), (102, "one two", "en", "s")]
+    docs = documents(spark, rows).coalesce(2)
+    sc = spark.sparkContext
+    sc.setJobGroup("few-documents", "near duplicates")
+    try:
+        got = sorted((r.id, r.n, r.component) for r in near_dedup.near_duplicates(docs, k=4).collect())
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == sorted(brute_components([r[:2] for r in rows], 4))
+    told = sc.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup("few-documents") for s in told.getJobInfo(j).stageIds}
+    tasks = sum(i.numTasks for i in map(told.getStageInfo, stages) if i and i.numCompletedTasks)
+    assert tasks < 25 * many_partitions, tasks
+
+
+def test_rows_of_many_documents_keep_their_partitions(spark, many_partitions):
+    rows = spark.range(100).repartition(40, "id")
+    assert common.in_few_tasks(rows, 5000).rdd.getNumPartitions() == 2
+    assert common.in_few_tasks(rows, 0).rdd.getNumPartitions() == 1
+    assert common.in_few_tasks(rows, 40 * common.TASK_DOCS).rdd.getNumPartitions() == 40
