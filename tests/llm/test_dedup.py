@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 from pathlib import Path
 
@@ -253,3 +254,19 @@ def test_rows_of_many_documents_keep_their_partitions(spark, many_partitions):
     assert common.in_few_tasks(rows, 5000).rdd.getNumPartitions() == 2
     assert common.in_few_tasks(rows, 0).rdd.getNumPartitions() == 1
     assert common.in_few_tasks(rows, 40 * common.TASK_DOCS).rdd.getNumPartitions() == 40
+
+
+def _digits(rows):
+    """Of the size in bytes that Spark expects, which it writes as 1.23E+45 B from 2 ZiB on."""
+    power = re.search(r"E\+(\d+)", rows._jdf.queryExecution().optimizedPlan().stats().toString())
+    return int(power[1]) if power else 0
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_guessed_sizes_do_not_grow_with_the_rounds(spark, monkeypatch, few):
+    """The driver's memory held numbers whose digits doubled with every round."""
+    monkeypatch.setattr(common, "FEW_LINKS", few)
+    links = materialize(spark.range(120).select("id", (F.col("id") + 1).alias("b")).toDF("a", "b"))
+    got = common.components(links)
+    assert _digits(got) < 60
+    assert {r.c for r in got.collect()} == {0}
